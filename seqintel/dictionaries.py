@@ -117,6 +117,16 @@ SHORT_SEQUENCE_STATUS = "Secuencia demasiado corta (menos de 2 posts)"
 NO_DATA_NAME = "Sin datos"
 PAGE_RECORDS_KEY = "REGISTROS_PAGINA"
 
+# Phase names used when no phase table is available.
+DEFAULT_PHASE_NAMES = ["Reconocimiento", "Entrega", "Explotación", "Instalación", "C2", "Acciones"]
+
+# Predicted phase names counted as critical.
+CRITICAL_PHASE_NAMES = ["Acciones sobre objetivos", "Acciones"]
+
+# Persistence classes on the transition diagonal: (lower bound, label).
+PERSISTENCE_CLASSES = [(0.7, "muy persistente"), (0.4, "moderadamente persistente")]
+TRANSIENT_LABEL = "transitorio"
+
 # Model defaults.
 N_STATES = 4
 MAX_ITER = 100

@@ -71,3 +71,100 @@ fx_posts_base AS (
 fx_posts AS (
   SELECT *, {fingerprint('body', 'title', 'author', 'thread_id')} AS fingerprint FROM fx_posts_base)
 """
+
+
+def dbl(v: float) -> str:
+    return f"CAST('{float(v)!r}' AS DOUBLE)"
+
+
+def phase_of_tech(t: str) -> str:
+    exact = "CASE " + t + " " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in D.TECHNIQUE_PHASE.items()) + " END"
+    base_expr = f"CASE WHEN instr({t}, '.') > 0 THEN regexp_extract({t}, '^(.*)\\.[^.]*$', 1) ELSE {t} END"
+    base = "CASE " + base_expr + " " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in D.TECHNIQUE_PHASE.items()) + " END"
+    return f"coalesce({exact}, {base})"
+
+
+def phase_of_list(lst: str) -> str:
+    return (f"CAST(coalesce(list_max(list_transform({lst}, lambda t: {phase_of_tech('t')})), "
+            f"{D.DEFAULT_PHASE}) AS INTEGER)")
+
+
+def _tech_arr(*xs) -> str:
+    return "[" + ", ".join(f"'{x}'" for x in xs) + "]::VARCHAR[]"
+
+
+FX_TECH = f"""
+fx_events AS (
+  SELECT CAST(user_id AS VARCHAR) AS author, ts, event_id, event_type, value,
+         CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events),
+fx_tech AS (
+  SELECT author, ts, event_id, CAST(event_id AS VARCHAR) AS message_id, event_type, value,
+    CASE
+      WHEN event_type = 'view' THEN CASE WHEN k % 3 = 2 THEN {_tech_arr('T1583.001')} ELSE {_tech_arr('T1046')} END
+      WHEN event_type = 'signup' THEN CASE WHEN k % 3 = 0 THEN {_tech_arr('T1566')}
+           WHEN k % 3 = 1 THEN {_tech_arr('T1566', 'T1190')} ELSE {_tech_arr('T1189')} END
+      WHEN event_type = 'click' THEN CASE WHEN k % 3 = 0 THEN {_tech_arr('T1190')}
+           WHEN k % 3 = 1 THEN {_tech_arr('T1547.001', 'T1190')} ELSE {_tech_arr('T1059.001')} END
+      WHEN event_type = 'purchase' THEN CASE WHEN k % 3 = 0 THEN {_tech_arr('T1071.001')}
+           WHEN k % 3 = 1 THEN {_tech_arr('T1003.003')} ELSE {_tech_arr('T1005')} END
+      WHEN event_type = 'error' THEN CASE WHEN k % 3 = 2 THEN {_tech_arr('T1005', 'T1046')} ELSE {_tech_arr()} END
+      ELSE {_tech_arr()} END AS techniques
+  FROM fx_events),
+fx_phase AS (
+  SELECT *, {phase_of_list('techniques')} AS phase FROM fx_tech),
+fx_seq AS (
+  SELECT author, list(phase ORDER BY ts, event_id) FILTER (WHERE len(techniques) > 0) AS seq,
+         CAST(count(*) FILTER (WHERE len(techniques) = 0) AS BIGINT) AS n_dropped
+  FROM fx_phase GROUP BY author HAVING count(*) FILTER (WHERE len(techniques) > 0) > 0)
+"""
+
+
+def _sum(terms: list[str]) -> str:
+    out = "CAST(0.0 AS DOUBLE)"
+    for t in terms:
+        out = f"({out} + {t})"
+    return out
+
+
+def forward_sql(seq: str, m) -> str:
+    S = m.n_states
+    B = [[dbl(x) for x in r] for r in m.emit]
+    A = [[dbl(x) for x in r] for r in m.trans]
+    brow = [f"[{', '.join(B[j])}][o + 1]" for j in range(S)]
+    a1 = [f"({dbl(m.start[j])} * [{', '.join(B[j])}][{seq}[1] + 1])" for j in range(S)]
+    c1 = _sum(a1)
+    init = ("{'a': [" + ", ".join(f"{a1[j]} / {c1}" for j in range(S)) + "], 'll': ln(" + c1 + ")}")
+    nxt = [f"({_sum([f'(acc.a[{i + 1}] * {A[i][j]})' for i in range(S)])} * {brow[j]})" for j in range(S)]
+    c = _sum(nxt)
+    step = ("{'a': [" + ", ".join(f"{nxt[j]} / {c}" for j in range(S)) + "], 'll': acc.ll + ln(" + c + ")}")
+    return (f"CASE WHEN len({seq}) > 0 THEN list_reduce({seq}[2:], lambda acc, o: {step}, {init}).ll END")
+
+
+def viterbi_sql(seq: str, m) -> str:
+    """struct {d: last deltas, p: paths}; best path = p[argmax d]."""
+    import math
+    S = m.n_states
+
+    def lg(p):
+        return dbl(math.log(p)) if p > 0 else "CAST('-inf' AS DOUBLE)"
+    lA = [[lg(x) for x in r] for r in m.trans]
+    lB = [[lg(x) for x in r] for r in m.emit]
+    init = ("{'d': [" + ", ".join(f"({lg(m.start[j])} + [{', '.join(lB[j])}][{seq}[1] + 1])" for j in range(S))
+            + "], 'p': [" + ", ".join(f"[{j}]" for j in range(S)) + "]}")
+    cands = [f"[{', '.join(f'(acc.d[{i + 1}] + {lA[i][j]})' for i in range(S))}]" for j in range(S)]
+    d = [f"(list_max({cands[j]}) + [{', '.join(lB[j])}][o + 1])" for j in range(S)]
+    p = [f"list_append(acc.p[list_position({cands[j]}, list_max({cands[j]}))], {j})" for j in range(S)]
+    step = "{'d': [" + ", ".join(d) + "], 'p': [" + ", ".join(p) + "]}"
+    return f"list_reduce({seq}[2:], lambda acc, o: {step}, {init})"
+
+
+def vit_path(v: str) -> str:
+    return f"{v}.p[list_position({v}.d, list_max({v}.d))]"
+
+
+def next_table_sql(m) -> str:
+    rows = m.next_table()
+    return "[" + ", ".join("[" + ", ".join(dbl(x) for x in r) + "]" for r in rows) + "]"
+
+
+PHASE_NAMES_SQL = "[" + ", ".join(q(n) for _, n, _ in D.PHASES) + "]"

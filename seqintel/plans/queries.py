@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from .. import dictionaries as D
 from ..functions import text as TX
 from ..operators import ingest as ING
+from ..operators import sequences as SEQ
+from ..session import table
 from . import fixtures as FX
 from . import oracle as O
 
@@ -73,3 +75,144 @@ def q_clean_top_bodies(spark, sf_dir):
     return (c.orderBy(F.col("body_len").desc(), "message_id").limit(10)
             .select("message_id", "author", "body_len", "title_clean",
                     F.sha1("body_clean").alias("body_sha1")))
+
+
+# ---------------------------------------------------------------------------
+# 2B text scalars on documents-as-posts
+# ---------------------------------------------------------------------------
+
+def _posts(spark, sf_dir):
+    return FX.fx_posts(spark, sf_dir)
+
+
+@register("B6_fingerprint_text", with_fx(f"""
+SELECT message_id, sha1({O.fp('body')}) AS body_norm_sha1, CAST(length({O.fp('body')}) AS BIGINT) AS body_norm_len,
+       {O.fp('title')} AS title_norm FROM fx_posts"""))
+def q_b6(spark, sf_dir):
+    p = _posts(spark, sf_dir)
+    return p.select("message_id", F.sha1(TX.fingerprint_text("body")).alias("body_norm_sha1"),
+                    F.length(TX.fingerprint_text("body")).cast("long").alias("body_norm_len"),
+                    TX.fingerprint_text("title").alias("title_norm"))
+
+
+@register("B7_content_fingerprint", with_fx("SELECT message_id, fingerprint FROM fx_posts"))
+def q_b7(spark, sf_dir):
+    return _posts(spark, sf_dir).select("message_id", "fingerprint")
+
+
+@register("B8_anonymize_text", with_fx(f"""
+SELECT message_id, sha1({O.anonymize('body')}) AS anon_sha1,
+       {O.anonymize('body')} <> body AS changed,
+       CAST(length({O.anonymize('body')}) AS BIGINT) AS anon_len FROM fx_posts"""))
+def q_b8(spark, sf_dir):
+    p = _posts(spark, sf_dir).withColumn("_a", TX.anonymize_text("body"))
+    return p.select("message_id", F.sha1("_a").alias("anon_sha1"), (F.col("_a") != F.col("body")).alias("changed"),
+                    F.length("_a").cast("long").alias("anon_len"))
+
+
+@register("B9_anonymize_username", with_fx(f"""
+SELECT DISTINCT author, CASE WHEN author IS NULL OR author = '' THEN author
+  ELSE 'USER_' || substr(sha256({O.q(D.ANON_SALT + ':')} || author), 1, 16) END AS author_token FROM fx_posts"""))
+def q_b9(spark, sf_dir):
+    return _posts(spark, sf_dir).select("author", TX.anonymize_username("author").alias("author_token")).distinct()
+
+
+@register("B10_anonymize_record", with_fx(f"""
+SELECT message_id, {O.anonymize('title')} AS title, sha1({O.anonymize('body')}) AS body_sha1,
+       {O.anonymize('quoted')} AS quoted FROM fx_posts"""))
+def q_b10(spark, sf_dir):
+    a = ING.anonymize_record(_posts(spark, sf_dir))
+    return a.select("message_id", "title", F.sha1("body").alias("body_sha1"), "quoted")
+
+
+_PII_UNION = " UNION ALL ".join(
+    f"SELECT message_id, '{lbl}' AS label, CAST(len(regexp_extract_all(coalesce(body, ''), {O.q(pat)})) AS BIGINT) AS n_matches FROM fx_posts"
+    for lbl, pat in D.PII_PATTERNS)
+
+
+@register("B11_pii_inventory", with_fx(f"SELECT * FROM ({_PII_UNION}) x WHERE n_matches > 0"))
+def q_b11(spark, sf_dir):
+    return ING.pii_inventory(_posts(spark, sf_dir), "message_id", "body")
+
+
+@register("B12_clean_text", with_fx(f"""
+SELECT message_id, sha1({O.clean('body')}) AS clean_sha1, CAST(length({O.clean('body')}) AS BIGINT) AS clean_len,
+       {O.clean('title')} AS title_clean FROM fx_posts"""))
+def q_b12(spark, sf_dir):
+    p = _posts(spark, sf_dir).withColumn("_c", TX.clean_text("body"))
+    return p.select("message_id", F.sha1("_c").alias("clean_sha1"), F.length("_c").cast("long").alias("clean_len"),
+                    TX.clean_text("title").alias("title_clean"))
+
+
+@register("B13_date_parts", with_fx("""
+SELECT message_id, CAST(year(ts) AS BIGINT) AS year, CAST(month(ts) AS BIGINT) AS month,
+       CAST(day(ts) AS BIGINT) AS day, CAST(hour(ts) AS BIGINT) AS hour FROM fx_posts"""))
+def q_b13(spark, sf_dir):
+    p = _posts(spark, sf_dir)
+    return p.select("message_id", *[v.cast("long").alias(k) for k, v in TX.date_parts("ts").items()])
+
+
+@register("B14_text_lengths", f"""
+WITH {O.FX_POSTS}, {_CLEAN_UNIQUE_SQL}
+SELECT message_id, title_len, body_len FROM clean_posts""")
+def q_b14(spark, sf_dir):
+    return clean_unique_posts(spark, sf_dir).select("message_id", "title_len", "body_len")
+
+
+@register("B16_export_projection", f"""
+WITH {O.FX_POSTS}, {_CLEAN_UNIQUE_SQL}
+SELECT message_id, fingerprint, thread_id, '' AS parent_id, author, ts,
+       CAST(year(ts) AS BIGINT) AS year, CAST(month(ts) AS BIGINT) AS month, CAST(day(ts) AS BIGINT) AS day,
+       CAST(hour(ts) AS BIGINT) AS hour, title_clean, sha1(body_clean) AS body_clean_sha1, '' AS quoted_clean,
+       title_len, body_len, url FROM clean_posts""")
+def q_b16(spark, sf_dir):
+    c = clean_unique_posts(spark, sf_dir).withColumn("parent_id", F.lit(None).cast("string")) \
+        .withColumn("quoted_clean", F.lit(None).cast("string"))
+    e = ING.export_projection(c)
+    return e.withColumn("body_clean_sha1", F.sha1("body_clean")).drop("body_clean")
+
+
+@register("B17_recent_posts", f"""
+WITH {O.FX_TECH}
+SELECT message_id, author, ts FROM fx_tech
+WHERE ts >= (SELECT max(ts) FROM fx_tech) - INTERVAL 7 DAY""")
+def q_b17(spark, sf_dir):
+    ev = SEQ.technique_fixture(spark, table(spark, sf_dir, "events"))
+    as_of = ev.select(F.max("ts")).scalar()
+    return ING.recent(ev, 7, as_of).select("message_id", "author", "ts")
+
+
+@register("B18_body_fallback", f"""
+WITH {O.FX_POSTS}, {_CLEAN_UNIQUE_SQL}
+SELECT message_id, sha1(coalesce(nullif(body_clean, ''), nullif(body, ''), '')) AS content_sha1 FROM clean_posts""")
+def q_b18(spark, sf_dir):
+    c = clean_unique_posts(spark, sf_dir)
+    return c.select("message_id", F.sha1(TX.body_fallback("body_clean", "body")).alias("content_sha1"))
+
+
+@register("B19_normalize_term", with_fx(f"""
+SELECT message_id, {O.normalize_term('title')} AS term_norm, {O.squash('title')} AS term_squash FROM fx_posts"""))
+def q_b19(spark, sf_dir):
+    p = _posts(spark, sf_dir)
+    return p.select("message_id", TX.normalize_term("title").alias("term_norm"),
+                    TX.squash_term("title").alias("term_squash"))
+
+
+# ---------------------------------------------------------------------------
+# 2D ingest aggregates
+# ---------------------------------------------------------------------------
+
+@register("D1_dedup_first", with_fx("""
+SELECT fingerprint, message_id FROM fx_posts
+QUALIFY row_number() OVER (PARTITION BY fingerprint ORDER BY ts, message_id) = 1"""))
+def q_d1(spark, sf_dir):
+    return ING.first_per_key(_posts(spark, sf_dir), ["fingerprint"], ["ts", "message_id"]).select(
+        "fingerprint", "message_id")
+
+
+@register("D2_ingest_summary", with_fx("""
+SELECT CAST(count(*) AS BIGINT) AS raw_count,
+       CAST(count(*) - count(DISTINCT fingerprint) AS BIGINT) AS duplicate_count,
+       CAST(count(DISTINCT fingerprint) AS BIGINT) AS final_count FROM fx_posts"""))
+def q_d2(spark, sf_dir):
+    return ING.ingest_summary(_posts(spark, sf_dir))
