@@ -22,8 +22,15 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _lit_sql(s: str) -> str:
-    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and pass it to ``body`` as a lambda variable.
+
+    Catalyst inlines projected expressions into higher-order-function lambdas
+    (CollapseProject sees one reference), which would re-evaluate an expensive
+    input once per array element; binding it through a one-element
+    ``transform`` keeps it a single evaluation per row.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)
 
 
 # B1 -----------------------------------------------------------------------
@@ -103,10 +110,6 @@ def content_fingerprint(body, title, user, thread) -> Column:
 
 
 # B8 - B11 -----------------------------------------------------------------
-def anon_token_sql(label: str, value_sql: str, salt: str = D.ANON_SALT) -> str:
-    return (f"concat('{label.upper()}_', substr(sha2(concat({_lit_sql(salt)}, ':', {value_sql}), 256), 1, 16))")
-
-
 def anonymize_text(c, salt: str = D.ANON_SALT) -> Column:
     """For each PII pattern in order: find all matches in the current text and
     replace every occurrence of each by ``LABEL_<sha256(salt:match)[:16]>``.
@@ -114,10 +117,16 @@ def anonymize_text(c, salt: str = D.ANON_SALT) -> Column:
     col = _c(c)
     out = col
     for label, pat in D.PII_PATTERNS:
-        out = F.aggregate(F.regexp_extract_all(out, F.lit(pat), 0), out, _replacer(label, salt))
+        out = let(out, _pass(pat, label, salt))
     return F.when(col.isNull() | (col == ""), col).otherwise(out)
 
 
+def _pass(pat: str, label: str, salt: str):
+    def body(v):
+        return F.aggregate(F.regexp_extract_all(v, F.lit(pat), 0), v, _replacer(label, salt))
+    return body
+
+
 def _replacer(label: str, salt: str):
     def step(acc, m):
         return F.replace(acc, m, _token(label, m, salt))
@@ -176,6 +185,10 @@ def normalize_term(c) -> Column:
     return F.regexp_replace(t, WS_RUN, " ")
 
 
+SEPARATORS = WS[:-1] + r"\-_./]"
+
+
 def squash_term(c) -> Column:
-    """Normalised text with separators removed: the one form C1 compares."""
-    return F.replace(normalize_term(c), F.lit(" "), F.lit(""))
+    """Normalised text with separators removed: the one form C1 compares.
+    Equal to ``replace(normalize_term(c), ' ', '')`` in one regex pass."""
+    return F.regexp_replace(F.lower(_c(c)), SEPARATORS + "+", "")

@@ -35,7 +35,7 @@ ARRAY_MATCH_MAX_KEYS = 5000
 
 
 # -- entity sources ---------------------------------------------------------
-def token_entities(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def token_entities(df: DataFrame, id_col: str, text_col: str, with_span: bool = False) -> DataFrame:
     """Fixture extractor: every word token of the whole text is an entity with a
     deterministic type and confidence. Long form: (id, pos, type, text,
     confidence, start, end)."""
@@ -43,7 +43,10 @@ def token_entities(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
         F.regexp_extract_all(F.coalesce(F.col(text_col), F.lit("")), F.lit(TOKEN_PATTERN), 0)
     ).alias("pos", "text"))
     n = F.length("text")
-    start = (F.instr(F.col(text_col), F.col("text")) - 1).cast("int")
+    # spans (first occurrence, as the fixture defines them) scan the text per
+    # token, so they are only computed when asked for
+    start = ((F.instr(F.col(text_col), F.col("text")) - 1).cast("int") if with_span
+             else F.lit(None).cast("int"))
     return toks.select(
         id_col, F.col("pos").cast("long").alias("pos"),
         F.concat(F.lit("T"), (n % 3).cast("string")).alias("type"),
@@ -175,10 +178,12 @@ def match_techniques(df: DataFrame, text_col: str, terms: dict[str, list[str]] |
     if len(keys) <= ARRAY_MATCH_MAX_KEYS:
         lit = F.array(*[F.struct(F.lit(k).alias("k"), F.array(*[F.lit(t) for t in v]).alias("t"))
                         for k, v in keys])
-        hits = F.filter(lit, lambda e: F.locate(e["k"], F.col("_sq")) > 0)
-        techs = F.array_sort(F.array_distinct(F.flatten(F.transform(hits, lambda e: e["t"]))))
-        return (df.withColumn("_sq", sq).withColumn(out_col, F.coalesce(techs, F.array().cast("array<string>")))
-                .drop("_sq"))
+
+        def techs_of(s):
+            hits = F.filter(lit, lambda e: F.contains(s, e["k"]))
+            return F.array_sort(F.array_distinct(F.flatten(F.transform(hits, lambda e: e["t"]))))
+        techs = TX.let(sq, techs_of)
+        return df.withColumn(out_col, F.coalesce(techs, F.array().cast("array<string>")))
     return _match_aho(df, sq, keys, out_col)
 
 
@@ -209,12 +214,28 @@ def _match_aho(df: DataFrame, sq: Column, keys, out_col: str) -> DataFrame:
 
 
 # -- B20 --------------------------------------------------------------------
-def threat_score(mean_conf, n_entities, n_techniques) -> Column:
-    """round(0.7*mean(conf) + 0.3*min(n_tech/10, 1), 4); both empty -> 0.0."""
-    me = F.coalesce(TX._c(mean_conf), F.lit(0.0))
-    nt = TX._c(n_techniques)
-    score = F.round(me * 0.7 + F.least(nt / 10.0, F.lit(1.0)) * 0.3, 4)
-    return F.when((TX._c(n_entities) == 0) & (nt == 0), F.lit(0.0)).otherwise(score)
+def conf_units(c) -> Column:
+    """Confidence in 1e-4 units (confidences carry 4 decimals after E9)."""
+    return F.round(TX._c(c) * 10000).cast("long")
+
+
+def threat_score(sum_conf_units, n_entities, n_techniques) -> Column:
+    """round(0.7*mean(conf) + 0.3*min(n_tech/10, 1), 4); both empty -> 0.0.
+
+    Evaluated exactly in integers (confidence sum in 1e-4 units, half-up
+    rounding of the rational), so no engine's float summation order can move
+    a result across a rounding boundary.
+    """
+    n = TX._c(n_entities).cast("long")
+    su = F.coalesce(TX._c(sum_conf_units), F.lit(0)).cast("long")
+    mn = F.least(TX._c(n_techniques).cast("long"), F.lit(10))
+    num = F.lit(7) * su + F.lit(3000) * F.greatest(n, F.lit(1)) * mn
+    den = F.lit(10) * F.greatest(n, F.lit(1))
+    p, d = F.lit(2) * num + den, F.lit(2) * den
+    units = ((p - p % d) / d).cast("long")  # exact: p - p % d is a multiple of d
+    units = F.when(n == 0, F.lit(300) * mn).otherwise(units)
+    score = units.cast("double") / 10000.0
+    return F.when((n == 0) & (TX._c(n_techniques) == 0), F.lit(0.0)).otherwise(score)
 
 
 # -- K14 --------------------------------------------------------------------
@@ -237,7 +258,7 @@ def enrich_posts(posts: DataFrame, terms: dict[str, list[str]] | None = None,
     ents = ents.join(vocab, "text", "left")
     per = ents.groupBy(id_col).agg(
         F.count(F.lit(1)).alias("n_entities"),
-        F.avg("confidence").alias("_mean"),
+        F.sum(conf_units("confidence")).alias("_sumu"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("techs")))).alias("techniques"),
         F.array_sort(F.collect_list(F.struct("pos", "type", "text", "confidence"))).alias("_e"))
     out = base.drop("_content").join(per, id_col, "left")
@@ -249,5 +270,5 @@ def enrich_posts(posts: DataFrame, terms: dict[str, list[str]] | None = None,
         "n_entities": F.coalesce("n_entities", F.lit(0)).cast("long"),
     })
     out = out.withColumn("n_techniques", F.size("techniques").cast("long"))
-    out = out.withColumn("threat_score", threat_score("_mean", "n_entities", "n_techniques"))
-    return out.drop("_e", "_mean")
+    out = out.withColumn("threat_score", threat_score("_sumu", "n_entities", "n_techniques"))
+    return out.drop("_e", "_sumu")

@@ -117,21 +117,21 @@ def keyword_hits_list(pages: DataFrame, kws: Sequence[str], url_col: str = "url"
                       html_col: str = "html") -> DataFrame:
     arr = F.array(*[F.lit(k) for k in kws]) if kws else F.array().cast("array<string>")
     low = F.lower(F.col(html_col))
-    hits = F.filter(arr, lambda k: F.locate(F.lower(k), low) > 0)
+    hits = F.filter(arr, lambda k: F.contains(low, F.lower(k)))
     return pages.select(F.col(url_col).alias("url"), F.explode(hits).alias("keyword"))
 
 
 def page_report(records: DataFrame, hits: DataFrame) -> DataFrame:
     """D3: records per page (as the fixed page key) plus keyword hits per page."""
-    per_page = records.groupBy("url").agg(F.count(F.lit(1)).alias("n")).select(
+    per_page = records.groupBy("url").agg(F.count(F.lit(1)).cast("long").alias("n")).select(
         F.lit(D.PAGE_RECORDS_KEY).alias("keyword"), "n", "url")
-    per_kw = hits.groupBy("keyword", "url").agg(F.count(F.lit(1)).alias("n"))
+    per_kw = hits.groupBy("keyword", "url").agg(F.count(F.lit(1)).cast("long").alias("n"))
     return per_page.unionByName(per_kw.select("keyword", "n", "url"))
 
 
 def keyword_totals(hits: DataFrame) -> DataFrame:
     """Number of pages per keyword."""
-    return hits.groupBy("keyword").agg(F.count_distinct("url").alias("n_pages"))
+    return hits.groupBy("keyword").agg(F.count_distinct("url").cast("long").alias("n_pages"))
 
 
 def load_keywords(spark, path: str | None = None, skip_comments: bool = True) -> DataFrame:

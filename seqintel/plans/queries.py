@@ -16,6 +16,7 @@ from .. import dictionaries as D
 from ..functions import text as TX
 from ..operators import ingest as ING
 from ..operators import sequences as SEQ
+from ..operators import enrich as EN
 from ..session import table
 from . import fixtures as FX
 from . import oracle as O
@@ -216,3 +217,223 @@ SELECT CAST(count(*) AS BIGINT) AS raw_count,
        CAST(count(DISTINCT fingerprint) AS BIGINT) AS final_count FROM fx_posts"""))
 def q_d2(spark, sf_dir):
     return ING.ingest_summary(_posts(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------
+# 2C / 2E enrichment: C1, E9-E13, B20, K14, U2
+# ---------------------------------------------------------------------------
+
+def _terms_sql(terms: dict) -> str:
+    rows = ", ".join(f"({i}, {O.q(k)}, {O.q(t)})" for i, (k, v) in enumerate(terms.items()) for t in v)
+    return f"""
+terms(idx, term, technique) AS (VALUES {rows}),
+tnorm AS (SELECT idx, technique, {O.normalize_term('term')} AS nk FROM terms),
+tlast AS (SELECT t.nk, t.technique FROM tnorm t
+          JOIN (SELECT nk, max(idx) AS mi FROM tnorm GROUP BY nk) m ON t.nk = m.nk AND t.idx = m.mi),
+tkeys AS (SELECT DISTINCT replace(nk, ' ', '') AS k, technique FROM tlast WHERE replace(nk, ' ', '') <> '')
+"""
+
+
+def _terms():
+    return D.load_terms_json()
+
+
+@register("C1_term_match", f"""
+WITH {_terms_sql(D.load_terms_json())},
+docs AS (SELECT doc_id, {O.squash_fast('coalesce(text, \'\')')} AS sq FROM documents),
+hits AS (SELECT d.doc_id, k.technique FROM docs d JOIN tkeys k ON contains(d.sq, k.k))
+SELECT d.doc_id, coalesce(string_agg(DISTINCT h.technique, ',' ORDER BY h.technique), '') AS techniques,
+       CAST(count(DISTINCT h.technique) AS BIGINT) AS n_techniques
+FROM documents d LEFT JOIN hits h ON d.doc_id = h.doc_id GROUP BY d.doc_id""")
+def q_c1(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    m = EN.match_techniques(docs, "text", _terms())
+    return m.select("doc_id", F.array_join("techniques", ",").alias("techniques"),
+                    F.size("techniques").cast("long").alias("n_techniques"))
+
+
+_ENT_SQL = """
+toks AS (SELECT doc_id, l FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[\\p{L}\\p{N}_]+') AS l FROM documents)),
+tok AS (SELECT doc_id, unnest(l) AS text, generate_subscripts(l, 1) - 1 AS pos FROM toks),
+ents AS (SELECT doc_id, CAST(pos AS BIGINT) AS pos, 'T' || CAST(length(text) % 3 AS VARCHAR) AS type, text,
+         round(CAST((ascii(text) * 7 + length(text) * 13) % 101 AS DOUBLE) / 100.0, 4) AS confidence FROM tok),
+ents_ok AS (SELECT * FROM ents WHERE round(confidence, 4) >= 0.5),
+ents_u AS (SELECT * FROM ents_ok QUALIFY row_number() OVER (PARTITION BY doc_id, type, lower(text) ORDER BY pos) = 1)
+"""
+
+
+def _doc_posts(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("body"))
+
+
+def _ents(spark, sf_dir):
+    return EN.token_entities(_doc_posts(spark, sf_dir), "doc_id", "body")
+
+
+@register("E9_entity_confidence_filter", f"""
+WITH {_ENT_SQL}
+SELECT doc_id, CAST(count(*) AS BIGINT) AS n_confident, round(sum(confidence), 6) AS sum_conf
+FROM ents_ok GROUP BY doc_id""")
+def q_e9(spark, sf_dir):
+    e = EN.confident(_ents(spark, sf_dir))
+    return e.groupBy("doc_id").agg(F.count(F.lit(1)).cast("long").alias("n_confident"),
+                                   F.round(F.sum("confidence"), 6).alias("sum_conf"))
+
+
+@register("E10_entity_dedup", f"""
+WITH {_ENT_SQL}
+SELECT doc_id, CAST(count(*) AS BIGINT) AS n_unique, CAST(sum(pos) AS BIGINT) AS pos_checksum,
+       round(sum(confidence), 6) AS sum_conf FROM ents_u GROUP BY doc_id""")
+def q_e10(spark, sf_dir):
+    e = EN.dedup_entities(EN.confident(_ents(spark, sf_dir)), "doc_id")
+    return e.groupBy("doc_id").agg(F.count(F.lit(1)).cast("long").alias("n_unique"),
+                                   F.sum("pos").cast("long").alias("pos_checksum"),
+                                   F.round(F.sum("confidence"), 6).alias("sum_conf"))
+
+
+@register("E11_entity_json", f"""
+WITH {_ENT_SQL},
+arr AS (SELECT doc_id, to_json(list({{'type': type, 'text': text, 'confidence': confidence}} ORDER BY pos)) AS j
+        FROM ents_u GROUP BY doc_id)
+SELECT doc_id, sha1(j) AS json_sha1, CAST(length(j) AS BIGINT) AS json_len,
+       CAST(json_array_length(j) AS BIGINT) AS n_decoded FROM arr""")
+def q_e11(spark, sf_dir):
+    e = EN.dedup_entities(EN.confident(_ents(spark, sf_dir)), "doc_id")
+    a = EN.entity_array(e, "doc_id").withColumn("j", EN.encode_entities("entities"))
+    return a.select("doc_id", F.sha1("j").alias("json_sha1"), F.length("j").cast("long").alias("json_len"),
+                    F.size(EN.decode_entities("j")).cast("long").alias("n_decoded"))
+
+
+_K14_SQL = f"""
+WITH {_terms_sql(D.load_terms_json())}, {_ENT_SQL},
+vocab AS (SELECT DISTINCT text FROM ents_u),
+vhits AS (SELECT v.text, k.technique FROM vocab v JOIN tkeys k ON contains({O.squash_fast('v.text')}, k.k)),
+agg1 AS (SELECT doc_id, count(*) AS n_ent, sum(CAST(round(confidence * 10000) AS BIGINT)) AS su
+         FROM ents_u GROUP BY doc_id),
+agg2 AS (SELECT e.doc_id, list(DISTINCT h.technique ORDER BY h.technique) AS techs
+         FROM ents_u e JOIN vhits h ON e.text = h.text GROUP BY e.doc_id),
+enriched AS (
+  SELECT d.doc_id, CAST(coalesce(a.n_ent, 0) AS BIGINT) AS n_entities,
+         coalesce(b.techs, []::VARCHAR[]) AS techs, coalesce(a.su, 0) AS su
+  FROM documents d LEFT JOIN agg1 a ON d.doc_id = a.doc_id LEFT JOIN agg2 b ON d.doc_id = b.doc_id),
+scored AS (
+  SELECT doc_id, n_entities, techs, CAST(len(techs) AS BIGINT) AS n_techniques,
+         CASE WHEN n_entities = 0 AND len(techs) = 0 THEN 0.0
+              WHEN n_entities = 0 THEN CAST(300 * least(len(techs), 10) AS DOUBLE) / 10000.0
+              ELSE CAST((2 * (7 * su + 3000 * n_entities * least(len(techs), 10)) + 10 * n_entities)
+                        // (20 * n_entities) AS DOUBLE) / 10000.0
+         END AS threat_score FROM enriched)
+"""
+
+
+def _k14(spark, sf_dir):
+    return EN.enrich_posts(_doc_posts(spark, sf_dir), _terms(), id_col="doc_id")
+
+
+@register("K14_enrich_posts", _K14_SQL + """
+SELECT doc_id, n_entities, n_techniques, threat_score, array_to_string(techs, ',') AS techniques FROM scored""")
+def q_k14(spark, sf_dir):
+    k = _k14(spark, sf_dir)
+    return k.select("doc_id", "n_entities", "n_techniques", "threat_score",
+                    F.array_join("techniques", ",").alias("techniques"))
+
+
+@register("B20_threat_score", _K14_SQL + "SELECT doc_id, threat_score FROM scored")
+def q_b20(spark, sf_dir):
+    return _k14(spark, sf_dir).select("doc_id", "threat_score")
+
+
+@register("E12_entity_technique_counts", _K14_SQL + "SELECT doc_id, n_entities, n_techniques FROM scored")
+def q_e12(spark, sf_dir):
+    return _k14(spark, sf_dir).select("doc_id", "n_entities", "n_techniques")
+
+
+@register("E13_safe_defaults", """
+SELECT doc_id, CAST(coalesce(json_array_length(try_cast(text AS JSON)), 0) AS BIGINT) AS n_entities,
+       CAST(0 AS BIGINT) AS n_techniques, 0.0 AS threat_score FROM documents""")
+def q_e13(spark, sf_dir):
+    d = table(spark, sf_dir, "documents")
+    ents = F.coalesce(EN.decode_entities("text"), F.array().cast(EN.STORED_ENTITY))
+    return d.select("doc_id", F.size(ents).cast("long").alias("n_entities"),
+                    F.lit(0).cast("long").alias("n_techniques"), F.lit(0.0).alias("threat_score"))
+
+
+# Fixture terms with known hits in ``documents`` (FIXTURES.md): exercise
+# spaces, hyphens and non-ASCII next to the real dictionary.
+FIXTURE_TERMS = ["tion", "the", "en en", "über-"]
+_FIXTURE_TOKENS_SQL = "[" + ", ".join(O.q(t) for t in FIXTURE_TERMS) + "]"
+
+
+@register("U2_dictionary_entities", f"""
+WITH {_terms_sql(D.load_terms_json())},
+dict AS (SELECT DISTINCT lower(term) AS k FROM (SELECT term FROM terms UNION ALL SELECT unnest({_FIXTURE_TOKENS_SQL}))
+          WHERE NOT regexp_matches(term, '[^\\p{{L}}\\p{{N}}_]')),
+toks AS (SELECT doc_id, l FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[\\p{{L}}\\p{{N}}_]+') AS l FROM documents)),
+tok AS (SELECT doc_id, unnest(l) AS text, generate_subscripts(l, 1) - 1 AS pos FROM toks)
+SELECT t.doc_id, CAST(t.pos AS BIGINT) AS pos, t.text, 'TERM' AS type, 1.0 AS confidence
+FROM tok t JOIN dict d ON lower(t.text) = d.k""")
+def q_u2(spark, sf_dir):
+    terms = EN.term_table(spark, _terms()).select("term").unionByName(
+        spark.createDataFrame([(t,) for t in FIXTURE_TERMS], "term STRING")).distinct()
+    terms = (terms.where(~F.col("term").rlike(r"[^\p{L}\p{N}_]"))
+             .select(F.lower("term").alias("term")).distinct()
+             .select("term", F.lit("TERM").alias("type"), F.lit(1.0).alias("confidence")))
+    e = EN.dictionary_entities(_doc_posts(spark, sf_dir), "doc_id", "body", terms)
+    return e.select("doc_id", "pos", "text", "type", "confidence")
+
+
+# ---------------------------------------------------------------------------
+# keywords and pages: A4, C2, D3, D4
+# ---------------------------------------------------------------------------
+
+def _kw_sql(skip_comments: bool = True) -> str:
+    kws = [k.strip() for k in D.KEYWORD_LINES if k.strip()]
+    if skip_comments:
+        kws = [k for k in kws if not k.startswith("#")]
+    rows = ", ".join(f"({i}, {O.q(k)})" for i, k in enumerate(kws))
+    return f"kw(i, keyword) AS (VALUES {rows})"
+
+
+_C2_SQL = f"""
+{_kw_sql()},
+hits AS (SELECT DISTINCT p.url, k.keyword FROM pages p JOIN kw k ON contains(lower(p.html), lower(k.keyword)))
+"""
+
+
+def _hits(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    kws = [r[0] for r in ING.load_keywords(spark).collect()]
+    return ING.keyword_hits_list(pages, kws).distinct()
+
+
+@register("C2_keyword_page_match", f"WITH {_C2_SQL} SELECT url, keyword FROM hits")
+def q_c2(spark, sf_dir):
+    return _hits(spark, sf_dir)
+
+
+@register("D4_keyword_totals", f"""
+WITH {_C2_SQL} SELECT keyword, CAST(count(DISTINCT url) AS BIGINT) AS n_pages FROM hits GROUP BY keyword""")
+def q_d4(spark, sf_dir):
+    return ING.keyword_totals(_hits(spark, sf_dir))
+
+
+@register("D3_page_report", f"""
+WITH {O.FX_POSTS}, {_C2_SQL}
+SELECT '{D.PAGE_RECORDS_KEY}' AS keyword, CAST(count(*) AS BIGINT) AS n, url FROM fx_posts GROUP BY url
+UNION ALL
+SELECT keyword, CAST(count(*) AS BIGINT) AS n, url FROM hits GROUP BY keyword, url""")
+def q_d3(spark, sf_dir):
+    return ING.page_report(_posts(spark, sf_dir), _hits(spark, sf_dir))
+
+
+@register("A4_load_keywords", f"""
+WITH {_kw_sql(False)},
+hits AS (SELECT DISTINCT p.url, k.keyword FROM pages p JOIN kw k ON contains(lower(p.html), lower(k.keyword)))
+SELECT k.keyword, CAST(count(h.url) AS BIGINT) AS n_pages FROM kw k LEFT JOIN hits h ON k.keyword = h.keyword
+GROUP BY k.keyword""")
+def q_a4(spark, sf_dir):
+    kws = ING.load_keywords(spark, skip_comments=False)
+    pages = table(spark, sf_dir, "pages")
+    hits = ING.keyword_hits_list(pages, [r[0] for r in kws.collect()]).distinct()
+    return (kws.join(hits, "keyword", "left").groupBy("keyword")
+            .agg(F.count("url").cast("long").alias("n_pages")))
