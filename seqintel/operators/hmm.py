@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import dictionaries as D
+from ..functions.text import let
 from ..session import ensure_checkpoint_dir
 
 N_PHASES = len(D.PHASES)
@@ -142,20 +143,19 @@ def forward_loglik(seq, m: HMM) -> Column:
     seq = F.col(seq) if isinstance(seq, str) else seq
     idx = F.sequence(F.lit(0), F.lit(S - 1))
 
-    def norm(v):
-        return F.struct(F.transform(v, lambda x: x / F.aggregate(v, F.lit(0.0), lambda a, y: a + y)).alias("a"),
-                        F.aggregate(v, F.lit(0.0), lambda a, y: a + y).alias("c"))
+    def scaled(v, ll0):
+        # v evaluated once; c = left-to-right sum; returns (v / c, ll0 + log c)
+        return let(v, lambda vv: let(F.aggregate(vv, F.lit(0.0), lambda a, y: a + y), lambda c: F.struct(
+            F.transform(vv, lambda x: x / c).alias("a"), (ll0 + F.log(c)).alias("ll"))))
 
     o1 = F.element_at(seq, 1)
-    a1 = F.transform(idx, lambda j: st[j] * B[j][o1])
-    init = F.struct(norm(a1)["a"].alias("a"), F.log(norm(a1)["c"]).alias("ll"))
+    init = scaled(F.transform(idx, lambda j: st[j] * B[j][o1]), F.lit(0.0))
 
     def step(acc, o):
         a = acc["a"]
         nxt = F.transform(idx, lambda j: F.aggregate(
             idx, F.lit(0.0), lambda s, i: s + a[i] * A[i][j]) * B[j][o])
-        n = norm(nxt)
-        return F.struct(n["a"].alias("a"), (acc["ll"] + F.log(n["c"])).alias("ll"))
+        return scaled(nxt, acc["ll"])
 
     rest = F.slice(seq, 2, F.greatest(F.size(seq) - 1, F.lit(0)))
     return F.when(F.size(seq) > 0, F.aggregate(rest, init, step)["ll"])
@@ -182,16 +182,14 @@ def viterbi(seq, m: HMM) -> Column:
     def step(acc, o):
         d, p = acc["d"], acc["p"]
         cand = F.transform(idx, lambda j: F.transform(idx, lambda i: d[i] + lA[i][j]))
-        best = F.transform(cand, lambda c: argmax(c).cast("int"))
-        return F.struct(
-            F.transform(idx, lambda j: F.array_max(cand[j]) + lB[j][o]).alias("d"),
-            F.transform(idx, lambda j: F.concat(p[best[j]], F.array(j))).alias("p"))
+        return let(cand, lambda cd: F.struct(
+            F.transform(idx, lambda j: F.array_max(cd[j]) + lB[j][o]).alias("d"),
+            F.transform(idx, lambda j: F.concat(p[argmax(cd[j]).cast("int")], F.array(j))).alias("p")))
 
     rest = F.slice(seq, 2, F.greatest(F.size(seq) - 1, F.lit(0)))
     fin = F.aggregate(rest, init, step)
-    last = argmax(fin["d"]).cast("int")
-    return F.when(F.size(seq) > 0, F.struct(F.array_max(fin["d"]).alias("logp"),
-                                            fin["p"][last].alias("path")))
+    return F.when(F.size(seq) > 0, let(fin, lambda f: F.struct(
+        F.array_max(f["d"]).alias("logp"), f["p"][argmax(f["d"]).cast("int")].alias("path"))))
 
 
 # -- D9 ---------------------------------------------------------------------
@@ -219,6 +217,8 @@ def predict_columns(seq, m: HMM, prefix: str = "") -> dict[str, Column]:
     vit = viterbi(seq, m)
     last = F.element_at(vit["path"], -1)
     probs = nxt[last]
+    # callers should materialise the returned columns with withColumns and
+    # then reference them; path and probs are the expensive pieces
     pred = (F.array_position(probs, F.array_max(probs)) - 1).cast("int")
     names = phase_names()
     name = F.when(pred.isNull(), F.lit(D.NO_DATA_NAME)).otherwise(

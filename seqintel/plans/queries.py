@@ -17,6 +17,7 @@ from ..functions import text as TX
 from ..operators import ingest as ING
 from ..operators import sequences as SEQ
 from ..operators import enrich as EN
+from ..sources import files as SRC
 from ..session import table
 from . import fixtures as FX
 from . import oracle as O
@@ -437,3 +438,109 @@ def q_a4(spark, sf_dir):
     hits = ING.keyword_hits_list(pages, [r[0] for r in kws.collect()]).distinct()
     return (kws.join(hits, "keyword", "left").groupBy("keyword")
             .agg(F.count("url").cast("long").alias("n_pages")))
+
+
+# ---------------------------------------------------------------------------
+# 2B/2C/2D sequences: B21, C3, A6, D5-D8, E1, E2
+# ---------------------------------------------------------------------------
+
+def _tech(spark, sf_dir):
+    return SEQ.technique_fixture(spark, table(spark, sf_dir, "events"))
+
+
+def _seq(spark, sf_dir):
+    return SEQ.phase_sequences(_tech(spark, sf_dir), author_col="author", ts_col="ts",
+                               id_col="event_id")
+
+
+def wt(sql: str) -> str:
+    return f"WITH {O.FX_TECH}, main AS ({sql}) SELECT * FROM main"
+
+
+@register("B21_technique_phase", wt("SELECT event_id, phase FROM fx_phase"))
+def q_b21(spark, sf_dir):
+    return _tech(spark, sf_dir).select("event_id", SEQ.phase_of("techniques").alias("phase"))
+
+
+@register("C3_technique_phase_join", wt("SELECT event_id, phase FROM fx_phase WHERE len(techniques) > 0"))
+def q_c3(spark, sf_dir):
+    t = _tech(spark, sf_dir).select("event_id", F.explode("techniques").alias("technique"))
+    return SEQ.phase_by_join(t, D.technique_phase_df(spark), ["event_id"])
+
+
+@register("A6_load_phase_dictionary", wt(f"""
+SELECT p.phase_id, p.name, CAST(count(f.event_id) AS BIGINT) AS n_events
+FROM (SELECT unnest(range(6)) AS phase_id, unnest({O.PHASE_NAMES_SQL}) AS name) p
+LEFT JOIN fx_phase f ON f.phase = p.phase_id GROUP BY p.phase_id, p.name"""))
+def q_a6(spark, sf_dir):
+    path = SRC.scratch_dir(spark, "phase-dictionary")
+    spark.createDataFrame([(SRC.phase_dictionary_json(None),)], "value STRING").coalesce(1) \
+        .write.mode("overwrite").text(path)
+    phases, tp, default = SRC.load_phase_dictionary(spark, path)
+    mapping = {r["technique"]: r["phase_id"] for r in tp.collect()}
+    ev = _tech(spark, sf_dir).select("event_id", SEQ.phase_of("techniques", mapping, default).alias("phase"))
+    counts = ev.groupBy(F.col("phase").alias("phase_id")).agg(F.count(F.lit(1)).cast("long").alias("n_events"))
+    return (F.broadcast(phases).join(counts, "phase_id", "left")
+            .select(F.col("phase_id").cast("long").alias("phase_id"), "name",
+                    F.coalesce("n_events", F.lit(0)).cast("long").alias("n_events")))
+
+
+@register("D5_author_sequences", wt("""
+SELECT author, CAST(count(*) AS BIGINT) AS n_posts,
+       array_to_string(list(message_id ORDER BY ts, message_id), ',') AS message_ids,
+       min(ts) AS first_ts, max(ts) AS last_ts
+FROM fx_tech WHERE ts IS NOT NULL GROUP BY author"""))
+def q_d5(spark, sf_dir):
+    s = SEQ.author_sequences(_tech(spark, sf_dir), ["value"])
+    return s.select("author", F.size("posts").cast("long").alias("n_posts"),
+                    F.array_join(F.transform("posts", lambda p: p["message_id"]), ",").alias("message_ids"),
+                    F.element_at("posts", 1)["ts"].alias("first_ts"),
+                    F.element_at("posts", -1)["ts"].alias("last_ts"))
+
+
+_D5 = """
+d5 AS (SELECT author, count(*) AS n FROM fx_tech WHERE ts IS NOT NULL GROUP BY author)"""
+
+
+@register("D6_valid_sequences", f"WITH {O.FX_TECH}, {_D5} SELECT author, CAST(n AS BIGINT) AS n_posts FROM d5 WHERE n >= 3")
+def q_d6(spark, sf_dir):
+    s = SEQ.valid_sequences(SEQ.author_sequences(_tech(spark, sf_dir), []))
+    return s.select("author", F.size("posts").cast("long").alias("n_posts"))
+
+
+@register("D7_sequence_metadata", f"""
+WITH {O.FX_TECH}, {_D5}
+SELECT CAST(count(*) AS BIGINT) AS total_authors, CAST(count(*) FILTER (WHERE n >= 3) AS BIGINT) AS valid_authors,
+       CAST(3 AS BIGINT) AS min_len FROM d5""")
+def q_d7(spark, sf_dir):
+    return SEQ.sequence_metadata(SEQ.author_sequences(_tech(spark, sf_dir), []))
+
+
+@register("D8_phase_sequences", wt("SELECT author, array_to_string(seq, ',') AS seq, n_dropped FROM fx_seq"))
+def q_d8(spark, sf_dir):
+    return _seq(spark, sf_dir).select("author", F.array_join("seq", ",").alias("seq"), "n_dropped")
+
+
+@register("D8_phase_sequence_counters", wt("""
+SELECT CAST(sum(kept) AS BIGINT) AS posts_kept, CAST(sum(dropped) AS BIGINT) AS posts_dropped,
+       CAST(count(*) FILTER (WHERE kept > 0) AS BIGINT) AS authors_kept,
+       CAST(count(*) FILTER (WHERE kept = 0) AS BIGINT) AS authors_dropped
+FROM (SELECT author, count(*) FILTER (WHERE len(techniques) > 0) AS kept,
+             count(*) FILTER (WHERE len(techniques) = 0) AS dropped FROM fx_tech GROUP BY author)"""))
+def q_d8c(spark, sf_dir):
+    return SEQ.phase_sequence_counters(_tech(spark, sf_dir))
+
+
+@register("E1_chronological_position", wt("""
+SELECT message_id, author, CAST(row_number() OVER (PARTITION BY author ORDER BY ts, message_id) AS BIGINT) AS pos
+FROM fx_tech"""))
+def q_e1(spark, sf_dir):
+    return SEQ.chronological_position(_tech(spark, sf_dir)).select("message_id", "author", "pos")
+
+
+@register("E2_hold_out_last", wt("""
+SELECT author, seq[len(seq)] AS truth, array_to_string(seq[1:len(seq) - 1], ',') AS history
+FROM fx_seq WHERE len(seq) >= 2"""))
+def q_e2(spark, sf_dir):
+    h = SEQ.hold_out_last(_seq(spark, sf_dir))
+    return h.select("author", "truth", F.array_join("history", ",").alias("history"))
