@@ -79,8 +79,9 @@ def author_list(report: DataFrame) -> DataFrame:
 def phase_distribution(report: DataFrame, next_frame: DataFrame) -> DataFrame:
     """Per author, the next-phase distribution from the *dominant* state
     (C5 table joined on state; model-sized, broadcast)."""
+    nf = next_frame.select(F.col("last_state").alias("_from"), "phase", "p")
     return (report.where(F.col("dominant_state").isNotNull())
-            .join(F.broadcast(next_frame), F.col("dominant_state") == F.col("last_state"))
+            .join(F.broadcast(nf), F.col("dominant_state") == F.col("_from"))
             .select("author", "phase", "p"))
 
 

@@ -18,6 +18,9 @@ from ..operators import ingest as ING
 from ..operators import sequences as SEQ
 from ..operators import enrich as EN
 from ..sources import files as SRC
+from ..operators import hmm as H
+from ..operators import evaluate as EV
+from ..operators import report as RP
 from ..session import table
 from . import fixtures as FX
 from . import oracle as O
@@ -544,3 +547,276 @@ FROM fx_seq WHERE len(seq) >= 2"""))
 def q_e2(spark, sf_dir):
     h = SEQ.hold_out_last(_seq(spark, sf_dir))
     return h.select("author", "truth", F.array_join("history", ",").alias("history"))
+
+
+# ---------------------------------------------------------------------------
+# 2F model with fixed parameters on the events sequences: K7-K12, C5, D9,
+# K4, D10-D15, D17, E4-E7, B24, A10, K11
+# ---------------------------------------------------------------------------
+
+FXM = H.FX_HMM
+_NEXT = O.next_table_sql(FXM)
+_NAMES = O.PHASE_NAMES_SQL
+
+
+def _dominant_sql(path: str, S: int = 4) -> str:
+    items = ", ".join(
+        f"{{'n': len(list_filter({path}, lambda x: x = {s})), 'nf': -list_position({path}, {s}), 's': {s}}}"
+        for s in range(S))
+    return f"list_max(list_filter([{items}], lambda c: c.n > 0)).s"
+
+
+_HMM_CTE = f"""
+vit AS (SELECT author, seq, {O.viterbi_sql('seq', FXM)} AS v FROM fx_seq),
+dec AS (SELECT author, seq, {O.vit_path('v')} AS path, list_max(v.d) AS logp FROM vit),
+pred AS (SELECT author, seq, path, logp, path[len(path)] AS last_state,
+                {_NEXT}[path[len(path)] + 1] AS probs FROM dec),
+rep AS (
+  SELECT author, seq, CAST(len(seq) AS BIGINT) AS n_posts,
+         CASE WHEN len(seq) >= 2 THEN path END AS state_path,
+         CASE WHEN len(seq) >= 2 THEN {_dominant_sql('path')} END AS dominant_state,
+         CASE WHEN len(seq) >= 2 THEN last_state END AS last_state,
+         CASE WHEN len(seq) >= 2 THEN list_position(probs, list_max(probs)) - 1 END AS next_phase_id,
+         CASE WHEN len(seq) >= 2 THEN {_NAMES}[list_position(probs, list_max(probs))]
+              ELSE '{D.SHORT_SEQUENCE_NAME}' END AS next_phase_name,
+         CASE WHEN len(seq) >= 2 THEN list_max(probs) ELSE 0.0 END AS confidence,
+         CASE WHEN len(seq) >= 2 THEN probs END AS probs,
+         CASE WHEN len(seq) >= 2 THEN 'OK' ELSE '{D.SHORT_SEQUENCE_STATUS}' END AS status
+  FROM pred),
+ho AS (SELECT author, seq, seq[len(seq)] AS truth, seq[1:len(seq) - 1] AS history FROM fx_seq WHERE len(seq) >= 2),
+hv AS (SELECT *, {O.viterbi_sql('history', FXM)} AS v FROM ho),
+hp AS (SELECT author, truth, history, {_NEXT}[{O.vit_path('v')}[len(history)] + 1] AS probs FROM hv),
+k12 AS (SELECT author, truth, {_NAMES}[truth + 1] AS truth_name,
+               list_position(probs, list_max(probs)) - 1 AS pred,
+               {_NAMES}[list_position(probs, list_max(probs))] AS pred_name,
+               list_max(probs) AS confidence,
+               truth = list_position(probs, list_max(probs)) - 1 AS correct, history FROM hp)
+"""
+
+
+def wh(sql: str) -> str:
+    return f"WITH {O.FX_TECH}, {_HMM_CTE}, main AS ({sql}) SELECT * FROM main"
+
+
+def _report(spark, sf_dir):
+    return H.analyze_authors(_seq(spark, sf_dir), FXM)
+
+
+def _k12(spark, sf_dir):
+    return EV.predictions(_seq(spark, sf_dir), FXM)
+
+
+@register("K7_sequence_loglik", wt(f"SELECT author, round({O.forward_sql('seq', FXM)}, 6) AS loglik FROM fx_seq"))
+def q_k7(spark, sf_dir):
+    return _seq(spark, sf_dir).select("author", F.round(H.forward_loglik("seq", FXM), 6).alias("loglik"))
+
+
+@register("K8_viterbi_decode", wh("SELECT author, array_to_string(path, ',') AS path, round(logp, 6) AS logp FROM dec"))
+def q_k8(spark, sf_dir):
+    s = _seq(spark, sf_dir).withColumn("_v", H.viterbi("seq", FXM))
+    return s.select("author", F.array_join("_v.path", ",").alias("path"), F.round("_v.logp", 6).alias("logp"))
+
+
+@register("C5_next_phase_table", wh("""
+SELECT author, CAST(ph AS INTEGER) AS phase, round(probs[ph + 1], 6) AS p
+FROM (SELECT author, probs, unnest(range(6)) AS ph FROM pred)"""))
+def q_c5(spark, sf_dir):
+    _, t, e = H.model_frames(spark, FXM)
+    nxt = H.next_phase_frame(t, e)
+    s = _seq(spark, sf_dir).withColumn("_v", H.viterbi("seq", FXM))
+    last = s.select("author", F.element_at("_v.path", -1).alias("last_state"))
+    return (last.join(F.broadcast(nxt), "last_state")
+            .select("author", "phase", F.round("p", 6).alias("p")))
+
+
+@register("K9_predict_next", wh("""
+SELECT author, last_state, next_phase_id, next_phase_name, round(confidence, 6) AS confidence FROM rep"""))
+def q_k9(spark, sf_dir):
+    s = _seq(spark, sf_dir).withColumns(H.predict_columns("seq", FXM))
+    return s.select("author", "last_state", "next_phase_id", "next_phase_name",
+                    F.round("confidence", 6).alias("confidence"))
+
+
+@register("D9_dominant_state", wh("SELECT author, dominant_state FROM rep"))
+def q_d9(spark, sf_dir):
+    return _report(spark, sf_dir).select("author", "dominant_state")
+
+
+_REPORT_COLS = "author, n_posts, dominant_state, next_phase_id, next_phase_name, round(confidence, 4) AS confidence, status"
+
+
+@register("K10_author_analysis", wh(f"SELECT {_REPORT_COLS}, array_to_string(state_path, ',') AS state_path FROM rep"))
+def q_k10(spark, sf_dir):
+    r = _report(spark, sf_dir)
+    return H.author_report(r).join(r.select("author", F.array_join("state_path", ",").alias("state_path")), "author")
+
+
+@register("A10_author_report_csv", wh(f"SELECT {_REPORT_COLS} FROM rep"))
+def q_a10(spark, sf_dir):
+    path = SRC.scratch_dir(spark, "author-report")
+    SRC.write_csv(H.author_report(_report(spark, sf_dir)), path)
+    schema = ("author STRING, n_posts BIGINT, dominant_state INT, next_phase_id INT, "
+              "next_phase_name STRING, confidence DOUBLE, status STRING")
+    return spark.read.schema(schema).option("header", True).option("escape", '"').csv(path)
+
+
+@register("K11_phase_distribution", wh("""
+SELECT author, CAST(ph AS INTEGER) AS phase, round(p, 6) AS p FROM (
+  SELECT author, unnest(range(6)) AS ph, unnest(""" + _NEXT + """[dominant_state + 1]) AS p
+  FROM rep WHERE dominant_state IS NOT NULL)"""))
+def q_k11(spark, sf_dir):
+    _, t, e = H.model_frames(spark, FXM)
+    d = RP.phase_distribution(_report(spark, sf_dir), H.next_phase_frame(t, e))
+    return d.select("author", "phase", F.round("p", 6).alias("p"))
+
+
+@register("K12_holdout_predictions", wh("""
+SELECT author, truth, truth_name, pred, pred_name, round(confidence, 6) AS confidence, correct,
+       array_to_string(history, ',') AS history FROM k12"""))
+def q_k12(spark, sf_dir):
+    p = _k12(spark, sf_dir)
+    return p.select("author", "truth", "truth_name", "pred", "pred_name", F.round("confidence", 6).alias("confidence"),
+                    "correct", F.array_join("history", ",").alias("history"))
+
+
+@register("K4_split_authors", wt("""
+SELECT author, CASE WHEN row_number() OVER (ORDER BY sha1('42:' || author)) <=
+    (SELECT least(greatest(1, CAST(floor(count(*) * 0.2) AS BIGINT)), count(*) - 1) FROM fx_seq)
+  THEN 'test' ELSE 'train' END AS split FROM fx_seq"""))
+def q_k4(spark, sf_dir):
+    train, test = EV.split_authors(_seq(spark, sf_dir))
+    return (train.select("author", F.lit("train").alias("split"))
+            .unionByName(test.select("author", F.lit("test").alias("split"))))
+
+
+@register("D10_value_counts", wh("""
+SELECT next_phase_name, CAST(count(*) AS BIGINT) AS n, round(count(*) / (SELECT count(*) FROM rep) * 100.0, 6) AS pct
+FROM rep GROUP BY next_phase_name"""))
+def q_d10(spark, sf_dir):
+    v = RP.value_counts(_report(spark, sf_dir), "next_phase_name")
+    return v.select("next_phase_name", "n", F.round("pct", 6).alias("pct"))
+
+
+@register("D11_confidence_summary", wh("""
+SELECT round(avg(confidence), 6) AS mean, min(confidence) AS min, max(confidence) AS max,
+       round(median(confidence), 6) AS median, round(stddev_pop(confidence), 6) AS std,
+       CAST(count(confidence) AS BIGINT) AS n FROM k12"""))
+def q_d11(spark, sf_dir):
+    s = EV.confidence_summary(_k12(spark, sf_dir))
+    return s.select(F.round("mean", 6).alias("mean"), "min", "max", F.round("median", 6).alias("median"),
+                    F.round("std", 6).alias("std"), "n")
+
+
+@register("D12_confidence_histogram", wh("""
+SELECT b.bin, CAST(coalesce(c.n, 0) AS BIGINT) AS n
+FROM (SELECT CAST(unnest(range(1, 21)) AS INTEGER) AS bin) b LEFT JOIN (
+  SELECT CAST(least(20, floor((confidence - lo) / (hi - lo) * 20) + 1) AS INTEGER) AS bin, count(*) AS n
+  FROM k12, (SELECT CASE WHEN max(confidence) = min(confidence) THEN min(confidence) - 0.5 ELSE min(confidence) END AS lo,
+                    CASE WHEN max(confidence) = min(confidence) THEN max(confidence) + 0.5 ELSE max(confidence) END AS hi
+             FROM k12) s
+  GROUP BY 1) c ON b.bin = c.bin"""))
+def q_d12(spark, sf_dir):
+    return EV.confidence_histogram(_k12(spark, sf_dir))
+
+
+@register("D13_confusion_matrix", wh("""
+SELECT t.truth, """ + ", ".join(f"CAST(count(k.pred) FILTER (WHERE k.pred = {i}) AS BIGINT) AS p{i}" for i in range(6)) + """
+FROM (SELECT CAST(unnest(range(6)) AS INTEGER) AS truth) t LEFT JOIN k12 k ON k.truth = t.truth GROUP BY t.truth"""))
+def q_d13(spark, sf_dir):
+    return EV.confusion(_k12(spark, sf_dir))
+
+
+_D14_SQL = f"""
+ph AS (SELECT CAST(unnest(range(6)) AS INTEGER) AS phase_id, unnest({_NAMES}) AS phase_name),
+cnt AS (SELECT ph.phase_id, ph.phase_name,
+          (SELECT count(*) FROM k12 WHERE truth = ph.phase_id AND pred = ph.phase_id) AS tp,
+          (SELECT count(*) FROM k12 WHERE pred = ph.phase_id) AS npred,
+          (SELECT count(*) FROM k12 WHERE truth = ph.phase_id) AS support FROM ph),
+raw AS (SELECT *, CASE WHEN npred > 0 THEN tp / npred ELSE 0.0 END AS p,
+               CASE WHEN support > 0 THEN tp / support ELSE 0.0 END AS r FROM cnt),
+d14 AS (SELECT *, CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0.0 END AS f FROM raw)
+"""
+
+
+@register("D14_class_metrics", wh(f"""
+WITH {_D14_SQL}
+SELECT phase_name, CAST(phase_id AS INTEGER) AS phase_id, CAST(tp AS BIGINT) AS tp, CAST(npred - tp AS BIGINT) AS fp,
+       CAST(support - tp AS BIGINT) AS fn, CAST(support AS BIGINT) AS support,
+       round(p, 4) AS precision, round(r, 4) AS recall, round(f, 4) AS f1 FROM d14"""))
+def q_d14(spark, sf_dir):
+    m = EV.class_metrics(_k12(spark, sf_dir))
+    return m.select("phase_name", "phase_id", "tp", "fp", "fn", "support", "precision", "recall", "f1")
+
+
+@register("D15_global_metrics", wh(f"""
+WITH {_D14_SQL}
+SELECT CAST(sum(support) AS BIGINT) AS total, round(sum(tp) / sum(support), 4) AS accuracy,
+       round(coalesce(avg(round(p, 4)) FILTER (WHERE support > 0), 0.0), 4) AS precision_macro,
+       round(coalesce(avg(round(r, 4)) FILTER (WHERE support > 0), 0.0), 4) AS recall_macro,
+       round(coalesce(avg(round(f, 4)) FILTER (WHERE support > 0), 0.0), 4) AS f1_macro,
+       round(sum(p * support) / sum(support), 4) AS precision_weighted,
+       round(sum(r * support) / sum(support), 4) AS recall_weighted,
+       round(sum(f * support) / sum(support), 4) AS f1_weighted FROM d14"""))
+def q_d15(spark, sf_dir):
+    return EV.global_metrics(EV.class_metrics(_k12(spark, sf_dir)))
+
+
+@register("D17_headline_figures", wh(f"""
+SELECT CAST(4 AS BIGINT) AS n_states, CAST(count(*) AS BIGINT) AS n_authors, round(avg(confidence), 6) AS mean_confidence,
+       CAST(count(*) FILTER (WHERE status = 'OK') AS BIGINT) AS n_ok,
+       CAST(count(*) FILTER (WHERE status <> 'OK') AS BIGINT) AS n_short,
+       CAST(count(*) FILTER (WHERE next_phase_name IN ({', '.join(O.q(n) for n in D.CRITICAL_PHASE_NAMES)})) AS BIGINT) AS n_critical
+FROM rep"""))
+def q_d17(spark, sf_dir):
+    h = RP.headline(_report(spark, sf_dir), FXM.n_states)
+    return h.withColumn("mean_confidence", F.round("mean_confidence", 6))
+
+
+@register("E4_top_authors", wh("""
+SELECT author, next_phase_name, round(confidence, 6) AS confidence, n_posts FROM rep
+ORDER BY confidence DESC, author LIMIT 10"""))
+def q_e4(spark, sf_dir):
+    t = RP.top_n(_report(spark, sf_dir), "confidence", 10, "author")
+    return t.select("author", "next_phase_name", F.round("confidence", 6).alias("confidence"), "n_posts")
+
+
+@register("E4_top_posts", _K14_SQL + "SELECT doc_id, threat_score FROM scored ORDER BY threat_score DESC, doc_id LIMIT 10")
+def q_e4p(spark, sf_dir):
+    return RP.top_n(_k14(spark, sf_dir).select("doc_id", "threat_score"), "threat_score", 10, "doc_id")
+
+
+@register("E5_argmax_phase", wt("""
+SELECT author, CAST(list_position(c, list_max(c)) - 1 AS INTEGER) AS top_phase FROM (
+  SELECT author, list_transform(range(6), lambda f: len(list_filter(seq, lambda x: x = f))) AS c FROM fx_seq)"""))
+def q_e5(spark, sf_dir):
+    s = _seq(spark, sf_dir)
+    counts = F.transform(F.sequence(F.lit(0), F.lit(5)), lambda f: F.size(F.filter("seq", lambda x: x == f)))
+    return s.select("author", RP.argmax_index(counts).alias("top_phase"))
+
+
+@register("E6_critical_authors", wh(f"""
+SELECT author, next_phase_name, round(confidence, 6) AS confidence FROM rep
+WHERE next_phase_name IN ({', '.join(O.q(n) for n in D.CRITICAL_PHASE_NAMES)})"""))
+def q_e6(spark, sf_dir):
+    c = RP.critical_authors(_report(spark, sf_dir))
+    return c.select("author", "next_phase_name", F.round("confidence", 6).alias("confidence"))
+
+
+@register("E7_author_lookup", wh(f"SELECT {_REPORT_COLS} FROM rep WHERE author = (SELECT min(author) FROM rep)"))
+def q_e7(spark, sf_dir):
+    rep = H.author_report(_report(spark, sf_dir))
+    first = RP.author_list(rep).first()[0]
+    return RP.author_lookup(rep, first)
+
+
+@register("E7_author_list", wh("SELECT DISTINCT author FROM rep"))
+def q_e7l(spark, sf_dir):
+    return RP.author_list(_report(spark, sf_dir))
+
+
+@register("B24_name_fallback", wt(f"""
+SELECT author, seq[len(seq)] AS truth, coalesce({_NAMES}[seq[len(seq)] + 1], 'Fase ' || CAST(seq[len(seq)] AS VARCHAR)) AS truth_name
+FROM fx_seq"""))
+def q_b24(spark, sf_dir):
+    s = _seq(spark, sf_dir).withColumn("truth", F.element_at("seq", -1))
+    return s.select("author", "truth", RP.phase_name("truth").alias("truth_name"))
