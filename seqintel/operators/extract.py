@@ -24,13 +24,15 @@ from ..functions import text as TX
 
 ATTR_LINK = r"""(?i)<(?:a|link|iframe)\b[^>]*?\s{attr}\s*=\s*["']?([^"'\s>]*)"""
 TEXT_ONION_URL = r"""https?://[^\s"']+\.onion[^\s"']*"""
+ORIGIN = r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)"
+VISIBLE_DROP = r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->"
 
 
 def visible_text(html) -> F.Column:
     """Tag-stripped text (script / style / comments removed), runs of
     whitespace collapsed."""
     h = F.col(html) if isinstance(html, str) else html
-    t = F.regexp_replace(h, r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->", " ")
+    t = F.regexp_replace(h, VISIBLE_DROP, " ")
     t = F.regexp_replace(t, r"(?s)<[^>]*>", " ")
     return F.trim(F.regexp_replace(t, TX.WS_RUN, " "))
 
@@ -40,11 +42,10 @@ def resolve(href, base_url) -> F.Column:
     ``/x`` gets the page origin."""
     h = F.col(href) if isinstance(href, str) else href
     b = F.col(base_url) if isinstance(base_url, str) else base_url
-    origin = F.concat(F.coalesce(F.parse_url(b, F.lit("PROTOCOL")), F.lit("http")), F.lit("://"),
-                      F.coalesce(F.parse_url(b, F.lit("HOST")), F.lit("")))
+    origin = F.regexp_extract(b, ORIGIN, 1)
     return (F.when(h.rlike(r"(?i)^https?://"), h)
             .when(h.startswith("//"), F.concat(F.lit("http:"), h))
-            .when(h.startswith("/"), F.concat(origin, h))
+            .when(h.startswith("/") & (origin != ""), F.concat(origin, h))
             .otherwise(h))
 
 

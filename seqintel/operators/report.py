@@ -117,16 +117,21 @@ def state_profiles(start: DataFrame, trans: DataFrame, emit: DataFrame) -> DataF
                       phase_name("dominant_phase").alias("dominant_phase_name"))
 
 
+# scheme://authority/path split as urllib's urlparse does for absolute URLs
+URL_AUTHORITY = r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)"
+URL_PATH = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)"
+
+
 def fetch_outcome(status, requested, final) -> Column:
     """``blocked`` on 403 or a same-host redirect from a thread-like path
     to a landing page; ``server_error`` >= 500; ``http_error`` != 200; ``ok``."""
     st = F.col(status) if isinstance(status, str) else status
     rq = F.col(requested) if isinstance(requested, str) else requested
     fn = F.col(final) if isinstance(final, str) else final
-    rq_host = F.coalesce(F.parse_url(rq, F.lit("AUTHORITY")), F.lit(""))
-    fn_host = F.coalesce(F.parse_url(fn, F.lit("AUTHORITY")), F.lit(""))
-    rq_path = F.lower(F.coalesce(F.parse_url(rq, F.lit("PATH")), F.lit("")))
-    fn_path = F.lower(F.coalesce(F.parse_url(fn, F.lit("PATH")), F.lit("")))
+    rq_host = F.regexp_extract(rq, URL_AUTHORITY, 1)
+    fn_host = F.regexp_extract(fn, URL_AUTHORITY, 1)
+    rq_path = F.lower(F.regexp_extract(rq, URL_PATH, 1))
+    fn_path = F.lower(F.regexp_extract(fn, URL_PATH, 1))
     words = None
     for w in D.BAN_REQUEST_WORDS:
         c = rq_path.contains(w)

@@ -173,3 +173,87 @@ def next_table_sql(m) -> str:
 
 
 PHASE_NAMES_SQL = "[" + ", ".join(q(n) for _, n, _ in D.PHASES) + "]"
+
+
+def normalize_url(u: str, marker: str = ".onion") -> str:
+    x = f"trim(regexp_replace(split_part(split_part({u}, '#', 1), '?', 1), {q('^' + WS + '+|' + WS + '+$')}, '', 'g'))"
+    suffix = " OR ".join(f"ends_with({x}, {q(s)})" for s in D.SKIPPED_URL_SUFFIXES)
+    return (f"CASE WHEN NOT contains({x}, {q(marker)}) OR {suffix} THEN NULL "
+            f"WHEN starts_with({x}, 'http://') OR starts_with({x}, 'https://') THEN {x} ELSE 'http://' || {x} END")
+
+
+def resolve(h: str, base: str) -> str:
+    from ..operators.extract import ORIGIN
+    origin = f"regexp_extract({base}, {q(ORIGIN)}, 1)"
+    return (f"CASE WHEN regexp_matches({h}, '(?i)^https?://') THEN {h} "
+            f"WHEN starts_with({h}, '//') THEN 'http:' || {h} "
+            f"WHEN starts_with({h}, '/') AND {origin} <> '' THEN {origin} || {h} ELSE {h} END")
+
+
+def visible_text(h: str) -> str:
+    from ..operators.extract import VISIBLE_DROP
+    t = f"regexp_replace({h}, {q(VISIBLE_DROP)}, ' ', 'g')"
+    t = f"regexp_replace({t}, '(?s)<[^>]*>', ' ', 'g')"
+    return f"trim(regexp_replace({t}, {q(WS_RUN)}, ' ', 'g'))"
+
+
+def attr_links(h: str) -> str:
+    from ..operators.extract import ATTR_LINK
+    return (f"list_concat(regexp_extract_all({h}, {q(ATTR_LINK.format(attr='href'))}, 1), "
+            f"regexp_extract_all({h}, {q(ATTR_LINK.format(attr='src'))}, 1))")
+
+
+def text_links(h: str) -> str:
+    from ..operators.extract import TEXT_ONION_URL
+    return f"regexp_extract_all({visible_text(h)}, {q(TEXT_ONION_URL)})"
+
+
+def thread_id(url: str, html: str) -> str:
+    parts = [f"nullif(regexp_extract({url}, {q(D.THREAD_URL_PATTERN)}, 1), '')"]
+    for a in D.THREAD_ATTRIBUTES:
+        pat = r"(?i)[\s'\"]" + a.replace("-", r"\-") + r"\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))"
+        parts.append(f"CASE WHEN regexp_extract({html}, {q(pat)}, 0) = '' THEN NULL ELSE "
+                     f"coalesce(nullif(regexp_extract({html}, {q(pat)}, 1), ''), "
+                     f"nullif(regexp_extract({html}, {q(pat)}, 2), ''), regexp_extract({html}, {q(pat)}, 3)) END")
+    parts.append(f"substr(sha1({url}), 1, 16)")
+    return "'thread_' || coalesce(" + ", ".join(parts) + ")"
+
+
+def fetch_outcome(status: str, req: str, fin: str) -> str:
+    from ..operators.report import URL_AUTHORITY, URL_PATH
+    ra, fa = f"regexp_extract({req}, {q(URL_AUTHORITY)}, 1)", f"regexp_extract({fin}, {q(URL_AUTHORITY)}, 1)"
+    rp, fp_ = f"lower(regexp_extract({req}, {q(URL_PATH)}, 1))", f"lower(regexp_extract({fin}, {q(URL_PATH)}, 1))"
+    words = " OR ".join(f"contains({rp}, {q(w)})" for w in D.BAN_REQUEST_WORDS)
+    land = ", ".join(q(p) for p in D.BAN_LANDING_PATHS)
+    ban = f"({req} <> {fin} AND {ra} = {fa} AND ({words}) AND {fp_} IN ({land}))"
+    return (f"CASE WHEN {status} = 403 OR {ban} THEN 'blocked' WHEN {status} >= 500 THEN 'server_error' "
+            f"WHEN {status} <> 200 THEN 'http_error' ELSE 'ok' END")
+
+
+FX_FETCH = """
+fx_fetch_base AS (
+  SELECT event_id, ts, event_type, 'http://h' || CAST(user_id % 20 AS VARCHAR) || '.onion' AS host,
+         CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events),
+fx_fetch AS (
+  SELECT event_id, ts, host, host || '/thread/' || CAST(k AS VARCHAR) AS requested_url,
+         CASE WHEN event_type = 'click' AND k % 25 = 0 THEN host || '/login' ELSE host || '/thread/' || CAST(k AS VARCHAR) END AS final_url,
+         CASE WHEN event_type = 'error' THEN 503 WHEN event_type = 'signup' THEN 403
+              WHEN event_type = 'view' AND k % 10 = 0 THEN 404 ELSE 200 END AS status
+  FROM fx_fetch_base)
+"""
+
+FX_REPLIES = """
+fx_replies AS (
+  SELECT CAST(conv_id AS VARCHAR) AS url, CAST(turn AS VARCHAR) AS raw_id, turn AS idx,
+         CASE WHEN turn > 0 THEN CAST(turn - 1 AS VARCHAR) END AS parent_raw, role AS author, text AS body
+  FROM conversations)
+"""
+
+
+def message_id(url: str, raw: str, idx: str) -> str:
+    return f"'msg_' || substr(sha1({url} || '|' || {raw} || '|' || CAST({idx} AS VARCHAR)), 1, 16)"
+
+
+def parent_id(url: str, parent_raw: str) -> str:
+    return (f"CASE WHEN {parent_raw} IS NOT NULL AND {parent_raw} <> '' THEN "
+            f"'msg_' || substr(sha1({url} || '|' || {parent_raw}), 1, 16) END")

@@ -21,6 +21,8 @@ from ..sources import files as SRC
 from ..operators import hmm as H
 from ..operators import evaluate as EV
 from ..operators import report as RP
+from ..operators import extract as EX
+from ..operators import graph as GR
 from ..session import table
 from . import fixtures as FX
 from . import oracle as O
@@ -820,3 +822,195 @@ FROM fx_seq"""))
 def q_b24(spark, sf_dir):
     s = _seq(spark, sf_dir).withColumn("truth", F.element_at("seq", -1))
     return s.select("author", "truth", RP.phase_name("truth").alias("truth_name"))
+
+
+# ---------------------------------------------------------------------------
+# pages: B1, B2, K3, E8, K2; replies: B3, B4, C6; fetch log: B22, E3;
+# timestamps B5; profile D16; graph K1, C4
+# ---------------------------------------------------------------------------
+
+def _pages(spark, sf_dir):
+    return table(spark, sf_dir, "pages")
+
+
+_RAW_LINKS = f"""
+raw AS (SELECT page_id, url, unnest(list_concat({O.attr_links('html')}, {O.text_links('html')})) AS href FROM pages)
+"""
+
+
+@register("B1_normalize_url", f"""
+WITH {_RAW_LINKS}
+SELECT page_id, href, {O.normalize_url('href', '.onion')} AS norm_onion,
+       {O.normalize_url(O.resolve('href', 'url'), '')} AS norm_any FROM raw
+UNION ALL
+SELECT page_id, url AS href, {O.normalize_url('url', '.onion')} AS norm_onion, {O.normalize_url('url', '')} AS norm_any
+FROM pages""")
+def q_b1(spark, sf_dir):
+    p = _pages(spark, sf_dir)
+    h = F.col("html")
+    raw = F.concat(F.regexp_extract_all(h, F.lit(EX.ATTR_LINK.format(attr="href")), 1),
+                   F.regexp_extract_all(h, F.lit(EX.ATTR_LINK.format(attr="src")), 1),
+                   F.regexp_extract_all(EX.visible_text(h), F.lit(EX.TEXT_ONION_URL), 0))
+    links = p.select("page_id", "url", F.explode(raw).alias("href")).select(
+        "page_id", "href", TX.normalize_url("href", ".onion").alias("norm_onion"),
+        TX.normalize_url(EX.resolve("href", "url"), "").alias("norm_any"))
+    own = p.select("page_id", F.col("url").alias("href"), TX.normalize_url("url", ".onion").alias("norm_onion"),
+                   TX.normalize_url("url", "").alias("norm_any"))
+    return links.unionByName(own)
+
+
+@register("K3_link_extraction", f"""
+WITH {_RAW_LINKS}
+SELECT DISTINCT page_id, {O.normalize_url(O.resolve('href', 'url'), '')} AS link FROM raw
+WHERE {O.normalize_url(O.resolve('href', 'url'), '')} IS NOT NULL""")
+def q_k3(spark, sf_dir):
+    return EX.page_links(_pages(spark, sf_dir), marker="", resolve_relative=True)
+
+
+@register("E8_link_set", f"""
+SELECT page_id, array_to_string(list_sort(list_distinct(list_concat(
+  list_transform({O.attr_links('html')}, lambda u: {O.normalize_url(O.resolve('u', 'url'), '')}),
+  list_transform({O.text_links('html')}, lambda u: {O.normalize_url(O.resolve('u', 'url'), '')})))), ' ') AS links
+FROM pages""")
+def q_e8(spark, sf_dir):
+    s = EX.page_link_sets(_pages(spark, sf_dir), marker="", resolve_relative=True)
+    return s.select("page_id", F.array_join("links", " ").alias("links"))
+
+
+@register("B2_infer_thread_id", f"SELECT page_id, {O.thread_id('url', 'html')} AS thread_id FROM pages")
+def q_b2(spark, sf_dir):
+    p = _pages(spark, sf_dir)
+    return p.select("page_id", TX.infer_thread_id("url", "html").alias("thread_id"))
+
+
+@register("K2_extract_posts")
+def q_k2(spark, sf_dir):
+    posts = EX.extract_posts(_pages(spark, sf_dir), ingest_ts="2025-01-01 00:00:00")
+    return posts.select("message_id", "fingerprint", "thread_id", "parent_id", "author", "ts", "ts_imputed",
+                        "title", F.sha1("body").alias("body_sha1"), F.length("body").cast("long").alias("body_len"),
+                        "quoted", "url", "page_id", "idx", "depth")
+
+
+@register("B3_message_id", f"""
+WITH {O.FX_REPLIES} SELECT url, raw_id, {O.message_id('url', 'raw_id', 'idx')} AS message_id FROM fx_replies""")
+def q_b3(spark, sf_dir):
+    r = FX.fx_replies(spark, sf_dir)
+    return r.select("url", "raw_id", TX.message_id("url", "raw_id", "raw_id").alias("message_id"))
+
+
+@register("B4_parent_id", f"""
+WITH {O.FX_REPLIES} SELECT url, raw_id, {O.parent_id('url', 'parent_raw')} AS parent_id FROM fx_replies""")
+def q_b4(spark, sf_dir):
+    r = FX.fx_replies(spark, sf_dir)
+    return r.select("url", "raw_id", TX.parent_id("url", "parent_raw").alias("parent_id"))
+
+
+@register("C6_reply_join", f"""
+WITH {O.FX_REPLIES},
+m AS (SELECT *, {O.message_id('url', 'raw_id', 'idx')} AS message_id FROM fx_replies)
+SELECT c.message_id, c.author, p.message_id AS parent_message_id, p.author AS parent_author
+FROM m c LEFT JOIN m p ON c.url = p.url AND c.parent_raw = p.raw_id""")
+def q_c6(spark, sf_dir):
+    r = FX.fx_replies(spark, sf_dir).withColumn("message_id", TX.message_id("url", "raw_id", "raw_id"))
+    return EX.reply_pairs(r).select("message_id", "author", "parent_message_id", "parent_author")
+
+
+@register("B22_fetch_outcome", f"""
+WITH {O.FX_FETCH}
+SELECT event_id, status, {O.fetch_outcome('status', 'requested_url', 'final_url')} AS outcome FROM fx_fetch""")
+def q_b22(spark, sf_dir):
+    f = FX.fx_fetch(spark, sf_dir)
+    return f.select("event_id", "status", RP.fetch_outcome("status", "requested_url", "final_url").alias("outcome"))
+
+
+@register("E3_failure_streaks", f"""
+WITH {O.FX_FETCH},
+o AS (SELECT event_id, ts, host, {O.fetch_outcome('status', 'requested_url', 'final_url')} AS outcome FROM fx_fetch),
+i AS (SELECT *, sum(CASE WHEN outcome = 'ok' THEN 1 ELSE 0 END) OVER (PARTITION BY host ORDER BY ts, event_id
+        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS island FROM o),
+n AS (SELECT *, sum(CASE WHEN outcome IN ('server_error', 'http_error') THEN 1 ELSE 0 END) OVER (
+        PARTITION BY host, island ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS nf FROM i)
+SELECT event_id, host, outcome,
+       CAST(CASE WHEN outcome = 'ok' THEN 0 WHEN outcome IN ('server_error', 'http_error') THEN ((nf - 1) % 10) + 1
+            ELSE nf % 10 END AS BIGINT) AS streak,
+       outcome IN ('server_error', 'http_error') AND nf % 10 = 0 AS pause FROM n""")
+def q_e3(spark, sf_dir):
+    f = FX.fx_fetch(spark, sf_dir)
+    f = f.withColumn("outcome", RP.fetch_outcome("status", "requested_url", "final_url"))
+    s = RP.failure_streaks(f, 10, ("ts", "event_id"), ("host",))
+    return s.select("event_id", "host", "outcome", "streak", "pause")
+
+
+_TS_FORMATS_OUT = [("yyyy-MM-dd HH:mm:ss", "%Y-%m-%d %H:%M:%S"), ("yyyy-MM-dd HH:mm", "%Y-%m-%d %H:%M"),
+                   ("dd-MM-yyyy HH:mm:ss", "%d-%m-%Y %H:%M:%S"), ("d/M/yyyy H:m", "%-d/%-m/%Y %-H:%-M"),
+                   ("yyyy/MM/dd HH:mm:ss", "%Y/%m/%d %H:%M:%S"), ("yyyy-MM-dd'T'HH:mm:ss'Z'", "%Y-%m-%dT%H:%M:%SZ")]
+_TS_FORMATS_IN = ["%Y-%m-%d %H:%M:%S", "%Y-%m-%d %H:%M", "%d-%m-%Y %H:%M:%S", "%d/%m/%Y %H:%M", "%Y/%m/%d %H:%M:%S"]
+_INGEST = "2025-01-01 00:00:00"
+
+
+@register("B5_parse_timestamp", """
+WITH r AS (SELECT event_id, CASE event_id % 6 """ + " ".join(
+    f"WHEN {i} THEN strftime(ts, '{d}')" for i, (_, d) in enumerate(_TS_FORMATS_OUT)) + """ END AS raw FROM events),
+p AS (SELECT event_id, raw, coalesce(""" + ", ".join(f"try_strptime(trim(raw), '{f}')" for f in _TS_FORMATS_IN) + f""") AS parsed FROM r)
+SELECT event_id, raw, coalesce(parsed, TIMESTAMP '{_INGEST}') AS ts, parsed IS NULL AS ts_imputed FROM p""")
+def q_b5(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    m = F.col("event_id") % 6
+    raw = None
+    for i, (sp, _) in enumerate(_TS_FORMATS_OUT):
+        raw = (F.when(m == i, F.date_format("ts", sp)) if raw is None
+               else raw.when(m == i, F.date_format("ts", sp)))
+    e = e.select("event_id", raw.alias("raw"))
+    parsed = TX.parse_timestamp_or_null("raw")
+    return e.select("event_id", "raw", F.coalesce(parsed, F.lit(_INGEST).cast("timestamp")).alias("ts"),
+                    parsed.isNull().alias("ts_imputed"))
+
+
+_DOC_TYPES = [("doc_id", "bigint"), ("text", "string"), ("lang", "string"), ("source", "string"),
+              ("n_chars", "bigint")]
+
+
+@register("D16_dataset_profile", " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", CAST(count({c}) AS BIGINT) AS non_null, '{t}' AS type FROM documents"
+    for c, t in _DOC_TYPES))
+def q_d16(spark, sf_dir):
+    return RP.profile(table(spark, sf_dir, "documents"))
+
+
+SEEDS = ["n1", "n2"]
+MAX_DEPTH = 2
+
+
+def _edges_sql() -> str:
+    return ("edges AS (SELECT DISTINCT 'n' || CAST(o_custkey % 400 AS VARCHAR) AS src, "
+            "'n' || CAST(o_orderkey % 400 AS VARCHAR) AS dst FROM orders)")
+
+
+def _reach_sql(max_depth: int = MAX_DEPTH) -> str:
+    ctes = [_edges_sql(), "d0 AS (SELECT * FROM (VALUES " + ", ".join(f"('{s}', 0)" for s in SEEDS)
+            + ") t(url, depth))"]
+    for d in range(1, max_depth + 1):
+        prev = " UNION ALL ".join(f"SELECT url FROM d{k}" for k in range(d))
+        ctes.append(f"d{d} AS (SELECT DISTINCT e.dst AS url, {d} AS depth FROM d{d - 1} f JOIN edges e ON e.src = f.url "
+                    f"WHERE e.dst NOT IN ({prev}))")
+    return "WITH " + ",\n".join(ctes)
+
+
+def _edges(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    return o.select(F.concat(F.lit("n"), (F.col("o_custkey") % 400).cast("string")).alias("src"),
+                    F.concat(F.lit("n"), (F.col("o_orderkey") % 400).cast("string")).alias("dst"))
+
+
+@register("K1_reachable_urls", _reach_sql() + "\nSELECT url, CAST(depth AS INTEGER) AS depth FROM (" +
+          " UNION ALL ".join(f"SELECT * FROM d{d}" for d in range(MAX_DEPTH + 1)) + ")")
+def q_k1(spark, sf_dir):
+    r = GR.reachable(_edges(spark, sf_dir), SEEDS, MAX_DEPTH)
+    return r.select("url", F.col("depth").cast("int"))
+
+
+@register("C4_link_frontier", _reach_sql(1) + "\nSELECT url, CAST(depth AS INTEGER) AS depth FROM d1")
+def q_c4(spark, sf_dir):
+    e = _edges(spark, sf_dir).distinct()
+    seeds = spark.createDataFrame([(s, 0) for s in SEEDS], "url STRING, depth INT")
+    return GR.frontier_step(seeds, e, seeds).select("url", F.col("depth").cast("int"))
