@@ -1014,3 +1014,269 @@ def q_c4(spark, sf_dir):
     e = _edges(spark, sf_dir).distinct()
     seeds = spark.createDataFrame([(s, 0) for s in SEEDS], "url STRING, depth INT")
     return GR.frontier_step(seeds, e, seeds).select("url", F.col("depth").cast("int"))
+
+
+# ---------------------------------------------------------------------------
+# dictionary / file sources and sinks: A1-A3, A5, A7, A8, A11, A12
+# ---------------------------------------------------------------------------
+
+@register("A5_load_term_dictionary", f"""
+WITH {_terms_sql(D.load_terms_json())},
+docs AS (SELECT doc_id, {O.squash_fast('coalesce(text, \'\')')} AS sq FROM documents),
+keys AS (SELECT DISTINCT k FROM tkeys)
+SELECT k.k AS term_key, CAST(count(d.doc_id) AS BIGINT) AS n_docs
+FROM keys k LEFT JOIN docs d ON contains(d.sq, k.k) GROUP BY k.k""")
+def q_a5(spark, sf_dir):
+    terms = SRC.load_term_dictionary(spark)
+    keys = terms.select(TX.squash_term("term").alias("term_key")).where(F.col("term_key") != "").distinct()
+    docs = table(spark, sf_dir, "documents").select("doc_id", TX.squash_term(F.coalesce("text", F.lit(""))).alias("sq"))
+    # the key list is a bounded dimension (hundreds of rows): broadcast nested-loop containment
+    hits = docs.join(F.broadcast(keys), F.contains(F.col("sq"), F.col("term_key")))
+    return (keys.join(hits.groupBy("term_key").agg(F.count("doc_id").alias("n")), "term_key", "left")
+            .select("term_key", F.coalesce("n", F.lit(0)).cast("long").alias("n_docs")))
+
+
+_RAW_POSTS_SQL = with_fx("""
+SELECT message_id, fingerprint, thread_id, author, strftime(ts, '%Y-%m-%dT%H:%M:%S+00:00') AS ts, title,
+       sha1(body) AS body_sha1, url FROM fx_posts""")
+
+
+def _raw_posts(spark, sf_dir):
+    p = _posts(spark, sf_dir)
+    return p.withColumn("ts", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'+00:00'"))
+
+
+def _raw_view(df):
+    return df.select("message_id", "fingerprint", "thread_id", "author", "ts", "title",
+                     F.sha1("body").alias("body_sha1"), "url")
+
+
+@register("A1_read_posts_csv", _RAW_POSTS_SQL)
+def q_a1(spark, sf_dir):
+    path = SRC.scratch_dir(spark, "posts-csv")
+    SRC.append_posts_csv(_raw_posts(spark, sf_dir), path)
+    return _raw_view(SRC.read_posts_csv(spark, path))
+
+
+@register("A2_append_posts_jsonl", with_fx("""
+SELECT message_id, fingerprint, thread_id, author, strftime(ts, '%Y-%m-%dT%H:%M:%S+00:00') AS ts, title,
+       sha1(body) AS body_sha1, url FROM fx_posts, range(2)"""))
+def q_a2(spark, sf_dir):
+    path = SRC.scratch_dir(spark, "posts-jsonl")
+    raw = _raw_posts(spark, sf_dir)
+    SRC.append_posts_json(raw, path)
+    SRC.append_posts_json(raw, path)   # second append: both copies are kept
+    return _raw_view(spark.read.schema(SRC.RAW_SCHEMA).json(path))
+
+
+@register("A3_append_posts_csv", with_fx("""
+SELECT message_id, fingerprint, thread_id, author, strftime(ts, '%Y-%m-%dT%H:%M:%S+00:00') AS ts, title,
+       sha1(body) AS body_sha1, url FROM fx_posts, range(2)"""))
+def q_a3(spark, sf_dir):
+    path = SRC.scratch_dir(spark, "posts-csv-append")
+    raw = _raw_posts(spark, sf_dir)
+    SRC.append_posts_csv(raw, path)
+    SRC.append_posts_csv(raw, path)
+    return _raw_view(SRC.read_posts_csv(spark, path))
+
+
+def _author_posts(spark, sf_dir):
+    t = _tech(spark, sf_dir).withColumn("threat_score", F.col("value"))
+    return SEQ.author_sequences(t, ["threat_score", "techniques"])
+
+
+_SEQ_EXPORT_SQL = wt("""
+SELECT author, CAST(count(*) AS BIGINT) AS n_posts,
+       array_to_string(list(array_to_string(techniques, '+') ORDER BY ts, message_id), ',') AS techniques,
+       round(sum(value), 6) AS score_sum FROM fx_tech GROUP BY author""")
+
+
+def _seq_export_view(s):
+    return s.select("author", F.size("posts").cast("long").alias("n_posts"),
+                    F.array_join(F.transform("posts", lambda p: F.array_join(p["techniques"], "+")), ",").alias("techniques"),
+                    F.round(F.aggregate("posts", F.lit(0.0), lambda a, p: a + p["threat_score"]), 6).alias("score_sum"))
+
+
+@register("A7_write_sequences", _SEQ_EXPORT_SQL)
+def q_a7(spark, sf_dir):
+    path = SRC.scratch_dir(spark, "sequences")
+    SRC.write_sequences(_author_posts(spark, sf_dir), path)
+    return _seq_export_view(spark.read.parquet(path))
+
+
+@register("A8_read_sequences_json", _SEQ_EXPORT_SQL)
+def q_a8(spark, sf_dir):
+    js = SRC.sequences_as_json(_author_posts(spark, sf_dir))
+    return _seq_export_view(SRC.read_sequences_json(js))
+
+
+@register("A11_write_evaluation_report", wh(f"""
+WITH {_D14_SQL}
+SELECT phase_name, CAST(phase_id AS INTEGER) AS phase_id, round(p, 4) AS precision, round(r, 4) AS recall,
+       round(f, 4) AS f1, CAST(support AS BIGINT) AS support FROM d14"""))
+def q_a11(spark, sf_dir):
+    path = SRC.scratch_dir(spark, "evaluation")
+    pred = _k12(spark, sf_dir)
+    per = EV.class_metrics(pred)
+    SRC.write_csv(per.select("phase_name", "phase_id", "precision", "recall", "f1", "support"), f"{path}/metrics_by_phase")
+    SRC.write_csv(pred.select("author", "truth", "pred", "confidence", "correct"), f"{path}/predictions")
+    schema = "phase_name STRING, phase_id INT, precision DOUBLE, recall DOUBLE, f1 DOUBLE, support BIGINT"
+    return spark.read.schema(schema).option("header", True).csv(f"{path}/metrics_by_phase")
+
+
+@register("A12_keyword_report_lines", f"""
+WITH {O.FX_POSTS}, {_C2_SQL}
+SELECT keyword || ' | ' || url AS value FROM hits
+UNION ALL
+SELECT '{D.PAGE_RECORDS_KEY}' || ' | ' || CAST(count(*) AS VARCHAR) || ' | ' || url FROM fx_posts GROUP BY url""")
+def q_a12(spark, sf_dir):
+    path = SRC.scratch_dir(spark, "keyword-report")
+    per_page = _posts(spark, sf_dir).groupBy("url").agg(F.count(F.lit(1)).alias("n")) \
+        .select(F.lit(D.PAGE_RECORDS_KEY).alias("keyword"), "n", "url")
+    SRC.write_text(SRC.keyword_report_lines(_hits(spark, sf_dir), per_page), path)
+    return spark.read.text(path)
+
+
+# ---------------------------------------------------------------------------
+# trained model: K5, K6, A9, K13, K15, B23 (fit by distributed Baum-Welch)
+# ---------------------------------------------------------------------------
+
+_FITTED: dict[str, H.HMM] = {}
+
+
+def _fitted(spark, sf_dir) -> H.HMM:
+    if sf_dir not in _FITTED:
+        _FITTED[sf_dir] = H.fit_hmm(_seq(spark, sf_dir))
+    return _FITTED[sf_dir]
+
+
+def _model_rows(spark, m: H.HMM):
+    s, t, e = H.model_frames(spark, m)
+    return (s.select(F.lit("start").alias("kind"), "i", F.lit(None).cast("int").alias("j"), "p")
+            .unionByName(t.select(F.lit("trans").alias("kind"), "i", "j", "p"))
+            .unionByName(e.select(F.lit("emit").alias("kind"), "i", F.col("k").alias("j"), "p")))
+
+
+@register("K5_training_checks", wt("""
+SELECT CAST(sum(len(seq)) AS BIGINT) AS total_posts, CAST(count(*) FILTER (WHERE len(seq) >= 2) AS BIGINT) AS n_sequences,
+       sum(len(seq)) >= 12 AND count(*) FILTER (WHERE len(seq) >= 2) >= 1 AS trainable FROM fx_seq"""))
+def q_k5(spark, sf_dir):
+    s = _seq(spark, sf_dir)
+    try:
+        n, k = H.check_training_data(s, D.N_STATES)
+        ok = True
+    except H.TrainingDataError:
+        r = s.agg(F.sum(F.size("seq")), F.count_if(F.size("seq") >= 2)).first()
+        n, k, ok = int(r[0] or 0), int(r[1] or 0), False
+    return s.agg(F.sum(F.size("seq")).cast("long").alias("total_posts"),
+                 F.count_if(F.size("seq") >= 2).cast("long").alias("n_sequences")).withColumn(
+        "trainable", F.lit(ok))
+
+
+@register("K6_fit_hmm")
+def q_k6(spark, sf_dir):
+    m = _fitted(spark, sf_dir)
+    hist = spark.createDataFrame([(i, float(v)) for i, v in enumerate(m.history)], "i INT, p DOUBLE") \
+        .select(F.lit("loglik").alias("kind"), "i", F.lit(None).cast("int").alias("j"), "p")
+    return _model_rows(spark, m).unionByName(hist)
+
+
+@register("A9_model_roundtrip")
+def q_a9(spark, sf_dir):
+    path = SRC.scratch_dir(spark, "model")
+    m = _fitted(spark, sf_dir)
+    H.save_model(spark, m, path)
+    again = H.load_or_fit(spark, path, _seq(spark, sf_dir))   # loads; no refit
+    return _model_rows(spark, again)
+
+
+@register("K15_state_profiles")
+def q_k15(spark, sf_dir):
+    s, t, e = H.model_frames(spark, _fitted(spark, sf_dir))
+    return RP.state_profiles(s, t, e)
+
+
+@register("K13_evaluation")
+def q_k13(spark, sf_dir):
+    res = EV.evaluate(_seq(spark, sf_dir))
+    return res["metrics_global"]
+
+
+@register("B23_persistence_class", wt("""
+SELECT CAST(a AS INTEGER) AS phase, round(self_p, 6) AS persistence,
+       CASE WHEN self_p > 0.7 THEN 'muy persistente' WHEN self_p > 0.4 THEN 'moderadamente persistente'
+            ELSE 'transitorio' END AS persistence_class
+FROM (SELECT a, count(*) FILTER (WHERE a = b) / count(*) AS self_p FROM (
+        SELECT unnest(seq[1:len(seq) - 1]) AS a, unnest(seq[2:]) AS b FROM fx_seq WHERE len(seq) >= 2) GROUP BY a)"""))
+def q_b23(spark, sf_dir):
+    """Persistence class on the empirical phase-transition diagonal (the
+    fitted model's diagonal goes through K15)."""
+    s = _seq(spark, sf_dir).where(F.size("seq") >= 2)
+    pairs = s.select(F.explode(F.arrays_zip(F.slice("seq", 1, F.size("seq") - 1),
+                                            F.slice("seq", 2, F.size("seq") - 1))).alias("z"))
+    pairs = pairs.select(F.col("z").getField("0").alias("a"), F.col("z").getField("1").alias("b"))
+    d = pairs.groupBy("a").agg((F.count_if(F.col("a") == F.col("b")) / F.count(F.lit(1))).alias("self_p"))
+    return d.select(F.col("a").cast("int").alias("phase"), F.round("self_p", 6).alias("persistence"),
+                    RP.persistence_class("self_p").alias("persistence_class"))
+
+
+# ---------------------------------------------------------------------------
+# UDF surface U1 and streaming S1-S3
+# ---------------------------------------------------------------------------
+
+def _dictionary_extractor_factory():
+    """Stand-in for a token-classification model: a per-task dictionary
+    extractor returning entity spans with a fixed confidence."""
+    import re as _re
+    words = {w.lower() for w in D.load_terms_json() if _re.fullmatch(r"\w+", w)} | set(FIXTURE_TERMS)
+
+    def extract(text: str):
+        return [{"type": "TERM", "text": m.group(0), "confidence": 0.9, "start": m.start(), "end": m.end()}
+                for m in _re.finditer(r"\w+", text) if m.group(0).lower() in words]
+    return extract
+
+
+@register("U1_entity_extractor_hook")
+def q_u1(spark, sf_dir):
+    e = EN.model_entities(_doc_posts(spark, sf_dir), "doc_id", "body", _dictionary_extractor_factory)
+    return e.select("doc_id", "pos", "type", "text", "confidence", "start", "end")
+
+
+def _landing(spark, sf_dir) -> tuple[str, object]:
+    posts = _posts(spark, sf_dir)
+    path = SRC.scratch_dir(spark, "landing")
+    posts.repartitionByRange(4, "doc_id").sortWithinPartitions("doc_id").write.parquet(path)
+    return path, posts.schema
+
+
+@register("S1_resumable_ingest", with_fx("""
+SELECT fingerprint, message_id FROM fx_posts
+QUALIFY row_number() OVER (PARTITION BY fingerprint ORDER BY ts, message_id) = 1"""))
+def q_s1(spark, sf_dir):
+    from ..streaming import ingest as ST
+    landing, schema = _landing(spark, sf_dir)
+    sink, ckpt = SRC.scratch_dir(spark, "dedup-sink"), SRC.scratch_dir(spark, "dedup-ckpt")
+    q = ST.exact_dedup_sink(ST.landing_stream(spark, landing, schema), sink, ckpt)
+    q.awaitTermination()
+    # a second run resumes from the checkpoint and finds nothing new
+    q = ST.exact_dedup_sink(ST.landing_stream(spark, landing, schema), sink, ckpt)
+    q.awaitTermination()
+    return ST.read_dedup_sink(spark, sink).select("fingerprint", "message_id")
+
+
+@register("S2_incremental_dedup")
+def q_s2(spark, sf_dir):
+    from ..streaming import ingest as ST
+    landing, schema = _landing(spark, sf_dir)
+    sink, ckpt = SRC.scratch_dir(spark, "wm-sink"), SRC.scratch_dir(spark, "wm-ckpt")
+    ST.watermark_dedup(ST.landing_stream(spark, landing, schema), sink, ckpt).awaitTermination()
+    return spark.read.parquet(sink).select("fingerprint", "message_id")
+
+
+@register("S3_incremental_page_report", with_fx("SELECT url, CAST(count(*) AS BIGINT) AS n FROM fx_posts GROUP BY url"))
+def q_s3(spark, sf_dir):
+    from ..streaming import ingest as ST
+    landing, schema = _landing(spark, sf_dir)
+    sink, ckpt = SRC.scratch_dir(spark, "pages-sink"), SRC.scratch_dir(spark, "pages-ckpt")
+    ST.page_counts_stream(ST.landing_stream(spark, landing, schema), sink, ckpt).awaitTermination()
+    return ST.read_page_counts(spark, sink)

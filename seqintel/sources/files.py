@@ -22,6 +22,8 @@ from ..session import ensure_checkpoint_dir
 RAW_FIELDS = ["message_id", "fingerprint", "thread_id", "parent_id", "author", "ts",
               "title", "body", "quoted", "url"]
 RAW_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in RAW_FIELDS])
+# Spark's CSV writer trims values by default; text must round-trip unchanged.
+KEEP_SPACES = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
@@ -33,7 +35,7 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 def read_posts_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_SCHEMA) -> DataFrame:
     """Header CSV with quoted multi-line bodies; explicit schema (no inference)."""
     return (spark.read.schema(schema).option("header", True).option("multiLine", True)
-            .option("escape", '"').option("mode", "PERMISSIVE").csv(path))
+            .option("escape", '"').option("mode", "PERMISSIVE").options(**KEEP_SPACES).csv(path))
 
 
 # A2 / A3 --------------------------------------------------------------------
@@ -47,7 +49,7 @@ def append_posts_csv(df: DataFrame, path: str) -> None:
     cols = [F.col(c).cast("string") if c in df.columns else F.lit(None).cast("string").alias(c)
             for c in RAW_FIELDS]
     (df.select(*cols).write.mode("append").option("header", True)
-     .option("escape", '"').csv(path))
+     .option("escape", '"').options(**KEEP_SPACES).csv(path))
 
 
 # A5 -------------------------------------------------------------------------
@@ -123,7 +125,7 @@ def read_sequences_json(df: DataFrame, col: str = "posts_json") -> DataFrame:
 
 # A10 / A11 / A12 ------------------------------------------------------------
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    df.write.mode("overwrite").option("header", True).option("escape", '"').options(**KEEP_SPACES).csv(path)
 
 
 def keyword_report_lines(hits: DataFrame, counts: DataFrame | None = None) -> DataFrame:
