@@ -50,7 +50,7 @@ def predictions(test: DataFrame, m: H.HMM, author_col: str = "author",
                 seq_col: str = "seq") -> DataFrame:
     """Hide the last phase, predict it from the rest, compare."""
     ho = hold_out_last(test, seq_col)
-    ho = ho.withColumns(H.predict_columns("history", m, "_"))
+    ho = H.with_prediction(ho, "history", m, "_")
     names = H.phase_names()
     truth_name = F.coalesce(names[F.col("truth")], F.concat(F.lit("Fase "), F.col("truth").cast("string")))
     return ho.where(F.col("_next_phase_id").isNotNull()).select(

@@ -209,28 +209,29 @@ def phase_names() -> Column:
     return F.array(*[F.lit(n) for _, n, _ in D.PHASES])
 
 
-def predict_columns(seq, m: HMM, prefix: str = "") -> dict[str, Column]:
+def with_prediction(df: DataFrame, seq, m: HMM, prefix: str = "") -> DataFrame:
     """K9 as columns: decoded path, last state, predicted phase, confidence,
-    probability per phase name. Empty sequence -> NULLs and the no-data name."""
+    probability per phase. Empty sequence -> NULLs and the no-data name.
+
+    The Viterbi pass is materialised once in its own projection and every
+    derived column reads it (Catalyst keeps the two projections apart because
+    merging would duplicate the non-cheap decode)."""
     seq = F.col(seq) if isinstance(seq, str) else seq
     nxt = _lit_mat(m.next_table())
-    vit = viterbi(seq, m)
-    last = F.element_at(vit["path"], -1)
-    probs = nxt[last]
-    # callers should materialise the returned columns with withColumns and
-    # then reference them; path and probs are the expensive pieces
+    vcol = f"{prefix}_vit"
+    d = df.withColumn(vcol, viterbi(seq, m))
+    last = F.element_at(F.col(vcol)["path"], -1)
+    d = d.withColumns({f"{prefix}path": F.col(vcol)["path"], f"{prefix}last_state": last.cast("int"),
+                       f"{prefix}probs": nxt[last]}).drop(vcol)
+    probs = F.col(f"{prefix}probs")
     pred = (F.array_position(probs, F.array_max(probs)) - 1).cast("int")
     names = phase_names()
-    name = F.when(pred.isNull(), F.lit(D.NO_DATA_NAME)).otherwise(
-        F.coalesce(names[pred], F.lit("Desconocida")))
-    return {
-        f"{prefix}path": vit["path"],
-        f"{prefix}last_state": last.cast("int"),
+    return d.withColumns({
         f"{prefix}next_phase_id": pred,
-        f"{prefix}next_phase_name": name,
+        f"{prefix}next_phase_name": F.when(pred.isNull(), F.lit(D.NO_DATA_NAME)).otherwise(
+            F.coalesce(names[pred], F.lit("Desconocida"))),
         f"{prefix}confidence": F.coalesce(F.array_max(probs), F.lit(0.0)),
-        f"{prefix}probs": probs,
-    }
+    })
 
 
 def analyze_authors(seqs: DataFrame, m: HMM, author_col: str = "author",
@@ -238,8 +239,7 @@ def analyze_authors(seqs: DataFrame, m: HMM, author_col: str = "author",
     """Per author, prediction + dominant state + state path; sequences
     shorter than 2 get NULLs and the fixed 'too short' texts."""
     short = F.size(seq_col) < 2
-    cols = predict_columns(seq_col, m, "_")
-    df = seqs.withColumns(cols)
+    df = with_prediction(seqs, seq_col, m, "_")
     return df.select(
         author_col, F.col(seq_col),
         F.size(seq_col).cast("long").alias("n_posts"),
@@ -254,10 +254,14 @@ def analyze_authors(seqs: DataFrame, m: HMM, author_col: str = "author",
     )
 
 
-def author_report(analysis: DataFrame) -> DataFrame:
-    """A10 projection: 7 columns, confidence rounded to 4."""
-    return analysis.select("author", "n_posts", "dominant_state", "next_phase_id",
-                           "next_phase_name", F.round("confidence", 4).alias("confidence"), "status")
+REPORT_COLUMNS = ["author", "n_posts", "dominant_state", "next_phase_id", "next_phase_name",
+                  "confidence", "status"]
+
+
+def author_report(analysis: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
+    """A10 projection: 7 columns, confidence rounded to 4 (plus ``extra``)."""
+    return analysis.select(*[F.round("confidence", 4).alias("confidence") if c == "confidence" else c
+                             for c in REPORT_COLUMNS], *extra)
 
 
 # -- K5 / K6: training --------------------------------------------------------
@@ -280,37 +284,65 @@ def _init_model(n_states: int, n_symbols: int, seed: int) -> HMM:
     return HMM(start.tolist(), trans.tolist(), emit.tolist())
 
 
-def _estep_rows(seqs, weights, pi, A, B):
-    """Scaled forward-backward over a batch; returns summed expected counts."""
+def _estep_rows(seqs, weights, pi, A, B, max_cells: int = 1 << 21):
+    """Scaled forward-backward over a batch of sequences, vectorised across
+    sequences: sequences are sorted by length and processed in blocks of
+    similar length (at most ``max_cells`` sequence-steps per block), padded
+    and masked. Returns summed weighted expected counts and log-likelihood."""
     S, M = B.shape
     g0 = np.zeros(S)
     xi = np.zeros((S, S))
     em = np.zeros((S, M))
     ll = 0.0
-    for obs, w in zip(seqs, weights):
-        o = np.asarray(obs, dtype=np.int64)
-        n = len(o)
-        if n == 0:
+    seqs = [np.asarray(x, dtype=np.int64) for x in seqs]
+    w_all = np.asarray(weights, dtype=float)
+    lens = np.array([len(x) for x in seqs], dtype=np.int64)
+    order = np.argsort(lens, kind="stable")
+    start = 0
+    while start < len(order):
+        if lens[order[start]] == 0:
+            start += 1
             continue
-        alpha = np.empty((n, S))
-        c = np.empty(n)
-        a = pi * B[:, o[0]]
-        c[0] = a.sum()
-        alpha[0] = a / c[0]
-        for t in range(1, n):
-            a = (alpha[t - 1] @ A) * B[:, o[t]]
-            c[t] = a.sum()
-            alpha[t] = a / c[t]
-        beta = np.empty((n, S))
-        beta[-1] = 1.0
-        for t in range(n - 2, -1, -1):
-            beta[t] = (A @ (B[:, o[t + 1]] * beta[t + 1])) / c[t + 1]
-        gamma = alpha * beta
-        g0 += w * gamma[0]
-        for t in range(n - 1):
-            xi += w * (alpha[t][:, None] * A * (B[:, o[t + 1]] * beta[t + 1])[None, :]) / c[t + 1]
-        np.add.at(em.T, o, w * gamma)
-        ll += w * float(np.log(c).sum())
+        stop = start + 1
+        while stop < len(order) and (stop - start + 1) * lens[order[stop]] <= max_cells:
+            stop += 1
+        idx = order[start:stop]
+        start = stop
+        L = lens[idx]
+        n, T = len(idx), int(L.max())
+        O = np.zeros((n, T), dtype=np.int64)
+        for r, k in enumerate(idx):
+            O[r, :L[r]] = seqs[k]
+        w = w_all[idx]
+        valid = np.arange(T)[None, :] < L[:, None]            # n x T
+        Bo = B.T[O]                                          # n x T x S: B[s, o_t]
+        alpha = np.zeros((n, T, S))
+        c = np.ones((n, T))
+        a = pi[None, :] * Bo[:, 0]
+        c[:, 0] = a.sum(1)
+        alpha[:, 0] = a / c[:, 0, None]
+        for t in range(1, T):
+            a = (alpha[:, t - 1] @ A) * Bo[:, t]
+            v = valid[:, t]
+            c[v, t] = a[v].sum(1)
+            alpha[v, t] = a[v] / c[v, t, None]
+        beta = np.zeros((n, T, S))
+        beta[np.arange(n), L - 1] = 1.0
+        for t in range(T - 2, -1, -1):
+            v = (t + 1) < L
+            if not v.any():
+                continue
+            beta[v, t] = ((Bo[v, t + 1] * beta[v, t + 1]) @ A.T) / c[v, t + 1, None]
+        gamma = alpha * beta * valid[:, :, None]
+        g0 += (w[:, None] * gamma[:, 0]).sum(0)
+        if T > 1:
+            nxt = (Bo[:, 1:] * beta[:, 1:]) / c[:, 1:, None]       # n x T-1 x S
+            am = alpha[:, :-1] * (valid[:, 1:] * w[:, None])[:, :, None]
+            xi += A * np.einsum("nti,ntj->ij", am, nxt)
+        onehot = np.zeros((n, T, M))
+        np.put_along_axis(onehot, O[:, :, None], 1.0, axis=2)
+        em += np.einsum("nts,ntk->sk", gamma * w[:, None, None], onehot)
+        ll += float((w * (np.log(c) * valid).sum(1)).sum())
     return g0, xi, em, ll
 
 
@@ -323,6 +355,9 @@ def fit_hmm(seqs: DataFrame, n_states: int = D.N_STATES, max_iter: int = D.MAX_I
     ensure_checkpoint_dir(spark)
     distinct = (seqs.where(F.size(seq_col) >= min_len)
                 .groupBy(F.col(seq_col).alias("seq")).agg(F.count(F.lit(1)).alias("w")))
+    # spread the E-step over every core (AQE would coalesce a small shuffle
+    # into one task); the checkpoint cuts lineage for the iterations
+    distinct = distinct.repartition(max(spark.sparkContext.defaultParallelism, 1))
     distinct = distinct.checkpoint(eager=True)
     m = _init_model(n_states, n_symbols, seed)
     S, M = n_states, n_symbols
@@ -352,12 +387,13 @@ def fit_hmm(seqs: DataFrame, n_states: int = D.N_STATES, max_iter: int = D.MAX_I
             yield pd.DataFrame({"g0": [g0.tolist()], "xi": [xi.ravel().tolist()],
                                 "em": [em.ravel().tolist()], "ll": [ll]})
 
-        parts = distinct.mapInPandas(estep, out_schema)
-        tot = parts.agg(
-            F.array(*[F.sum(F.col("g0")[i]) for i in range(S)]).alias("g0"),
-            F.array(*[F.sum(F.col("xi")[i]) for i in range(S * S)]).alias("xi"),
-            F.array(*[F.sum(F.col("em")[i]) for i in range(S * M)]).alias("em"),
-            F.sum("ll").alias("ll")).first()
+        # one row of partial sums per partition; summing those few rows on the
+        # driver is cheaper than a 44-column aggregate job per iteration
+        parts = distinct.mapInPandas(estep, out_schema).collect()
+        tot = {"g0": np.sum([r["g0"] for r in parts], axis=0),
+               "xi": np.sum([r["xi"] for r in parts], axis=0),
+               "em": np.sum([r["em"] for r in parts], axis=0),
+               "ll": float(np.sum([r["ll"] for r in parts]))}
         params.unpersist()
         ll = float(tot["ll"])
         g0 = np.array(tot["g0"])

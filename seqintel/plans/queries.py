@@ -634,7 +634,7 @@ def q_c5(spark, sf_dir):
 @register("K9_predict_next", wh("""
 SELECT author, last_state, next_phase_id, next_phase_name, round(confidence, 6) AS confidence FROM rep"""))
 def q_k9(spark, sf_dir):
-    s = _seq(spark, sf_dir).withColumns(H.predict_columns("seq", FXM))
+    s = H.with_prediction(_seq(spark, sf_dir), "seq", FXM)
     return s.select("author", "last_state", "next_phase_id", "next_phase_name",
                     F.round("confidence", 6).alias("confidence"))
 
@@ -649,8 +649,8 @@ _REPORT_COLS = "author, n_posts, dominant_state, next_phase_id, next_phase_name,
 
 @register("K10_author_analysis", wh(f"SELECT {_REPORT_COLS}, array_to_string(state_path, ',') AS state_path FROM rep"))
 def q_k10(spark, sf_dir):
-    r = _report(spark, sf_dir)
-    return H.author_report(r).join(r.select("author", F.array_join("state_path", ",").alias("state_path")), "author")
+    r = _report(spark, sf_dir).withColumn("state_path", F.array_join("state_path", ","))
+    return H.author_report(r, ("state_path",))
 
 
 @register("A10_author_report_csv", wh(f"SELECT {_REPORT_COLS} FROM rep"))
