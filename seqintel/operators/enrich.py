@@ -30,8 +30,10 @@ ENTITY_ARRAY = T.ArrayType(ENTITY_STRUCT)
 TOKEN_PATTERN = r"[\p{L}\p{N}_]+"
 
 # Above this many dictionary keys the substring match switches from an
-# in-codegen array filter to an Aho-Corasick automaton built once per task.
-ARRAY_MATCH_MAX_KEYS = 5000
+# in-codegen array filter (cost: text length x keys) to an Aho-Corasick
+# automaton built once per task (cost: text length). Measured on sf0.1
+# documents with the 271-key dictionary: 22 s array filter vs 4.9 s automaton.
+ARRAY_MATCH_MAX_KEYS = 32
 
 
 # -- entity sources ---------------------------------------------------------
