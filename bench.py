@@ -28,6 +28,8 @@ HEADLINE = [
     ("sequence_building", "D8_phase_sequences", "events"),
     ("author_sequences", "D5_author_sequences", "events"),
     ("decode_predict", "K10_author_analysis", "events"),
+    ("decode_chunked", "K8_decode_chunked", "events"),
+    ("positions", "E1_chronological_position", "events"),
     ("holdout_eval_stats", "D15_global_metrics", "events"),
     ("page_extraction", "K2_extract_posts", "pages"),
     ("link_extraction", "K3_link_extraction", "pages"),
@@ -57,7 +59,7 @@ def main() -> None:
         rates[f"{key}_{unit}_per_s"] = round(rows[unit] / out[key], 1) if out[key] > 0 else None
     # training: one full fit, seconds per EM iteration and iterations
     from seqintel.operators import hmm as H
-    seqs = Q._seq(spark, sf)
+    seqs = Q._chunks(spark, sf)
     t0 = time.perf_counter()
     m = H.fit_hmm(seqs)
     fit = time.perf_counter() - t0

@@ -348,12 +348,35 @@ def _estep_rows(seqs, weights, pi, A, B, max_cells: int = 1 << 21):
 
 def fit_hmm(seqs: DataFrame, n_states: int = D.N_STATES, max_iter: int = D.MAX_ITER,
             tol: float = D.TOL, seed: int = D.SEED, seq_col: str = "seq",
-            n_symbols: int = N_PHASES, min_len: int = 2) -> HMM:
-    """K6: distributed Baum-Welch over sequences of length >= ``min_len``."""
-    check_training_data(seqs, n_states, seq_col)
+            n_symbols: int = N_PHASES, min_len: int = 2, key: str = "author") -> HMM:
+    """K6: distributed Baum-Welch.
+
+    ``seqs`` is either one row per author (``seq`` array) or the chunked form
+    of :func:`seqintel.operators.longseq.chunk_sequences` (``chunk``,
+    ``n_chunks`` columns). Single-chunk sequences are deduplicated with a
+    weight and run through the vectorised E-step; authors spread over several
+    chunks go through the exact chunked E-step (boundary vectors from a
+    per-author fold of chunk transfer matrices), so no author is ever
+    gathered whole.
+    """
+    from . import longseq as LS
     spark = seqs.sparkSession
     ensure_checkpoint_dir(spark)
-    distinct = (seqs.where(F.size(seq_col) >= min_len)
+    chunked = "n_chunks" in seqs.columns
+    if chunked:
+        single = seqs.where(F.col("n_chunks") == 1).select(key, seq_col)
+        multi = seqs.where(F.col("n_chunks") > 1).select(key, "chunk", F.col(seq_col).alias("seq"))
+        tot = seqs.agg(F.coalesce(F.sum(F.size(seq_col)), F.lit(0)).alias("n"),
+                       F.count_if((F.col("n_chunks") > 1) | (F.size(seq_col) >= 2)).alias("k")).first()
+        if tot["n"] < n_states * 3 or tot["k"] < 1:
+            raise TrainingDataError(f"too few posts ({tot['n']}) or sequences ({tot['k']})")
+        has_multi = multi.limit(1).count() > 0
+        if has_multi:
+            multi = multi.repartition(max(spark.sparkContext.defaultParallelism, 1)).checkpoint(eager=True)
+    else:
+        check_training_data(seqs, n_states, seq_col)
+        single, has_multi, multi = seqs, False, None
+    distinct = (single.where(F.size(seq_col) >= min_len)
                 .groupBy(F.col(seq_col).alias("seq")).agg(F.count(F.lit(1)).alias("w")))
     # spread the E-step over every core (AQE would coalesce a small shuffle
     # into one task); the checkpoint cuts lineage for the iterations
@@ -390,15 +413,14 @@ def fit_hmm(seqs: DataFrame, n_states: int = D.N_STATES, max_iter: int = D.MAX_I
         # one row of partial sums per partition; summing those few rows on the
         # driver is cheaper than a 44-column aggregate job per iteration
         parts = distinct.mapInPandas(estep, out_schema).collect()
-        tot = {"g0": np.sum([r["g0"] for r in parts], axis=0),
-               "xi": np.sum([r["xi"] for r in parts], axis=0),
-               "em": np.sum([r["em"] for r in parts], axis=0),
-               "ll": float(np.sum([r["ll"] for r in parts]))}
+        g0 = np.sum([r["g0"] for r in parts], axis=0)
+        xi = np.sum([r["xi"] for r in parts], axis=0).reshape(S, S)
+        em = np.sum([r["em"] for r in parts], axis=0).reshape(S, M)
+        ll = float(np.sum([r["ll"] for r in parts]))
+        if has_multi:
+            a, b, c, d = LS.estep_chunked(multi, key, params, S, M)
+            g0, xi, em, ll = g0 + a, xi + b, em + c, ll + d
         params.unpersist()
-        ll = float(tot["ll"])
-        g0 = np.array(tot["g0"])
-        xi = np.array(tot["xi"]).reshape(S, S)
-        em = np.array(tot["em"]).reshape(S, M)
         start = g0 / g0.sum()
         trans = xi / np.where(xi.sum(1, keepdims=True) == 0, 1, xi.sum(1, keepdims=True))
         emit = em / np.where(em.sum(1, keepdims=True) == 0, 1, em.sum(1, keepdims=True))

@@ -23,6 +23,7 @@ from ..operators import evaluate as EV
 from ..operators import report as RP
 from ..operators import extract as EX
 from ..operators import graph as GR
+from ..operators import longseq as LS
 from ..session import table
 from . import fixtures as FX
 from . import oracle as O
@@ -540,7 +541,11 @@ def q_d8c(spark, sf_dir):
 SELECT message_id, author, CAST(row_number() OVER (PARTITION BY author ORDER BY ts, message_id) AS BIGINT) AS pos
 FROM fx_tech"""))
 def q_e1(spark, sf_dir):
-    return SEQ.chronological_position(_tech(spark, sf_dir)).select("message_id", "author", "pos")
+    # skew-proof form: range-partitioned sort + per-slice offsets (no window per author)
+    return LS.positions(_tech(spark, sf_dir), ["author"], ["ts", "message_id"]).select(
+        "message_id", "author", "pos")
+
+
 
 
 @register("E2_hold_out_last", wt("""
@@ -1144,9 +1149,14 @@ def q_a12(spark, sf_dir):
 _FITTED: dict[str, H.HMM] = {}
 
 
+def _chunks(spark, sf_dir):
+    """Skew-proof chunked phase sequences (positions by range-partitioned sort)."""
+    return LS.phase_chunks(_tech(spark, sf_dir), ts_col="ts", id_col="event_id")
+
+
 def _fitted(spark, sf_dir) -> H.HMM:
     if sf_dir not in _FITTED:
-        _FITTED[sf_dir] = H.fit_hmm(_seq(spark, sf_dir))
+        _FITTED[sf_dir] = H.fit_hmm(_chunks(spark, sf_dir))
     return _FITTED[sf_dir]
 
 
@@ -1280,3 +1290,11 @@ def q_s3(spark, sf_dir):
     sink, ckpt = SRC.scratch_dir(spark, "pages-sink"), SRC.scratch_dir(spark, "pages-ckpt")
     ST.page_counts_stream(ST.landing_stream(spark, landing, schema), sink, ckpt).awaitTermination()
     return ST.read_page_counts(spark, sink)
+
+
+@register("K8_decode_chunked", wh("""
+SELECT r.author, CAST(len(r.seq) AS BIGINT) AS n_posts, CAST(r.last_state AS INTEGER) AS last_state,
+       r.dominant_state, round(d.logp, 6) AS logp FROM rep r JOIN dec d ON r.author = d.author"""))
+def q_k8c(spark, sf_dir):
+    d = LS.decode_chunks(_chunks(spark, sf_dir), FXM)
+    return d.select("author", "n_posts", "last_state", "dominant_state", F.round("logp", 6).alias("logp"))

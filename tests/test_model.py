@@ -102,3 +102,38 @@ def test_analysis_short_and_dominant(spark):
     nxt = nxt / nxt.sum()
     assert rows["l"]["next_phase_id"] == int(np.argmax(nxt))
     assert abs(rows["l"]["confidence"] - nxt.max()) < 1e-12
+
+
+def _long_frame(spark, seqs):
+    rows = [(a, t, f"{a}-{t:05d}", [f"T{p}"]) for a, s in seqs for t, p in enumerate(s)]
+    return spark.createDataFrame(rows, "author STRING, ts INT, message_id STRING, techniques ARRAY<STRING>")
+
+
+def test_chunked_equals_whole(spark):
+    """Chunked E-step / Viterbi (small chunks) equal the whole-sequence forms."""
+    from seqintel.operators import longseq as LS
+    rng = np.random.RandomState(7)
+    seqs = [(f"a{i}", rng.randint(0, 6, size=rng.randint(1, 30)).tolist()) for i in range(12)]
+    whole = spark.createDataFrame(seqs, "author STRING, seq ARRAY<INT>")
+    # chunk the same sequences through positions + chunk_sequences
+    long = spark.createDataFrame([(a, t, p) for a, s in seqs for t, p in enumerate(s)],
+                                 "author STRING, t INT, phase INT")
+    pos = LS.positions(long, ["author"], ["t"], n_partitions=3)
+    got_pos = {(r["author"], r["t"]): r["pos"] for r in pos.collect()}
+    assert all(got_pos[(a, t)] == t + 1 for a, s in seqs for t in range(len(s)))
+    chunks = LS.chunk_sequences(pos, "author", "pos", "phase", L=4)
+    m1 = H.fit_hmm(whole, n_states=3, max_iter=6)
+    m2 = H.fit_hmm(chunks, n_states=3, max_iter=6)
+    assert np.allclose(m1.history, m2.history, atol=1e-8)
+    assert np.allclose(m1.trans, m2.trans, atol=1e-8) and np.allclose(m1.emit, m2.emit, atol=1e-8)
+    m = H.FX_HMM
+    dec = {r["author"]: r for r in LS.decode_chunks(chunks, m).collect()}
+    for a, s in seqs:
+        path, lp, _ = brute(m, s) if len(s) <= 6 else (None, None, None)
+        v = spark.createDataFrame([(s,)], "seq ARRAY<INT>").select(H.viterbi("seq", m).alias("v")).first()["v"]
+        assert dec[a]["last_state"] == v["path"][-1]
+        assert abs(dec[a]["logp"] - v["logp"]) < 1e-9
+        counts = {x: v["path"].count(x) for x in set(v["path"])}
+        top = max(counts.values())
+        assert dec[a]["dominant_state"] == next(x for x in v["path"] if counts[x] == top)
+        assert dec[a]["n_posts"] == len(s)
