@@ -353,3 +353,36 @@ def decode_chunks(chunks: DataFrame, m, key: str = "author", L: int = CHUNK) ->
     return agg.select(key, "n_posts", F.col("last_state").cast("int"),
                       F.array_max(F.filter(cand, lambda c: c.isNotNull()))["s"].cast("int").alias("dominant_state"),
                       "logp")
+
+
+def loglik_chunks(chunks: DataFrame, m, key: str = "author") -> DataFrame:
+    """K7 over chunked sequences: (author, loglik). Single-chunk authors use
+    the built-in forward pass; multi-chunk authors fold their chunk transfer
+    matrices (no author gathered whole)."""
+    from .hmm import forward_loglik
+    spark = chunks.sparkSession
+    single = chunks.where(F.col("n_chunks") == 1).select(key, forward_loglik("seq", m).alias("loglik"))
+    multi = chunks.where(F.col("n_chunks") > 1)
+    params = spark.sparkContext.broadcast((np.array(m.start), np.array(m.trans), np.array(m.emit)))
+    b = _author_boundaries(_chunk_transfers(multi, key, "sum", params), key, "sum", m.n_states, params)
+    return single.unionByName(b.where(F.col("chunk") == 0).select(key, F.col("score").alias("loglik")))
+
+
+def analyze_chunks(chunks: DataFrame, m, key: str = "author", L: int = CHUNK) -> DataFrame:
+    """K10 over chunked sequences: the 7-column author report (no state path),
+    from the chunked decode (last and dominant state) and the next-phase table."""
+    from .. import dictionaries as D
+    from .hmm import _lit_mat, phase_names
+    d = decode_chunks(chunks, m, key, L)
+    nxt = _lit_mat(m.next_table())
+    short = F.col("n_posts") < 2
+    probs = nxt[F.col("last_state")]
+    d = d.withColumn("_p", probs)
+    pred = (F.array_position("_p", F.array_max("_p")) - 1).cast("int")
+    return d.select(
+        key, "n_posts",
+        F.when(~short, F.col("dominant_state")).alias("dominant_state"),
+        F.when(~short, pred).alias("next_phase_id"),
+        F.when(short, F.lit(D.SHORT_SEQUENCE_NAME)).otherwise(phase_names()[pred]).alias("next_phase_name"),
+        F.when(short, F.lit(0.0)).otherwise(F.round(F.array_max("_p"), 4)).alias("confidence"),
+        F.when(short, F.lit(D.SHORT_SEQUENCE_STATUS)).otherwise(F.lit("OK")).alias("status"))

@@ -1298,3 +1298,13 @@ SELECT r.author, CAST(len(r.seq) AS BIGINT) AS n_posts, CAST(r.last_state AS INT
 def q_k8c(spark, sf_dir):
     d = LS.decode_chunks(_chunks(spark, sf_dir), FXM)
     return d.select("author", "n_posts", "last_state", "dominant_state", F.round("logp", 6).alias("logp"))
+
+
+@register("K7_loglik_chunked", wt(f"SELECT author, round({O.forward_sql('seq', FXM)}, 6) AS loglik FROM fx_seq"))
+def q_k7c(spark, sf_dir):
+    return LS.loglik_chunks(_chunks(spark, sf_dir), FXM).select("author", F.round("loglik", 6).alias("loglik"))
+
+
+@register("K10_author_report_chunked", wh(f"SELECT {_REPORT_COLS} FROM rep"))
+def q_k10c(spark, sf_dir):
+    return LS.analyze_chunks(_chunks(spark, sf_dir), FXM)

@@ -137,3 +137,20 @@ def test_chunked_equals_whole(spark):
         top = max(counts.values())
         assert dec[a]["dominant_state"] == next(x for x in v["path"] if counts[x] == top)
         assert dec[a]["n_posts"] == len(s)
+
+
+def test_chunked_loglik_and_report(spark):
+    from seqintel.operators import longseq as LS
+    rng = np.random.RandomState(11)
+    seqs = [(f"b{i}", rng.randint(0, 6, size=rng.randint(1, 20)).tolist()) for i in range(10)]
+    long = spark.createDataFrame([(a, t, p) for a, s in seqs for t, p in enumerate(s)],
+                                 "author STRING, t INT, phase INT")
+    chunks = LS.chunk_sequences(LS.positions(long, ["author"], ["t"], n_partitions=2), "author", "pos", "phase", L=3)
+    m = H.FX_HMM
+    ll = {r["author"]: r["loglik"] for r in LS.loglik_chunks(chunks, m).collect()}
+    whole = spark.createDataFrame(seqs, "author STRING, seq ARRAY<INT>")
+    ref = {r["author"]: r["ll"] for r in whole.select("author", H.forward_loglik("seq", m).alias("ll")).collect()}
+    assert all(abs(ll[a] - ref[a]) < 1e-9 for a in ref)
+    rep = {r["author"]: tuple(r) for r in LS.analyze_chunks(chunks, m, L=3).collect()}
+    want = {r["author"]: tuple(r) for r in H.author_report(H.analyze_authors(whole, m)).collect()}
+    assert rep == want
