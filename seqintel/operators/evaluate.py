@@ -103,10 +103,16 @@ def class_metrics(pred: DataFrame, n_phases: int = len(D.PHASES)) -> DataFrame:
     rounded to 4. Phases without rows are present with zeros."""
     spark = pred.sparkSession
     ph = spark.createDataFrame([(i, n) for i, n, _ in D.PHASES[:n_phases]], "phase_id INT, phase_name STRING")
-    t = pred.groupBy(F.col("truth").alias("phase_id")).agg(
-        F.count_if(F.col("truth") == F.col("pred")).alias("tp"), F.count(F.lit(1)).alias("support"))
-    p = pred.groupBy(F.col("pred").alias("phase_id")).agg(F.count(F.lit(1)).alias("npred"))
-    j = ph.join(t, "phase_id", "left").join(p, "phase_id", "left").fillna(0, ["tp", "support", "npred"])
+    # one pass over the predictions: each row counts once for its true phase
+    # (support, tp) and once for its predicted phase (npred)
+    both = pred.select(F.explode(F.array(
+        F.struct(F.col("truth").cast("int").alias("phase_id"), F.lit(1).alias("s"),
+                 (F.col("truth") == F.col("pred")).cast("int").alias("t"), F.lit(0).alias("p")),
+        F.struct(F.col("pred").cast("int").alias("phase_id"), F.lit(0).alias("s"), F.lit(0).alias("t"),
+                 F.lit(1).alias("p")))).alias("x")).select("x.*")
+    c = both.groupBy("phase_id").agg(F.sum("t").alias("tp"), F.sum("s").alias("support"),
+                                      F.sum("p").alias("npred"))
+    j = F.broadcast(ph).join(c, "phase_id", "left").fillna(0, ["tp", "support", "npred"])
     prec = F.when(F.col("npred") > 0, F.col("tp") / F.col("npred")).otherwise(0.0)
     rec = F.when(F.col("support") > 0, F.col("tp") / F.col("support")).otherwise(0.0)
     j = j.withColumns({"_p": prec, "_r": rec})
