@@ -369,20 +369,52 @@ def loglik_chunks(chunks: DataFrame, m, key: str = "author") -> DataFrame:
 
 
 def analyze_chunks(chunks: DataFrame, m, key: str = "author", L: int = CHUNK) -> DataFrame:
-    """K10 over chunked sequences: the 7-column author report (no state path),
-    from the chunked decode (last and dominant state) and the next-phase table."""
+    """K10 over chunked sequences: per author n_posts, last and dominant
+    state, predicted phase, confidence (unrounded) and status; the chunked
+    decode supplies the states and the next-phase table the prediction."""
     from .. import dictionaries as D
     from .hmm import _lit_mat, phase_names
     d = decode_chunks(chunks, m, key, L)
     nxt = _lit_mat(m.next_table())
     short = F.col("n_posts") < 2
-    probs = nxt[F.col("last_state")]
-    d = d.withColumn("_p", probs)
+    d = d.withColumn("_p", nxt[F.col("last_state")])
     pred = (F.array_position("_p", F.array_max("_p")) - 1).cast("int")
     return d.select(
         key, "n_posts",
         F.when(~short, F.col("dominant_state")).alias("dominant_state"),
+        F.when(~short, F.col("last_state")).alias("last_state"),
         F.when(~short, pred).alias("next_phase_id"),
         F.when(short, F.lit(D.SHORT_SEQUENCE_NAME)).otherwise(phase_names()[pred]).alias("next_phase_name"),
-        F.when(short, F.lit(0.0)).otherwise(F.round(F.array_max("_p"), 4)).alias("confidence"),
+        F.when(short, F.lit(0.0)).otherwise(F.array_max("_p")).alias("confidence"),
+        F.when(~short, F.col("_p")).alias("probs"),
         F.when(short, F.lit(D.SHORT_SEQUENCE_STATUS)).otherwise(F.lit("OK")).alias("status"))
+
+
+def hold_out_chunks(chunks: DataFrame, key: str = "author") -> tuple[DataFrame, DataFrame]:
+    """E2 on chunked sequences: (truth per author, history chunks). The last
+    phase is cut from the last chunk (dropped when it held only that phase);
+    authors with fewer than 2 phases are left out."""
+    last = (chunks.where(F.col("chunk") == F.col("n_chunks") - 1)
+            .select(key, F.element_at("seq", -1).alias("truth"), F.size("seq").alias("_ls"),
+                    (F.col("chunk") * 0 + F.col("n_chunks")).alias("_nc")))
+    h = chunks.join(last, key)
+    h = h.where((F.col("_nc") > 1) | (F.col("_ls") >= 2))
+    is_last = F.col("chunk") == F.col("n_chunks") - 1
+    hist = (h.withColumn("seq", F.when(is_last, F.slice("seq", 1, F.size("seq") - 1)).otherwise(F.col("seq")))
+            .where(F.size("seq") > 0)
+            .withColumn("n_chunks", F.when(F.col("_ls") == 1, F.col("n_chunks") - 1).otherwise(F.col("n_chunks"))))
+    truth = last.where((F.col("_nc") > 1) | (F.col("_ls") >= 2)).select(key, "truth")
+    return truth, hist.select(key, "chunk", "seq", "n_chunks")
+
+
+def predictions_chunks(chunks: DataFrame, m, key: str = "author", L: int = CHUNK) -> DataFrame:
+    """K12 on chunked sequences: predicted vs true last phase per author."""
+    from .hmm import phase_names
+    truth, hist = hold_out_chunks(chunks, key)
+    a = analyze_chunks(hist, m, key, L)
+    names = phase_names()
+    return truth.join(a, key).select(
+        key, F.col("truth").cast("int"),
+        F.coalesce(names[F.col("truth")], F.concat(F.lit("Fase "), F.col("truth").cast("string"))).alias("truth_name"),
+        F.col("next_phase_id").alias("pred"), F.col("next_phase_name").alias("pred_name"), "confidence",
+        (F.col("truth") == F.col("next_phase_id")).alias("correct"))

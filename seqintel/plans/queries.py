@@ -606,11 +606,13 @@ def wh(sql: str) -> str:
 
 
 def _report(spark, sf_dir):
-    return H.analyze_authors(_seq(spark, sf_dir), FXM)
+    """Per-author report from the chunked, skew-proof decode."""
+    return LS.analyze_chunks(_chunks(spark, sf_dir), FXM)
 
 
 def _k12(spark, sf_dir):
-    return EV.predictions(_seq(spark, sf_dir), FXM)
+    """Hold-out predictions from the chunked, skew-proof decode."""
+    return LS.predictions_chunks(_chunks(spark, sf_dir), FXM)
 
 
 @register("K7_sequence_loglik", wt(f"SELECT author, round({O.forward_sql('seq', FXM)}, 6) AS loglik FROM fx_seq"))
@@ -630,8 +632,7 @@ FROM (SELECT author, probs, unnest(range(6)) AS ph FROM pred)"""))
 def q_c5(spark, sf_dir):
     _, t, e = H.model_frames(spark, FXM)
     nxt = H.next_phase_frame(t, e)
-    s = _seq(spark, sf_dir).withColumn("_v", H.viterbi("seq", FXM))
-    last = s.select("author", F.element_at("_v.path", -1).alias("last_state"))
+    last = _report(spark, sf_dir).select("author", "last_state")
     return (last.join(F.broadcast(nxt), "last_state")
             .select("author", "phase", F.round("p", 6).alias("p")))
 
@@ -639,8 +640,8 @@ def q_c5(spark, sf_dir):
 @register("K9_predict_next", wh("""
 SELECT author, last_state, next_phase_id, next_phase_name, round(confidence, 6) AS confidence FROM rep"""))
 def q_k9(spark, sf_dir):
-    s = H.with_prediction(_seq(spark, sf_dir), "seq", FXM)
-    return s.select("author", "last_state", "next_phase_id", "next_phase_name",
+    r = _report(spark, sf_dir)
+    return r.select("author", "last_state", "next_phase_id", "next_phase_name",
                     F.round("confidence", 6).alias("confidence"))
 
 
@@ -654,7 +655,8 @@ _REPORT_COLS = "author, n_posts, dominant_state, next_phase_id, next_phase_name,
 
 @register("K10_author_analysis", wh(f"SELECT {_REPORT_COLS}, array_to_string(state_path, ',') AS state_path FROM rep"))
 def q_k10(spark, sf_dir):
-    r = _report(spark, sf_dir).withColumn("state_path", F.array_join("state_path", ","))
+    # whole-array form: it returns the full state path per author
+    r = H.analyze_authors(_seq(spark, sf_dir), FXM).withColumn("state_path", F.array_join("state_path", ","))
     return H.author_report(r, ("state_path",))
 
 
@@ -681,7 +683,8 @@ def q_k11(spark, sf_dir):
 SELECT author, truth, truth_name, pred, pred_name, round(confidence, 6) AS confidence, correct,
        array_to_string(history, ',') AS history FROM k12"""))
 def q_k12(spark, sf_dir):
-    p = _k12(spark, sf_dir)
+    # whole-array form: it returns the history per author
+    p = EV.predictions(_seq(spark, sf_dir), FXM)
     return p.select("author", "truth", "truth_name", "pred", "pred_name", F.round("confidence", 6).alias("confidence"),
                     "correct", F.array_join("history", ",").alias("history"))
 
@@ -1307,4 +1310,4 @@ def q_k7c(spark, sf_dir):
 
 @register("K10_author_report_chunked", wh(f"SELECT {_REPORT_COLS} FROM rep"))
 def q_k10c(spark, sf_dir):
-    return LS.analyze_chunks(_chunks(spark, sf_dir), FXM)
+    return H.author_report(LS.analyze_chunks(_chunks(spark, sf_dir), FXM))

@@ -154,3 +154,19 @@ def test_chunked_loglik_and_report(spark):
     rep = {r["author"]: tuple(r) for r in LS.analyze_chunks(chunks, m, L=3).collect()}
     want = {r["author"]: tuple(r) for r in H.author_report(H.analyze_authors(whole, m)).collect()}
     assert rep == want
+
+
+def test_chunked_holdout_predictions(spark):
+    from seqintel.operators import evaluate as EV
+    from seqintel.operators import longseq as LS
+    rng = np.random.RandomState(13)
+    seqs = [(f"c{i}", rng.randint(0, 6, size=n).tolist()) for i, n in enumerate([1, 2, 3, 4, 5, 7, 9, 13])]
+    long = spark.createDataFrame([(a, t, p) for a, s in seqs for t, p in enumerate(s)],
+                                 "author STRING, t INT, phase INT")
+    chunks = LS.chunk_sequences(LS.positions(long, ["author"], ["t"], n_partitions=2), "author", "pos", "phase", L=3)
+    got = {r["author"]: tuple(r) for r in LS.predictions_chunks(chunks, H.FX_HMM, L=3).collect()}
+    whole = spark.createDataFrame(seqs, "author STRING, seq ARRAY<INT>")
+    ref = EV.predictions(whole, H.FX_HMM).select("author", "truth", "truth_name", "pred", "pred_name",
+                                                   "confidence", "correct")
+    want = {r["author"]: tuple(r) for r in ref.collect()}
+    assert got == want and "c0" not in got
