@@ -368,15 +368,18 @@ def loglik_chunks(chunks: DataFrame, m, key: str = "author") -> DataFrame:
     return single.unionByName(b.where(F.col("chunk") == 0).select(key, F.col("score").alias("loglik")))
 
 
-def analyze_chunks(chunks: DataFrame, m, key: str = "author", L: int = CHUNK) -> DataFrame:
+def analyze_chunks(chunks: DataFrame, m, key: str = "author", L: int = CHUNK,
+                   min_len: int = 2) -> DataFrame:
     """K10 over chunked sequences: per author n_posts, last and dominant
     state, predicted phase, confidence (unrounded) and status; the chunked
-    decode supplies the states and the next-phase table the prediction."""
+    decode supplies the states and the next-phase table the prediction.
+    Sequences shorter than ``min_len`` get the fixed 'too short' result (K10
+    uses 2; plain prediction, K9 / K12, uses 1)."""
     from .. import dictionaries as D
     from .hmm import _lit_mat, phase_names
     d = decode_chunks(chunks, m, key, L)
     nxt = _lit_mat(m.next_table())
-    short = F.col("n_posts") < 2
+    short = F.col("n_posts") < min_len
     d = d.withColumn("_p", nxt[F.col("last_state")])
     pred = (F.array_position("_p", F.array_max("_p")) - 1).cast("int")
     return d.select(
@@ -411,7 +414,7 @@ def predictions_chunks(chunks: DataFrame, m, key: str = "author", L: int = CHUNK
     """K12 on chunked sequences: predicted vs true last phase per author."""
     from .hmm import phase_names
     truth, hist = hold_out_chunks(chunks, key)
-    a = analyze_chunks(hist, m, key, L)
+    a = analyze_chunks(hist, m, key, L, min_len=1)
     names = phase_names()
     return truth.join(a, key).select(
         key, F.col("truth").cast("int"),
