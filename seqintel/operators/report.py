@@ -166,3 +166,45 @@ def failure_streaks(log: DataFrame, threshold: int = 10, order: Sequence[str] =
     return (df.withColumn("streak", streak.cast("long"))
             .withColumn("pause", fail & (n % threshold == 0))
             .drop("_island", "_nfail"))
+
+
+def failure_streaks_scan(log: DataFrame, threshold: int = 10, order: Sequence[str] = ("ts", "event_id"),
+                         keys: Sequence[str] = ("host",), outcome_col: str = "outcome",
+                         n_partitions: int | None = None) -> DataFrame:
+    """E3 without a per-key window: equal to :func:`failure_streaks` but a
+    hot host is split over many tasks.
+
+    Running counts are prefix sums: a range-partitioned sort splits each key
+    into slices; running values inside a slice (window over (slice, key), so
+    bounded by one partition) plus a carry from earlier slices (a tiny
+    per-(slice, key) table) give the global running values. The failures
+    since the last ``ok`` are F(t) - F(last ok), where F is the running count
+    of failures (non-decreasing, so F(last ok) is a running max)."""
+    from ..session import ensure_checkpoint_dir
+    spark = log.sparkSession
+    ensure_checkpoint_dir(spark)
+    keys, order = list(keys), list(order)
+    n = n_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    fail = F.col(outcome_col).isin("server_error", "http_error")
+    ok = F.col(outcome_col) == "ok"
+    r = (log.withColumns({"_f": fail.cast("long"), "_ok": ok})
+         .repartitionByRange(n, *keys, *order).sortWithinPartitions(*keys, *order)
+         .withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True))
+    w = Window.partitionBy("_pid", *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    r = r.withColumn("_fl", F.sum("_f").over(w))
+    r = r.withColumn("_okl", F.max(F.when(F.col("_ok"), F.col("_fl"))).over(w))
+    g = r.groupBy("_pid", *keys).agg(F.sum("_f").alias("_sf"), F.max(F.when(F.col("_ok"), F.col("_fl"))).alias("_mo"))
+    wg = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    g = g.withColumn("_foff", F.coalesce(F.sum("_sf").over(wg), F.lit(0)))
+    g = g.withColumn("_carry", F.max(F.col("_foff") + F.col("_mo")).over(wg)).drop("_sf", "_mo")
+    j = r.join(F.broadcast(g) if g.count() <= 2_000_000 else g, ["_pid", *keys])
+    ftot = F.col("_fl") + F.col("_foff")
+    last_ok = F.greatest(F.coalesce(F.col("_okl") + F.col("_foff"), F.lit(0)),
+                         F.coalesce(F.col("_carry"), F.lit(0)))
+    nf = ftot - last_ok
+    streak = (F.when(F.col(outcome_col) == "ok", 0)
+              .when(fail, ((nf - 1) % threshold) + 1)
+              .otherwise(nf % threshold))
+    return (j.withColumn("streak", streak.cast("long"))
+            .withColumn("pause", fail & (nf % threshold == 0))
+            .drop("_f", "_ok", "_pid", "_fl", "_okl", "_foff", "_carry"))

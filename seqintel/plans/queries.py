@@ -945,7 +945,7 @@ SELECT event_id, host, outcome,
 def q_e3(spark, sf_dir):
     f = FX.fx_fetch(spark, sf_dir)
     f = f.withColumn("outcome", RP.fetch_outcome("status", "requested_url", "final_url"))
-    s = RP.failure_streaks(f, 10, ("ts", "event_id"), ("host",))
+    s = RP.failure_streaks_scan(f, 10, ("ts", "event_id"), ("host",))
     return s.select("event_id", "host", "outcome", "streak", "pause")
 
 

@@ -64,3 +64,16 @@ def test_histogram_all_equal(spark):
     df = spark.createDataFrame([(0.3,), (0.3,)], "confidence DOUBLE")
     h = dict(map(tuple, EV.confidence_histogram(df).collect()))
     assert h[11] == 2 and sum(h.values()) == 2
+
+
+def test_failure_streaks_scan_equals_window(spark):
+    import random
+    rnd = random.Random(3)
+    outs = ["ok", "server_error", "http_error", "blocked"]
+    rows = [(i, h, rnd.choice(outs) if rnd.random() < 0.5 else "server_error") for i, h in
+            enumerate(rnd.choice(["h1", "h2", "h3"]) for _ in range(400))]
+    df = spark.createDataFrame(rows, "event_id INT, host STRING, outcome STRING").withColumn("ts", F.col("event_id"))
+    a = {r["event_id"]: (r["streak"], r["pause"]) for r in RP.failure_streaks(df, 4, partition=("host",)).collect()}
+    b = {r["event_id"]: (r["streak"], r["pause"]) for r in
+         RP.failure_streaks_scan(df, 4, keys=("host",), n_partitions=7).collect()}
+    assert a == b
