@@ -321,6 +321,31 @@ def phase_chunks(posts: DataFrame, author_col: str = "author", ts_col: str = "ts
     return chunk_sequences(pos, author_col, "pos", "phase", L)
 
 
+def chunk_paths(chunks: DataFrame, m, key: str = "author") -> DataFrame:
+    """K8 long form: (author, chunk, path, logp, seq) per chunk; built-in
+    decode for single-chunk authors, chunked max-plus passes otherwise."""
+    from .hmm import viterbi
+    single = chunks.where(F.col("n_chunks") == 1).withColumn("_v", viterbi("seq", m)).select(
+        key, "chunk", F.col("_v.path").alias("path"), F.col("_v.logp").alias("logp"), "seq")
+    multi = chunks.where(F.col("n_chunks") > 1)
+    mp = viterbi_chunked(multi, key, m).join(multi.select(key, "chunk", "seq"), [key, "chunk"])
+    return single.unionByName(mp.select(key, "chunk", "path", "logp", "seq"))
+
+
+def author_sequence_chunks(posts: DataFrame, fields: Sequence[str], author_col: str = "author",
+                           ts_col: str = "ts", id_col: str = "message_id", L: int = CHUNK) -> DataFrame:
+    """D5 in chunked form: per (author, chunk) the post structs in time order,
+    at most L per row (NULL times dropped)."""
+    p = posts.where(F.col(ts_col).isNotNull())
+    pos = positions(p, [author_col], [ts_col, id_col])
+    st = F.struct(F.col("pos"), F.col(ts_col).alias("ts"), F.col(id_col).alias("message_id"),
+                  *[F.col(f) for f in fields if f not in (ts_col, id_col)])
+    g = (pos.withColumn("chunk", ((F.col("pos") - 1) / L).cast("long"))
+         .groupBy(author_col, "chunk").agg(F.array_sort(F.collect_list(st)).alias("posts")))
+    n = g.groupBy(author_col).agg((F.max("chunk") + 1).alias("n_chunks"))
+    return g.join(n, author_col)
+
+
 def decode_chunks(chunks: DataFrame, m, key: str = "author", L: int = CHUNK) -> DataFrame:
     """K8 + K9 + D9 over chunked sequences, per author:
     (author, n_posts, last_state, dominant_state, logp). Single-chunk authors
@@ -328,13 +353,8 @@ def decode_chunks(chunks: DataFrame, m, key: str = "author", L: int = CHUNK) ->
     max-plus passes. Dominant state: per-chunk counts and first positions,
     summed per author (tie -> first seen). ``L`` is the chunk length the
     chunks were built with (it orders first occurrences across chunks)."""
-    from .hmm import viterbi
     S = m.n_states
-    single = chunks.where(F.col("n_chunks") == 1).withColumn("_v", viterbi("seq", m)).select(
-        key, "chunk", F.col("_v.path").alias("path"), F.col("_v.logp").alias("logp"), "seq")
-    multi = chunks.where(F.col("n_chunks") > 1)
-    mp = viterbi_chunked(multi, key, m).join(multi.select(key, "chunk", "seq"), [key, "chunk"])
-    paths = single.unionByName(mp.select(key, "chunk", "path", "logp", "seq"))
+    paths = chunk_paths(chunks, m, key)
     L = F.lit(L).cast("long")
     per_state = paths.select(key, "chunk", F.size("seq").alias("n"), F.element_at("path", -1).alias("last"),
                              F.col("logp"),

@@ -1311,3 +1311,36 @@ def q_k7c(spark, sf_dir):
 @register("K10_author_report_chunked", wh(f"SELECT {_REPORT_COLS} FROM rep"))
 def q_k10c(spark, sf_dir):
     return H.author_report(LS.analyze_chunks(_chunks(spark, sf_dir), FXM))
+
+
+def _slices_sql(list_expr: str, L: int = LS.CHUNK) -> str:
+    """DuckDB: one row per L-sized slice of a list: (c, slice)."""
+    return (f"SELECT *, unnest(range(0, (len({list_expr}) - 1) // {L} + 1)) AS c FROM")
+
+
+@register("D8_phase_chunks", wt(f"""
+SELECT author, CAST(c AS BIGINT) AS chunk, array_to_string(seq[c * {LS.CHUNK} + 1:(c + 1) * {LS.CHUNK}], ',') AS seq,
+       CAST((len(seq) - 1) // {LS.CHUNK} + 1 AS BIGINT) AS n_chunks
+FROM ({_slices_sql('seq')} fx_seq)"""))
+def q_d8c(spark, sf_dir):
+    c = _chunks(spark, sf_dir)
+    return c.select("author", "chunk", F.array_join("seq", ",").alias("seq"), F.col("n_chunks").cast("long"))
+
+
+@register("K8_viterbi_paths_chunked", wh(f"""
+SELECT author, CAST(c AS BIGINT) AS chunk, array_to_string(path[c * {LS.CHUNK} + 1:(c + 1) * {LS.CHUNK}], ',') AS path
+FROM ({_slices_sql('path')} dec)"""))
+def q_k8p(spark, sf_dir):
+    p = LS.chunk_paths(_chunks(spark, sf_dir), FXM)
+    return p.select("author", "chunk", F.array_join("path", ",").alias("path"))
+
+
+@register("D5_author_sequence_chunks", wt(f"""
+SELECT author, CAST((rn - 1) // {LS.CHUNK} AS BIGINT) AS chunk, CAST(count(*) AS BIGINT) AS n_posts,
+       string_agg(message_id, ',' ORDER BY rn) AS message_ids
+FROM (SELECT *, row_number() OVER (PARTITION BY author ORDER BY ts, message_id) AS rn FROM fx_tech
+      WHERE ts IS NOT NULL) GROUP BY author, (rn - 1) // {LS.CHUNK}"""))
+def q_d5c(spark, sf_dir):
+    c = LS.author_sequence_chunks(_tech(spark, sf_dir), ["value"])
+    return c.select("author", "chunk", F.size("posts").cast("long").alias("n_posts"),
+                    F.array_join(F.transform("posts", lambda p: p["message_id"]), ",").alias("message_ids"))

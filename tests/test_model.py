@@ -170,3 +170,19 @@ def test_chunked_holdout_predictions(spark):
                                                    "confidence", "correct")
     want = {r["author"]: tuple(r) for r in ref.collect()}
     assert got == want and "c0" not in got
+
+
+def test_chunked_on_event_data_small_chunks(spark):
+    """Real event sequences cut into 16-phase chunks give the whole-array report."""
+    from seqintel.operators import longseq as LS
+    from seqintel.plans import queries as Q
+    sf = "/root/testdata/sf0.001"
+    chunks = LS.phase_chunks(Q._tech(spark, sf), ts_col="ts", id_col="event_id", L=16)
+    assert chunks.agg(F.max("n_chunks")).first()[0] > 1
+    got = {r["author"]: tuple(r) for r in H.author_report(LS.analyze_chunks(chunks, H.FX_HMM, L=16)).collect()}
+    want = {r["author"]: tuple(r) for r in H.author_report(H.analyze_authors(Q._seq(spark, sf), H.FX_HMM)).collect()}
+    assert got == want
+    ll = {r["author"]: r["loglik"] for r in LS.loglik_chunks(chunks, H.FX_HMM).collect()}
+    ref = {r["author"]: r["ll"] for r in Q._seq(spark, sf).select(
+        "author", H.forward_loglik("seq", H.FX_HMM).alias("ll")).collect()}
+    assert all(abs(ll[a] - ref[a]) < 1e-7 for a in ref)
