@@ -21,7 +21,9 @@ from seqintel.session import local_session, table  # noqa: E402
 
 HEADLINE = [
     # (bench key, registered query, unit rows come from)
-    ("clean_anonymize", "B16_export_projection", "documents"),
+    ("anonymize_b8_b10", "B10_anonymize_record", "documents"),
+    ("clean_b12", "B12_clean_text", "documents"),
+    ("clean_anonymize_export", "B16_export_projection", "documents"),
     ("fingerprint_dedup", "D1_dedup_first", "documents"),
     ("dictionary_match", "C1_term_match", "documents"),
     ("enrich_posts", "K14_enrich_posts", "documents"),
@@ -50,6 +52,7 @@ def main() -> None:
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     spark = local_session(cpus, int(cpus) if cpus.isdigit() else 8, app="seqintel-bench")
     rows = {t: table(spark, sf, t).count() for t in {u for _, _, u in HEADLINE}}
+    n_authors = table(spark, sf, "events").select("user_id").distinct().count()
     out: dict[str, float] = {}
     rates: dict[str, float] = {}
     for key, name, unit in HEADLINE:
@@ -57,6 +60,8 @@ def main() -> None:
         times = [run(spark, name, sf) for _ in range(repeat)]
         out[key] = round(statistics.median(times), 3)
         rates[f"{key}_{unit}_per_s"] = round(rows[unit] / out[key], 1) if out[key] > 0 else None
+    for key in ("decode_predict", "decode_chunked"):
+        rates[f"{key}_authors_per_s"] = round(n_authors / out[key], 1)
     # training: one full fit, seconds per EM iteration and iterations
     from seqintel.operators import hmm as H
     seqs = Q._chunks(spark, sf)

@@ -13,8 +13,6 @@ import json
 import os
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # --------------------------------------------------------------------------
 # FIXED VALUES (must equal the original pipeline's constants)
@@ -161,11 +159,3 @@ def load_terms_json(path: str | None = None) -> dict[str, list[str]]:
     if not isinstance(data, dict) or not data:
         raise ValueError(f"term dictionary {path!r} is empty or not an object")
     return data
-
-
-def terms_map_literal(terms: dict[str, list[str]]):
-    """The dictionary as a Spark ``MAP<STRING, ARRAY<STRING>>`` literal column."""
-    pairs = []
-    for k, v in terms.items():
-        pairs += [F.lit(k), F.array(*[F.lit(x) for x in v]).cast(T.ArrayType(T.StringType()))]
-    return F.create_map(*pairs)

@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import hashlib
 import re
-from datetime import datetime
 from html.parser import HTMLParser
 
 import pandas as pd

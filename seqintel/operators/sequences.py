@@ -141,6 +141,6 @@ def technique_fixture(spark: SparkSession, events: DataFrame) -> DataFrame:
                    .otherwise(arr("T1005")))
              .when(et == "error", F.when(r == 2, arr("T1005", "T1046")).otherwise(arr()))
              .otherwise(arr()))
-    return events.select(F.col("user_id").cast("string").alias("author"), "ts",
+    return events.select(F.col("user_id").cast("string").alias("author"), F.col("ts").cast("timestamp").alias("ts"),
                          F.col("event_id").cast("string").alias("message_id"),
                          "event_id", "event_type", "value", techs.alias("techniques"))

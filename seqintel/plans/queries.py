@@ -357,7 +357,7 @@ def q_e12(spark, sf_dir):
 
 @register("E13_safe_defaults", """
 SELECT doc_id, CAST(coalesce(json_array_length(try_cast(text AS JSON)), 0) AS BIGINT) AS n_entities,
-       CAST(0 AS BIGINT) AS n_techniques, 0.0 AS threat_score FROM documents""")
+       CAST(0 AS BIGINT) AS n_techniques, CAST(0.0 AS DOUBLE) AS threat_score FROM documents""")
 def q_e13(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
     ents = F.coalesce(EN.decode_entities("text"), F.array().cast(EN.STORED_ENTITY))
@@ -377,7 +377,7 @@ dict AS (SELECT DISTINCT lower(term) AS k FROM (SELECT term FROM terms UNION ALL
           WHERE NOT regexp_matches(term, '[^\\p{{L}}\\p{{N}}_]')),
 toks AS (SELECT doc_id, l FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[\\p{{L}}\\p{{N}}_]+') AS l FROM documents)),
 tok AS (SELECT doc_id, unnest(l) AS text, generate_subscripts(l, 1) - 1 AS pos FROM toks)
-SELECT t.doc_id, CAST(t.pos AS BIGINT) AS pos, t.text, 'TERM' AS type, 1.0 AS confidence
+SELECT t.doc_id, CAST(t.pos AS BIGINT) AS pos, t.text, 'TERM' AS type, CAST(1.0 AS DOUBLE) AS confidence
 FROM tok t JOIN dict d ON lower(t.text) = d.k""")
 def q_u2(spark, sf_dir):
     terms = EN.term_table(spark, _terms()).select("term").unionByName(
@@ -480,7 +480,7 @@ FROM (SELECT unnest(range(6)) AS phase_id, unnest({O.PHASE_NAMES_SQL}) AS name)
 LEFT JOIN fx_phase f ON f.phase = p.phase_id GROUP BY p.phase_id, p.name"""))
 def q_a6(spark, sf_dir):
     path = SRC.scratch_dir(spark, "phase-dictionary")
-    spark.createDataFrame([(SRC.phase_dictionary_json(None),)], "value STRING").coalesce(1) \
+    spark.createDataFrame([(SRC.phase_dictionary_json(),)], "value STRING").coalesce(1) \
         .write.mode("overwrite").text(path)
     phases, tp, default = SRC.load_phase_dictionary(spark, path)
     mapping = {r["technique"]: r["phase_id"] for r in tp.collect()}
@@ -1238,20 +1238,25 @@ def q_b23(spark, sf_dir):
 # ---------------------------------------------------------------------------
 
 def _dictionary_extractor_factory():
-    """Stand-in for a token-classification model: a per-task dictionary
-    extractor returning entity spans with a fixed confidence."""
+    """Stand-in for a token-classification model: a dictionary extractor
+    returning entity spans with a fixed confidence. The word set is built on
+    the driver and travels inside the factory's closure."""
     import re as _re
-    words = {w.lower() for w in D.load_terms_json() if _re.fullmatch(r"\w+", w)} | set(FIXTURE_TERMS)
+    words = frozenset({w.lower() for w in D.load_terms_json() if _re.fullmatch(r"\w+", w)} | set(FIXTURE_TERMS))
 
-    def extract(text: str):
-        return [{"type": "TERM", "text": m.group(0), "confidence": 0.9, "start": m.start(), "end": m.end()}
-                for m in _re.finditer(r"\w+", text) if m.group(0).lower() in words]
-    return extract
+    def factory():
+        pat = _re.compile(r"\w+")
+
+        def extract(text: str):
+            return [{"type": "TERM", "text": m.group(0), "confidence": 0.9, "start": m.start(), "end": m.end()}
+                    for m in pat.finditer(text) if m.group(0).lower() in words]
+        return extract
+    return factory
 
 
 @register("U1_entity_extractor_hook")
 def q_u1(spark, sf_dir):
-    e = EN.model_entities(_doc_posts(spark, sf_dir), "doc_id", "body", _dictionary_extractor_factory)
+    e = EN.model_entities(_doc_posts(spark, sf_dir), "doc_id", "body", _dictionary_extractor_factory())
     return e.select("doc_id", "pos", "type", "text", "confidence", "start", "end")
 
 

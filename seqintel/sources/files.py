@@ -86,7 +86,7 @@ def load_phase_dictionary(spark: SparkSession, path: str | None = None
     return phases, tp, int(default)
 
 
-def phase_dictionary_json(path_obj) -> str:
+def phase_dictionary_json() -> str:
     """Serialise the fixed phase values in the phase-file layout."""
     return json.dumps({"metadata": {"fases": [{"id": i, "nombre": n, "descripcion": d}
                                               for i, n, d in D.PHASES]},
