@@ -87,5 +87,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return scratch
 
 
+# Text tables whose per-row work is CPU-bound (regex, hashing, parsing).
+SPLIT_KEYS = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    """Read one driver table. A text table that arrives as fewer input
+    splits than the cluster has cores (one small file, one row group) is
+    hash-spread on its id first, so the CPU-bound text work uses every core;
+    on large inputs the file splits already exceed the cores and nothing is
+    added to the plan."""
+    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    key = SPLIT_KEYS.get(name)
+    if key is not None:
+        target = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < target:
+            df = df.repartition(target, key)
+    return df
