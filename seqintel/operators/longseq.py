@@ -318,7 +318,14 @@ def phase_chunks(posts: DataFrame, author_col: str = "author", ts_col: str = "ts
     p = p.select(author_col, ts_col, id_col,
                  phase_of(F.coalesce(F.col(tech_col), F.array().cast("array<string>"))).alias("phase"))
     pos = positions(p, [author_col], [ts_col, id_col])
-    return chunk_sequences(pos, author_col, "pos", "phase", L)
+    # the chunk table feeds several passes (fit, decode, hold-out): write it
+    # once to the checkpoint folder (it is the phases only, far smaller than
+    # the posts) so each pass starts from it and lineage stays short
+    return chunk_sequences(pos, author_col, "pos", "phase", L).checkpoint(eager=True)
+
+
+def _has_multi(chunks: DataFrame) -> bool:
+    return chunks.where(F.col("n_chunks") > 1).limit(1).count() > 0
 
 
 def chunk_paths(chunks: DataFrame, m, key: str = "author") -> DataFrame:
@@ -327,6 +334,8 @@ def chunk_paths(chunks: DataFrame, m, key: str = "author") -> DataFrame:
     from .hmm import viterbi
     single = chunks.where(F.col("n_chunks") == 1).withColumn("_v", viterbi("seq", m)).select(
         key, "chunk", F.col("_v.path").alias("path"), F.col("_v.logp").alias("logp"), "seq")
+    if not _has_multi(chunks):
+        return single
     multi = chunks.where(F.col("n_chunks") > 1)
     mp = viterbi_chunked(multi, key, m).join(multi.select(key, "chunk", "seq"), [key, "chunk"])
     return single.unionByName(mp.select(key, "chunk", "path", "logp", "seq"))
@@ -382,6 +391,8 @@ def loglik_chunks(chunks: DataFrame, m, key: str = "author") -> DataFrame:
     from .hmm import forward_loglik
     spark = chunks.sparkSession
     single = chunks.where(F.col("n_chunks") == 1).select(key, forward_loglik("seq", m).alias("loglik"))
+    if not _has_multi(chunks):
+        return single
     multi = chunks.where(F.col("n_chunks") > 1)
     params = spark.sparkContext.broadcast((np.array(m.start), np.array(m.trans), np.array(m.emit)))
     b = _author_boundaries(_chunk_transfers(multi, key, "sum", params), key, "sum", m.n_states, params)

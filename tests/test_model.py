@@ -151,7 +151,7 @@ def test_chunked_loglik_and_report(spark):
     whole = spark.createDataFrame(seqs, "author STRING, seq ARRAY<INT>")
     ref = {r["author"]: r["ll"] for r in whole.select("author", H.forward_loglik("seq", m).alias("ll")).collect()}
     assert all(abs(ll[a] - ref[a]) < 1e-9 for a in ref)
-    rep = {r["author"]: tuple(r) for r in LS.analyze_chunks(chunks, m, L=3).collect()}
+    rep = {r["author"]: tuple(r) for r in H.author_report(LS.analyze_chunks(chunks, m, L=3)).collect()}
     want = {r["author"]: tuple(r) for r in H.author_report(H.analyze_authors(whole, m)).collect()}
     assert rep == want
 
