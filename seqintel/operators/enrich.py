@@ -274,3 +274,88 @@ def enrich_posts(posts: DataFrame, terms: dict[str, list[str]] | None = None,
     out = out.withColumn("n_techniques", F.size("techniques").cast("long"))
     out = out.withColumn("threat_score", threat_score("_sumu", "n_entities", "n_techniques"))
     return out.drop("_e", "_sumu")
+
+
+# -- row-local enrichment (no shuffle) -----------------------------------------
+def _token_entity(t, i):
+    n = F.length(t)
+    return F.struct(i.cast("long").alias("pos"), F.concat(F.lit("T"), (n % 3).cast("string")).alias("type"),
+                    t.alias("text"),
+                    F.round(((F.ascii(t) * 7 + n * 13) % 101) / 100.0, 4).cast("double").alias("confidence"))
+
+
+def local_entities(text, threshold: float = D.ENTITY_MIN_CONFIDENCE) -> Column:
+    """Fixture extractor + E9 + E10 inside the row: every word token of the
+    whole text, confidence >= threshold, first entity per (type, lower(text))
+    in position order. The dedup sorts the document's own entities by
+    (key, position) and keeps each key's first; no shuffle, O(n log n) per
+    document."""
+    toks = F.regexp_extract_all(F.coalesce(TX._c(text), F.lit("")), F.lit(TOKEN_PATTERN), 0)
+    ents = F.filter(F.transform(toks, _token_entity), lambda e: e["confidence"] >= threshold)
+    keyed = F.array_sort(F.transform(ents, lambda e: F.struct(
+        e["type"].alias("k1"), F.lower(e["text"]).alias("k2"), e["pos"].alias("pos"), e.alias("e"))))
+
+    def firsts(srt):
+        keep = F.filter(srt, lambda x, i: (i == 0) | (srt[i - 1]["k1"] != x["k1"]) | (srt[i - 1]["k2"] != x["k2"]))
+        return F.transform(F.array_sort(F.transform(keep, lambda x: F.struct(x["pos"].alias("pos"), x["e"].alias("e")))),
+                           lambda x: x["e"])
+    return TX.let(keyed, firsts)
+
+
+def local_techniques(df: DataFrame, texts_col: str, terms: dict[str, list[str]] | None = None,
+                     out_col: str = "techniques") -> DataFrame:
+    """C1 over each row's own entity texts: sorted distinct union of the
+    techniques of every key contained in any of them. Squashing is done with
+    the built-in expression; containment by array filter (small dictionaries)
+    or an Aho-Corasick automaton per task (large ones). Row-local."""
+    terms = terms if terms is not None else D.load_terms_json()
+    keys = _squashed_keys(terms)
+    sq = F.transform(F.col(texts_col), lambda t: TX.squash_term(t))
+    if len(keys) <= ARRAY_MATCH_MAX_KEYS:
+        lit = F.array(*[F.struct(F.lit(k).alias("k"), F.array(*[F.lit(t) for t in v]).alias("t")) for k, v in keys])
+
+        def techs_of(arr):
+            hits = F.filter(lit, lambda e: F.exists(arr, lambda s: F.contains(s, e["k"])))
+            return F.array_sort(F.array_distinct(F.flatten(F.transform(hits, lambda e: e["t"]))))
+        return df.withColumn(out_col, F.coalesce(TX.let(sq, techs_of), F.array().cast("array<string>")))
+    schema = T.StructType(df.schema.fields + [T.StructField(out_col, T.ArrayType(T.StringType()))])
+    key_map = dict(keys)
+    names = df.columns
+
+    def run(batches):
+        import ahocorasick
+        A = ahocorasick.Automaton()
+        for k in key_map:
+            A.add_word(k, k)
+        A.make_automaton()
+        for pdf in batches:
+            res = []
+            for arr in pdf["_sq"]:
+                found = set()
+                for s in (arr if arr is not None else []):
+                    for _, k in A.iter(s or ""):
+                        found.update(key_map[k])
+                res.append(sorted(found))
+            out = pdf[names].copy()
+            out[out_col] = res
+            yield out
+
+    return df.withColumn("_sq", sq).mapInPandas(run, schema)
+
+
+def enrich_local(posts: DataFrame, terms: dict[str, list[str]] | None = None,
+                 id_col: str = "message_id", threshold: float = D.ENTITY_MIN_CONFIDENCE) -> DataFrame:
+    """K14 with the fixture extractor, entirely row-local (no shuffle):
+    B18 body fallback -> entities -> E9 -> E10 -> C1 -> B20 -> E12."""
+    base = posts.withColumn("_content", TX.body_fallback(
+        F.col("body_clean") if "body_clean" in posts.columns else F.lit(None),
+        F.col("body") if "body" in posts.columns else F.lit(None)))
+    e = base.withColumn("entities", local_entities("_content", threshold)).drop("_content")
+    e = e.withColumn("_texts", F.transform("entities", lambda x: x["text"]))
+    e = local_techniques(e, "_texts", terms).drop("_texts")
+    e = e.withColumns({
+        "n_entities": F.size("entities").cast("long"),
+        "n_techniques": F.size("techniques").cast("long"),
+        "_sumu": F.aggregate("entities", F.lit(0).cast("long"), lambda a, x: a + conf_units(x["confidence"])),
+    })
+    return e.withColumn("threat_score", threat_score("_sumu", "n_entities", "n_techniques")).drop("_sumu")

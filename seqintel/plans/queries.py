@@ -282,9 +282,12 @@ WITH {_ENT_SQL}
 SELECT doc_id, CAST(count(*) AS BIGINT) AS n_confident, round(sum(confidence), 6) AS sum_conf
 FROM ents_ok GROUP BY doc_id""")
 def q_e9(spark, sf_dir):
-    e = EN.confident(_ents(spark, sf_dir))
-    return e.groupBy("doc_id").agg(F.count(F.lit(1)).cast("long").alias("n_confident"),
-                                   F.round(F.sum("confidence"), 6).alias("sum_conf"))
+    d = _doc_posts(spark, sf_dir)
+    toks = F.regexp_extract_all(F.coalesce("body", F.lit("")), F.lit(EN.TOKEN_PATTERN), 0)
+    ok = F.filter(F.transform(toks, EN._token_entity), lambda e: e["confidence"] >= D.ENTITY_MIN_CONFIDENCE)
+    d = d.withColumn("_e", ok).where(F.size("_e") > 0)
+    return d.select("doc_id", F.size("_e").cast("long").alias("n_confident"),
+                    F.round(F.aggregate("_e", F.lit(0.0), lambda a, e: a + e["confidence"]), 6).alias("sum_conf"))
 
 
 @register("E10_entity_dedup", f"""
@@ -292,10 +295,10 @@ WITH {_ENT_SQL}
 SELECT doc_id, CAST(count(*) AS BIGINT) AS n_unique, CAST(sum(pos) AS BIGINT) AS pos_checksum,
        round(sum(confidence), 6) AS sum_conf FROM ents_u GROUP BY doc_id""")
 def q_e10(spark, sf_dir):
-    e = EN.dedup_entities(EN.confident(_ents(spark, sf_dir)), "doc_id")
-    return e.groupBy("doc_id").agg(F.count(F.lit(1)).cast("long").alias("n_unique"),
-                                   F.sum("pos").cast("long").alias("pos_checksum"),
-                                   F.round(F.sum("confidence"), 6).alias("sum_conf"))
+    d = _doc_posts(spark, sf_dir).withColumn("_e", EN.local_entities("body")).where(F.size("_e") > 0)
+    return d.select("doc_id", F.size("_e").cast("long").alias("n_unique"),
+                    F.aggregate("_e", F.lit(0).cast("long"), lambda a, e: a + e["pos"]).alias("pos_checksum"),
+                    F.round(F.aggregate("_e", F.lit(0.0), lambda a, e: a + e["confidence"]), 6).alias("sum_conf"))
 
 
 @register("E11_entity_json", f"""
@@ -305,8 +308,8 @@ arr AS (SELECT doc_id, to_json(list({{'type': type, 'text': text, 'confidence':
 SELECT doc_id, sha1(j) AS json_sha1, CAST(length(j) AS BIGINT) AS json_len,
        CAST(json_array_length(j) AS BIGINT) AS n_decoded FROM arr""")
 def q_e11(spark, sf_dir):
-    e = EN.dedup_entities(EN.confident(_ents(spark, sf_dir)), "doc_id")
-    a = EN.entity_array(e, "doc_id").withColumn("j", EN.encode_entities("entities"))
+    a = (_doc_posts(spark, sf_dir).withColumn("entities", EN.local_entities("body"))
+         .where(F.size("entities") > 0).withColumn("j", EN.encode_entities("entities")))
     return a.select("doc_id", F.sha1("j").alias("json_sha1"), F.length("j").cast("long").alias("json_len"),
                     F.size(EN.decode_entities("j")).cast("long").alias("n_decoded"))
 
@@ -334,7 +337,8 @@ scored AS (
 
 
 def _k14(spark, sf_dir):
-    return EN.enrich_posts(_doc_posts(spark, sf_dir), _terms(), id_col="doc_id")
+    # row-local chain: tokens, filters, dedup and matching stay inside each document
+    return EN.enrich_local(_doc_posts(spark, sf_dir), _terms(), id_col="doc_id")
 
 
 @register("K14_enrich_posts", _K14_SQL + """
