@@ -310,37 +310,20 @@ def local_techniques(df: DataFrame, texts_col: str, terms: dict[str, list[str]]
     or an Aho-Corasick automaton per task (large ones). Row-local."""
     terms = terms if terms is not None else D.load_terms_json()
     keys = _squashed_keys(terms)
-    sq = F.transform(F.col(texts_col), lambda t: TX.squash_term(t))
+    # keys never contain the separator, so "some text contains the key" is
+    # "the joined texts contain the key": one scan per document
+    joined = F.array_join(F.transform(F.col(texts_col), lambda t: TX.squash_term(t)), SEP)
     if len(keys) <= ARRAY_MATCH_MAX_KEYS:
         lit = F.array(*[F.struct(F.lit(k).alias("k"), F.array(*[F.lit(t) for t in v]).alias("t")) for k, v in keys])
 
-        def techs_of(arr):
-            hits = F.filter(lit, lambda e: F.exists(arr, lambda s: F.contains(s, e["k"])))
+        def techs_of(s):
+            hits = F.filter(lit, lambda e: F.contains(s, e["k"]))
             return F.array_sort(F.array_distinct(F.flatten(F.transform(hits, lambda e: e["t"]))))
-        return df.withColumn(out_col, F.coalesce(TX.let(sq, techs_of), F.array().cast("array<string>")))
-    schema = T.StructType(df.schema.fields + [T.StructField(out_col, T.ArrayType(T.StringType()))])
-    key_map = dict(keys)
-    names = df.columns
+        return df.withColumn(out_col, F.coalesce(TX.let(joined, techs_of), F.array().cast("array<string>")))
+    return _match_aho(df, joined, keys, out_col)
 
-    def run(batches):
-        import ahocorasick
-        A = ahocorasick.Automaton()
-        for k in key_map:
-            A.add_word(k, k)
-        A.make_automaton()
-        for pdf in batches:
-            res = []
-            for arr in pdf["_sq"]:
-                found = set()
-                for s in (arr if arr is not None else []):
-                    for _, k in A.iter(s or ""):
-                        found.update(key_map[k])
-                res.append(sorted(found))
-            out = pdf[names].copy()
-            out[out_col] = res
-            yield out
 
-    return df.withColumn("_sq", sq).mapInPandas(run, schema)
+SEP = "\u0001"
 
 
 def enrich_local(posts: DataFrame, terms: dict[str, list[str]] | None = None,
