@@ -168,7 +168,7 @@ def _squashed_keys(terms: dict[str, list[str]]) -> list[tuple[str, list[str]]]:
 
 
 def match_techniques(df: DataFrame, text_col: str, terms: dict[str, list[str]] | None = None,
-                     out_col: str = "techniques") -> DataFrame:
+                     out_col: str = "techniques", emit_keys: bool = False) -> DataFrame:
     """Techniques of every dictionary key found in the text.
 
     One predicate covers the original's three tests for non-empty keys:
@@ -176,6 +176,8 @@ def match_techniques(df: DataFrame, text_col: str, terms: dict[str, list[str]] |
     """
     terms = terms if terms is not None else D.load_terms_json()
     keys = _squashed_keys(terms)
+    if emit_keys:   # report which (squashed) keys occur instead of their techniques
+        keys = [(k, [k]) for k, _ in keys]
     sq = TX.squash_term(F.coalesce(F.col(text_col), F.lit("")))
     if len(keys) <= ARRAY_MATCH_MAX_KEYS:
         lit = F.array(*[F.struct(F.lit(k).alias("k"), F.array(*[F.lit(t) for t in v]).alias("t"))

@@ -1038,10 +1038,12 @@ FROM keys k LEFT JOIN docs d ON contains(d.sq, k.k) GROUP BY k.k""")
 def q_a5(spark, sf_dir):
     terms = SRC.load_term_dictionary(spark)
     keys = terms.select(TX.squash_term("term").alias("term_key")).where(F.col("term_key") != "").distinct()
-    docs = table(spark, sf_dir, "documents").select("doc_id", TX.squash_term(F.coalesce("text", F.lit(""))).alias("sq"))
-    # the key list is a bounded dimension (hundreds of rows): broadcast nested-loop containment
-    hits = docs.join(F.broadcast(keys), F.contains(F.col("sq"), F.col("term_key")))
-    return (keys.join(hits.groupBy("term_key").agg(F.count("doc_id").alias("n")), "term_key", "left")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    # per document the dictionary keys it contains (row-local), then one count per key
+    hits = EN.match_techniques(docs, "text", D.load_terms_json(), "keys", emit_keys=True) \
+        .select(F.explode("keys").alias("term_key"))
+    counts = hits.groupBy("term_key").agg(F.count(F.lit(1)).alias("n"))
+    return (keys.join(counts, "term_key", "left")
             .select("term_key", F.coalesce("n", F.lit(0)).cast("long").alias("n_docs")))
 
 

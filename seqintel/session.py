@@ -62,7 +62,15 @@ def ship_package(spark: SparkSession) -> None:
         return
     import zipfile
     pkg = os.path.dirname(os.path.abspath(__file__))
-    out = os.path.join(tempfile.mkdtemp(prefix="seqintel-pyfiles-"), "seqintel.zip")
+    # The archive is a driver-side artifact that addPyFile serves to the
+    # executors. It goes into the session's checkpoint folder when that is a
+    # filesystem path the driver can write; otherwise into a driver-local
+    # scratch folder (only the driver reads it).
+    ckpt = ensure_checkpoint_dir(spark)
+    local = ckpt[len("file:"):] if ckpt.startswith("file:") else (ckpt if "://" not in ckpt else None)
+    base = os.path.join(local, "seqintel-pyfiles") if local else tempfile.mkdtemp(prefix="seqintel-pyfiles-")
+    os.makedirs(base, exist_ok=True)
+    out = os.path.join(base, f"seqintel-{sc.applicationId}.zip")
     with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
         for root, dirs, files in os.walk(pkg):
             dirs[:] = [d for d in dirs if d != "__pycache__"]
