@@ -147,6 +147,20 @@ def term_table(spark: SparkSession, terms: dict[str, list[str]] | None = None) -
     return spark.createDataFrame(rows, "idx INT, term STRING, technique STRING")
 
 
+def _normalized_keys(terms: dict[str, list[str]]) -> dict[str, list[str]]:
+    """Keys normalised as ``TX.normalize_term`` does; equal normalised keys:
+    the last one in file order wins (dict overwrite), as in the original."""
+    import re
+    ws = r"[\t\n\x0b\f\r \x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+    norm: dict[str, list[str]] = {}
+    for k, v in terms.items():
+        n = re.sub(f"^{ws}+|{ws}+$", "", k.lower())
+        n = re.sub(f"(?:{ws}|[-_./])+", " ", n)
+        n = re.sub(f"{ws}+", " ", n)
+        norm[n] = v
+    return norm
+
+
 def _squashed_keys(terms: dict[str, list[str]]) -> list[tuple[str, list[str]]]:
     """Normalise keys (last wins on equal normalised keys), then squash. The
     squash is evaluated with the same built-in expressions on a tiny local
@@ -168,13 +182,19 @@ def _squashed_keys(terms: dict[str, list[str]]) -> list[tuple[str, list[str]]]:
 
 
 def match_techniques(df: DataFrame, text_col: str, terms: dict[str, list[str]] | None = None,
-                     out_col: str = "techniques", emit_keys: bool = False) -> DataFrame:
+                     out_col: str = "techniques", emit_keys: bool = False,
+                     whole_word: bool = False) -> DataFrame:
     """Techniques of every dictionary key found in the text.
 
     One predicate covers the original's three tests for non-empty keys:
     ``contains(squash(text), squash(key))``. Result: sorted distinct array.
+    ``whole_word=True`` (not in the original; its substring test lets ``rat``
+    hit inside ``separate``) instead requires the normalised key to appear
+    as whole words of the normalised text.
     """
     terms = terms if terms is not None else D.load_terms_json()
+    if whole_word:
+        return _match_whole_words(df, text_col, terms, out_col, emit_keys)
     keys = _squashed_keys(terms)
     if emit_keys:   # report which (squashed) keys occur instead of their techniques
         keys = [(k, [k]) for k, _ in keys]
@@ -191,6 +211,20 @@ def match_techniques(df: DataFrame, text_col: str, terms: dict[str, list[str]] |
     return _match_aho(df, sq, keys, out_col)
 
 
+def _match_whole_words(df: DataFrame, text_col: str, terms, out_col: str, emit_keys: bool) -> DataFrame:
+    """Whole-word variant: ' ' + normalize(key) + ' ' inside ' ' + normalize(text) + ' '."""
+    keys = [(f" {k} ", ([k] if emit_keys else v)) for k, v in _normalized_keys(terms).items() if k.strip()]
+    padded = F.concat(F.lit(" "), TX.normalize_term(F.coalesce(F.col(text_col), F.lit(""))), F.lit(" "))
+    if len(keys) <= ARRAY_MATCH_MAX_KEYS:
+        lit = F.array(*[F.struct(F.lit(k).alias("k"), F.array(*[F.lit(t) for t in v]).alias("t")) for k, v in keys])
+
+        def techs_of(s):
+            hits = F.filter(lit, lambda e: F.contains(s, e["k"]))
+            return F.array_sort(F.array_distinct(F.flatten(F.transform(hits, lambda e: e["t"]))))
+        return df.withColumn(out_col, F.coalesce(TX.let(padded, techs_of), F.array().cast("array<string>")))
+    return _match_aho(df, padded, keys, out_col)
+
+
 def _match_aho(df: DataFrame, sq: Column, keys, out_col: str) -> DataFrame:
     """Large dictionaries: Aho-Corasick (pyahocorasick) per Arrow batch."""
     schema = T.StructType(df.schema.fields + [T.StructField(out_col, T.ArrayType(T.StringType()))])

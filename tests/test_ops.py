@@ -98,3 +98,22 @@ def test_row_local_enrichment_equals_long_form(spark):
     finally:
         EN.ARRAY_MATCH_MAX_KEYS = old
     assert a == c
+
+
+def test_term_match_substring_and_whole_word(spark):
+    from seqintel.operators import enrich as EN
+    terms = {"Cobalt Strike": ["T1"], "cobaltstrike": ["T1"], "rat": ["T2"], "LockBit 3.0": ["T3"]}
+    df = spark.createDataFrame([(1, "uses Cobalt-Strike beacons"), (2, "a separate note"),
+                                (3, "LockBit 3.0 again"), (4, ""), (5, None)], "id INT, text STRING")
+    sub = {r["id"]: r["techniques"] for r in EN.match_techniques(df, "text", terms).collect()}
+    assert sub == {1: ["T1"], 2: ["T2"], 3: ["T3"], 4: [], 5: []}
+    whole = {r["id"]: r["techniques"] for r in EN.match_techniques(df, "text", terms, whole_word=True).collect()}
+    assert whole == {1: ["T1"], 2: [], 3: ["T3"], 4: [], 5: []}
+    old = EN.ARRAY_MATCH_MAX_KEYS
+    try:
+        EN.ARRAY_MATCH_MAX_KEYS = 0   # automaton path
+        assert {r["id"]: r["techniques"] for r in EN.match_techniques(df, "text", terms).collect()} == sub
+        assert {r["id"]: r["techniques"] for r in
+                EN.match_techniques(df, "text", terms, whole_word=True).collect()} == whole
+    finally:
+        EN.ARRAY_MATCH_MAX_KEYS = old
