@@ -17,14 +17,15 @@ from . import hmm as H
 
 def value_counts(df: DataFrame, col: str, total: str = "rows") -> DataFrame:
     """N and n / total * 100 per value. ``total='rows'`` divides by all
-    rows (as the report does, NULLs included); ``'values'`` by non-NULL ones."""
-    g = df.groupBy(col).agg(F.count(F.lit(1)).alias("n")).where(F.col(col).isNotNull())
-    if total == "rows":
-        n_all = df.count()
-    else:
-        n_all = df.where(F.col(col).isNotNull()).count()
-    return g.select(col, F.col("n").cast("long"),
-                    (F.col("n") / F.lit(max(n_all, 1)) * 100.0).alias("pct"))
+    rows (as the report does, NULLs included); ``'values'`` by non-NULL ones.
+    One aggregate; the total is a window over the aggregated (one row per
+    distinct value) frame, so no extra pass over the input."""
+    g = df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
+    w = Window.partitionBy()
+    denom = (F.sum("n").over(w) if total == "rows"
+             else F.sum(F.when(F.col(col).isNotNull(), F.col("n"))).over(w))
+    return (g.withColumn("_t", denom).where(F.col(col).isNotNull())
+            .select(col, F.col("n").cast("long"), (F.col("n") / F.col("_t") * 100.0).alias("pct")))
 
 
 def profile(df: DataFrame) -> DataFrame:
