@@ -618,7 +618,8 @@ def _k12(spark, sf_dir):
 
 @register("K7_sequence_loglik", wt(f"SELECT author, round({O.forward_sql('seq', FXM)}, 6) AS loglik FROM fx_seq"))
 def q_k7(spark, sf_dir):
-    return _seq(spark, sf_dir).select("author", F.round(H.forward_loglik("seq", FXM), 6).alias("loglik"))
+    # per-author scalar: computed on the chunked, skew-proof sequences
+    return LS.loglik_chunks(_chunks(spark, sf_dir), FXM).select("author", F.round("loglik", 6).alias("loglik"))
 
 
 @register("K8_viterbi_decode", wh("SELECT author, array_to_string(path, ',') AS path, round(logp, 6) AS logp FROM dec"))
