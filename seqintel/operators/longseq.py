@@ -50,7 +50,7 @@ def positions(df: DataFrame, keys: Sequence[str], order: Sequence[str], pos_col:
          .checkpoint(eager=True))
     g = r.groupBy("_pid", *keys).agg(F.min("_mid").alias("_m0"), F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    g = g.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0))).drop("_n")
+    g = g.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0))).drop("_n").persist()
     # broadcast the offsets only behind a measured bound: deciding up front
     # keeps the big side from being shuffled (AQE would shuffle both sides
     # before it could switch to a broadcast)
