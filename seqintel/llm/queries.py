@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, packing, simhash
+from . import exact_dedup, mixing, packing, quality_rules, secrets, simhash
 from .common import documents
 
 TOKENIZER = "word_bpe_49k.json"
@@ -22,11 +22,22 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "sequence_id", "offset", "loss_tokens")
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(spark, documents(spark, sf_dir)).drop("n_lines")
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup(spark, documents(spark, sf_dir)).select(
         "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("sha")).alias("text_sha256"))
 
 
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(documents(spark, sf_dir))
+    return found.select("doc_id", *[secrets.count_of(kind).alias(f"n_{kind}") for kind, *_ in secrets.BASE],
+                        F.sha2(secrets.written(F.col("base")), 256).alias("base_sha256"),
+                        secrets.written(F.col("found")).alias("spans"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(spark, documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -36,9 +47,34 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op5_exact_dedup, op8_mixing, op10_simhash)}
+QUERIES = {f.__name__: f for f in (op1_packing, op4_quality_rules, op5_exact_dedup, op6_secrets, op8_mixing, op10_simhash)}
 
 SQL = {
+    "op4_quality_rules": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents),
+g AS (
+  SELECT rid, i, array_to_string(words[i:i + 7], ' ') AS run
+  FROM (SELECT rid, words, unnest(range(1, len(words) - 6)) AS i FROM d)),
+r AS (
+  SELECT rid, count(DISTINCT place) AS n_repeat_words
+  FROM (SELECT rid, unnest(range(i, i + 8)) AS place FROM (
+    SELECT rid, i, count(*) OVER (PARTITION BY rid, run) AS n FROM g) WHERE n > 1) GROUP BY rid),
+m AS (
+  SELECT d.rid, doc_id, text, words, len(words)::BIGINT AS n_words, length(array_to_string(words, ''))::BIGINT AS word_chars,
+         len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols, len(lines) AS n_lines,
+         (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
+  FROM d LEFT JOIN r ON d.rid = r.rid),
+b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND 10 * n_symbols <= n_words AND 10 * n_dup_lines <= 3 * n_lines
+       AND 2 * n_words <= word_chars AND word_chars <= 15 * n_words AND 10 * len(list_distinct(words)) >= n_words
+       AND 2 * len(regexp_extract_all(text, '[A-Z]')) <= word_chars AND 10 * len(regexp_extract_all(text, '!!')) <= n_words
+       AND 10 * len(list_filter(words, lambda w: regexp_matches(w, '\pL'))) >= 6 * n_words AS kept
+FROM b""",
     "op5_exact_dedup": """
 WITH n AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
            FROM documents)
