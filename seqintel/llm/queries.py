@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, packing, quality_rules, secrets, simhash
+from . import exact_dedup, mixing, packing, quality_rules, secrets, simhash, suffix_dedup
 from .common import documents
 
 TOKENIZER = "word_bpe_49k.json"
@@ -38,6 +38,10 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                         secrets.written(F.col("found")).alias("spans"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(spark, documents(spark, sf_dir)).drop("kept")
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(spark, documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -47,7 +51,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op4_quality_rules, op5_exact_dedup, op6_secrets, op8_mixing, op10_simhash)}
+QUERIES = {f.__name__: f for f in (op1_packing, op4_quality_rules, op5_exact_dedup, op6_secrets, op7_suffix_dedup, op8_mixing, op10_simhash)}
 
 SQL = {
     "op4_quality_rules": r"""
