@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, packing, quality_rules, secrets, simhash, suffix_dedup
+from . import exact_dedup, mixing, packing, pii, quality_rules, secrets, simhash, suffix_dedup
 from .common import documents
 
 TOKENIZER = "word_bpe_49k.json"
@@ -46,12 +46,19 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(spark, documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(spark, documents(spark, sf_dir))
+    return found.select("doc_id", *[secrets.count_of(kind).alias(f"n_{kind}") for kind in pii.KINDS],
+                        F.sha2(secrets.written(F.col("base")), 256).alias("base_sha256"),
+                        secrets.written(F.col("found")).alias("spans"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.groups(spark, documents(spark, sf_dir)).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op4_quality_rules, op5_exact_dedup, op6_secrets, op7_suffix_dedup, op8_mixing, op10_simhash)}
+QUERIES = {f.__name__: f for f in (op1_packing, op4_quality_rules, op5_exact_dedup, op6_secrets, op7_suffix_dedup, op8_mixing, op9_pii, op10_simhash)}
 
 SQL = {
     "op4_quality_rules": r"""
