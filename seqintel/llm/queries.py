@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, packing, pii, quality_rules, secrets, simhash, suffix_dedup
+from . import exact_dedup, line_crf, mixing, packing, pii, quality_rules, secrets, simhash, suffix_dedup, tool_calls
 from .common import documents
 
 TOKENIZER = "word_bpe_49k.json"
@@ -22,6 +22,18 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "sequence_id", "offset", "loss_tokens")
 
 
+def op2_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return line_crf.classify(docs, line_crf.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
+def op3_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return tool_calls.link(spark, tool_calls.from_conversations(turns), tool_calls.TOOLS).select(
+        "conv_id", "call_id", "turn", "name", "arguments", F.array_join("errors", ",").alias("errors"), "level", "status",
+        "result_turn", "record")
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(spark, documents(spark, sf_dir)).drop("n_lines")
 
@@ -58,9 +70,47 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op4_quality_rules, op5_exact_dedup, op6_secrets, op7_suffix_dedup, op8_mixing, op9_pii, op10_simhash)}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_line_crf, op3_tool_calls, op4_quality_rules, op5_exact_dedup, op6_secrets, op7_suffix_dedup, op8_mixing, op9_pii, op10_simhash)}
 
 SQL = {
+    "op3_tool_calls": r"""
+WITH RECURSIVE t AS (
+  SELECT conv_id, turn, role, coalesce(text, '') AS text, length(coalesce(text, '')) AS n, 'c' || conv_id || '-' AS p FROM conversations),
+c AS (
+  SELECT conv_id, turn, p || turn AS call_id, n,
+         CASE n % 4 WHEN 0 THEN 'search' WHEN 1 THEN 'count' WHEN 2 THEN 'define' ELSE 'draw' END AS name,
+         CASE WHEN n % 2 = 0 THEN p || (turn - 2) END AS need,
+         CASE n % 4 WHEN 0 THEN json_object('after', '$' || p || (turn - 2), 'limit', n % 25, 'query', text)::VARCHAR
+           WHEN 1 THEN json_object('text', text, 'unit', CASE n % 3 WHEN 0 THEN '"lines"'::JSON WHEN 1 THEN '"words"'::JSON ELSE '7'::JSON END)::VARCHAR
+           WHEN 2 THEN CASE WHEN n % 5 = 0
+             THEN json_object('after', '$' || p || (turn - 2), 'loud', true, 'term', regexp_extract(text, '[^\x20\x09-\x0D]+'))::VARCHAR
+             ELSE json_object('after', '$' || p || (turn - 2), 'term', regexp_extract(text, '[^\x20\x09-\x0D]+'))::VARCHAR END
+         END AS arguments
+  FROM t WHERE role = 'user'),
+e AS (
+  SELECT c.*, d.call_id AS known, list_filter([
+      CASE WHEN c.name = 'draw' THEN 'no JSON' END,
+      CASE WHEN c.name = 'search' AND c.n % 25 > 20 THEN 'high:limit' END,
+      CASE WHEN c.name = 'search' AND c.n % 25 < 1 THEN 'low:limit' END,
+      CASE WHEN c.name = 'count' AND c.n % 3 = 2 THEN 'type:unit' END,
+      CASE WHEN c.name = 'count' AND c.n % 3 = 0 THEN 'value:unit' END,
+      CASE WHEN c.name = 'define' AND c.n % 5 = 0 THEN 'extra:loud' END,
+      CASE WHEN c.need IS NOT NULL AND d.call_id IS NULL THEN 'unresolved:' || c.need END], lambda x: x IS NOT NULL) AS errors
+  FROM c LEFT JOIN c d ON c.conv_id = d.conv_id AND c.need = d.call_id),
+l AS (
+  SELECT call_id, 0 AS level FROM e WHERE known IS NULL
+  UNION ALL SELECT e.call_id, l.level + 1 FROM e JOIN l ON e.known = l.call_id),
+o AS (
+  SELECT e.conv_id, e.call_id, e.turn, e.name, e.arguments, list_sort(e.errors) AS errors, l.level::INTEGER AS level,
+         CASE WHEN r.turn IS NULL THEN 'no result' ELSE 'linked' END AS status, r.turn AS result_turn, r.text AS result
+  FROM e JOIN l ON e.call_id = l.call_id
+  LEFT JOIN t r ON r.conv_id = e.conv_id AND r.role = 'assistant' AND r.turn = e.turn + 1
+  UNION ALL
+  SELECT r.conv_id, r.p || (r.turn - 1), NULL, '', NULL, [], NULL, 'orphan result', r.turn, r.text
+  FROM t r LEFT JOIN c ON c.conv_id = r.conv_id AND c.turn = r.turn - 1 WHERE r.role = 'assistant' AND c.turn IS NULL)
+SELECT conv_id, call_id, turn, name, arguments, array_to_string(errors, ',') AS errors, level, status, result_turn,
+       json_object('arguments', arguments::JSON, 'errors', errors, 'id', call_id, 'level', level, 'name', name, 'result', result)::VARCHAR AS record
+FROM o""",
     "op4_quality_rules": r"""
 WITH d AS (
   SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text,
