@@ -6,12 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seqintel.llm import exact_dedup, mixing, packing, simhash
+from seqintel.llm import exact_dedup, line_crf, mixing, packing, simhash
 from seqintel.llm.common import documents, stored
 from seqintel.llm.queries import TOKENIZER
 from seqintel.session import configure
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier calls good stay; it learns from ``labels`` (held-out ids never)."""
+    configure(spark)
+    return line_crf.keep_good(docs, line_crf.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
 def dedup_exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the document with the largest id stays."""
     configure(spark)
@@ -37,10 +43,10 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
-STAGES = [("exact dedup", dedup_exact), ("SimHash near-dedup", dedup_near),
+STAGES = [("quality classifier", quality), ("exact dedup", dedup_exact), ("SimHash near-dedup", dedup_near),
           ("mixing", mix_sources), ("packing", pack_sequences)]
 
-#: A trained classifier and a trained tokenizer's merges have no SQL form.
+#: A trained classifier and a tokenizer have no SQL form; tests compare with a brute-force version.
 ORACLE_SQL = None
 
 
