@@ -1,15 +1,14 @@
 """Pages -> links (K3, E8) and pages -> posts (K2); reply join.
 
 Links are pulled with built-in regex functions (no Python). Post extraction
-needs a DOM walk with CSS-like selectors, so it runs as an Arrow
-``mapInPandas`` over pages using the standard-library ``html.parser``; the
-selector lists are data (see ``dictionaries``), and each page is parsed on
-its own (no cross-page state), so the work spreads over all tasks.
+needs elements and their nesting, so an Arrow UDF reads each page with the
+standard-library ``html.parser`` and returns the elements that a selector
+names (the selector lists are data, see ``dictionaries``); which of them
+makes up a post is then chosen by built-in expressions.
 """
 
 from __future__ import annotations
 
-import hashlib
 import re
 from html.parser import HTMLParser
 
@@ -80,170 +79,162 @@ def page_link_sets(pages: DataFrame, marker: str = ".onion", resolve_relative: b
 
 
 # -- K2 -----------------------------------------------------------------------
-VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param",
-        "source", "track", "wbr"}
+# The page is read once, in document order, by a flat event reader: each
+# element gets a position, the position of its last descendant and its text
+# pieces. Only elements that some selector names leave Python; which of them
+# is a post's author, time, body or quote is chosen by Spark expressions.
+VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+ROLES = {"container": D.POST_CONTAINER_SELECTORS, "title": D.TITLE_SELECTORS, "author": D.AUTHOR_SELECTORS,
+         "clock": ["time"], "time": D.TIME_SELECTORS, "body": D.BODY_SELECTORS, "quote": D.QUOTE_SELECTORS,
+         "page": ["body"]}
+KEPT_ATTRIBUTES = ("data-post-id", "data-id", "id", "data-parent-id", "data-reply-to", "datetime")
+ELEMENT = T.StructType([
+    T.StructField("role", T.StringType()), T.StructField("rank", T.IntegerType()),
+    T.StructField("pos", T.IntegerType()), T.StructField("last", T.IntegerType()),
+    T.StructField("text", T.StringType()), T.StructField("attrs", T.MapType(T.StringType(), T.StringType())),
+])
+_SELECTOR = re.compile(r"(?P<tag>[a-z][a-z0-9]*)|\.(?P<cls>[\w-]+)|\[(?P<attr>[\w-]+)(?:(?P<op>[\^*]?=)'(?P<val>[^']*)')?\]")
+
+
+def _predicate(selector: str):
+    """A test (tag, attributes) -> bool for a tag, class or attribute selector."""
+    m = _SELECTOR.fullmatch(selector)
+    if m is None:
+        raise ValueError(f"selector not supported: {selector}")
+    tag, cls, attr, op, val = m.group("tag", "cls", "attr", "op", "val")
+    if tag:
+        return lambda t, a: t == tag
+    if cls:
+        return lambda t, a: cls in a.get("class", "").split()
+    compare = {None: lambda v: True, "=": lambda v: v == val, "^=": lambda v: v.startswith(val), "*=": lambda v: val in v}[op]
+    return lambda t, a: attr in a and compare(a[attr])
 
 
-class _Node:
-    __slots__ = ("tag", "attrs", "children", "parent")
+_TESTS = [(role, rank, _predicate(sel)) for role, sels in ROLES.items() for rank, sel in enumerate(sels)]
 
-    def __init__(self, tag, attrs, parent):
-        self.tag, self.attrs, self.children, self.parent = tag, attrs, [], parent
 
+class _Reader(HTMLParser):
+    """Flat list of elements [tag, attributes, last descendant, first piece, end of pieces] and of text pieces."""
 
-class _Tree(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.root = _Node("[document]", {}, None)
-        self.cur = self.root
+        self.elements, self.pieces, self.open, self.mute = [], [], [], 0
 
     def handle_starttag(self, tag, attrs):
-        n = _Node(tag, {k: (v if v is not None else "") for k, v in attrs}, self.cur)
-        self.cur.children.append(n)
+        at = len(self.elements)
+        self.elements.append([tag, {k: v or "" for k, v in attrs}, at, len(self.pieces), len(self.pieces)])
         if tag not in VOID:
-            self.cur = n
+            self.open.append(at)
+            self.mute += tag in ("script", "style")
 
     def handle_startendtag(self, tag, attrs):
-        self.cur.children.append(_Node(tag, {k: (v or "") for k, v in attrs}, self.cur))
+        at = len(self.elements)
+        self.elements.append([tag, {k: v or "" for k, v in attrs}, at, len(self.pieces), len(self.pieces)])
+
+    def shut(self):
+        e = self.elements[self.open.pop()]
+        e[2], e[4] = len(self.elements) - 1, len(self.pieces)
+        self.mute -= e[0] in ("script", "style")
 
     def handle_endtag(self, tag):
-        n = self.cur
-        while n is not None and n.tag != tag:
-            n = n.parent
-        if n is not None and n.parent is not None:
-            self.cur = n.parent
+        if any(self.elements[i][0] == tag for i in reversed(self.open)):
+            while self.elements[self.open[-1]][0] != tag:
+                self.shut()
+            self.shut()
 
     def handle_data(self, data):
-        self.cur.children.append(data)
-
-
-_SEL = re.compile(r"^(?:(?P<tag>[a-z0-9]+)|\.(?P<cls>[\w-]+)|\[(?P<attr>[\w-]+)"
-                  r"(?:(?P<op>\^=|\*=|=)'(?P<val>[^']*)')?\])$")
-
-
-def _matches(n: _Node, sel: str) -> bool:
-    m = _SEL.match(sel)
-    if not m:
-        return False
-    if m["tag"]:
-        return n.tag == m["tag"]
-    if m["cls"]:
-        return m["cls"] in n.attrs.get("class", "").split()
-    a = n.attrs.get(m["attr"])
-    if a is None:
-        return False
-    op, val = m["op"], m["val"]
-    if op is None:
-        return True
-    if op == "^=":
-        return a.startswith(val)
-    if op == "*=":
-        return val in a
-    return a == val
-
-
-def _walk(n: _Node):
-    for c in n.children:
-        if isinstance(c, _Node):
-            yield c
-            yield from _walk(c)
-
-
-def _text(n: _Node) -> str:
+        words = data.strip()
+        if words and not self.mute:
+            self.pieces.append(words)
+
+    def finish(self):
+        self.close()
+        while self.open:
+            self.shut()
+
+
+def page_elements(html: str | None) -> list[dict] | None:
+    """The elements of one page that a selector names (one entry per role and
+    rank); None for a page that cannot be read."""
+    reader = _Reader()
+    try:
+        reader.feed(html or "")
+        reader.finish()
+    except Exception:  # noqa: BLE001 - a broken page is marked, the job goes on
+        return None
     out = []
-
-    def rec(x):
-        for c in x.children:
-            if isinstance(c, _Node):
-                if c.tag not in ("script", "style"):
-                    rec(c)
-            else:
-                s = c.strip()
-                if s:
-                    out.append(s)
-    rec(n)
-    return " ".join(out)
-
-
-def _select_one(n: _Node, sel: str):
-    for d in _walk(n):
-        if _matches(d, sel):
-            return d
-    return None
-
-
-def _first_text(n: _Node, sels) -> str:
-    for s in sels:
-        f = _select_one(n, s)
-        if f is not None:
-            t = _text(f)
-            if t:
-                return t
-    return ""
-
-
-def _containers(root: _Node):
-    """Elements matching any container selector, in document order (a
-    union as CSS selector groups give), nested matches included."""
-    return [d for d in _walk(root) if any(_matches(d, s) for s in D.POST_CONTAINER_SELECTORS)]
-
-
-POST_SCHEMA = T.StructType([
-    T.StructField("page_id", T.LongType()), T.StructField("idx", T.IntegerType()),
-    T.StructField("depth", T.IntegerType()), T.StructField("raw_id", T.StringType()),
-    T.StructField("parent_raw", T.StringType()), T.StructField("author", T.StringType()),
-    T.StructField("ts_raw", T.StringType()), T.StructField("title", T.StringType()),
-    T.StructField("body", T.StringType()), T.StructField("quoted", T.StringType()),
-    T.StructField("url", T.StringType()), T.StructField("thread_id", T.StringType()),
-])
-
-
-def _thread_id(url: str, root: _Node) -> str:
-    m = re.search(r"(?:thread|topic|t|showtopic|viewtopic)[=/](\d+)", url or "", flags=re.I)
-    if m:
-        return "thread_" + m.group(1)
-    for key in D.THREAD_ATTRIBUTES:
-        for d in _walk(root):
-            if key in d.attrs:
-                return "thread_" + d.attrs[key]
-    return "thread_" + hashlib.sha1((url or "").encode("utf-8")).hexdigest()[:16]
-
-
-def parse_page(page_id: int, url: str, html: str, min_body: int = D.MIN_RAW_BODY) -> list[tuple]:
-    t = _Tree()
-    t.feed(html or "")
-    t.close()
-    root = t.root
-    thread = _thread_id(url, root)
-    title = _first_text(root, D.TITLE_SELECTORS) or D.UNTITLED
-    conts = _containers(root)
-    if not conts:
-        body_el = _select_one(root, "body")
-        conts = [body_el] if body_el is not None else []
-    rows = []
-    cset = set(map(id, conts))
-    for idx, p in enumerate(conts):
-        depth, q = 0, p.parent
-        while q is not None:
-            depth += q is not None and id(q) in cset
-            q = q.parent
-        raw_id = p.attrs.get("data-post-id") or p.attrs.get("data-id") or p.attrs.get("id") \
-            or f"{thread}_{idx}"
-        parent_raw = p.attrs.get("data-parent-id") or p.attrs.get("data-reply-to") or None
-        author = _first_text(p, D.AUTHOR_SELECTORS) or D.UNKNOWN_USER
-        ts_raw = ""
-        tt = _select_one(p, "time")
-        if tt is not None:
-            ts_raw = tt.attrs.get("datetime") or _text(tt)
-        if not ts_raw:
-            ts_raw = _first_text(p, D.TIME_SELECTORS)
-        body = _first_text(p, D.BODY_SELECTORS) or _text(p)
-        if len(body) < min_body:
-            continue
-        quoted = _first_text(p, D.QUOTE_SELECTORS) or None
-        rows.append((page_id, idx, depth, raw_id, parent_raw, author, ts_raw, title, body, quoted,
-                     url, thread))
-    return rows
+    for pos, (tag, attrs, last, first, end) in enumerate(reader.elements):
+        named = [(role, rank) for role, rank, test in _TESTS if test(tag, attrs)]
+        if named:
+            text = " ".join(reader.pieces[first:end])
+            kept = {k: attrs[k] for k in KEPT_ATTRIBUTES if k in attrs}
+            out.extend({"role": role, "rank": rank, "pos": pos, "last": last, "text": text, "attrs": kept} for role, rank in named)
+    return out
+
+
+@F.pandas_udf(T.ArrayType(ELEMENT))
+def _elements(html: pd.Series) -> pd.Series:
+    return html.map(page_elements)
+
+
+def _of(role: str) -> F.Column:
+    return F.filter("elements", lambda e: e["role"] == role)
+
+
+def _first_text(candidates: F.Column) -> F.Column:
+    """Text of the first element of the best selector whose first element has text; null if there is none."""
+    def pick(sorted_):
+        leaders = F.filter(sorted_, lambda e, i: (i == 0) | (F.get(sorted_, i - 1)["rank"] != e["rank"]))
+        return F.get(F.filter(leaders, lambda e: e["text"] != ""), 0)["text"]
+
+    return TX.let(F.array_sort(F.transform(candidates, lambda e: F.struct(e["rank"], e["pos"], e["text"]))), pick)
+
+
+def _inside(role: str) -> F.Column:
+    return F.filter(role, lambda e: (e["pos"] > F.col("c.pos")) & (e["pos"] <= F.col("c.last")))
+
+
+def _attr(of: str, *names: str) -> F.Column:
+    return F.coalesce(*[F.nullif(F.element_at(F.col(f"{of}.attrs"), n), F.lit("")) for n in names])
+
+
+def raw_posts(pages: DataFrame, min_body: int = D.MIN_RAW_BODY) -> DataFrame:
+    """One row per post container with the fields as the page writes them."""
+    read = pages.select(F.col("page_id").cast("long").alias("page_id"), "url",
+                        TX.infer_thread_id("url", "html").alias("thread_id"), _elements("html").alias("elements"))
+    roles = read.select("page_id", "url", "thread_id", *[_of(r).alias(r) for r in ROLES])
+    # an element that several container selectors name is one container
+    ordered = F.array_sort(F.transform(F.array_distinct(F.transform("container", lambda e: F.struct(
+        e["pos"], e["last"]))), lambda k: F.struct(k["pos"], k["last"])))
+    roles = roles.withColumn("spots", ordered)
+    found = F.transform("spots", lambda k, i: F.struct(
+        i.alias("idx"), k["pos"].alias("pos"), k["last"].alias("last"),
+        F.size(F.filter("spots", lambda o: (o["pos"] < k["pos"]) & (o["last"] >= k["pos"]))).alias("depth"),
+        F.get(F.filter("container", lambda e: e["pos"] == k["pos"]), 0)["text"].alias("text"),
+        F.get(F.filter("container", lambda e: e["pos"] == k["pos"]), 0)["attrs"].alias("attrs")))
+    whole = F.transform(F.slice("page", 1, 1), lambda e: F.struct(
+        F.lit(0).alias("idx"), e["pos"].alias("pos"), e["last"].alias("last"), F.lit(0).alias("depth"),
+        e["text"].alias("text"), e["attrs"].alias("attrs")))
+    posts = roles.withColumn("title", F.coalesce(_first_text(F.col("title")), F.lit(D.UNTITLED))).withColumn(
+        "c", F.explode(F.when(F.size("spots") > 0, found).otherwise(whole)))
+    clock = F.get(F.array_sort(F.transform(_inside("clock"), lambda e: F.struct(e["pos"], e["text"], F.element_at(
+        e["attrs"], "datetime").alias("datetime")))), 0)
+    posts = posts.withColumn("k", clock)
+    return posts.select(
+        "page_id", F.col("c.idx").alias("idx"), F.col("c.depth").alias("depth"),
+        F.coalesce(_attr("c", "data-post-id", "data-id", "id"),
+                   F.concat_ws("_", "thread_id", F.col("c.idx").cast("string"))).alias("raw_id"),
+        _attr("c", "data-parent-id", "data-reply-to").alias("parent_raw"),
+        F.coalesce(_first_text(_inside("author")), F.lit(D.UNKNOWN_USER)).alias("author"),
+        F.coalesce(F.nullif("k.datetime", F.lit("")), F.nullif("k.text", F.lit("")), _first_text(_inside("time")),
+                   F.lit("")).alias("ts_raw"),
+        "title", F.coalesce(_first_text(_inside("body")), "c.text").alias("body"),
+        _first_text(_inside("quote")).alias("quoted"), "url", "thread_id").where(F.char_length("body") >= min_body)
+
+
+def unreadable_pages(pages: DataFrame) -> DataFrame:
+    """(page_id, url) of the pages that could not be read; they have no posts."""
+    return pages.withColumn("_e", _elements("html")).where(F.col("_e").isNull()).select("page_id", "url")
 
 
 def extract_posts(pages: DataFrame, ingest_ts=None, outermost_only: bool = False,
@@ -253,16 +244,7 @@ def extract_posts(pages: DataFrame, ingest_ts=None, outermost_only: bool = False
     ``ingest_ts`` replaces the wall clock for unparseable times (default: the
     job's current timestamp); ``ts_imputed`` marks those rows.
     """
-    cols = [f.name for f in POST_SCHEMA.fields]
-
-    def run(batches):
-        for pdf in batches:
-            out = []
-            for pid, url, html in zip(pdf["page_id"], pdf["url"], pdf["html"]):
-                out.extend(parse_page(int(pid), url, html, min_body))
-            yield pd.DataFrame(out, columns=cols)
-
-    raw = pages.select(F.col("page_id").cast("long"), "url", "html").mapInPandas(run, POST_SCHEMA)
+    raw = raw_posts(pages, min_body)
     if outermost_only:
         raw = raw.where(F.col("depth") == 0)
     ing = F.current_timestamp() if ingest_ts is None else F.lit(ingest_ts).cast("timestamp")

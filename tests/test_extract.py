@@ -14,27 +14,46 @@ PAGE = """<html><head><title>T</title></head><body><h1>Forum title</h1>
 </body></html>"""
 
 
-def test_parse_page_fields():
-    rows = EX.parse_page(1, "http://x.onion/thread/42", PAGE)
-    by = {r[3]: r for r in rows}          # raw_id -> row
+def frame(spark, rows):
+    return spark.createDataFrame(rows, "page_id BIGINT, url STRING, html STRING")
+
+
+def test_raw_post_fields(spark):
+    rows = EX.raw_posts(frame(spark, [(1, "http://x.onion/thread/42", PAGE)])).collect()
+    by = {r["raw_id"]: r for r in rows}
     # p2's body ("short") is under 20 characters: dropped, index still advances;
     # the nested div.postbody matches [class*='post'] too: kept, one level deep
     assert set(by) == {"p1", "post-9", "thread_42_3"}
-    assert by["thread_42_3"][2] == 1 and by["thread_42_3"][8] == "nested body content that is long enough"
+    assert by["thread_42_3"]["depth"] == 1 and by["thread_42_3"]["body"] == "nested body content that is long enough"
     p1 = by["p1"]
-    assert p1[1] == 0 and p1[5] == "alice" and p1[6] == "2024-01-02 03:04:05"
-    assert p1[7] == "Forum title" and p1[8] == "This is the first post body, long enough."
-    assert p1[9] == "quoted words here" and p1[11] == "thread_42"
+    assert p1["idx"] == 0 and p1["author"] == "alice" and p1["ts_raw"] == "2024-01-02 03:04:05"
+    assert p1["title"] == "Forum title" and p1["body"] == "This is the first post body, long enough."
+    assert p1["quoted"] == "quoted words here" and p1["thread_id"] == "thread_42"
     p9 = by["post-9"]
-    assert p9[1] == 2 and p9[5] == "unknown_user" and p9[6] == "" and p9[9] is None
+    assert p9["idx"] == 2 and p9["author"] == "unknown_user" and p9["ts_raw"] == "" and p9["quoted"] is None
 
 
-def test_no_container_uses_body_and_untitled():
-    rows = EX.parse_page(2, "http://x.onion/a", "<html><body><p>plain page text that is long enough</p></body></html>")
+def test_no_container_uses_body_and_untitled(spark):
+    html = "<html><body><p>plain page text that is long enough</p></body></html>"
+    rows = EX.raw_posts(frame(spark, [(2, "http://x.onion/a", html)])).collect()
     assert len(rows) == 1
     r = rows[0]
-    assert r[7] == "sin_titulo" and r[8] == "plain page text that is long enough"
-    assert r[11] == "thread_" + hashlib.sha1(b"http://x.onion/a").hexdigest()[:16]
+    assert r["title"] == "sin_titulo" and r["body"] == "plain page text that is long enough"
+    assert r["thread_id"] == "thread_" + hashlib.sha1(b"http://x.onion/a").hexdigest()[:16]
+
+
+def test_deep_empty_and_broken_pages(spark, monkeypatch):
+    deep = "<ul>" + "<li class='post'>" * 1200 + "a body that is long enough here"
+    pages = frame(spark, [(1, "http://x.onion/t", deep), (2, "http://x.onion/u", ""), (3, "http://x.onion/v", None)])
+    rows = EX.raw_posts(pages).collect()
+    assert len(rows) == 1200 and max(r["depth"] for r in rows) == 1199
+    assert EX.unreadable_pages(pages).count() == 0
+
+    class Broken(EX._Reader):
+        def feed(self, data):
+            raise ValueError("no page")
+    monkeypatch.setattr(EX, "_Reader", Broken)
+    assert EX.page_elements("<p>") is None
 
 
 def test_extract_posts_frame(spark):
