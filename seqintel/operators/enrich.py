@@ -9,7 +9,7 @@ partially aggregated map-side.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,32 +29,26 @@ ENTITY_STRUCT = T.StructType([
 ENTITY_ARRAY = T.ArrayType(ENTITY_STRUCT)
 TOKEN_PATTERN = r"[\p{L}\p{N}_]+"
 
-# Above this many dictionary keys the substring match switches from an
-# in-codegen array filter (cost: text length x keys) to an Aho-Corasick
-# automaton built once per task (cost: text length). Measured on sf0.1
-# documents with the 271-key dictionary: 22 s array filter vs 4.9 s automaton.
-ARRAY_MATCH_MAX_KEYS = 32
-
-
 # -- entity sources ---------------------------------------------------------
 def token_entities(df: DataFrame, id_col: str, text_col: str, with_span: bool = False) -> DataFrame:
     """Fixture extractor: every word token of the whole text is an entity with a
     deterministic type and confidence. Long form: (id, pos, type, text,
     confidence, start, end)."""
-    toks = df.select(id_col, text_col, F.posexplode(
-        F.regexp_extract_all(F.coalesce(F.col(text_col), F.lit("")), F.lit(TOKEN_PATTERN), 0)
-    ).alias("pos", "text"))
+    toks = _tokens(df, id_col, text_col)
     n = F.length("text")
-    # spans (first occurrence, as the fixture defines them) scan the text per
-    # token, so they are only computed when asked for
-    start = ((F.instr(F.col(text_col), F.col("text")) - 1).cast("int") if with_span
-             else F.lit(None).cast("int"))
     return toks.select(
         id_col, F.col("pos").cast("long").alias("pos"),
         F.concat(F.lit("T"), (n % 3).cast("string")).alias("type"),
         "text",
         F.round(((F.ascii("text") * 7 + n * 13) % 101) / 100.0, 4).cast("double").alias("confidence"),
-        start.alias("start"), (start + n).cast("int").alias("end"))
+        *((F.col("start"), (F.col("start") + n).cast("int").alias("end")) if with_span
+          else (F.lit(None).cast("int").alias("start"), F.lit(None).cast("int").alias("end"))))
+
+
+def _tokens(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, pos, text, start): one row per word token of the whole text."""
+    return df.select(id_col, F.posexplode(TX.token_spans(text_col, r"\p{L}\p{N}_")).alias("pos", "_t")).select(
+        id_col, "pos", F.col("_t.text").alias("text"), F.col("_t.start").alias("start"))
 
 
 def dictionary_entities(df: DataFrame, id_col: str, text_col: str, terms: DataFrame,
@@ -63,15 +57,12 @@ def dictionary_entities(df: DataFrame, id_col: str, text_col: str, terms: DataFr
     """Whole-token dictionary hits as entity spans. ``terms`` is a small
     dimension (term, type, confidence) joined by equality on the lowered token
     (broadcast only below the auto-broadcast threshold; AQE decides)."""
-    toks = df.select(id_col, text_col, F.posexplode(
-        F.regexp_extract_all(F.coalesce(F.col(text_col), F.lit("")), F.lit(TOKEN_PATTERN), 0)
-    ).alias("pos", "text")).withColumn("_k", F.lower("text"))
+    toks = _tokens(df, id_col, text_col).withColumn("_k", F.lower("text"))
     t = terms.select(F.lower(F.col(term_col)).alias("_k"), F.col(type_col).alias("type"),
                      F.col(conf_col).cast("double").alias("confidence"))
-    start = (F.instr(F.col(text_col), F.col("text")) - 1).cast("int")
     return toks.join(t, "_k").select(
         id_col, F.col("pos").cast("long").alias("pos"), "type", "text", "confidence",
-        start.alias("start"), (start + F.length("text")).cast("int").alias("end"))
+        "start", (F.col("start") + F.length("text")).cast("int").alias("end"))
 
 
 def model_entities(df: DataFrame, id_col: str, text_col: str,
@@ -199,15 +190,6 @@ def match_techniques(df: DataFrame, text_col: str, terms: dict[str, list[str]] |
     if emit_keys:   # report which (squashed) keys occur instead of their techniques
         keys = [(k, [k]) for k, _ in keys]
     sq = TX.squash_term(F.coalesce(F.col(text_col), F.lit("")))
-    if len(keys) <= ARRAY_MATCH_MAX_KEYS:
-        lit = F.array(*[F.struct(F.lit(k).alias("k"), F.array(*[F.lit(t) for t in v]).alias("t"))
-                        for k, v in keys])
-
-        def techs_of(s):
-            hits = F.filter(lit, lambda e: F.contains(s, e["k"]))
-            return F.array_sort(F.array_distinct(F.flatten(F.transform(hits, lambda e: e["t"]))))
-        techs = TX.let(sq, techs_of)
-        return df.withColumn(out_col, F.coalesce(techs, F.array().cast("array<string>")))
     return _match_aho(df, sq, keys, out_col)
 
 
@@ -215,40 +197,26 @@ def _match_whole_words(df: DataFrame, text_col: str, terms, out_col: str, emit_k
     """Whole-word variant: ' ' + normalize(key) + ' ' inside ' ' + normalize(text) + ' '."""
     keys = [(f" {k} ", ([k] if emit_keys else v)) for k, v in _normalized_keys(terms).items() if k.strip()]
     padded = F.concat(F.lit(" "), TX.normalize_term(F.coalesce(F.col(text_col), F.lit(""))), F.lit(" "))
-    if len(keys) <= ARRAY_MATCH_MAX_KEYS:
-        lit = F.array(*[F.struct(F.lit(k).alias("k"), F.array(*[F.lit(t) for t in v]).alias("t")) for k, v in keys])
-
-        def techs_of(s):
-            hits = F.filter(lit, lambda e: F.contains(s, e["k"]))
-            return F.array_sort(F.array_distinct(F.flatten(F.transform(hits, lambda e: e["t"]))))
-        return df.withColumn(out_col, F.coalesce(TX.let(padded, techs_of), F.array().cast("array<string>")))
     return _match_aho(df, padded, keys, out_col)
 
 
 def _match_aho(df: DataFrame, sq: Column, keys, out_col: str) -> DataFrame:
-    """Large dictionaries: Aho-Corasick (pyahocorasick) per Arrow batch."""
-    schema = T.StructType(df.schema.fields + [T.StructField(out_col, T.ArrayType(T.StringType()))])
+    """Adds the values of the keys that occur in ``sq``. Only ``sq`` goes to
+    Python and only the values come back; the automaton is built once per task."""
     key_map = dict(keys)
-    names = df.columns
 
-    def run(batches):
+    @F.pandas_udf(T.ArrayType(T.StringType()))
+    def match(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         import ahocorasick
         A = ahocorasick.Automaton()
         for k in key_map:
             A.add_word(k, k)
-        A.make_automaton()
-        for pdf in batches:
-            res = []
-            for s in pdf["_sq"]:
-                found = set()
-                for _, k in A.iter(s or ""):
-                    found.update(key_map[k])
-                res.append(sorted(found))
-            out = pdf[names].copy()
-            out[out_col] = res
-            yield out
+        if key_map:
+            A.make_automaton()
+        for texts in batches:
+            yield texts.map(lambda s: sorted({v for _, k in A.iter(s) for v in key_map[k]}) if key_map else [])
 
-    return df.withColumn("_sq", sq).mapInPandas(run, schema)
+    return df.withColumn(out_col, match(sq))
 
 
 # -- B20 --------------------------------------------------------------------
@@ -342,20 +310,12 @@ def local_techniques(df: DataFrame, texts_col: str, terms: dict[str, list[str]]
                      out_col: str = "techniques") -> DataFrame:
     """C1 over each row's own entity texts: sorted distinct union of the
     techniques of every key contained in any of them. Squashing is done with
-    the built-in expression; containment by array filter (small dictionaries)
-    or an Aho-Corasick automaton per task (large ones). Row-local."""
+    the built-in expression, containment by an automaton. Row-local."""
     terms = terms if terms is not None else D.load_terms_json()
     keys = _squashed_keys(terms)
     # keys never contain the separator, so "some text contains the key" is
     # "the joined texts contain the key": one scan per document
     joined = F.array_join(F.transform(F.col(texts_col), lambda t: TX.squash_term(t)), SEP)
-    if len(keys) <= ARRAY_MATCH_MAX_KEYS:
-        lit = F.array(*[F.struct(F.lit(k).alias("k"), F.array(*[F.lit(t) for t in v]).alias("t")) for k, v in keys])
-
-        def techs_of(s):
-            hits = F.filter(lit, lambda e: F.contains(s, e["k"]))
-            return F.array_sort(F.array_distinct(F.flatten(F.transform(hits, lambda e: e["t"]))))
-        return df.withColumn(out_col, F.coalesce(TX.let(joined, techs_of), F.array().cast("array<string>")))
     return _match_aho(df, joined, keys, out_col)
 
 

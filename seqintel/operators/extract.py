@@ -55,11 +55,10 @@ def page_links(pages: DataFrame, marker: str = ".onion", resolve_relative: bool
     raw = F.concat(F.regexp_extract_all(h, F.lit(ATTR_LINK.format(attr="href")), 1),
                    F.regexp_extract_all(h, F.lit(ATTR_LINK.format(attr="src")), 1),
                    F.regexp_extract_all(visible_text(h), F.lit(TEXT_ONION_URL), 0))
-    x = pages.select(id_col, url_col, F.explode(raw).alias("href"))
     if resolve_relative:
-        x = x.withColumn("href", resolve("href", url_col))
-    return (x.select(id_col, TX.normalize_url("href", marker).alias("link"))
-            .where(F.col("link").isNotNull()).distinct())
+        raw = F.transform(raw, lambda u: resolve(u, F.col(url_col)))
+    links = F.array_distinct(F.transform(raw, lambda u: TX.normalize_url(u, marker)))
+    return pages.select(id_col, F.explode(links).alias("link")).where(F.col("link").isNotNull())
 
 
 def page_link_sets(pages: DataFrame, marker: str = ".onion", resolve_relative: bool = False,

@@ -11,6 +11,7 @@ there, no rows are collected.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,15 +33,13 @@ def reachable(edges: DataFrame, seeds: Sequence[str] | DataFrame, max_depth: int
     at its least depth."""
     spark = edges.sparkSession
     ensure_checkpoint_dir(spark)
-    e = edges.select(F.col(src).alias("src"), F.col(dst).alias("dst")).distinct()
+    e = edges.select(F.col(src).alias("src"), F.col(dst).alias("dst")).distinct().checkpoint(eager=True)
     if isinstance(seeds, DataFrame):
         start = seeds.select(F.col(seeds.columns[0]).alias("url"))
     else:
         start = spark.createDataFrame([(s,) for s in seeds], "url STRING")
-    reached = start.distinct().select("url", F.lit(0).alias("depth"))
-    frontier = reached
-    for _ in range(max_depth):
-        nxt = frontier_step(frontier, e, reached).checkpoint(eager=True)
-        reached = reached.unionByName(nxt).checkpoint(eager=True)
-        frontier = nxt
-    return reached
+    levels = [start.distinct().select("url", F.lit(0).alias("depth"))]
+    for _ in range(max_depth):  # each level is written once and never rewritten
+        reached = reduce(DataFrame.unionByName, levels)
+        levels.append(frontier_step(levels[-1], e, reached).checkpoint(eager=True))
+    return reduce(DataFrame.unionByName, levels)

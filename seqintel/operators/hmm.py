@@ -20,6 +20,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -95,12 +96,16 @@ def save_model(spark: SparkSession, m: HMM, path: str) -> None:
 
 
 def load_model(spark: SparkSession, path: str) -> HMM | None:
+    """The stored model; None if there is none. Any other trouble is raised, so
+    that a model which cannot be read is never fitted anew and overwritten."""
     try:
         s = spark.read.parquet(f"{path}/start").collect()
-        t = spark.read.parquet(f"{path}/trans").collect()
-        e = spark.read.parquet(f"{path}/emit").collect()
-    except Exception:  # noqa: BLE001 - missing model -> None
-        return None
+    except AnalysisException as ex:
+        if ex.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    t = spark.read.parquet(f"{path}/trans").collect()
+    e = spark.read.parquet(f"{path}/emit").collect()
     S = len(s)
     M = 1 + max(r["k"] for r in e)
     start = [0.0] * S
@@ -137,7 +142,7 @@ def next_phase_frame(trans: DataFrame, emit: DataFrame) -> DataFrame:
 
 # -- K7: forward log-likelihood --------------------------------------------
 def forward_loglik(seq, m: HMM) -> Column:
-    """Scaled forward pass; NULL for an empty sequence."""
+    """Scaled forward pass; NULL for an empty sequence, -inf for an impossible one."""
     S = m.n_states
     st, A, B = _lit_vec(m.start), _lit_mat(m.trans), _lit_mat(m.emit)
     seq = F.col(seq) if isinstance(seq, str) else seq
@@ -145,8 +150,9 @@ def forward_loglik(seq, m: HMM) -> Column:
 
     def scaled(v, ll0):
         # v evaluated once; c = left-to-right sum; returns (v / c, ll0 + log c)
-        return let(v, lambda vv: let(F.aggregate(vv, F.lit(0.0), lambda a, y: a + y), lambda c: F.struct(
-            F.transform(vv, lambda x: x / c).alias("a"), (ll0 + F.log(c)).alias("ll"))))
+        return let(v, lambda vv: let(F.aggregate(vv, F.lit(0.0), lambda a, y: a + y), lambda c: F.when(c > 0, F.struct(
+            F.transform(vv, lambda x: x / c).alias("a"), (ll0 + F.log(c)).alias("ll"))).otherwise(F.struct(
+                vv.alias("a"), F.lit(float("-inf")).alias("ll")))))
 
     o1 = F.element_at(seq, 1)
     init = scaled(F.transform(idx, lambda j: st[j] * B[j][o1]), F.lit(0.0))

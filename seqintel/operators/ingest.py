@@ -15,16 +15,17 @@ from ..functions import text as TX
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Keep the first row per key by ``order`` (which must be unique within a key).
 
-    Expressed as a ``min`` aggregate over a struct (order cols first, then the
-    row), so map-side partial aggregation collapses a hot key to one row per
-    input partition before the shuffle; no group is ever gathered in one task.
+    The least order value per key is a ``min`` over the key and order columns
+    alone (partial aggregation collapses a hot key before the shuffle, no body
+    takes part); the rows that have it are then found by a semi join.
     """
-    keys = list(keys)
-    rest = [c for c in df.columns if c not in keys]
-    packed = F.struct(*[F.col(o).alias(f"_o{i}") for i, o in enumerate(order)],
-                      F.struct(*rest).alias("_row"))
-    agg = df.groupBy(*keys).agg(F.min(packed).alias("_first"))
-    return agg.select(*keys, "_first._row.*").select(*df.columns)
+    keys, order = list(keys), list(order)
+    least = df.groupBy(*keys).agg(F.min(F.struct(*order)).alias("_first")).select(
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
+        *[F.col(f"_first.{o}").alias(f"_o{i}") for i, o in enumerate(order)])
+    on = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+    on += [F.col(o).eqNullSafe(F.col(f"_o{i}")) for i, o in enumerate(order)]
+    return df.join(least, on, "left_semi")
 
 
 def anonymize_record(df: DataFrame, fields: Sequence[str] = ("title", "body", "quoted"),
@@ -115,10 +116,11 @@ def keyword_hits(pages: DataFrame, keywords: DataFrame, url_col: str = "url",
 
 def keyword_hits_list(pages: DataFrame, kws: Sequence[str], url_col: str = "url",
                       html_col: str = "html") -> DataFrame:
-    arr = F.array(*[F.lit(k) for k in kws]) if kws else F.array().cast("array<string>")
-    low = F.lower(F.col(html_col))
-    hits = F.filter(arr, lambda k: F.contains(low, F.lower(k)))
-    return pages.select(F.col(url_col).alias("url"), F.explode(hits).alias("keyword"))
+    """``kws`` is a short list; each page is lowered once and tested against the lowered words."""
+    arr = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(k.lower()).alias("low")) for k in kws]) if kws else F.array().cast(
+        "array<struct<k:string,low:string>>")
+    hits = TX.let(F.lower(F.col(html_col)), lambda page: F.filter(arr, lambda w: F.contains(page, w["low"])))
+    return pages.select(F.col(url_col).alias("url"), F.explode(F.transform(hits, lambda w: w["k"])).alias("keyword"))
 
 
 def page_report(records: DataFrame, hits: DataFrame) -> DataFrame:

@@ -32,7 +32,6 @@ from pyspark.sql.window import Window
 from ..session import ensure_checkpoint_dir
 
 CHUNK = 1024
-BROADCAST_MAX_ROWS = 2_000_000   # size bound for broadcasting the offsets table
 
 
 # -- E1 at scale ---------------------------------------------------------------
@@ -50,17 +49,20 @@ def positions(df: DataFrame, keys: Sequence[str], order: Sequence[str], pos_col:
          .checkpoint(eager=True))
     g = r.groupBy("_pid", *keys).agg(F.min("_mid").alias("_m0"), F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    g = g.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0))).drop("_n").persist()
-    # broadcast the offsets only behind a measured bound: deciding up front
-    # keeps the big side from being shuffled (AQE would shuffle both sides
-    # before it could switch to a broadcast)
-    if g.count() <= BROADCAST_MAX_ROWS:
-        g = F.broadcast(g)
-    out = r.join(g, ["_pid", *keys])
+    g = g.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0))).drop("_n").checkpoint(eager=True)
+    out = join_null_safe(r, g, ["_pid", *keys])
     return out.withColumn(pos_col, (F.col("_off") + F.col("_mid") - F.col("_m0") + 1).cast("long")) \
         .drop("_pid", "_mid", "_m0", "_off")
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join in which a NULL key equals a NULL key; the size of either
+    side is Spark's to judge."""
+    other = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    on = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
+    return left.join(other, on).drop(*[f"_r_{k}" for k in keys])
+
+
 def chunk_sequences(df: DataFrame, key: str, pos_col: str, value_col: str, L: int = CHUNK) -> DataFrame:
     """(key, chunk, seq ARRAY<INT> of <= L values in position order, n_chunks)."""
     c = df.select(key, ((F.col(pos_col) - 1) / L).cast("long").alias("chunk"),
@@ -350,7 +352,9 @@ def author_sequence_chunks(posts: DataFrame, fields: Sequence[str], author_col:
                            ts_col: str = "ts", id_col: str = "message_id", L: int = CHUNK) -> DataFrame:
     """D5 in chunked form: per (author, chunk) the post structs in time order,
     at most L per row (NULL times dropped)."""
-    p = posts.where(F.col(ts_col).isNotNull())
+    from .. import dictionaries as D
+    p = posts.where(F.col(ts_col).isNotNull()).withColumn(
+        author_col, F.coalesce(F.col(author_col), F.lit(D.UNKNOWN_AUTHOR)))
     pos = positions(p, [author_col], [ts_col, id_col])
     st = F.struct(F.col("pos"), F.col(ts_col).alias("ts"), F.col(id_col).alias("message_id"),
                   *[F.col(f) for f in fields if f not in (ts_col, id_col)])

@@ -18,12 +18,9 @@ from . import hmm as H
 def value_counts(df: DataFrame, col: str, total: str = "rows") -> DataFrame:
     """N and n / total * 100 per value. ``total='rows'`` divides by all
     rows (as the report does, NULLs included); ``'values'`` by non-NULL ones.
-    One aggregate; the total is a window over the aggregated (one row per
-    distinct value) frame, so no extra pass over the input."""
+    The total is a scalar subquery, so no task sees all values."""
     g = df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
-    w = Window.partitionBy()
-    denom = (F.sum("n").over(w) if total == "rows"
-             else F.sum(F.when(F.col(col).isNotNull(), F.col("n"))).over(w))
+    denom = df.agg(F.count(F.lit(1) if total == "rows" else F.col(col))).scalar()
     return (g.withColumn("_t", denom).where(F.col(col).isNotNull())
             .select(col, F.col("n").cast("long"), (F.col("n") / F.col("_t") * 100.0).alias("pct")))
 
@@ -182,6 +179,7 @@ def failure_streaks_scan(log: DataFrame, threshold: int = 10, order: Sequence[st
     since the last ``ok`` are F(t) - F(last ok), where F is the running count
     of failures (non-decreasing, so F(last ok) is a running max)."""
     from ..session import ensure_checkpoint_dir
+    from .longseq import join_null_safe
     spark = log.sparkSession
     ensure_checkpoint_dir(spark)
     keys, order = list(keys), list(order)
@@ -198,7 +196,7 @@ def failure_streaks_scan(log: DataFrame, threshold: int = 10, order: Sequence[st
     wg = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     g = g.withColumn("_foff", F.coalesce(F.sum("_sf").over(wg), F.lit(0)))
     g = g.withColumn("_carry", F.max(F.col("_foff") + F.col("_mo")).over(wg)).drop("_sf", "_mo")
-    j = r.join(F.broadcast(g) if g.count() <= 2_000_000 else g, ["_pid", *keys])
+    j = join_null_safe(r, g, ["_pid", *keys])
     ftot = F.col("_fl") + F.col("_foff")
     last_ok = F.greatest(F.coalesce(F.col("_okl") + F.col("_foff"), F.lit(0)),
                          F.coalesce(F.col("_carry"), F.lit(0)))

@@ -88,8 +88,9 @@ def phase_sequences(posts: DataFrame, author_col: str = "author", ts_col: str =
                     include_without_techniques: bool = False,
                     mapping: dict | None = None, default: int = D.DEFAULT_PHASE) -> DataFrame:
     """Posts -> ``(author, seq ARRAY<INT>, n_dropped)``; posts without
-    techniques are dropped unless asked; authors left empty disappear."""
-    p = posts.withColumn("_has", F.coalesce(F.size(tech_col), F.lit(0)) > 0).withColumn(
+    techniques are dropped unless asked, posts without a time always (they
+    have no place in a sequence); authors left empty disappear."""
+    p = posts.where(F.col(ts_col).isNotNull()).withColumn("_has", F.coalesce(F.size(tech_col), F.lit(0)) > 0).withColumn(
         author_col, F.coalesce(F.col(author_col), F.lit(D.UNKNOWN_AUTHOR)))
     keep = F.col("_has") if not include_without_techniques else F.lit(True)
     st = F.struct(F.col(ts_col).alias("ts"), F.col(id_col).alias("id"),

@@ -34,8 +34,8 @@ def fx_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.substring("text", 1, 40).alias("title"),
         F.col("text").alias("body"),
         F.lit(None).cast("string").alias("quoted"),
-        F.concat(F.lit("http://h"), (F.col("doc_id") % 7).cast("string"), F.lit(".onion/thread/"),
-                 (F.col("doc_id") % 50).cast("string")).alias("url"),
+        F.concat(F.lit("http://"), F.col("source"), F.lit(".onion/thread/"),
+                 F.floor(F.col("doc_id") / 20).cast("string")).alias("url"),
         F.col("doc_id"),
     )
     return posts.withColumn(
@@ -58,7 +58,7 @@ def fx_fetch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as a fetch log: host per user, status and redirect by event type."""
     e = table(spark, sf_dir, "events")
     k = F.get_json_object("props", "$.k").cast("long")
-    host = F.concat(F.lit("http://h"), (F.col("user_id") % 20).cast("string"), F.lit(".onion"))
+    host = F.concat(F.lit("http://h"), F.col("user_id").cast("string"), F.lit(".onion"))
     req = F.concat(host, F.lit("/thread/"), k.cast("string"))
     status = (F.when(F.col("event_type") == "error", 503)
               .when(F.col("event_type") == "signup", 403)

@@ -70,7 +70,7 @@ fx_posts_base AS (
          substr(text, 1, 40) AS title,
          text AS body,
          CAST(NULL AS VARCHAR) AS quoted,
-         'http://h' || CAST(doc_id % 7 AS VARCHAR) || '.onion/thread/' || CAST(doc_id % 50 AS VARCHAR) AS url,
+         'http://' || source || '.onion/thread/' || CAST(doc_id // 20 AS VARCHAR) AS url,
          doc_id
   FROM documents),
 fx_posts AS (
@@ -232,7 +232,7 @@ def fetch_outcome(status: str, req: str, fin: str) -> str:
 
 FX_FETCH = """
 fx_fetch_base AS (
-  SELECT event_id, ts, event_type, 'http://h' || CAST(user_id % 20 AS VARCHAR) || '.onion' AS host,
+  SELECT event_id, ts, event_type, 'http://h' || CAST(user_id AS VARCHAR) || '.onion' AS host,
          CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events),
 fx_fetch AS (
   SELECT event_id, ts, host, host || '/thread/' || CAST(k AS VARCHAR) AS requested_url,

@@ -83,32 +83,21 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; create a scratch one only if unset."""
+    """Return the shared checkpoint folder. A scratch folder is made only where
+    it is unset and the master is local (tests); a cluster must name one."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if current:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     scratch = tempfile.mkdtemp(prefix="seqintel-ckpt-")
     sc.setCheckpointDir(scratch)
     return scratch
 
 
-# Text tables whose per-row work is CPU-bound (regex, hashing, parsing).
-SPLIT_KEYS = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id"}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read one driver table. A text table that arrives as fewer input
-    splits than the cluster has cores (one small file, one row group) is
-    hash-spread on its id first, so the CPU-bound text work uses every core;
-    on large inputs the file splits already exceed the cores and nothing is
-    added to the plan."""
-    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-    key = SPLIT_KEYS.get(name)
-    if key is not None:
-        target = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < target:
-            df = df.repartition(target, key)
-    return df
+    """Read one driver table; its splits follow ``spark.sql.files.maxPartitionBytes``."""
+    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))

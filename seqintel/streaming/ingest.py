@@ -10,8 +10,8 @@
   holds an earlier copy (anti-join on the sink). The sink is append-only and
   the read side takes the first copy per key, so replayed batches after a
   failure and any file order give the same table.
-  Bounded variant: ``withWatermark`` + ``dropDuplicatesWithinWatermark``
-  (state is bounded; copies further apart than the watermark are admitted).
+  Bounded variant: ``dropDuplicatesWithinWatermark`` on the arrival time
+  (state is bounded; copies that arrive further apart than the delay are admitted).
 * S3 incremental page report: stateful streaming ``groupBy(url).count()`` in
   update mode; every update is appended with its batch id and the read side
   keeps the latest count per page.
@@ -35,9 +35,12 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jpath)
 
 
-def landing_stream(spark: SparkSession, landing: str, schema, files_per_trigger: int = 1) -> DataFrame:
-    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
-            .parquet(landing))
+def landing_stream(spark: SparkSession, landing: str, schema, files_per_trigger: int | None = None) -> DataFrame:
+    """All landed files per micro-batch unless a number is asked for."""
+    reader = spark.readStream.schema(schema)
+    if files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return reader.parquet(landing)
 
 
 def exact_dedup_sink(stream: DataFrame, sink: str, checkpoint: str, key: str = "fingerprint",
@@ -65,9 +68,14 @@ def read_dedup_sink(spark: SparkSession, sink: str, key: str = "fingerprint",
 
 
 def watermark_dedup(stream: DataFrame, sink: str, checkpoint: str, key: str = "fingerprint",
-                    event_time: str = "ts", delay: str = "1 hour") -> StreamingQuery:
-    """S2 (bounded): duplicates within the watermark delay are dropped."""
-    d = stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([key])
+                    delay: str = "1 hour") -> StreamingQuery:
+    """S2 (bounded state): copies that arrive within ``delay`` of each other are dropped.
+
+    The watermark is on the arrival time (the time of the micro-batch), which
+    never runs backwards, so no row is ever late and none is lost, whatever
+    times the posts carry and in whatever order files land."""
+    d = (stream.withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", delay)
+         .dropDuplicatesWithinWatermark([key]).drop("_arrived"))
     return (d.writeStream.format("parquet").option("path", sink)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 

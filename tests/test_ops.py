@@ -90,14 +90,6 @@ def test_row_local_enrichment_equals_long_form(spark):
     b = {r["doc_id"]: (r["n_entities"], r["n_techniques"], r["threat_score"], tuple(r["techniques"]))
          for r in EN.enrich_posts(docs, id_col="doc_id").collect()}
     assert a == b
-    old = EN.ARRAY_MATCH_MAX_KEYS
-    try:
-        EN.ARRAY_MATCH_MAX_KEYS = 10_000   # force the in-codegen array path
-        c = {r["doc_id"]: (r["n_entities"], r["n_techniques"], r["threat_score"], tuple(r["techniques"]))
-             for r in EN.enrich_local(docs, id_col="doc_id").collect()}
-    finally:
-        EN.ARRAY_MATCH_MAX_KEYS = old
-    assert a == c
 
 
 def test_term_match_substring_and_whole_word(spark):
@@ -109,11 +101,3 @@ def test_term_match_substring_and_whole_word(spark):
     assert sub == {1: ["T1"], 2: ["T2"], 3: ["T3"], 4: [], 5: []}
     whole = {r["id"]: r["techniques"] for r in EN.match_techniques(df, "text", terms, whole_word=True).collect()}
     assert whole == {1: ["T1"], 2: [], 3: ["T3"], 4: [], 5: []}
-    old = EN.ARRAY_MATCH_MAX_KEYS
-    try:
-        EN.ARRAY_MATCH_MAX_KEYS = 0   # automaton path
-        assert {r["id"]: r["techniques"] for r in EN.match_techniques(df, "text", terms).collect()} == sub
-        assert {r["id"]: r["techniques"] for r in
-                EN.match_techniques(df, "text", terms, whole_word=True).collect()} == whole
-    finally:
-        EN.ARRAY_MATCH_MAX_KEYS = old
