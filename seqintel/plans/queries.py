@@ -7,6 +7,8 @@ Computed columns carry the same alias on both sides.
 
 from __future__ import annotations
 
+import re
+
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -397,8 +399,12 @@ def q_u2(spark, sf_dir):
 # keywords and pages: A4, C2, D3, D4
 # ---------------------------------------------------------------------------
 
+#: Words that the generated pages hold, beside the real keyword list (which they don't).
+FIXTURE_KEYWORDS = ["The ", "NAV", "edst", "no such word"]
+
+
 def _kw_sql(skip_comments: bool = True) -> str:
-    kws = [k.strip() for k in D.KEYWORD_LINES if k.strip()]
+    kws = [k.strip() for k in D.KEYWORD_LINES if k.strip()] + (FIXTURE_KEYWORDS if skip_comments else [])
     if skip_comments:
         kws = [k for k in kws if not k.startswith("#")]
     rows = ", ".join(f"({i}, {O.q(k)})" for i, k in enumerate(kws))
@@ -414,7 +420,7 @@ hits AS (SELECT DISTINCT p.url, k.keyword FROM pages p JOIN kw k ON contains(low
 def _hits(spark, sf_dir):
     pages = table(spark, sf_dir, "pages")
     kws = [r[0] for r in ING.load_keywords(spark).collect()]
-    return ING.keyword_hits_list(pages, kws).distinct()
+    return ING.keyword_hits_list(pages, kws + FIXTURE_KEYWORDS).distinct()
 
 
 @register("C2_keyword_page_match", f"WITH {_C2_SQL} SELECT url, keyword FROM hits")
@@ -904,6 +910,39 @@ def q_k2(spark, sf_dir):
                         "quoted", "url", "page_id", "idx", "depth")
 
 
+def _markup(c: F.Column) -> F.Column:
+    return F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+
+
+@register("K2_generated_markup", f"""
+WITH t AS (SELECT conv_id, turn, role, trim(coalesce(text, ''), chr(9) || chr(10) || chr(13) || ' ') AS body,
+                  count(*) OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS idx FROM conversations)
+SELECT 'http://x.onion/thread/' || conv_id AS url, 'thread_' || conv_id AS thread_id, 'm' || turn AS raw_id,
+       CASE WHEN turn > 0 THEN 'm' || (turn - 1) END AS parent_raw, role AS author,
+       TIMESTAMP '2024-03-01 00:00:00' + to_hours(CAST(turn AS INTEGER)) AS ts, false AS ts_imputed,
+       'Talk ' || conv_id AS title, body, CASE WHEN turn % 3 = 2 THEN 'said before' END AS quoted, CAST(idx AS INTEGER) AS idx
+FROM t WHERE length(body) >= {D.MIN_RAW_BODY}""")
+def q_k2m(spark, sf_dir):
+    """Conversations written as forum pages, then read back."""
+    c = table(spark, sf_dir, "conversations")
+    post = F.concat(
+        F.lit('<div class="post" data-post-id="m'), F.col("turn").cast("string"), F.lit('"'),
+        F.when(F.col("turn") > 0, F.concat(F.lit(' data-parent-id="m'), (F.col("turn") - 1).cast("string"), F.lit('"'))).otherwise(""),
+        F.lit('><p class="nested"><b class="author">'), F.col("role"), F.lit("</b></p><time datetime=\""),
+        F.date_format(F.lit("2024-03-01 00:00:00").cast("timestamp") + F.make_dt_interval(hours=F.col("turn").cast("int")),
+                      "yyyy-MM-dd HH:mm:ss"), F.lit('"></time>'),
+        F.when(F.col("turn") % 3 == 2, F.lit("<blockquote>said <i>before</i></blockquote>")).otherwise(""),
+        F.lit('<div class="content">'), _markup(F.coalesce("text", F.lit(""))), F.lit("</div><script>var x = 1;</script></div>"))
+    ident = F.col("conv_id").cast("string")
+    pages = c.groupBy("conv_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", post.alias("post")))),
+                                                              lambda p: p["post"]), "").alias("posts")).select(
+        F.col("conv_id").alias("page_id"), F.concat(F.lit("http://x.onion/thread/"), ident).alias("url"),
+        F.concat(F.lit("<html><head><title>no</title></head><body><h1>Talk "), ident, F.lit("</h1>"), F.col("posts"),
+                 F.lit("</body></html>")).alias("html"))
+    return EX.extract_posts(pages, ingest_ts="2025-01-01 00:00:00").select(
+        "url", "thread_id", "raw_id", "parent_raw", "author", "ts", "ts_imputed", "title", "body", "quoted", "idx")
+
+
 @register("B3_message_id", f"""
 WITH {O.FX_REPLIES} SELECT url, raw_id, {O.message_id('url', 'raw_id', 'idx')} AS message_id FROM fx_replies""")
 def q_b3(spark, sf_dir):
@@ -1210,6 +1249,15 @@ def q_a9(spark, sf_dir):
     return _model_rows(spark, again)
 
 
+@register("A9_fixed_model_roundtrip", wt(f"SELECT author, round({O.forward_sql('seq', FXM)}, 6) AS loglik FROM fx_seq"))
+def q_a9f(spark, sf_dir):
+    """Log-likelihoods under the fixed model after it was stored and read back."""
+    path = SRC.scratch_dir(spark, "fixed-model")
+    H.save_model(spark, FXM, path)
+    m = H.load_model(spark, path)
+    return LS.loglik_chunks(_chunks(spark, sf_dir), m).select("author", F.round("loglik", 6).alias("loglik"))
+
+
 @register("K15_state_profiles")
 def q_k15(spark, sf_dir):
     s, t, e = H.model_frames(spark, _fitted(spark, sf_dir))
@@ -1261,7 +1309,17 @@ def _dictionary_extractor_factory():
     return factory
 
 
-@register("U1_entity_extractor_hook")
+_U1_WORDS = sorted({w.lower() for w in D.load_terms_json() if re.fullmatch(r"\w+", w)} | set(FIXTURE_TERMS))
+
+
+@register("U1_entity_extractor_hook", f"""
+WITH toks AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '([^\\p{{L}}\\p{{N}}_]*)([\\p{{L}}\\p{{N}}_]+)', 1) AS g,
+                     regexp_extract_all(coalesce(text, ''), '([^\\p{{L}}\\p{{N}}_]*)([\\p{{L}}\\p{{N}}_]+)', 2) AS l FROM documents),
+flat AS (SELECT doc_id, unnest(g) AS gap, unnest(l) AS text, generate_subscripts(l, 1) AS i FROM toks),
+tok AS (SELECT *, sum(length(gap) + length(text)) OVER (PARTITION BY doc_id ORDER BY i) AS stop FROM flat)
+SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS BIGINT) AS pos, 'TERM' AS type, text,
+       CAST(0.9 AS DOUBLE) AS confidence, CAST(stop - length(text) AS INTEGER) AS "start", CAST(stop AS INTEGER) AS "end"
+FROM tok WHERE list_contains([{", ".join(O.q(w) for w in _U1_WORDS)}], lower(text))""")
 def q_u1(spark, sf_dir):
     e = EN.model_entities(_doc_posts(spark, sf_dir), "doc_id", "body", _dictionary_extractor_factory())
     return e.select("doc_id", "pos", "type", "text", "confidence", "start", "end")
