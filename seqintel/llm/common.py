@@ -41,6 +41,22 @@ def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed(spark: SparkSession, df: DataFrame, key: str) -> DataFrame:
+    """Like ``stored``, as a table bucketed by ``key``, for a ``df`` that a join or
+    a grouping by ``key`` has just made: later joins on it do not shuffle its rows."""
+    configure(spark)
+    name = f"bucketed_{uuid.uuid4().hex}"
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (df.write.bucketBy(n, key).format("parquet")
+     .option("path", f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}").saveAsTable(name))
+    return spark.table(name)
+
+
+def carried(docs: DataFrame, **columns: Column) -> DataFrame:
+    """``docs`` as one struct ``row`` beside ``columns``, so no name of its own can clash."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *[c.alias(n) for n, c in columns.items()])
+
+
 def join_same(left: DataFrame, right: DataFrame, *keys: str, how: str = "inner") -> DataFrame:
     """Joins on null-safe equality of ``keys``; they appear once, as in ``left``."""
     other = right.withColumnsRenamed({k: f"__{k}" for k in keys})

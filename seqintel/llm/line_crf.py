@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import text_of
+from .common import carried, text_of
 
 #: The fit reads at most so many labelled documents, and of each at most so many
 #: lines in a row (from a place set by a hash of the text); scores read all lines.
@@ -210,4 +210,4 @@ def classify(docs: DataFrame, crf: LineCrf, id_col: str = "doc_id", text_col: st
 
 def keep_good(docs: DataFrame, crf: LineCrf, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` without the rows predicted bad; columns unchanged."""
-    return docs.withColumn("__score", score(text_of(text_col), crf)).filter(F.col("__score") >= threshold).drop("__score")
+    return carried(docs, score=score(text_of(text_col), crf)).filter(F.col("score") >= threshold).select("row.*")

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, join_same, stored, text_of
+from .common import WORD, carried, join_same, stored, text_of
 
 BUCKETS = 16_384
 WEIGHTS = (1, 2, 3)
@@ -153,9 +153,8 @@ def mixed(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", source_c
     """``docs`` with each row repeated as often as the mix takes it; columns unchanged."""
     _, cuts = rates(spark, docs, id_col=id_col, source_col=source_col, **options)
     weight = options.get("weight_col")
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    rows = docs.select(row, F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
-                       (F.col(weight).cast("double") if weight else F.lit(1.0)).alias("q"), uniform(F.col(id_col)).alias("u"))
+    rows = carried(docs, doc_id=F.col(id_col), source=F.col(source_col), u=uniform(F.col(id_col)),
+                   q=F.col(weight).cast("double") if weight else F.lit(1.0))
     some = {k: v for k, v in options.items() if k in ("most", "buckets")}
     return (chosen(rows, cuts, **some).filter("copies > 0")
             .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*"))

@@ -29,13 +29,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import components, stored, text_of
+from .common import carried, components, join_same, stored, text_of
 
 SHINGLE = 3
 SEED = 42
@@ -193,6 +192,6 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id
     """``docs`` with one document of each group: the one with the smallest id.
     Rows that repeat that id all stay (an exact dedup goes first)."""
     kept = groups(spark, docs, id_col, text_col, **options).filter(
-        F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__id")).distinct()
-    kept = stored(spark, kept, "simhash-kept")
-    return docs.join(kept, F.col(id_col).cast("long").eqNullSafe(F.col("__id")), "left_semi")
+        F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
+    rows = carried(docs, doc_id=F.col(id_col).cast("long"))
+    return join_same(rows, stored(spark, kept, "simhash-kept"), "doc_id", how="left_semi").select("row.*")
