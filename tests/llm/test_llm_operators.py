@@ -1,4 +1,5 @@
 """The corpus operators against brute force, and their cases at the edges."""
+import functools
 import hashlib
 import itertools
 import math
@@ -221,9 +222,14 @@ def test_mixing_unequal_weights(spark):
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
-def brute_ids(text):
+@functools.cache
+def whole_tokenizer():
     from tokenizers import Tokenizer
-    return Tokenizer.from_file(TOKENIZER).encode(text or "", add_special_tokens=False).ids
+    return Tokenizer.from_file(TOKENIZER)
+
+
+def brute_ids(text):
+    return whole_tokenizer().encode(text or "", add_special_tokens=False).ids
 
 
 def check_packing(pieces, want, tokens=4096, segments=256, loss=None):
@@ -373,8 +379,8 @@ def brute_repeats(docs, length):
         yield i, len(b), int(gone.sum()), int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum()), hashlib.sha256(kept).hexdigest()
 
 
-@pytest.mark.parametrize("length,reach", [(40, 16), (40, 32), (64, 20)])
-def test_repeats_against_brute_force(spark, length, reach):
+@pytest.mark.parametrize("length,reach,block", [(40, 16, 5), (40, 32, 20), (64, 20, 32)])
+def test_repeats_against_brute_force(spark, length, reach, block):
     r = np.random.default_rng(length + reach)
     pieces = ["".join(r.choice(list("abé "), int(n))) for n in r.integers(10, 140, 12)]
     rows = []
@@ -382,7 +388,7 @@ def test_repeats_against_brute_force(spark, length, reach):
         text = "".join(pieces[k] if r.random() < 0.6 else "".join(r.choice(list("wxyz"), int(r.integers(1, 60)))) for k in r.integers(0, 12, 4))
         rows.append((i, text, "a"))
     rows += [(200, "a" * 300, "a"), (201, "ab" * 200, "a"), (202, "a" * 39, "a"), (203, None, None), (204, "", "b"), rows[0], (None, rows[1][1], None)]
-    got = suffix_dedup.remove_repeats(spark, table(spark, rows), length=length, reach=reach).drop("kept").collect()
+    got = suffix_dedup.remove_repeats(spark, table(spark, rows), length=length, reach=reach, block=block).drop("kept").collect()
     want = brute_repeats([(i, (t or "").encode()) for i, t, _ in rows], length)
     assert Counter(map(tuple, got)) == Counter(want)
 
@@ -533,7 +539,7 @@ def test_tool_calls_linking(spark):
         (2, 1, None, None, "q"), (None, 0, "", [("p", "add", '{"x":1}')], None), (None, 1, "null conv", None, "p"),
     ]
     got = {(r.conv_id, r.call_id, r.turn): r for r in tool_calls.link(spark, messages(spark, rows), s).collect()}
-    assert len(got) == 14
+    assert len(got) == 15
     a = got[1, "p", 0]
     assert (a.arguments, a.errors, a.level, a.status, a.result) == ('{"x":1.5,"y":"a"}', [], 0, "linked", "done p")
     assert a.record == '{"arguments":{"x":1.5,"y":"a"},"errors":[],"id":"p","level":0,"name":"add","result":"done p"}'
