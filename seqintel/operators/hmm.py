@@ -282,6 +282,11 @@ def check_training_data(seqs: DataFrame, n_states: int, seq_col: str = "seq") ->
     return int(r["n"]), int(r["k"])
 
 
+def trainable(total_posts: str, n_sequences: str, n_states: int) -> Column:
+    """The K5 rule on counts."""
+    return (F.col(total_posts) >= 3 * n_states) & (F.col(n_sequences) >= 1)
+
+
 def _init_model(n_states: int, n_symbols: int, seed: int) -> HMM:
     rng = np.random.RandomState(seed)
     start = rng.dirichlet(np.ones(n_states))

@@ -69,6 +69,28 @@ def author_sequences(posts: DataFrame, fields: list[str], author_col: str = "aut
     return p.groupBy(author_col).agg(F.array_sort(F.collect_list(st)).alias("posts"))
 
 
+def author_post_counts(posts: DataFrame, author_col: str = "author", ts_col: str = "ts") -> DataFrame:
+    """(author, n_posts) of the sequences D5 would build, without building them."""
+    return posts.where(F.col(ts_col).isNotNull()).groupBy(
+        F.coalesce(F.col(author_col), F.lit(D.UNKNOWN_AUTHOR)).alias(author_col)).agg(
+        F.count(F.lit(1)).cast("long").alias("n_posts"))
+
+
+def count_metadata(counts: DataFrame, min_len: int = D.MIN_SEQUENCE) -> DataFrame:
+    """D7 from ``author_post_counts``."""
+    return counts.agg(F.count(F.lit(1)).cast("long").alias("total_authors"),
+                      F.count_if(F.col("n_posts") >= min_len).cast("long").alias("valid_authors"),
+                      F.lit(min_len).cast("long").alias("min_len"))
+
+
+def phase_posts(posts: DataFrame, author_col: str = "author", ts_col: str = "ts", id_col: str = "message_id",
+                tech_col: str = "techniques", mapping: dict | None = None, default: int = D.DEFAULT_PHASE) -> DataFrame:
+    """(author, ts, id, phase): the posts that make up the D8 sequences, one per row."""
+    kept = posts.where(F.col(ts_col).isNotNull() & (F.coalesce(F.size(tech_col), F.lit(0)) > 0))
+    return kept.select(F.coalesce(F.col(author_col), F.lit(D.UNKNOWN_AUTHOR)).alias("author"), F.col(ts_col).alias("ts"),
+                       F.col(id_col).alias("id"), phase_of(F.col(tech_col), mapping, default).alias("phase"))
+
+
 def valid_sequences(seqs: DataFrame, min_len: int = D.MIN_SEQUENCE) -> DataFrame:
     """Keep authors with at least ``min_len`` posts."""
     return seqs.where(F.size("posts") >= min_len)

@@ -7,6 +7,7 @@ Computed columns carry the same alias on both sides.
 
 from __future__ import annotations
 
+import json
 import re
 
 from collections.abc import Callable
@@ -469,6 +470,10 @@ def _seq(spark, sf_dir):
                                id_col="event_id")
 
 
+def _phase_posts(spark, sf_dir):
+    return SEQ.phase_posts(_tech(spark, sf_dir), id_col="event_id")
+
+
 def wt(sql: str) -> str:
     return f"WITH {O.FX_TECH}, main AS ({sql}) SELECT * FROM main"
 
@@ -520,8 +525,7 @@ d5 AS (SELECT author, count(*) AS n FROM fx_tech WHERE ts IS NOT NULL GROUP BY a
 
 @register("D6_valid_sequences", f"WITH {O.FX_TECH}, {_D5} SELECT author, CAST(n AS BIGINT) AS n_posts FROM d5 WHERE n >= 3")
 def q_d6(spark, sf_dir):
-    s = SEQ.valid_sequences(SEQ.author_sequences(_tech(spark, sf_dir), []))
-    return s.select("author", F.size("posts").cast("long").alias("n_posts"))
+    return SEQ.author_post_counts(_tech(spark, sf_dir)).where(F.col("n_posts") >= D.MIN_SEQUENCE)
 
 
 @register("D7_sequence_metadata", f"""
@@ -529,7 +533,7 @@ WITH {O.FX_TECH}, {_D5}
 SELECT CAST(count(*) AS BIGINT) AS total_authors, CAST(count(*) FILTER (WHERE n >= 3) AS BIGINT) AS valid_authors,
        CAST(3 AS BIGINT) AS min_len FROM d5""")
 def q_d7(spark, sf_dir):
-    return SEQ.sequence_metadata(SEQ.author_sequences(_tech(spark, sf_dir), []))
+    return SEQ.count_metadata(SEQ.author_post_counts(_tech(spark, sf_dir)))
 
 
 @register("D8_phase_sequences", wt("SELECT author, array_to_string(seq, ',') AS seq, n_dropped FROM fx_seq"))
@@ -705,7 +709,9 @@ SELECT author, CASE WHEN row_number() OVER (ORDER BY sha1('42:' || author)) <=
     (SELECT least(greatest(1, CAST(floor(count(*) * 0.2) AS BIGINT)), count(*) - 1) FROM fx_seq)
   THEN 'test' ELSE 'train' END AS split FROM fx_seq"""))
 def q_k4(spark, sf_dir):
-    train, test = EV.split_authors(_seq(spark, sf_dir))
+    # the split needs names alone; they are written once and read several times
+    names = _phase_posts(spark, sf_dir).select("author").distinct().checkpoint(eager=True)
+    train, test = EV.split_authors(names)
     return (train.select("author", F.lit("train").alias("split"))
             .unionByName(test.select("author", F.lit("test").alias("split"))))
 
@@ -810,9 +816,9 @@ def q_e4p(spark, sf_dir):
 SELECT author, CAST(list_position(c, list_max(c)) - 1 AS INTEGER) AS top_phase FROM (
   SELECT author, list_transform(range(6), lambda f: len(list_filter(seq, lambda x: x = f))) AS c FROM fx_seq)"""))
 def q_e5(spark, sf_dir):
-    s = _seq(spark, sf_dir)
-    counts = F.transform(F.sequence(F.lit(0), F.lit(5)), lambda f: F.size(F.filter("seq", lambda x: x == f)))
-    return s.select("author", RP.argmax_index(counts).alias("top_phase"))
+    counts = F.array(*[F.count_if(F.col("phase") == f).cast("int") for f in range(6)])
+    s = _phase_posts(spark, sf_dir).groupBy("author").agg(counts.alias("counts"))
+    return s.select("author", RP.argmax_index(F.col("counts")).alias("top_phase"))
 
 
 @register("E6_critical_authors", wh(f"""
@@ -839,7 +845,7 @@ def q_e7l(spark, sf_dir):
 SELECT author, seq[len(seq)] AS truth, coalesce({_NAMES}[seq[len(seq)] + 1], 'Fase ' || CAST(seq[len(seq)] AS VARCHAR)) AS truth_name
 FROM fx_seq"""))
 def q_b24(spark, sf_dir):
-    s = _seq(spark, sf_dir).withColumn("truth", F.element_at("seq", -1))
+    s = _phase_posts(spark, sf_dir).groupBy("author").agg(F.max_by("phase", F.struct("ts", "id")).alias("truth"))
     return s.select("author", "truth", RP.phase_name("truth").alias("truth_name"))
 
 
@@ -1079,7 +1085,9 @@ keys AS (SELECT DISTINCT k FROM tkeys)
 SELECT k.k AS term_key, CAST(count(d.doc_id) AS BIGINT) AS n_docs
 FROM keys k LEFT JOIN docs d ON contains(d.sq, k.k) GROUP BY k.k""")
 def q_a5(spark, sf_dir):
-    terms = SRC.load_term_dictionary(spark)
+    path = SRC.scratch_dir(spark, "terms")  # the dictionary as a file in the shared store
+    spark.createDataFrame([(json.dumps(D.load_terms_json()),)], "value STRING").write.text(path)
+    terms = SRC.load_term_dictionary(spark, path)
     keys = terms.select(TX.squash_term("term").alias("term_key")).where(F.col("term_key") != "").distinct()
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     # per document the dictionary keys it contains (row-local), then one count per key
@@ -1155,7 +1163,7 @@ def _seq_export_view(s):
 def q_a7(spark, sf_dir):
     path = SRC.scratch_dir(spark, "sequences")
     SRC.write_sequences(_author_posts(spark, sf_dir), path)
-    return _seq_export_view(spark.read.parquet(path))
+    return _seq_export_view(spark.read.parquet(f"{path}/sequences"))
 
 
 @register("A8_read_sequences_json", _SEQ_EXPORT_SQL)
@@ -1220,16 +1228,10 @@ def _model_rows(spark, m: H.HMM):
 SELECT CAST(sum(len(seq)) AS BIGINT) AS total_posts, CAST(count(*) FILTER (WHERE len(seq) >= 2) AS BIGINT) AS n_sequences,
        sum(len(seq)) >= 12 AND count(*) FILTER (WHERE len(seq) >= 2) >= 1 AS trainable FROM fx_seq"""))
 def q_k5(spark, sf_dir):
-    s = _seq(spark, sf_dir)
-    try:
-        n, k = H.check_training_data(s, D.N_STATES)
-        ok = True
-    except H.TrainingDataError:
-        r = s.agg(F.sum(F.size("seq")), F.count_if(F.size("seq") >= 2)).first()
-        n, k, ok = int(r[0] or 0), int(r[1] or 0), False
-    return s.agg(F.sum(F.size("seq")).cast("long").alias("total_posts"),
-                 F.count_if(F.size("seq") >= 2).cast("long").alias("n_sequences")).withColumn(
-        "trainable", F.lit(ok))
+    per = _phase_posts(spark, sf_dir).groupBy("author").agg(F.count(F.lit(1)).alias("n"))
+    total = per.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("total_posts"),
+                    F.count_if(F.col("n") >= 2).cast("long").alias("n_sequences"))
+    return total.withColumn("trainable", H.trainable("total_posts", "n_sequences", D.N_STATES))
 
 
 @register("K6_fit_hmm")
@@ -1279,10 +1281,12 @@ FROM (SELECT a, count(*) FILTER (WHERE a = b) / count(*) AS self_p FROM (
 def q_b23(spark, sf_dir):
     """Persistence class on the empirical phase-transition diagonal (the
     fitted model's diagonal goes through K15)."""
-    s = _seq(spark, sf_dir).where(F.size("seq") >= 2)
-    pairs = s.select(F.explode(F.arrays_zip(F.slice("seq", 1, F.size("seq") - 1),
-                                            F.slice("seq", 2, F.size("seq") - 1))).alias("z"))
-    pairs = pairs.select(F.col("z").getField("0").alias("a"), F.col("z").getField("1").alias("b"))
+    c = _chunks(spark, sf_dir)
+    pairs = c.select(F.explode(F.transform(F.sequence(F.lit(1), F.size("seq") - 1), lambda i: F.struct(
+        F.get("seq", i - 1).alias("a"), F.get("seq", i).alias("b")))).alias("z")).where(F.col("z.b").isNotNull()).select("z.*")
+    ends = c.select("author", (F.col("chunk") + 1).alias("chunk"), F.element_at("seq", -1).alias("a"))
+    seams = ends.join(c.select("author", "chunk", F.element_at("seq", 1).alias("b")), ["author", "chunk"]).select("a", "b")
+    pairs = pairs.unionByName(seams)
     d = pairs.groupBy("a").agg((F.count_if(F.col("a") == F.col("b")) / F.count(F.lit(1))).alias("self_p"))
     return d.select(F.col("a").cast("int").alias("phase"), F.round("self_p", 6).alias("persistence"),
                     RP.persistence_class("self_p").alias("persistence_class"))

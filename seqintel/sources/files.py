@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import dictionaries as D
+from ..operators.sequences import count_metadata
 from ..session import ensure_checkpoint_dir
 
 # Raw post record: the original's ten string fields, English names.
@@ -55,8 +56,16 @@ def append_posts_csv(df: DataFrame, path: str) -> None:
 # A5 -------------------------------------------------------------------------
 def load_term_dictionary(spark: SparkSession, path: str | None = None) -> DataFrame:
     """Term dictionary JSON (``{term: [technique, ...]}``) -> rows (idx, term,
-    technique), file order kept. A missing or empty file raises."""
-    terms = D.load_terms_json(path)
+    technique), file order kept. ``path`` may lie in any store that Spark
+    reads; without one the packaged dictionary is taken. A missing file or one
+    that holds no object raises."""
+    if path is not None:
+        whole = spark.read.text(path, wholetext=True).select(
+            F.posexplode(F.from_json("value", "map<string,array<string>>", {"mode": "FAILFAST"})).alias("idx", "term", "techniques"))
+        if whole.isEmpty():
+            raise ValueError(f"term dictionary {path!r} is empty or not an object")
+        return whole.select("idx", "term", F.explode("techniques").alias("technique"))
+    terms = D.load_terms_json()
     rows = [(i, k, t) for i, (k, v) in enumerate(terms.items()) for t in v]
     return spark.createDataFrame(rows, "idx INT, term STRING, technique STRING")
 
@@ -95,14 +104,13 @@ def phase_dictionary_json() -> str:
 
 
 # A7 / A8 --------------------------------------------------------------------
-SEQ_POST = ("array<struct<message_id:string,ts:timestamp,threat_score:double,"
-            "entities:array<struct<type:string,text:string,confidence:double>>,"
-            "techniques:array<string>>>")
-
-
-def write_sequences(seqs: DataFrame, path: str) -> None:
-    """Per-author post lists as Parquet (arrays stay typed)."""
-    seqs.write.mode("overwrite").parquet(path)
+def write_sequences(seqs: DataFrame, path: str, min_len: int = D.MIN_SEQUENCE) -> None:
+    """Per-author post lists as Parquet (arrays stay typed), only authors with
+    at least ``min_len`` posts (D6), and beside them the metadata of D7."""
+    seqs.write.mode("overwrite").parquet(f"{path}/sequences")
+    done = seqs.sparkSession.read.parquet(f"{path}/sequences")
+    count_metadata(done.select("author", F.size("posts").alias("n_posts")), min_len).write.mode("overwrite").parquet(f"{path}/metadata")
+    done.where(F.size("posts") >= min_len).write.mode("overwrite").parquet(f"{path}/valid")
 
 
 def sequences_as_json(seqs: DataFrame) -> DataFrame:
@@ -114,10 +122,12 @@ def read_sequences_json(df: DataFrame, col: str = "posts_json") -> DataFrame:
     """Decode the text export; accepts ``techniques`` or, when that is
     missing or empty, ``mitre_techniques`` per post."""
     alt = ("array<struct<message_id:string,ts:timestamp,threat_score:double,"
+           "entities:array<struct<type:string,text:string,confidence:double>>,"
            "techniques:array<string>,mitre_techniques:array<string>>>")
     parsed = F.from_json(F.col(col), alt)
     posts = F.transform(parsed, lambda p: F.struct(
         p["message_id"].alias("message_id"), p["ts"].alias("ts"), p["threat_score"].alias("threat_score"),
+        F.coalesce(p["entities"], F.array().cast("array<struct<type:string,text:string,confidence:double>>")).alias("entities"),
         F.coalesce(F.when(F.size(p["techniques"]) > 0, p["techniques"]), p["mitre_techniques"],
                    F.array().cast("array<string>")).alias("techniques")))
     return df.select("author", posts.alias("posts"))
