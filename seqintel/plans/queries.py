@@ -1206,9 +1206,13 @@ def q_a12(spark, sf_dir):
 _FITTED: dict[str, H.HMM] = {}
 
 
-def _chunks(spark, sf_dir):
+#: Chunk length of the ``*_chunked`` and ``*_chunks`` keys: short, so that every author has several chunks.
+SHORT = 16
+
+
+def _chunks(spark, sf_dir, L=LS.CHUNK):
     """Skew-proof chunked phase sequences (positions by range-partitioned sort)."""
-    return LS.phase_chunks(_tech(spark, sf_dir), ts_col="ts", id_col="event_id")
+    return LS.phase_chunks(_tech(spark, sf_dir), ts_col="ts", id_col="event_id", L=L)
 
 
 def _fitted(spark, sf_dir) -> H.HMM:
@@ -1373,48 +1377,48 @@ def q_s3(spark, sf_dir):
 SELECT r.author, CAST(len(r.seq) AS BIGINT) AS n_posts, CAST(r.last_state AS INTEGER) AS last_state,
        r.dominant_state, round(d.logp, 6) AS logp FROM rep r JOIN dec d ON r.author = d.author"""))
 def q_k8c(spark, sf_dir):
-    d = LS.decode_chunks(_chunks(spark, sf_dir), FXM)
+    d = LS.decode_chunks(_chunks(spark, sf_dir, SHORT), FXM, L=SHORT)
     return d.select("author", "n_posts", "last_state", "dominant_state", F.round("logp", 6).alias("logp"))
 
 
 @register("K7_loglik_chunked", wt(f"SELECT author, round({O.forward_sql('seq', FXM)}, 6) AS loglik FROM fx_seq"))
 def q_k7c(spark, sf_dir):
-    return LS.loglik_chunks(_chunks(spark, sf_dir), FXM).select("author", F.round("loglik", 6).alias("loglik"))
+    return LS.loglik_chunks(_chunks(spark, sf_dir, SHORT), FXM).select("author", F.round("loglik", 6).alias("loglik"))
 
 
 @register("K10_author_report_chunked", wh(f"SELECT {_REPORT_COLS} FROM rep"))
 def q_k10c(spark, sf_dir):
-    return H.author_report(LS.analyze_chunks(_chunks(spark, sf_dir), FXM))
+    return H.author_report(LS.analyze_chunks(_chunks(spark, sf_dir, SHORT), FXM, L=SHORT))
 
 
-def _slices_sql(list_expr: str, L: int = LS.CHUNK) -> str:
+def _slices_sql(list_expr: str, L: int = SHORT) -> str:
     """DuckDB: one row per L-sized slice of a list: (c, slice)."""
     return (f"SELECT *, unnest(range(0, (len({list_expr}) - 1) // {L} + 1)) AS c FROM")
 
 
 @register("D8_phase_chunks", wt(f"""
-SELECT author, CAST(c AS BIGINT) AS chunk, array_to_string(seq[c * {LS.CHUNK} + 1:(c + 1) * {LS.CHUNK}], ',') AS seq,
-       CAST((len(seq) - 1) // {LS.CHUNK} + 1 AS BIGINT) AS n_chunks
+SELECT author, CAST(c AS BIGINT) AS chunk, array_to_string(seq[c * {SHORT} + 1:(c + 1) * {SHORT}], ',') AS seq,
+       CAST((len(seq) - 1) // {SHORT} + 1 AS BIGINT) AS n_chunks
 FROM ({_slices_sql('seq')} fx_seq)"""))
 def q_d8c(spark, sf_dir):
-    c = _chunks(spark, sf_dir)
+    c = _chunks(spark, sf_dir, SHORT)
     return c.select("author", "chunk", F.array_join("seq", ",").alias("seq"), F.col("n_chunks").cast("long"))
 
 
 @register("K8_viterbi_paths_chunked", wh(f"""
-SELECT author, CAST(c AS BIGINT) AS chunk, array_to_string(path[c * {LS.CHUNK} + 1:(c + 1) * {LS.CHUNK}], ',') AS path
+SELECT author, CAST(c AS BIGINT) AS chunk, array_to_string(path[c * {SHORT} + 1:(c + 1) * {SHORT}], ',') AS path
 FROM ({_slices_sql('path')} dec)"""))
 def q_k8p(spark, sf_dir):
-    p = LS.chunk_paths(_chunks(spark, sf_dir), FXM)
+    p = LS.chunk_paths(_chunks(spark, sf_dir, SHORT), FXM)
     return p.select("author", "chunk", F.array_join("path", ",").alias("path"))
 
 
 @register("D5_author_sequence_chunks", wt(f"""
-SELECT author, CAST((rn - 1) // {LS.CHUNK} AS BIGINT) AS chunk, CAST(count(*) AS BIGINT) AS n_posts,
+SELECT author, CAST((rn - 1) // {SHORT} AS BIGINT) AS chunk, CAST(count(*) AS BIGINT) AS n_posts,
        string_agg(message_id, ',' ORDER BY rn) AS message_ids
 FROM (SELECT *, row_number() OVER (PARTITION BY author ORDER BY ts, message_id) AS rn FROM fx_tech
-      WHERE ts IS NOT NULL) GROUP BY author, (rn - 1) // {LS.CHUNK}"""))
+      WHERE ts IS NOT NULL) GROUP BY author, (rn - 1) // {SHORT}"""))
 def q_d5c(spark, sf_dir):
-    c = LS.author_sequence_chunks(_tech(spark, sf_dir), ["value"])
+    c = LS.author_sequence_chunks(_tech(spark, sf_dir), ["value"], L=SHORT)
     return c.select("author", "chunk", F.size("posts").cast("long").alias("n_posts"),
                     F.array_join(F.transform("posts", lambda p: p["message_id"]), ",").alias("message_ids"))
