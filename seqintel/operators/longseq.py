@@ -12,8 +12,8 @@ author's posts in one task or one row:
   (author, chunk). Every downstream array is bounded by ``L``.
 * Chunked forward-backward (K6 E-step) and Viterbi (K8): per chunk, in
   parallel, a transfer matrix (sum-product, or max-plus for Viterbi); per
-  author, a fold over its chunk matrices (``n / L`` small matrices, not the
-  posts) gives the boundary vectors / boundary states; per chunk again, the
+  author, a two-level fold over its chunk matrices (products of runs first)
+  gives the boundary vectors / boundary states; per chunk again, the
   exact local pass given those boundaries. Single-chunk authors skip the
   fold. Results equal the whole-sequence computation (tested).
 """
@@ -73,11 +73,6 @@ def chunk_sequences(df: DataFrame, key: str, pos_col: str, value_col: str, L: in
 
 
 # -- numpy kernels -------------------------------------------------------------
-def _norm(v):
-    s = v.sum()
-    return v / s, np.log(s)
-
-
 def sum_transfer(obs, A, B, pi=None):
     """Row-vector transfer of a chunk: alpha_end = alpha_in @ T. With ``pi``
     (first chunk) the chunk starts with diag(pi * B[:, o1]) instead of A diag(B).
@@ -156,53 +151,64 @@ def constrained_viterbi(obs, lA, lB, lpi, s_in, s_out):
 
 
 # -- per-author folds (small: one matrix per chunk) -----------------------------
-def sum_fold(mats, scales):
-    """Boundary vectors per chunk and the sequence log-likelihood.
-
-    alpha_end(0) = column sums of T_0; alpha_end(c) = alpha_end(c-1) @ T_c;
-    beta at the last position of chunk c = T_{c+1} @ beta(c+1), ones at the end.
+def sum_fold(mats, scales, a_first=None, b_last=None):
+    """Boundary vectors per matrix and the log-likelihood.
+
+    ``a_first`` is the forward vector before the first matrix (None: the
+    matrices begin a sequence, whose first one holds the start), ``b_last`` the
+    backward vector after the last (None: they end one).
+    alpha_end(c) = alpha_end(c-1) @ T_c; beta at the last position under
+    matrix c = T_{c+1} @ beta(c+1).
     """
     k, S = len(mats), mats[0].shape[0]
-    a_in = [None] * k
-    v = mats[0].sum(0)
-    ll = scales[0] + np.log(v.sum())
-    v = v / v.sum()
-    for c in range(1, k):
-        a_in[c] = v
-        v = v @ mats[c]
-        ll += scales[c] + np.log(v.sum())
+    a_in, v, ll = [], a_first, 0.0
+    for m, scale in zip(mats, scales):
+        a_in.append(v)
+        v = m.sum(0) if v is None else v @ m
+        ll += scale + np.log(v.sum())
         v = v / v.sum()
     b_out = [None] * k
-    u = np.full(S, 1.0 / S)
-    b_out[k - 1] = u
-    for c in range(k - 2, -1, -1):
-        u = mats[c + 1] @ u
-        u = u / u.sum()
+    u = np.full(S, 1.0 / S) if b_last is None else b_last
+    for c in range(k - 1, -1, -1):
         b_out[c] = u
+        u = mats[c] @ u
+        u = u / u.sum()
     return a_in, b_out, float(ll)
 
 
-def maxplus_fold(mats):
-    """Best log score, and (entry, exit) state per chunk on the best path."""
-    k = len(mats)
-    deltas, back = [], []
-    d = mats[0][0]
-    deltas.append(d)
-    back.append(None)
-    for c in range(1, k):
-        cand = d[:, None] + mats[c]
+def sum_product(mats, scales):
+    """The product of a run of matrices, normalised, and its log scale."""
+    m, ls = mats[0], scales[0]
+    for other, scale in zip(mats[1:], scales[1:]):
+        m = m @ other
+        ls += scale + np.log(m.sum())
+        m = m / m.sum()
+    return m, float(ls)
+
+
+def maxplus_fold(mats, s_first=None, s_last=None):
+    """Best log score, and (entry, exit) state per matrix on the best path, from
+    ``s_first`` (None: the start) to ``s_last`` (None: the best end)."""
+    back = []
+    d = mats[0][0 if s_first is None else s_first]
+    for m in mats[1:]:
+        cand = d[:, None] + m
         arg = np.argmax(cand, axis=0)
         d = cand[arg, np.arange(cand.shape[1])]
-        deltas.append(d)
         back.append(arg)
-    exit_state = int(np.argmax(d))
-    logp = float(d[exit_state])
-    states = [0] * k
-    states[-1] = exit_state
-    for c in range(k - 1, 0, -1):
-        states[c - 1] = int(back[c][states[c]])
-    entries = [None] + states[:-1]
-    return entries, states, logp
+    states = [int(np.argmax(d)) if s_last is None else s_last]
+    logp = float(d[states[0]])
+    for arg in reversed(back):
+        states.append(int(arg[states[-1]]))
+    states.reverse()
+    return [s_first, *states[:-1]], states, logp
+
+
+def maxplus_product(mats):
+    m = mats[0]
+    for other in mats[1:]:
+        m = np.max(m[:, :, None] + other[None, :, :], axis=1)
+    return m
 
 
 # -- Spark jobs ------------------------------------------------------------------
@@ -232,29 +238,58 @@ def _chunk_transfers(chunks: DataFrame, key: str, kind: str, params) -> DataFram
     return chunks.select(key, "chunk", "seq").mapInPandas(run, schema)
 
 
+#: Chunk matrices folded in one task; their products are folded per author.
+FAN = 256
+
+
 def _author_boundaries(transfers: DataFrame, key: str, kind: str, S: int, params) -> DataFrame:
-    """Per author fold over its chunk matrices -> per chunk boundary data."""
-    out = T.StructType([transfers.schema[key], T.StructField("chunk", T.LongType()),
-                        T.StructField("a_in", _MAT), T.StructField("b_out", _MAT),
-                        T.StructField("s_in", T.IntegerType()), T.StructField("s_out", T.IntegerType()),
-                        T.StructField("score", T.DoubleType())])
+    """Boundary data per chunk, by a two-level fold over the chunk matrices.
+
+    Runs of ``FAN`` chunks are multiplied in parallel, the products (one matrix
+    per FAN * L posts) are folded per author, and each run is folded again
+    between the boundaries that its product got."""
+    ends = [T.StructField("a_in", _MAT), T.StructField("b_out", _MAT), T.StructField("s_in", T.IntegerType()),
+            T.StructField("s_out", T.IntegerType()), T.StructField("score", T.DoubleType())]
+    author, chunk, run_ = transfers.schema[key], T.StructField("chunk", T.LongType()), T.StructField("run", T.LongType())
+    product = T.StructType([author, run_, T.StructField("m", _MAT), T.StructField("ls", T.DoubleType())])
+    fan = FAN
 
-    def run(pdf):
+    def mats_of(pdf):
+        return [np.asarray(m).reshape(S, S) for m in pdf["m"]]
+
+    def multiply(pdf):
         pdf = pdf.sort_values("chunk")
-        mats = [np.asarray(m).reshape(S, S) for m in pdf["m"]]
-        k = len(mats)
+        m, ls = sum_product(mats_of(pdf), list(pdf["ls"])) if kind == "sum" else (maxplus_product(mats_of(pdf)), 0.0)
+        return pd.DataFrame({key: pdf[key].values[:1], "run": pdf["run"].values[:1], "m": [m.ravel().tolist()], "ls": [ls]})
+
+    def folded(pdf, place, first, last):
+        k = len(pdf)
+        out = {key: pdf[key].values, place: pdf[place].values, "a_in": [None] * k, "b_out": [None] * k, "s_in": [None] * k, "s_out": [None] * k}
+        if kind == "sum":
+            a_in, b_out, score = sum_fold(mats_of(pdf), list(pdf["ls"]), first, last)
+            out |= {"a_in": [None if a is None else a.tolist() for a in a_in], "b_out": [b.tolist() for b in b_out]}
+        else:
+            out["s_in"], out["s_out"], score = maxplus_fold(mats_of(pdf), first, last)
+        return pd.DataFrame(out | {"score": [score] + [0.0] * (k - 1)})
+
+    def top(pdf):
+        return folded(pdf.sort_values("run"), "run", None, None)
+
+    def inner(pdf):
+        pdf = pdf.sort_values("chunk").reset_index(drop=True)
+        head = pdf.iloc[0]
         if kind == "sum":
-            a_in, b_out, ll = sum_fold(mats, list(pdf["ls"]))
-            return pd.DataFrame({key: pdf[key].values, "chunk": pdf["chunk"].values,
-                                 "a_in": [None if a is None else a.tolist() for a in a_in],
-                                 "b_out": [b.tolist() for b in b_out], "s_in": [None] * k,
-                                 "s_out": [None] * k, "score": [ll] + [0.0] * (k - 1)})
-        entries, exits, logp = maxplus_fold(mats)
-        return pd.DataFrame({key: pdf[key].values, "chunk": pdf["chunk"].values, "a_in": [None] * k,
-                             "b_out": [None] * k, "s_in": entries, "s_out": exits,
-                             "score": [logp] + [0.0] * (k - 1)})
-
-    return transfers.groupBy(key).applyInPandas(run, out)
+            first, last = (None if head["a_in"] is None else np.asarray(head["a_in"])), np.asarray(head["b_out"])
+        else:
+            first, last = (None if pd.isna(head["s_in"]) else int(head["s_in"])), int(head["s_out"])
+        out = folded(pdf, "chunk", first, last)
+        out["score"] = [head["score"] if head["run"] == 0 else 0.0] + [0.0] * (len(pdf) - 1)
+        return out
+
+    t = transfers.withColumn("run", F.floor(F.col("chunk") / fan).cast("long")).checkpoint(eager=True)
+    runs = t.groupBy(key, "run").applyInPandas(multiply, product)
+    bounds = runs.groupBy(key).applyInPandas(top, T.StructType([author, run_, *ends]))
+    return t.join(bounds, [key, "run"]).groupBy(key, "run").applyInPandas(inner, T.StructType([author, chunk, *ends]))
 
 
 def estep_chunked(chunks: DataFrame, key: str, params, S: int, M: int) -> tuple:

@@ -63,3 +63,19 @@ def test_unreadable_model_is_an_error(spark, tmp_path):
     (tmp_path / "start" / "part-0.parquet").write_bytes(b"broken")
     with pytest.raises(Exception):
         H.load_model(spark, str(tmp_path))
+
+
+def test_runs_of_chunks_fold_like_whole_sequences(spark, monkeypatch):
+    monkeypatch.setattr(LS, "FAN", 3)
+    m = H.HMM([0.6, 0.4], [[0.7, 0.3], [0.2, 0.8]], [[0.5, 0.3, 0.2], [0.1, 0.3, 0.6]])
+    seqs = [[(7 * i * i + a) % 3 for i in range(n)] for a, n in enumerate((41, 9, 30, 1))]
+    whole = spark.createDataFrame([(f"a{i}", s) for i, s in enumerate(seqs)], "author STRING, seq ARRAY<INT>")
+    chunks = spark.createDataFrame([(f"a{i}", c, s[4 * c:4 * c + 4], (len(s) + 3) // 4) for i, s in enumerate(seqs) for c in range((len(s) + 3) // 4)],
+                                   "author STRING, chunk LONG, seq ARRAY<INT>, n_chunks LONG")
+    want = {r["author"]: (r["ll"], r["v"]["path"], r["v"]["logp"]) for r in
+            whole.select("author", H.forward_loglik("seq", m).alias("ll"), H.viterbi("seq", m).alias("v")).collect()}
+    ll = {r["author"]: r["loglik"] for r in LS.loglik_chunks(chunks, m).collect()}
+    paths = {}
+    for r in sorted(LS.chunk_paths(chunks, m).collect(), key=lambda r: r["chunk"]):
+        paths.setdefault(r["author"], []).extend(r["path"])
+    assert set(ll) == set(want) and all(abs(ll[a] - want[a][0]) < 1e-9 and paths[a] == list(want[a][1]) for a in want)
