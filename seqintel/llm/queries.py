@@ -72,7 +72,49 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_packing, op2_line_crf, op3_tool_calls, op4_quality_rules, op5_exact_dedup, op6_secrets, op7_suffix_dedup, op8_mixing, op9_pii, op10_simhash)}
 
+def _sql(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _matches_sql(kind: str, number: int, pattern: str, least: int, group: int) -> str:
+    """Places of the leftmost matches: each is taken together with the gap before it."""
+    whole = _sql(f"(?s)(.*?)({pattern})")
+    return f"""
+  SELECT rid, '{kind}' AS kind, {number} AS k, hit, stop - length(hit) AS start, stop FROM (
+    SELECT rid, hit, part, sum(length(gap) + length(hit)) OVER (PARTITION BY rid ORDER BY i) AS stop FROM (
+      SELECT rid, unnest(regexp_extract_all(t, {whole}, 1)) AS gap, unnest(regexp_extract_all(t, {whole}, 2)) AS hit,
+             unnest(regexp_extract_all(t, {whole}, {group})) AS part, generate_subscripts(regexp_extract_all(t, {whole}, 2), 1) AS i
+      FROM d WHERE regexp_matches(t, {_sql(pattern)}))) WHERE length(part) >= {least}"""
+
+
+_ALLOWED = _sql("|".join(f"(?:{p})" for p in secrets.ALLOW))
+_W, _T = secrets.WINDOW, secrets.THRESHOLDS
+_OP6 = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+base AS ({" UNION ALL ".join(_matches_sql(kind, i, pattern, least, group) for i, (kind, pattern, least, group) in enumerate(secrets.BASE))}),
+cand AS (
+  SELECT *, CASE WHEN regexp_full_match(hit, '[0-9a-f]+') OR regexp_full_match(hit, '[0-9A-F]+') THEN {_T["hex"]}
+                 WHEN regexp_full_match(hit, '[0-9A-Z]+') THEN {_T["upper"]} ELSE {_T["mixed"]} END AS least
+  FROM ({_matches_sql("entropy", len(secrets.BASE), secrets.CANDIDATE, 0, 2)}) WHERE NOT regexp_full_match(hit, {_ALLOWED})),
+win AS (SELECT rid, kind, k, start, least, i, substr(hit, i + 1, {_W}) AS w
+        FROM (SELECT *, unnest(range(0, length(hit) - {_W} + 1)) AS i FROM cand)),
+hot AS (SELECT * FROM win WHERE -list_sum(list_transform(list_distinct(string_split(w, '')), lambda c:
+          (({_W} - length(replace(w, c, ''))) / {_W}.0) * log2(({_W} - length(replace(w, c, ''))) / {_W}.0))) >= least),
+isle AS (SELECT *, sum(fresh) OVER (PARTITION BY rid, start ORDER BY i) AS isle FROM (
+  SELECT *, CASE WHEN i - lag(i) OVER (PARTITION BY rid, start ORDER BY i) <= {_W} THEN 0 ELSE 1 END AS fresh FROM hot)),
+span AS (SELECT rid, kind, k, start + min(i) AS start, start + max(i) + {_W} AS stop FROM isle GROUP BY rid, kind, k, start, isle),
+added AS (SELECT s.* FROM span s WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.rid = s.rid AND b.start < s.stop AND s.start < b.stop)),
+b AS (SELECT rid, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+             count(*) FILTER (kind = 'hex') AS n_hex,
+             string_agg(kind || ':' || CAST(start AS BIGINT) || ':' || CAST(stop AS BIGINT), ',' ORDER BY start, k, stop) AS s FROM base GROUP BY rid),
+f AS (SELECT rid, string_agg(kind || ':' || CAST(start AS BIGINT) || ':' || CAST(stop AS BIGINT), ',' ORDER BY start, k, stop) AS s FROM (
+        SELECT rid, kind, k, start, stop FROM base UNION ALL SELECT rid, kind, k, start, stop FROM added) GROUP BY rid)
+SELECT d.doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access, coalesce(n_hex, 0)::BIGINT AS n_hex,
+       sha256(coalesce(b.s, '')) AS base_sha256, coalesce(f.s, '') AS spans
+FROM d LEFT JOIN b ON d.rid = b.rid LEFT JOIN f ON d.rid = f.rid"""
+
 SQL = {
+    "op6_secrets": _OP6,
     "op3_tool_calls": r"""
 WITH RECURSIVE t AS (
   SELECT conv_id, turn, role, coalesce(text, '') AS text, length(coalesce(text, '')) AS n, 'c' || conv_id || '-' AS p FROM conversations),
