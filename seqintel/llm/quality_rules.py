@@ -74,14 +74,20 @@ def base_failed() -> Column:
     return (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
 
 
+def stutters(words: Column) -> Column:
+    """Words that equal the word before them."""
+    return let(words, lambda w: F.size(F.filter(w, lambda x, i: (i > 0) & (F.get(w, i - 1) == x))))
+
+
 def production_rules() -> dict[str, Column]:
     """The production rules, over the columns of ``measures``."""
     n = F.col("n_words")
     return {
         "few symbols": 10 * F.col("n_symbols") <= n,
-        "few repeated lines": 10 * F.col("n_dup_lines") <= 3 * F.col("n_lines"),
+        "few repeated lines": 2 * F.col("n_dup_lines") <= F.col("n_lines"),
         "word length": (2 * n <= F.col("word_chars")) & (F.col("word_chars") <= 15 * n),
         "varied words": 10 * F.size(F.array_distinct("words")) >= n,
+        "few stutters": 5 * stutters(F.col("words")) <= n,
         "not shouted": 2 * F.regexp_count("text", F.lit("[A-Z]")) <= F.col("word_chars"),
         "few exclamations": 10 * F.regexp_count("text", F.lit("!!")) <= n,
         "words have letters": 10 * F.size(F.filter("words", lambda w: w.rlike(r"\p{L}"))) >= 6 * n,

@@ -173,7 +173,8 @@ m AS (
   FROM d LEFT JOIN r ON d.rid = r.rid),
 b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND 10 * n_symbols <= n_words AND 10 * n_dup_lines <= 3 * n_lines
+       NOT base_failed AND 10 * n_symbols <= n_words AND 2 * n_dup_lines <= n_lines
+       AND 5 * len(list_filter(range(2, len(words) + 1), lambda i: words[i] = words[i - 1])) <= n_words
        AND 2 * n_words <= word_chars AND word_chars <= 15 * n_words AND 10 * len(list_distinct(words)) >= n_words
        AND 2 * len(regexp_extract_all(text, '[A-Z]')) <= word_chars AND 10 * len(regexp_extract_all(text, '!!')) <= n_words
        AND 10 * len(list_filter(words, lambda w: regexp_matches(w, '\pL'))) >= 6 * n_words AS kept
