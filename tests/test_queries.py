@@ -39,7 +39,7 @@ def test_query_matches_oracle(spark, duck, name):
     rows = df.collect()
     sql = E.oracle_sql().get(name)
     if sql is None:
-        assert len(rows) >= 0
+        assert rows, "a query without SQL must at least return something"
         return
     cur = duck.execute(sql)
     drows = cur.fetchall()
