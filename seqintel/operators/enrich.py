@@ -219,6 +219,15 @@ def _match_aho(df: DataFrame, sq: Column, keys, out_col: str) -> DataFrame:
     return df.withColumn(out_col, match(sq))
 
 
+def with_safe_entities(df: DataFrame, stored_col: str) -> DataFrame:
+    """``entities`` decoded from stored JSON, with the default [] where there is
+    none, and ``quarantined``: true where something is stored that cannot be
+    decoded. The rows to look at are ``df.where("quarantined")``; none is dropped."""
+    decoded = df.withColumn("_decoded", decode_entities(stored_col))
+    return decoded.withColumn("quarantined", F.col(stored_col).isNotNull() & F.col("_decoded").isNull()).withColumn(
+        "entities", F.coalesce("_decoded", F.array().cast(STORED_ENTITY))).drop("_decoded")
+
+
 # -- B20 --------------------------------------------------------------------
 def conf_units(c) -> Column:
     """Confidence in 1e-4 units (confidences carry 4 decimals after E9)."""

@@ -360,13 +360,20 @@ def q_e12(spark, sf_dir):
 
 
 @register("E13_safe_defaults", """
-SELECT doc_id, CAST(coalesce(json_array_length(try_cast(text AS JSON)), 0) AS BIGINT) AS n_entities,
-       CAST(0 AS BIGINT) AS n_techniques, CAST(0.0 AS DOUBLE) AS threat_score FROM documents""")
+SELECT doc_id, CAST(CASE WHEN doc_id % 3 = 0 THEN 2 ELSE 0 END AS BIGINT) AS n_entities,
+       CAST(0 AS BIGINT) AS n_techniques, CASE WHEN doc_id % 3 = 0 THEN 0.2625 ELSE 0.0 END::DOUBLE AS threat_score,
+       doc_id % 3 = 1 AND text IS NOT NULL AS quarantined FROM documents""")
 def q_e13(spark, sf_dir):
+    """A third of the rows stores two entities, a third holds prose instead of JSON, a third nothing."""
     d = table(spark, sf_dir, "documents")
-    ents = F.coalesce(EN.decode_entities("text"), F.array().cast(EN.STORED_ENTITY))
-    return d.select("doc_id", F.size(ents).cast("long").alias("n_entities"),
-                    F.lit(0).cast("long").alias("n_techniques"), F.lit(0.0).alias("threat_score"))
+    stored = F.when(F.col("doc_id") % 3 == 0, F.concat(
+        F.lit('[{"type":"A","text":"'), F.coalesce("source", F.lit("")), F.lit('","confidence":0.5},{"type":"B","text":"'),
+        F.coalesce("lang", F.lit("")), F.lit('","confidence":0.25}]'))).when(F.col("doc_id") % 3 == 1, F.col("text"))
+    d = EN.with_safe_entities(d.withColumn("stored", stored), "stored")
+    units = F.aggregate("entities", F.lit(0).cast("long"), lambda a, x: a + EN.conf_units(x["confidence"]))
+    d = d.withColumns({"n_entities": F.size("entities").cast("long"), "n_techniques": F.lit(0).cast("long"), "units": units})
+    return d.select("doc_id", "n_entities", "n_techniques",
+                    EN.threat_score("units", "n_entities", "n_techniques").alias("threat_score"), "quarantined")
 
 
 # Fixture terms with known hits in ``documents`` (FIXTURES.md): exercise
