@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, join_same, stored, text_of
+from .common import ascii_lower, carried, join_same, stored, text_of
 
 #: Directory bits at most; beyond 2**16 full buckets a bucket just grows (still right).
 LEAF_BITS = 16
@@ -53,7 +53,8 @@ def directory(keys: DataFrame, capacity: int = CAPACITY, leaf_bits: int = LEAF_B
     levels = loads.select("leaf", "n", F.explode(F.sequence(F.lit(0), F.lit(leaf_bits))).alias("depth")).withColumn(
         "prefix", F.expr(f"shiftright(leaf, {leaf_bits} - depth)"))
     overfull = levels.groupBy("depth", "prefix").agg(F.sum("n").alias("load")).filter(F.col("load") > capacity)
-    split = levels.join(overfull, ["depth", "prefix"], "left")
+    # at most 2**(leaf_bits + 1) prefixes are broadcast
+    split = levels.join(F.broadcast(overfull), ["depth", "prefix"], "left")
     return split.groupBy("leaf").agg(
         F.least(F.count("load"), F.lit(leaf_bits)).cast("int").alias("depth"))
 
@@ -66,7 +67,7 @@ def build_index(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", te
     chain, sha, keep_id, keep_rid, group_size), one per distinct text.
     """
     rows = stored(spark, hash_rows(docs, id_col, text_col, key_bits).drop("norm"), "dedup-rows")
-    owners = F.broadcast(stored(spark, directory(rows, capacity, leaf_bits).coalesce(1), "dedup-directory"))
+    owners = F.broadcast(stored(spark, directory(rows, capacity, leaf_bits), "dedup-directory"))
     # the row id comes from the stored rows, so it is looked up and not numbered anew
     texts = hash_rows(docs, id_col, text_col, key_bits).drop("rid")
     bucket = (texts.withColumn("leaf", F.shiftrightunsigned("key", 64 - leaf_bits)).join(owners, "leaf")
@@ -110,13 +111,10 @@ def drop_copies(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", te
     kept = dedup(spark, docs, id_col, text_col, **options).groupBy("doc_id", "sha").agg(
         F.max("kept").alias("kept"), F.count("*").alias("n")).filter("kept").select("doc_id", "sha", "n")
     kept = stored(spark, kept, "dedup-kept")
-    row = docs.withColumn("__id", F.col(id_col).cast("long")).withColumn(
-        "__sha", F.unhex(F.sha2(ascii_lower(text_of(text_col)), 256)))
-    on = F.col("__id").eqNullSafe(F.col("doc_id_")) & (F.col("__sha") == F.col("sha_"))
-    kept = kept.withColumnsRenamed({"doc_id": "doc_id_", "sha": "sha_", "n": "n_"})
-    out = row.join(kept, on, "left_semi")
-    repeated = kept.filter("n_ > 1")
-    if not repeated.isEmpty():
-        out = row.join(kept.filter("n_ = 1"), on, "left_semi").unionByName(
-            row.join(repeated, on, "left_semi").dropDuplicates(["__id", "__sha"]))
-    return out.drop("__id", "__sha")
+    rows = carried(docs, doc_id=F.col(id_col).cast("long"), sha=F.unhex(F.sha2(ascii_lower(text_of(text_col)), 256)))
+    out = join_same(rows, kept, "doc_id", "sha", how="left_semi")
+    repeated = kept.filter("n > 1")
+    if not repeated.isEmpty():  # rows that repeat an id and its text
+        out = join_same(rows, kept.filter("n = 1"), "doc_id", "sha", how="left_semi").unionByName(
+            join_same(rows, repeated, "doc_id", "sha", how="left_semi").dropDuplicates(["doc_id", "sha"]))
+    return out.select("row.*")
