@@ -14,11 +14,14 @@ of equal strings, so the parse does the work of the suffix array:
   all other windows are settled as unique without being looked at.
 * *parse*: the run of windows of one trigger spans one string of text. Equal
   strings (128-bit hash) settle all windows of the run as repeated: this is
-  where copies end, at one row per hundred bytes.
+  where copies end, at one row per ``REACH / 2`` bytes.
 * *suffixes*: what remains are the edges of repeats, where the phrase recurs
-  and the run's string doesn't. There the windows are compared one by one,
-  against each other and against one representative of each settled string
-  with that phrase.
+  and the run's string doesn't. Such runs, and one representative of each
+  settled string with that phrase, are cut into blocks of ``BLOCK`` windows at
+  fixed distances from the trigger. The bytes that all windows of a block
+  share (its core) stand for the phrase, the bytes that any of them covers for
+  the string: equal strings settle a block, and a core that occurs once
+  settles it as unique. Only blocks with neither get their windows compared.
 
 Each step is a grouping with partial sums and a join that Spark can split, so
 a passage that is in a third of all documents burdens no single task. Phrase
@@ -35,11 +38,12 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import stored, text_of
+from .common import bucketed, stored, text_of
 
 LENGTH = 400
-REACH = 200
+REACH = 300
 GRAM = 8
+BLOCK = 32
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -113,25 +117,43 @@ def phrases(bodies: DataFrame, length: int = LENGTH, reach: int = REACH) -> Data
     return bodies.select("dk", "body").mapInArrow(_batches(run, schema), schema)
 
 
+_ENTRY = "core long, hi long, lo long, dk long, a int, size int, solo boolean"
+
+
 def runs(bodies: DataFrame, length: int = LENGTH, reach: int = REACH) -> DataFrame:
-    """(phrase, hi, lo, dk, a, size): the string under each run of windows
-    whose trigger is listed in ``ats``, from (dk, body, ats)."""
+    """The string under each run of windows whose trigger is listed in ``ats``,
+    from (dk, body, ats); core is the phrase, a and size are the run's starts."""
     size = length - reach + 1
 
     def run(dk, body, ats):
         at, first = parse(body, length, reach)
         stop = np.append(first[1:], len(body) - length + 1)
         listed = np.isin(at, ats)
-        rows = [(_phrase(body, t, size), *_two(body[a:b + length - 1]), dk, a, b - a)
+        rows = [(_phrase(body, t, size), *_two(body[a:b + length - 1]), dk, a, b - a, True)
                 for t, a, b in zip(at[listed].tolist(), first[listed].tolist(), stop[listed].tolist())]
-        return tuple(zip(*rows)) or ([],) * 6
+        return tuple(zip(*rows)) or ([],) * 7
+
+    return bodies.select("dk", "body", "ats").mapInArrow(_batches(run, _ENTRY), _ENTRY)
+
+
+def blocks(bodies: DataFrame, length: int = LENGTH, reach: int = REACH, block: int = BLOCK) -> DataFrame:
+    """The blocks of the runs listed in ``probes``, from (dk, body, probes)."""
+    def run(dk, body, probes):
+        at, first = parse(body, length, reach)
+        rows = []
+        for p in probes:
+            t, a, stop = int(at[np.searchsorted(first, p["a"])]), p["a"], p["a"] + p["size"]
+            for d in range((t - a) // block, (t - stop + 1) // block - 1, -1):  # distances d * block and up
+                low, high = max(a, t - (d + 1) * block + 1), min(stop, t - d * block + 1)
+                core = _signed(xxhash.xxh3_64_intdigest(body[t - d * block:t - (d + 1) * block + 1 + length]))
+                rows.append((core, *_two(body[low:high + length - 1]), dk, low, high - low, p["solo"]))
+        return tuple(zip(*rows)) or ([],) * 7
 
-    schema = "phrase long, hi long, lo long, dk long, a int, size int"
-    return bodies.select("dk", "body", "ats").mapInArrow(_batches(run, schema), schema)
+    return bodies.select("dk", "body", "probes").mapInArrow(_batches(run, _ENTRY), _ENTRY)
 
 
 def windows(bodies: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(hi, lo, dk, at, solo): every window of the runs listed in ``probes``, from (dk, body, probes)."""
+    """(hi, lo, dk, at, solo): every window of the blocks listed in ``probes``, from (dk, body, probes)."""
     def run(dk, body, probes):
         rows = [(*_two(body[i:i + length]), dk, i, p["solo"]) for p in probes for i in range(p["a"], p["a"] + p["size"])]
         return tuple(zip(*rows)) or ([],) * 5
@@ -140,6 +162,24 @@ def windows(bodies: DataFrame, length: int = LENGTH) -> DataFrame:
     return bodies.select("dk", "body", "probes").mapInArrow(_batches(run, schema), schema)
 
 
+def settle(spark: SparkSession, entries: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    """(settled, probes) of strings (core, hi, lo, dk, a, size, solo).
+
+    settled: the runs (dk, a, size) of solo entries whose string occurs twice.
+    probes: (dk, probes) with what must be looked into: each distinct string
+    of the cores that have an unsettled solo string and another one beside it.
+    """
+    key = ("core", "hi", "lo")
+    distinct = stored(spark, entries.groupBy(*key).agg(
+        F.count("*").alias("n"), F.min_by("a", "dk").alias("a"), F.min("dk").alias("dk"), F.first("size").alias("size"),
+        F.max("solo").alias("solo")), f"suffix-{name}-strings").withColumn("solo", F.col("solo") & (F.col("n") == 1))
+    cores = stored(spark, distinct.groupBy("core").agg(F.count("*").alias("c"), F.max("solo").alias("open"))
+                   .filter("open AND c > 1").select("core"), f"suffix-{name}-cores")
+    settled = entries.filter("solo").join(stored(spark, distinct.filter("n > 1").select(*key), f"suffix-{name}-twice"), list(key))
+    probes = distinct.join(cores, "core").groupBy("dk").agg(F.collect_set(F.struct("a", "size", "solo")).alias("probes"))
+    return settled.select("dk", "a", "size"), probes
+
+
 def cut(bodies: DataFrame, length: int = LENGTH) -> DataFrame:
     """(dk, n_removed, n_spans, kept) from (dk, body, cover): what is left of
     ``body`` without the windows that start at ``a`` and the ``size - 1`` places after it."""
@@ -155,39 +195,32 @@ def cut(bodies: DataFrame, length: int = LENGTH) -> DataFrame:
     return bodies.select("dk", "body", "cover").mapInArrow(_batches(run, schema), schema)
 
 
-def repeats(spark: SparkSession, bodies: DataFrame, length: int = LENGTH, reach: int = REACH) -> DataFrame:
+def repeats(spark: SparkSession, bodies: DataFrame, length: int = LENGTH, reach: int = REACH, block: int = BLOCK) -> DataFrame:
     """(dk, body, cover) for the rows of (dk, body) that have repeated strings;
     cover lists runs (a, size) of window starts whose windows are repeated.
 
     Rows that share dk must have one body; each counts as an occurrence.
     """
-    if not GRAM <= reach <= length - GRAM:
-        raise ValueError(f"reach must lie between {GRAM} and length - {GRAM}")
+    if not (GRAM <= reach <= length - GRAM and 1 <= block <= length // 2):
+        raise ValueError(f"reach must lie between {GRAM} and length - {GRAM}, block between 1 and length / 2")
     found = phrases(bodies, length, reach)
     dictionary = stored(spark, found.groupBy("phrase").count().filter("count > 1").select("phrase"), "suffix-dictionary")
     listed = found.join(dictionary, "phrase").groupBy("dk").agg(F.collect_set("at").alias("ats"))
-    texts = stored(spark, bodies.join(listed.hint("shuffle_hash"), "dk"), "suffix-texts")
+    texts = bucketed(spark, bodies.join(listed.hint("shuffle_hash"), "dk"), "dk")
 
     strings = stored(spark, runs(texts, length, reach), "suffix-runs")
-    key = ("phrase", "hi", "lo")
-    distinct = stored(spark, strings.groupBy(*key).agg(
-        F.count("*").alias("n"), F.min_by("a", "dk").alias("a"), F.min("dk").alias("dk"), F.first("size").alias("size")),
-        "suffix-strings")
-    edges = stored(spark, distinct.groupBy("phrase").agg(F.count("*").alias("c"), F.count(F.when(F.col("n") == 1, 1)).alias("solos"))
-                   .filter("solos > 0 AND c > 1").select("phrase"), "suffix-edges")
-    probes = distinct.join(edges, "phrase").groupBy("dk").agg(F.collect_set(F.struct(
-        "a", "size", (F.col("n") == 1).alias("solo"))).alias("probes"))
-    compared = stored(spark, windows(texts.select("dk", "body").join(probes.hint("shuffle_hash"), "dk"), length), "suffix-windows")
+    whole, probes = settle(spark, strings, "run")
+    parts = stored(spark, blocks(texts.join(probes.hint("shuffle_hash"), "dk"), length, reach, block), "suffix-blocks")
+    partial, probes = settle(spark, parts, "block")
+    compared = stored(spark, windows(texts.join(probes.hint("shuffle_hash"), "dk"), length), "suffix-windows")
     equal = stored(spark, compared.groupBy("hi", "lo").count().filter("count > 1").select("hi", "lo"), "suffix-equal")
-
-    settled = strings.join(distinct.filter("n > 1").select(*key), list(key)).select("dk", "a", "size")
     single = compared.filter("solo").join(equal, ["hi", "lo"]).select("dk", F.col("at").alias("a"), F.lit(1).alias("size"))
-    cover = settled.unionByName(single).groupBy("dk").agg(F.collect_set(F.struct("a", "size")).alias("cover"))
+    cover = whole.unionByName(partial).unionByName(single).groupBy("dk").agg(F.collect_set(F.struct("a", "size")).alias("cover"))
     return texts.select("dk", "body").join(cover.hint("shuffle_hash"), "dk")
 
 
 def remove_repeats(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                   length: int = LENGTH, reach: int = REACH) -> DataFrame:
+                   length: int = LENGTH, reach: int = REACH, block: int = BLOCK) -> DataFrame:
     """One row per input row: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and
     kept (binary; null if nothing was removed).
 
@@ -200,7 +233,7 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
     rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text")).withColumn(
         "dk", F.xxhash64("doc_id", "text"))
     bodies = rows.filter(F.octet_length("text") >= length).select("dk", F.col("text").cast("binary").alias("body"))
-    cleaned = cut(repeats(spark, bodies, length, reach), length).withColumn(
+    cleaned = cut(repeats(spark, bodies, length, reach, block), length).withColumn(
         "cleaned_sha256", F.sha2("kept", 256)).dropDuplicates(["dk"])
     facts = rows.select("doc_id", "dk", F.octet_length("text").cast("long").alias("n_bytes"),
                         F.sha2(F.col("text").cast("binary"), 256).alias("sha256"))
