@@ -17,6 +17,7 @@ shuffled and a lost task is redone from its own input split.
 from __future__ import annotations
 
 import heapq
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -59,9 +60,13 @@ class WordTokenizer:
     piece = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.model = Tokenizer.from_file(path)
+        self.bare = Tokenizer.from_file(path)  # for words that are lower-cased and split already
+        self.bare.normalizer = normalizers.Sequence([])
+        self.bare.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.special = [t.content for t in self.model.get_added_tokens_decoder().values()]
         vocab = self.model.get_vocab()
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
@@ -89,10 +94,11 @@ class WordTokenizer:
 
     def _learn(self, words: list[str | bytes]) -> None:
         """Ids of many words by one call: the pieces of each say how many word ends are its own."""
-        read = [w if isinstance(w, str) else w.decode("latin-1") for w in words]
-        ids = np.array(self.model.encode(" ".join(read), add_special_tokens=False).ids, "<u4")
+        pieces = [self.piece.findall(w if isinstance(w, str) else w.decode("latin-1")) for w in words]
+        joined = " ".join(itertools.chain.from_iterable(pieces))
+        ids = np.array(self.bare.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
         ends = np.nonzero(self.ends[ids])[0] + 1
-        last = np.cumsum([len(self.piece.findall(w)) for w in read]) - 1
+        last = np.cumsum([len(p) for p in pieces]) - 1
         if len(ends) != last[-1] + 1:
             raise ValueError("the tokenizer splits words in another way")
         start = 0
