@@ -94,9 +94,8 @@ def production_rules() -> dict[str, Column]:
     }
 
 
-def order_rules(spark: SparkSession, some: DataFrame, rules: Mapping[str, Column]) -> list[str]:
+def order_rules(some: DataFrame, rules: Mapping[str, Column]) -> list[str]:
     """Names of ``rules`` in the order of rejection per cost on the rows of ``some``."""
-    some = stored(spark, some, "rules-sample")
     patterns = some.groupBy(*[F.coalesce(c, F.lit(False)).alias(str(i)) for i, c in enumerate(rules.values())]).count().collect()
 
     def seconds(column: Column) -> float:
@@ -141,8 +140,9 @@ def judge(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col
     given = production_rules() if rules is None else rules
     rows = measures(docs, id_col, text_col)
     share = min(1.0, 1.2 * sample / max(docs.count(), 1))
-    some = measures(docs.sample(share, seed=0).limit(sample), id_col, text_col)
-    order = order_rules(spark, some.filter(~base_failed()), given)
+    # the sample is measured once and stored: a filter on measures would be pushed into their expressions
+    some = stored(spark, measures(docs.sample(share, seed=0).limit(sample), id_col, text_col), "rules-sample")
+    order = order_rules(some.filter(~base_failed()), given)
     return rows.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words",
         base_failed().alias("base_failed"),
