@@ -552,3 +552,10 @@ def test_tool_calls_linking(spark):
     assert all(got[2, c, 0].errors == ["cycle"] and got[2, c, 0].level is None for c in "pqr")
     assert got[None, "p", 0].result == "null conv"
     assert tool_calls.link(spark, messages(spark, rows).limit(0), s).count() == 0
+
+
+def test_tokenizer_is_exact_when_its_cache_overflows(monkeypatch):
+    monkeypatch.setattr(packing, "CACHE", 5)
+    tok = packing.WordTokenizer(TOKENIZER)
+    for text in ("one two three", "three four five, six", "one seven eight nine ten eleven twelve one", "é two Ā two six"):
+        assert np.frombuffer(tok.ids(text), "<u4").tolist() == brute_ids(text)
