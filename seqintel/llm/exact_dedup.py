@@ -74,6 +74,7 @@ def build_index(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", te
               .withColumn("prefix", F.expr(f"shiftright(leaf, {leaf_bits} - depth)")))
     entries = bucket.groupBy("depth", "prefix", "key", "sha", "norm").agg(
         F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")).drop("norm")
+    entries = entries.repartition("depth", "prefix")  # one owner task for each bucket's range of hashes
     chain = Window.partitionBy("depth", "prefix", "key").orderBy("sha")
     index = entries.withColumn("chain", F.row_number().over(chain)).withColumn(
         "clash", F.lag("sha").over(chain).eqNullSafe(F.col("sha")))
