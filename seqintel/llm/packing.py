@@ -83,27 +83,37 @@ class WordTokenizer:
         if not plain or any(s in text for s in self.special):
             return np.array(self.model.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         words = text.lower().split() if latin is None else latin.translate(self.bytes_lower).split()
-        new = list(set(words).difference(self.words))
-        if new:
+        found = list(map(self.words.get, words))
+        if None in found:
+            new = list({w for w, f in zip(words, found) if f is None})
             if len(self.words) + len(new) > CACHE:
                 self.words.clear()
                 new = list(set(words))
             for i in range(0, len(new), 8192):
                 self._learn(new[i:i + 8192])
-        return b"".join(map(self.words.__getitem__, words))
+            found = [self.words[w] if f is None else f for w, f in zip(words, found)]
+        return b"".join(found)
+
+    def _split(self, word: str) -> list[str]:
+        """The pieces of a word; letters with at most one mark behind them need no search."""
+        if word.isalpha():
+            return [word]
+        if word[-1] in ".,;:!?" and word[:-1].isalpha():
+            return [word[:-1], word[-1]]
+        return self.piece.findall(word)
 
     def _learn(self, words: list[str | bytes]) -> None:
         """Ids of many words by one call: the pieces of each say how many word ends are its own."""
-        pieces = [self.piece.findall(w if isinstance(w, str) else w.decode("latin-1")) for w in words]
+        pieces = [self._split(w if isinstance(w, str) else w.decode("latin-1")) for w in words]
         joined = " ".join(itertools.chain.from_iterable(pieces))
         ids = np.array(self.bare.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
         ends = np.nonzero(self.ends[ids])[0] + 1
         last = np.cumsum([len(p) for p in pieces]) - 1
         if len(ends) != last[-1] + 1:
             raise ValueError("the tokenizer splits words in another way")
-        start = 0
-        for w, stop in zip(words, ends[last].tolist()):
-            self.words[w] = ids[start:stop].tobytes()
+        raw, start = ids.tobytes(), 0
+        for w, stop in zip(words, (4 * ends[last]).tolist()):
+            self.words[w] = raw[start:stop]
             start = stop
 
 
