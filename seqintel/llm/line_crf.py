@@ -53,7 +53,7 @@ def figures(text: str) -> tuple[np.ndarray, np.ndarray]:
             np.log1p(size), np.log1p(n), min(glyphs / n, 40.0) / 10, len(set(words)) / n, sum(map(equal, words, words[1:])) / n,
             symbols, line.count(b"|") / n, line.count(b"!!") / n, upper / (upper + lower + 1e-9), digits,
             1 - upper - lower - digits, float(line.endswith(_STOPS)), float(65 <= words[0][0] <= 90), float(key in seen),
-            sum(len(w) <= 3 for w in words[:200]) / min(n, 200)))
+            sum(len(w) <= 3 for w in words) / n))
         sizes.append(size)
         seen.add(key)
     return np.array(rows, np.float32).reshape(-1, len(FIGURES)), np.array(sizes, np.int64)
