@@ -209,6 +209,17 @@ def q_b19(spark, sf_dir):
                     TX.squash_term("title").alias("term_squash"))
 
 
+@register("B19_normalize_body", with_fx(f"""
+SELECT message_id, sha1(norm) AS body_norm_sha1, CAST(length(norm) AS BIGINT) AS body_norm_len,
+       sha1(squash) AS body_squash_sha1, CAST(length(squash) AS BIGINT) AS body_squash_len
+FROM (SELECT message_id, {O.normalize_term('body')} AS norm, {O.squash('body')} AS squash FROM fx_posts)"""))
+def q_b19_body(spark, sf_dir):
+    """B19 on the whole text (``B19_normalize_term`` reads the titles)."""
+    p = _posts(spark, sf_dir).select("message_id", TX.normalize_term("body").alias("norm"), TX.squash_term("body").alias("squash"))
+    return p.select("message_id", F.sha1("norm").alias("body_norm_sha1"), F.length("norm").cast("long").alias("body_norm_len"),
+                    F.sha1("squash").alias("body_squash_sha1"), F.length("squash").cast("long").alias("body_squash_len"))
+
+
 # ---------------------------------------------------------------------------
 # 2D ingest aggregates
 # ---------------------------------------------------------------------------
