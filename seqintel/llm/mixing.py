@@ -13,8 +13,10 @@ document at most). An optional weight column makes p differ inside a source.
 
 The cut of a source is found without ordering the source in one task: ranks
 are counted in ``BUCKETS`` buckets, and only the bucket in which the target is
-reached gets ordered. The result is one row per source (the cut), after
-which the choice is made row by row.
+reached gets ordered. A bucket with more than ``CROWD`` rows (p near 0 or 1
+crowds the ranks) is cut into as many buckets again, between its own least and
+largest rank. Documents with p = 0 have no part in this. The result is one row
+per source (the cut), after which the choice is made row by row.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ from pyspark.sql import functions as F
 from .common import WORD, carried, join_same, stored, text_of
 
 BUCKETS = 16_384
+CROWD = 16_384
 WEIGHTS = (1, 2, 3)
 MOST = 3
 
@@ -75,10 +78,10 @@ def targets(spark: SparkSession, sizes: DataFrame, weights=WEIGHTS, most: float
 
 def rates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", source_col: str = "source",
           text_col: str = "text", weight_col: str | None = None, weights=WEIGHTS, most: float = MOST,
-          buckets: int = BUCKETS):
+          buckets: int = BUCKETS, crowd: int = CROWD):
     """(sized, cuts). sized: doc_id, source, size, q (weight), u per document;
-    cuts: source, source_size, target, unit (copies per weight), and the last
-    (rank, id) of its sample."""
+    cuts: source, source_size, target, unit (copies per weight), the rank below
+    which all are taken (low), and the last (rank, id) of its sample."""
     sized = stored(spark, docs.select(
         F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(text_of(text_col)).alias("size"),
         (F.col(weight_col).cast("double") if weight_col else F.lit(1.0)).alias("q"),
@@ -90,25 +93,34 @@ def rates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", source_c
     else:
         per = goal.withColumn("mass", F.col("source_size").cast("double"))
     per = per.withColumn("unit", F.when(F.col("mass") > 0, F.col("target") / F.col("mass")).otherwise(F.lit(0.0))).drop("mass")
-    ranked = _ranked(sized, per, most).withColumn("bucket", F.floor(F.col("rank") * buckets))
+    ranked = _ranked(sized, per, most)
     certain = ranked.groupBy("source").agg(F.sum(F.col("whole") * F.col("size")).alias("certain"))
-    loads = ranked.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
-    run = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
-    loads = loads.withColumn("reached", F.sum("words").over(run))
     rest = join_same(per, certain, "source").withColumn(
         "rest", F.col("target") - F.col("certain"))
-    over = join_same(loads, rest.select("source", "rest"), "source").filter("reached > rest")
-    edge = over.groupBy("source").agg(F.min("bucket").alias("edge"), F.min(
-        F.struct("bucket", (F.col("reached") - F.col("words")).alias("before")))["before"].alias("before"),
-        F.first("rest").alias("rest"))
-    edge = stored(spark, edge, "mix-edges")
-    inside = join_same(ranked, edge, "source").filter("bucket = edge")
+    sampled = ranked.filter("p > 0").select("doc_id", "source", "size", "rank")
+    edge = rest.select("source", "rest", F.lit(0).cast("long").alias("before"), F.lit(0.0).alias("low"), F.lit(1.0).alias("high"))
+    run = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
+    while True:  # each round cuts the edge buckets again, until all are small or of one rank
+        inside = join_same(sampled, edge, "source").filter("rank BETWEEN low AND high")
+        place = F.when(F.col("high") > F.col("low"), (F.col("rank") - F.col("low")) / (F.col("high") - F.col("low"))).otherwise(0.0)
+        loads = inside.groupBy("source", F.floor(place * buckets).alias("bucket")).agg(
+            F.sum("size").alias("words"), F.count("*").alias("n"), F.min("rank").alias("least"), F.max("rank").alias("largest"))
+        loads = loads.withColumn("reached", F.sum("words").over(run))
+        over = join_same(loads, edge.select("source", "rest", "before"), "source").filter("before + reached > rest")
+        first = F.min(F.struct("bucket", (F.col("before") + F.col("reached") - F.col("words")).alias("before"),
+                               F.col("least").alias("low"), F.col("largest").alias("high"), "n", "rest")).alias("edge")
+        edge = stored(spark, over.groupBy("source").agg(first).select(
+            "source", *(F.col(f"edge.{c}").alias(c) for c in ("rest", "before", "low", "high", "n"))), "mix-edges")
+        if edge.filter((F.col("n") > crowd) & (F.col("high") > F.col("low"))).isEmpty():
+            break
+        edge = edge.drop("n")
+    inside = join_same(sampled, edge, "source").filter("rank BETWEEN low AND high")
     order = Window.partitionBy("source").orderBy("rank", "doc_id").rowsBetween(Window.unboundedPreceding, 0)
     taken = inside.withColumn("upto", F.col("before") + F.sum("size").over(order)).filter(
         F.col("upto") - F.col("size") / 2.0 <= F.col("rest"))
     last = taken.groupBy("source").agg(F.max(F.struct("rank", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("id"))).alias("last"))
     cuts = rest.select("source", "source_size", "target", "unit")
-    cuts = join_same(cuts, edge.select("source", "edge"), "source", how="left")
+    cuts = join_same(cuts, edge.select("source", "low"), "source", how="left")
     cuts = join_same(cuts, last, "source", how="left")
     return sized, stored(spark, cuts, "mix-cuts")
 
@@ -124,15 +136,13 @@ def _ranked(rows: DataFrame, per: DataFrame, most: float) -> DataFrame:
     return out.withColumn("rank", a / (a + b)).drop("wanted")
 
 
-def chosen(rows: DataFrame, cuts: DataFrame, most: float = MOST, buckets: int = BUCKETS) -> DataFrame:
+def chosen(rows: DataFrame, cuts: DataFrame, most: float = MOST) -> DataFrame:
     """Adds copies to rows that have doc_id, source, size, q and u."""
     out = _ranked(rows, cuts, most)
-    bucket = F.floor(F.col("rank") * buckets)
     here = F.struct(F.col("rank"), F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("id"))
-    sampled = (F.col("p") > 0) & (F.col("edge").isNull() | (bucket < F.col("edge"))
-                                  | ((bucket == F.col("edge")) & F.coalesce(here <= F.col("last"), F.lit(False))))
+    sampled = (F.col("p") > 0) & (F.col("low").isNull() | (F.col("rank") < F.col("low")) | F.coalesce(here <= F.col("last"), F.lit(False)))
     return out.withColumn("copies", F.col("whole") + F.coalesce(sampled, F.lit(False)).cast("long")).drop(
-        "whole", "p", "rank", "edge", "last", "unit")
+        "whole", "p", "rank", "low", "last", "unit")
 
 
 def mix(spark: SparkSession, docs: DataFrame, **options) -> DataFrame:
@@ -144,7 +154,7 @@ def mix(spark: SparkSession, docs: DataFrame, **options) -> DataFrame:
     other than the named ones are not read.
     """
     sized, cuts = rates(spark, docs, **options)
-    some = {k: v for k, v in options.items() if k in ("most", "buckets")}
+    some = {k: v for k, v in options.items() if k == "most"}
     return chosen(sized, cuts, **some).withColumn("taken", F.col("size") * F.col("copies")).select(
         "doc_id", "source", "size", "source_size", "target", "copies", "taken")
 
@@ -155,6 +165,6 @@ def mixed(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", source_c
     weight = options.get("weight_col")
     rows = carried(docs, doc_id=F.col(id_col), source=F.col(source_col), u=uniform(F.col(id_col)),
                    q=F.col(weight).cast("double") if weight else F.lit(1.0))
-    some = {k: v for k, v in options.items() if k in ("most", "buckets")}
+    some = {k: v for k, v in options.items() if k == "most"}
     return (chosen(rows, cuts, **some).filter("copies > 0")
             .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*"))
