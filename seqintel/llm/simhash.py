@@ -64,15 +64,16 @@ def fingerprint(text: str, shingle: int = SHINGLE, seed: int = SEED) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """(doc_id, fp): one row per document."""
+                 shingle: int = SHINGLE, seed: int = SEED, hashed: bool = False) -> DataFrame:
+    """(doc_id, fp): one row per document; ``hashed`` adds text_sha."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = np.fromiter((fingerprint(t.as_py(), shingle, seed) for t in batch.column(1)), np.int64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps)], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps), *batch.columns[2:]], names=["doc_id", "fp", "text_sha"][:batch.num_columns])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text")).mapInArrow(
-        run, "doc_id long, fp long")
+    sha = [F.sha2(text_of(text_col), 256).alias("text_sha")] if hashed else []
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"), *sha).mapInArrow(
+        run, "doc_id long, fp long" + ", text_sha string" * hashed)
 
 
 def anchors(fps: np.ndarray, bits: int = ANCHOR_BITS) -> tuple[np.ndarray, np.ndarray]:
@@ -178,20 +179,36 @@ def groups(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_co
     empty table gives an empty result; other columns are not read.
     """
     fps = stored(spark, fingerprints(docs, id_col, text_col, shingle), "simhash-fps")
+    member = _members(spark, fps, anchor_bits)
+    least = member.groupBy("root").agg(F.min("low").alias("component_id"))
+    lookup = member.join(least, "root").select("fp", "component_id")
+    return fps.join(lookup, "fp").select("doc_id", "fp", "component_id")
+
+
+def _members(spark: SparkSession, fps: DataFrame, anchor_bits: int) -> DataFrame:
+    """(fp, low, root): distinct fingerprints with their smallest doc_id and their component."""
     distinct = stored(spark, fps.groupBy("fp").agg(F.min("doc_id").alias("low")), "simhash-distinct")
     roots = components(spark, links(replicas(distinct, anchor_bits)))
     member = distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
         "fp", "low", F.coalesce("root", "fp").alias("root"))
-    member = stored(spark, member, "simhash-members")
-    least = member.groupBy("root").agg(F.min("low").alias("component_id"))
-    lookup = member.join(least, "root").select("fp", "component_id")
-    return fps.join(lookup, "fp").select("doc_id", "fp", "component_id")
+    return stored(spark, member, "simhash-members")
 
 
-def drop_near_copies(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` with one document of each group: the one with the smallest id.
-    Rows that repeat that id all stay (an exact dedup goes first)."""
-    kept = groups(spark, docs, id_col, text_col, **options).filter(
-        F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    rows = carried(docs, doc_id=F.col(id_col).cast("long"))
-    return join_same(rows, stored(spark, kept, "simhash-kept"), "doc_id", how="left_semi").select("row.*")
+def drop_near_copies(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                     shingle: int = SHINGLE, anchor_bits: int = ANCHOR_BITS) -> DataFrame:
+    """``docs`` with one row of each group: the one with the smallest id, a null id last.
+
+    Rows that share an id and differ in text are told apart by the SHA-256 of
+    the text, the smaller first; of rows that agree in both any one stays.
+    """
+    fps = stored(spark, fingerprints(docs, id_col, text_col, shingle, hashed=True), "simhash-fps")
+    member = _members(spark, fps, anchor_bits)
+    rows = fps.groupBy("fp", "doc_id", "text_sha").agg(F.count("*").alias("times"))
+    picks = rows.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_sha", "times")).alias("pick"))
+    kept = stored(spark, picks.join(member, "fp").groupBy("root").agg(F.min("pick").alias("pick")).select(
+        "pick.doc_id", "pick.text_sha", "pick.times"), "simhash-kept")
+    again = stored(spark, kept.filter("times > 1"), "simhash-again")
+    rows = carried(docs, doc_id=F.col(id_col).cast("long"), text_sha=F.sha2(text_of(text_col), 256))
+    once = join_same(rows, kept.filter("times = 1"), "doc_id", "text_sha", how="left_semi")
+    one = join_same(rows, again, "doc_id", "text_sha", how="left_semi").dropDuplicates(["doc_id", "text_sha"])
+    return once.unionByName(one).select("row.*")

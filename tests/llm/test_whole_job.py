@@ -1,9 +1,12 @@
 """Operators at inputs where a part of the job is easily left out."""
+import hashlib
+from collections import Counter
+
 import numpy as np
 from pyspark.sql import functions as F
 
-from seqintel.llm import line_crf, mixing
-from test_llm_operators import table
+from seqintel.llm import line_crf, mixing, simhash
+from test_llm_operators import brute_fingerprint, brute_groups, table
 
 
 # quality classifier ------------------------------------------------------------
@@ -54,3 +57,19 @@ def test_mixing_orders_few_rows_where_ranks_crowd(spark, monkeypatch):
     got = mixing.mix(spark, docs).collect()
     assert {r.copies for r in got if r.source == "b"} == {3}
     assert all(r.source != "b" for e in edges for r in e.collect())
+
+
+# SimHash -------------------------------------------------------------------------
+def test_near_dedup_keeps_one_row_of_each_group(spark):
+    a, b, c, d = (" ".join(f"{w}{i}" for i in range(400)) for w in "abcd")
+    rows = [(7, a, "s"), (9, a + " end", "s"), (3, b, "s"), (7, b + " end", "s"), (3, c, "s"),  # ids 3 and 7 in two groups each
+            (None, b + " more", "s"), (None, d, "s"), (None, d + " end", "s"), (5, "x y z", "s"), (5, "x y z", "t")]
+    groups = brute_groups([(k, brute_fingerprint(t)) for k, (_, t, _) in enumerate(rows)])
+    want = {}
+    for k, _, root in groups:
+        i, t, _ = rows[k]
+        key = (i is None, i or 0, hashlib.sha256(t.encode()).hexdigest())
+        want[root] = min(want.get(root, (key, i, t)), (key, i, t), key=lambda x: x[0])
+    assert len(want) == 5
+    got = simhash.drop_near_copies(spark, table(spark, rows)).collect()
+    assert Counter((r.doc_id, r.text) for r in got) == Counter((i, t) for _, i, t in want.values())
