@@ -1221,9 +1221,6 @@ def q_a12(spark, sf_dir):
 # trained model: K5, K6, A9, K13, K15, B23 (fit by distributed Baum-Welch)
 # ---------------------------------------------------------------------------
 
-_FITTED: dict[str, H.HMM] = {}
-
-
 #: Chunk length of the ``*_chunked`` and ``*_chunks`` keys: short, so that every author has several chunks.
 SHORT = 16
 
@@ -1234,9 +1231,7 @@ def _chunks(spark, sf_dir, L=LS.CHUNK):
 
 
 def _fitted(spark, sf_dir) -> H.HMM:
-    if sf_dir not in _FITTED:
-        _FITTED[sf_dir] = H.fit_hmm(_chunks(spark, sf_dir))
-    return _FITTED[sf_dir]
+    return H.fit_hmm(_chunks(spark, sf_dir))
 
 
 def _model_rows(spark, m: H.HMM):
