@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, line_crf, mixing, packing, pii, quality_rules, secrets, simhash, suffix_dedup, tool_calls
+from . import exact_dedup, lexical_search, line_crf, mixing, packing, pii, quality_rules, secrets, simhash, suffix_dedup, tool_calls
 from .common import documents
 
 TOKENIZER = "word_bpe_49k.json"
@@ -70,7 +70,13 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_line_crf, op3_tool_calls, op4_quality_rules, op5_exact_dedup, op6_secrets, op7_suffix_dedup, op8_mixing, op9_pii, op10_simhash)}
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.rank(spark, documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_packing, op2_line_crf, op3_tool_calls, op4_quality_rules, op5_exact_dedup, op6_secrets, op7_suffix_dedup, op8_mixing,
+    op9_pii, op10_simhash, op11_lexical_search)}
 
 def _sql(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
@@ -113,7 +119,27 @@ SELECT d.doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0
        sha256(coalesce(b.s, '')) AS base_sha256, coalesce(f.s, '') AS spans
 FROM d LEFT JOIN b ON d.rid = b.rid LEFT JOIN f ON d.rid = f.rid"""
 
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
 SQL = {
+    "op11_lexical_search": rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS words FROM documents),
+i AS (
+  SELECT row_number() OVER () AS qid, item_id, unnest(regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+q AS (SELECT qid, any_value(item_id) AS item_id, term, count(*) AS times FROM i GROUP BY qid, term),
+s AS (SELECT count(*) FILTER (len(words) > 0) AS n_docs, sum(len(words))::BIGINT AS n_terms FROM d),
+p AS (
+  SELECT rid, any_value(doc_id) AS doc_id, any_value(n) AS n, term, count(*) AS tf
+  FROM (SELECT rid, doc_id, len(words) AS n, unnest(words) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY rid, term),
+w AS (SELECT term, floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM p, s GROUP BY term, n_docs),
+f AS (SELECT rid, doc_id, p.term, w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // n_terms))) AS gain
+      FROM p JOIN w ON p.term = w.term, s),
+r AS (SELECT qid, any_value(item_id) AS item_id, any_value(doc_id) AS doc_id, sum(times * gain)::BIGINT AS score
+      FROM q JOIN f ON q.term = f.term GROUP BY qid, rid),
+o AS (SELECT item_id, row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank, doc_id, score
+      FROM r WHERE score > 0)
+SELECT * FROM o WHERE rank <= 20""",
     "op6_secrets": _OP6,
     "op3_tool_calls": r"""
 WITH RECURSIVE t AS (
