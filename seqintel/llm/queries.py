@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, lexical_search, line_crf, mixing, packing, pii, quality_rules, secrets, simhash, suffix_dedup, tool_calls
+from . import divergence, exact_dedup, lexical_search, line_crf, mixing, packing, pii, quality_rules, secrets, simhash, suffix_dedup, tool_calls
 from .common import documents
 
 TOKENIZER = "word_bpe_49k.json"
@@ -74,9 +74,13 @@ def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.rank(spark, documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(spark, documents(spark, sf_dir))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_packing, op2_line_crf, op3_tool_calls, op4_quality_rules, op5_exact_dedup, op6_secrets, op7_suffix_dedup, op8_mixing,
-    op9_pii, op10_simhash, op11_lexical_search)}
+    op9_pii, op10_simhash, op11_lexical_search, op12_divergence)}
 
 def _sql(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
@@ -140,6 +144,28 @@ r AS (SELECT qid, any_value(item_id) AS item_id, any_value(doc_id) AS doc_id, su
 o AS (SELECT item_id, row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank, doc_id, score
       FROM r WHERE score > 0)
 SELECT * FROM o WHERE rank <= 20""",
+    "op12_divergence": rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source, {_LOWERED} AS t FROM documents),
+g AS (SELECT DISTINCT lang, source FROM d),
+w AS (SELECT rid, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS n FROM w GROUP BY lang, term HAVING count(DISTINCT rid) >= 3),
+l AS (SELECT lang, sum(n) AS total, count(*) AS v FROM k GROUP BY lang),
+c AS (SELECT w.lang, w.source, w.term, count(*) AS n FROM w JOIN k ON w.lang = k.lang AND w.term = k.term GROUP BY w.lang, w.source, w.term),
+n AS (SELECT g.lang, g.source, coalesce(sum(c.n), 0) AS total FROM g LEFT JOIN c ON g.lang = c.lang AND g.source = c.source GROUP BY g.lang, g.source),
+p AS (SELECT n.lang, n.source, k.term, coalesce(c.n, 0) AS n,
+             (1 + (1000000000 * (coalesce(c.n, 0) + 1)::HUGEINT) // (n.total + l.v))::HUGEINT AS p,
+             (1 + (1000000000 * (k.n + 1)::HUGEINT) // (l.total + l.v))::HUGEINT AS q
+      FROM n JOIN k ON n.lang = k.lang JOIN l ON n.lang = l.lang LEFT JOIN c ON c.lang = n.lang AND c.source = n.source AND c.term = k.term),
+pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item,
+         coalesce((SELECT sum(((x.p - y.p) * (x.p - y.p)) // y.p) FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term
+                   WHERE x.lang = a.lang AND x.source = a.source AND y.source = b.source), 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source),
+items AS (
+  SELECT * FROM pairs
+  UNION ALL SELECT lang, source, 'term', term, (((p - q) * (p - q)) // q)::BIGINT FROM p WHERE n > 0 AND p > q),
+o AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM items)
+SELECT * FROM o WHERE part = 'pair' OR rank <= 200""",
     "op6_secrets": _OP6,
     "op3_tool_calls": r"""
 WITH RECURSIVE t AS (
