@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import divergence, exact_dedup, lexical_search, line_crf, mixing, packing, pii, quality_rules, secrets, simhash, suffix_dedup, tool_calls
+from . import divergence, exact_dedup, lexical_search, line_crf, mixing, packing, pii, quality_rules, secrets, simhash, site_tree, suffix_dedup, tool_calls
 from .common import documents
 
 TOKENIZER = "word_bpe_49k.json"
@@ -78,9 +78,13 @@ def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(spark, documents(spark, sf_dir))
 
 
+def op13_site_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return site_tree.main_text(spark, spark.read.parquet(f"{sf_dir}/pages.parquet")).withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_packing, op2_line_crf, op3_tool_calls, op4_quality_rules, op5_exact_dedup, op6_secrets, op7_suffix_dedup, op8_mixing,
-    op9_pii, op10_simhash, op11_lexical_search, op12_divergence)}
+    op9_pii, op10_simhash, op11_lexical_search, op12_divergence, op13_site_tree)}
 
 def _sql(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
