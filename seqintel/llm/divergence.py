@@ -4,12 +4,13 @@ How far does each source of a language lie from each other one, and which terms
 make it differ from the language as a whole? Term counts are gathered by source
 and language; strings stay behind until the end:
 
-* *digests*: a term is counted under a 64-bit digest. The counts are combined
-  where the documents are read and written once with their terms; the shuffle
-  of the counts reads the fixed-width columns only.
-* *collisions*: for digests that enough documents hold, the smallest and the
-  largest string are found. Where they differ, several terms share a digest:
-  such a digest is split, its counts are gathered again by string.
+* *digests*: a term is counted under a 64-bit digest (of language and term). The
+  counts are combined where the documents are read and written once, beside
+  their terms; the shuffle of the counts reads the fixed-width columns only.
+* *collisions*: for digests that enough documents hold (a broadcast set of bits
+  of fixed size leaves out most others), the smallest and the largest string are
+  found. Where they differ, several terms share a digest: such a digest is split,
+  its counts are gathered again by string.
 * *outputs*: a term's text is joined back only for rows that may be reported.
 
 A term that a source lacks still has its share, so a sum over all kept terms is
@@ -36,6 +37,8 @@ LEAST_DOCS, RANKS = 3, 200
 #: Counts held by a task before it hands them on.
 HELD = 500_000
 BITS = 64
+#: Rows of the broadcast set that trims the strings to kept digests (64 bits each).
+SET_ROWS = 1 << 18
 
 #: Lower-cased A-Z and all bytes of multi-byte characters; the rest is a space.
 _BYTES = bytes(b if b >= 0x80 or chr(b).isalpha() else 0x20 for b in bytes(range(256)).lower())
@@ -47,11 +50,12 @@ def terms(text: bytes) -> list[bytes]:
 
 
 def counts(docs: DataFrame, lang_col: str = "lang", source_col: str = "source", text_col: str = "text", bits: int = BITS,
-           held: int = HELD) -> DataFrame:
-    """Partial counts (lang, source, digest, term, first, n, docs), combined where documents are read.
+           held: int = HELD, every: bool = False) -> DataFrame:
+    """Partial counts (digest, group, term, n, docs), combined where documents are read.
 
-    ``first`` marks one row of each (lang, term) that a task hands on at once.
-    Each group also has a row without a digest, so groups without terms are known.
+    The digest is one of language and term, ``group`` one of language and source.
+    The term stands in one row of its language that a task hands on at once, or
+    in ``every`` row. Rows without a digest name the groups (lang, source).
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         times, inside, size = defaultdict(Counter), defaultdict(Counter), 0
@@ -59,18 +63,17 @@ def counts(docs: DataFrame, lang_col: str = "lang", source_col: str = "source",
         def flush():
             digests: dict = defaultdict(dict)
             for (lang, source), words in times.items():
-                known, held_by = digests[lang], inside[lang, source]
-                first = [w not in known for w in words]
-                for w in words:
-                    if w not in known:
-                        known[w] = xxhash.xxh3_64_intdigest(w) >> (64 - bits)
-                n = len(words)
+                known, held_by, n = digests[lang], inside[lang, source], len(words)
+                seed, new = xxhash.xxh3_64_intdigest(lang), words.keys() - digests[lang].keys()
+                known.update((w, xxhash.xxh3_64_intdigest(w, seed) >> (64 - bits)) for w in new)
+                group = xxhash.xxh3_64_intdigest(source, seed) - (1 << 63)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([lang] * (n + 1), pa.string()), pa.array([source] * (n + 1), pa.string()),
-                    pa.array(np.fromiter((known[w] for w in words), "<u8", n).view("<i8").tolist() + [None], pa.int64()),
-                    pa.array([*words, None], pa.binary()).cast(pa.string()), pa.array([*first, False]),
-                    pa.array([*words.values(), 0], pa.int64()), pa.array([*(held_by[w] for w in words), 0], pa.int64())],
-                    names=["lang", "source", "digest", "term", "first", "n", "docs"])
+                    pa.array(np.append(np.fromiter(map(known.__getitem__, words), "<u8", n), 0).view("<i8"), mask=np.arange(n + 1) == n),
+                    pa.array(np.full(n + 1, group, np.int64)),
+                    pa.array([*([*words] if every else [w if w in new else None for w in words]), None], pa.binary()).cast(pa.string()),
+                    pa.array([*words.values(), 0], pa.int64()), pa.array([*map(held_by.__getitem__, words), 0], pa.int64()),
+                    pa.array([lang] * (n + 1), pa.string()), pa.array([None] * n + [source], pa.string())],
+                    names=["digest", "group", "term", "n", "docs", "lang", "source"])
             times.clear()
             inside.clear()
 
@@ -87,52 +90,67 @@ def counts(docs: DataFrame, lang_col: str = "lang", source_col: str = "source",
         yield from flush()
 
     return docs.select(text_of(lang_col).alias("lang"), text_of(source_col).alias("source"), text_of(text_col).cast("binary").alias("text")).mapInArrow(
-        run, "lang string, source string, digest long, term string, first boolean, n long, docs long")
+        run, "digest long, group long, term string, n long, docs long, lang string, source string")
 
 
 def _summed(raw: DataFrame, *term: str, least: int) -> DataFrame:
-    """Counts by group and term of the terms that enough documents of the language hold; one shuffle, by (lang, term)."""
-    by = Window.partitionBy("lang", *term)
-    rows = raw.repartition("lang", *term).groupBy("lang", "source", *term).agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
-    return (rows.withColumns({"docs": F.sum("docs").over(by), "n_lang": F.sum("n").over(by)})
-            .filter(F.col("docs") >= least).drop("docs"))
+    """Counts by group of the terms that enough documents of the language hold; one shuffle, by term.
+
+    ``n_lang`` is the language's count, ``lead`` is 1 in one row of each term."""
+    by = Window.partitionBy(*term)
+    rows = raw.repartition(*term).withColumn("held_by", F.sum("docs").over(by)).filter(F.col("held_by") >= least)
+    return (rows.groupBy(*term, "group").agg(F.sum("n").alias("n"))
+            .withColumns({"n_lang": F.sum("n").over(by), "lead": (F.col("group") == F.min("group").over(by)).cast("long")}))
 
 
 def _share(n: str, total: str) -> Column:
-    """1 + floor(1e9 * (n + 1) / total), in decimals: the product may leave 64 bits."""
-    return F.expr(f"cast(1 + (cast(1000000000 as decimal(10,0)) * cast({n} + 1 as decimal(20,0))) div cast({total} as decimal(20,0)) as bigint)")
+    """1 + floor(1e9 * (n + 1) / total); in decimals where the product leaves 64 bits."""
+    return F.expr(f"1 + CASE WHEN {n} < 9000000000 THEN (1000000000L * ({n} + 1)) div {total} ELSE "
+                  f"cast((cast(1000000000 as decimal(10,0)) * cast({n} + 1 as decimal(20,0))) div cast({total} as decimal(20,0)) as bigint) END")
 
 
 def _distance(p: str, q: str) -> Column:
     return F.expr(f"(({p} - {q}) * ({p} - {q})) div {q}")
 
 
+def _among(rows: DataFrame, kept: DataFrame) -> DataFrame:
+    """``rows`` without most digests that ``kept`` lacks: a broadcast set of 64 * SET_ROWS bits at most."""
+    slot = F.pmod(F.hash("digest"), F.lit(64 * SET_ROWS))
+    bits = kept.select(slot.alias("s")).groupBy(F.expr("s div 64").alias("slot")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(s % 64 as int))")).alias("bits"))
+    return (rows.withColumn("s", slot).join(F.broadcast(bits), F.expr("s div 64 = slot"))
+            .filter("(shiftright(bits, cast(s % 64 as int)) & 1) = 1").drop("s", "slot", "bits"))
+
+
 class Audit:
-    """Stored tables of one audit: ``groups`` and ``kept`` counts, ``dictionary`` of digests."""
+    """Stored tables of one audit: ``groups``, ``kept`` counts with their shares, ``dictionary`` of digests."""
 
     def __init__(self, spark: SparkSession, docs: DataFrame, lang_col: str = "lang", source_col: str = "source", text_col: str = "text",
                  least_docs: int = LEAST_DOCS, bits: int = BITS, held: int = HELD):
-        self.spark = spark
-        raw = stored(spark, counts(docs, lang_col, source_col, text_col, bits, held), "divergence-counts")
+        columns = (docs, lang_col, source_col, text_col, bits, held)
+        raw = stored(spark, counts(*columns), "divergence-counts")
         found = raw.filter(F.col("digest").isNotNull())
-        wide = stored(spark, _summed(found.select("lang", "source", "digest", "n", "docs"), "digest", least=least_docs), "divergence-digests")
-        strings = found.filter("first").select("lang", "digest", "term").join(wide.select("lang", "digest"), ["lang", "digest"], "left_semi")
-        self.dictionary = stored(spark, strings.groupBy("lang", "digest").agg(
-            F.min("term").alias("low"), F.max("term").alias("high")), "divergence-strings")
-        shared = self.dictionary.filter("low <> high").select("lang", "digest")
-        apart = _summed(found.join(shared, ["lang", "digest"], "left_semi").select("lang", "source", "digest", "term", "n", "docs"),
-                        "digest", "term", least=least_docs).withColumnRenamed("term", "split")
-        alone = wide.join(shared, ["lang", "digest"], "left_anti").withColumn("split", F.lit(None).cast("string"))
-        kept = stored(spark, alone.unionByName(apart), "divergence-kept")
-        by_group = kept.groupBy("lang", "source").agg(F.sum("n").alias("total"), F.count("*").alias("own"))
-        by_lang = kept.groupBy("lang", "digest", "split").agg(F.first("n_lang").alias("n_lang")).groupBy("lang").agg(
-            F.sum("n_lang").alias("lang_total"), F.count("*").alias("terms"))
-        groups = (raw.filter(F.col("digest").isNull()).select("lang", "source").distinct()
-                  .join(by_group, ["lang", "source"], "left").join(by_lang, "lang", "left")
-                  .na.fill(0, ["total", "own", "lang_total", "terms"]))
-        self.groups = stored(spark, groups.withColumns({
-            "id": F.monotonically_increasing_id(), "none": _share("0", "(total + terms)")}), "divergence-groups")
-        self.kept = kept.join(self.groups.drop("own", "none"), ["lang", "source"]).withColumn("p", _share("n", "(total + terms)"))
+        kept = stored(spark, _summed(found.select("digest", "group", "n", "docs"), "digest", least=least_docs), "divergence-digests")
+        strings = _among(found.filter(F.col("term").isNotNull()).select("digest", F.struct("lang", "term").alias("term")), kept)
+        self.dictionary = stored(spark, strings.groupBy("digest").agg(F.min("term").alias("low"), F.max("term").alias("high")), "divergence-strings")
+        shared = stored(spark, self.dictionary.filter("low <> high").select("digest"), "divergence-shared")
+        kept = kept.withColumn("split", F.lit(None).cast("struct<lang:string,term:string>"))
+        if shared.take(1):  # digests of several terms: counted again by string
+            again = counts(*columns, every=True).join(shared, "digest", "left_semi").select(
+                "digest", "group", F.struct("lang", "term").alias("term"), "n", "docs")
+            apart = _summed(again, "digest", "term", least=least_docs).withColumnRenamed("term", "split")
+            kept = stored(spark, kept.join(shared, "digest", "left_anti").unionByName(apart), "divergence-kept")
+        by_group = kept.groupBy("group").agg(F.sum("n").alias("total"), F.count("*").alias("own"), F.sum("lead").alias("lead"))
+        groups = raw.filter(F.col("digest").isNull()).select("group", "lang", "source").distinct().join(by_group, "group", "left").na.fill(
+            0, ["total", "own", "lead"])
+        lang, alike = Window.partitionBy("lang"), Window.partitionBy("group")
+        groups = groups.withColumns({
+            "lang_total": F.sum("total").over(lang), "terms": F.sum("lead").over(lang),
+            "id": F.when(F.count("*").over(alike) == 1, F.col("group")).otherwise(F.raise_error(F.lit("two sources share a digest")).cast("long"))})
+        self.groups = stored(spark, groups.withColumn("none", _share("0L", "(total + terms)")), "divergence-groups")
+        self.kept = stored(spark, kept.join(self.groups.drop("lang", "source", "own", "lead"), "group").select(
+            "digest", "split", "id", "none", _share("n", "(total + terms)").alias("p"), _share("n_lang", "(lang_total + terms)").alias("q")),
+            "divergence-shares")
 
     def pairs(self) -> DataFrame:
         """(lang, source, other, value) for each two sources of a language: the sum of f over all kept terms."""
@@ -143,8 +161,7 @@ class Audit:
         held = self.kept.groupBy(F.col("id").alias("a"), "p").agg(F.count("*").alias("times")).join(both.select("a", "b", "a_none", "b_none"), "a")
         ahead = held.select("a", "b", (F.col("times") * _distance("p", "b_none")).alias("v"))
         back = held.select(F.col("b").alias("a"), F.col("a").alias("b"), (F.col("times") * _distance("b_none", "p")).alias("v"))
-        per_term = self.kept.join(self.groups.select("id", "none"), "id").groupBy("lang", "digest", "split").agg(
-            F.collect_list(F.struct("id", "p", "none")).alias("held"))
+        per_term = self.kept.groupBy("digest", "split").agg(F.collect_list(F.struct("id", "p", "none")).alias("held"))
         shared = per_term.select("held").mapInArrow(_shared, "a long, b long, v long")
         value = rest.unionByName(ahead).unionByName(back).unionByName(shared).groupBy("a", "b").agg(F.sum("v").alias("value"))
         return (value.join(self.groups.select(F.col("id").alias("a"), "lang", "source"), "a")
@@ -153,16 +170,15 @@ class Audit:
 
     def over(self, ranks: int = RANKS) -> DataFrame:
         """(lang, source, term, value): the terms that a source has more of than its language, to ``ranks`` and with all ties there."""
-        rows = (self.kept.withColumn("q", _share("n_lang", "(lang_total + terms)")).filter("p > q")
-                .select("id", "lang", "source", "digest", "split", _distance("p", "q").alias("value")))
+        rows = self.kept.filter("p > q").select("id", "digest", "split", _distance("p", "q").alias("value"))
         down = Window.partitionBy("id").orderBy(F.desc("value"))
         bars = (rows.groupBy("id", "value").agg(F.count("*").alias("times"))
                 .withColumn("at", F.row_number().over(down)).filter(F.col("at") <= ranks)
                 .withColumn("before", F.sum("times").over(down) - F.col("times")).filter(F.col("before") < ranks)
                 .groupBy("id").agg(F.min("value").alias("bar")))
         out = rows.join(bars, "id").filter(F.col("value") >= F.col("bar"))
-        return out.join(self.dictionary.select("lang", "digest", "low"), ["lang", "digest"]).select(
-            "lang", "source", F.coalesce("split", "low").alias("term"), "value")
+        return out.join(self.dictionary.select("digest", "low"), "digest").join(self.groups.select("id", "lang", "source"), "id").select(
+            "lang", "source", F.coalesce("split", "low")["term"].alias("term"), "value")
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
