@@ -12,8 +12,8 @@ and id from the root down) are one node of the host's tree. A node gathers
 
 Entropies are to the base of the page count, as in the method. Nodes of few
 pages lean on the tree of all hosts together, and that one on 1 (``PRIOR``
-pages' worth each), so little is removed where little is known. Pages with the
-same title and the same longest block count as one page, so copies of an
+pages' worth each), so little is removed where little is known. Of pages with the
+same title and the same longest block only one feeds the tree, so copies of an
 article do not make it look like a menu.
 
 On each page the importance of a branch is the mean importance of its blocks,
@@ -21,8 +21,9 @@ weighted by their length, or that of its presentation if it is higher. Branches
 below ``THRESHOLD`` go, and so do those whose element or class names say that
 they are no part of the article. What is left is joined in page order.
 
-The tree is made of grouped counts: a host with a third of all pages arrives as
-one partial count per map task, and no page's text is shuffled for it.
+The tree is made of grouped counts of 64-bit hashes: a host with a third of all
+pages arrives as partial counts, and no page's text is stored or shuffled for it.
+Pages are parsed twice, once for the tree and once for their text.
 """
 
 from __future__ import annotations
@@ -44,6 +45,8 @@ THRESHOLD = 0.5
 PRIOR = 8
 #: Weight of a node's presentation grows with its number of styles l as 1 - GAMMA ** l.
 GAMMA = 0.9
+#: A tree of at most so many nodes is broadcast.
+TREE_NODES = 1 << 20
 
 # Elements of HTML by their role in the flow of text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -85,7 +88,7 @@ class Page:
 
     def __init__(self, text: str):
         self.texts, self.owner, self.title = [], [], ""
-        self.key, self.lo, self.hi, self.style, self.named = [0], [0], [0], [0], [False]
+        self.key, self.lo, self.hi, self.style, self.named, self.parent = [0], [0], [0], [0], [False], [False]
         self.tags, self.own = [""], [False]  # own: an article, a main part or a first heading is inside
         self.open, self.count, self.children, self.buffer = [0], {}, {0: []}, []
         self._read(text)
@@ -152,6 +155,8 @@ class Page:
         sign = " ".join((tag, *sorted(name)))
         parent, node = self.open[-1], len(self.key)
         self.children[parent].append(sign)
+        self.parent[parent] = True
+        self.parent.append(False)
         self.key.append(xxhash.xxh3_64_intdigest(sign.encode("utf-8", "replace"), self.key[parent]))
         named = hidden or tag in ASIDE or (tag not in ("html", "body", *ARTICLE) and not ASIDE_WORDS.isdisjoint(words))
         if not named and (tag in PAGE_HEAD or not PAGE_HEAD.isdisjoint(words)) and tag not in ("html", "body", *ARTICLE):
@@ -232,84 +237,107 @@ class Page:
         longest = max(self.texts, key=len, default="")
         return xxhash.xxh3_64_intdigest(f"{self.title}\n{longest}".encode("utf-8", "replace"))
 
+    def print(self) -> int:
+        return xxhash.xxh3_64_intdigest(np.array([(self.key[o], xxhash.xxh3_64_intdigest(_bytes(t))) for o, t in zip(self.owner, self.texts)], "<u8").tobytes())
+
+
+def _bytes(text: str) -> bytes:
+    return text.encode("utf-8", "replace")
+
 
 def _signed(values) -> np.ndarray:
     return np.array(list(values), "<u8").view("<i8")
 
 
-def parsed(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """One row per page: its blocks and elements, as arrays of one entry each."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [Page(h.as_py()) for h in batch.column(2)]
+def _lists(parts, hashed: bool) -> pa.ListArray:
+    parts = list(parts)
+    flat = [v for p in parts for v in p]
+    values = pa.array(_signed(flat)) if hashed else pa.array(flat, pa.string())
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, parts)], dtype=np.int32)), values)
 
-            def lists(parts, kind):
-                parts = list(parts)
-                ends = np.cumsum([0, *map(len, parts)], dtype=np.int32)
-                flat = [v for p in parts for v in p]
-                values = pa.array(_signed(flat)) if kind == "hash" else pa.array(flat, kind)
-                return pa.ListArray.from_arrays(pa.array(ends), values)
 
-            yield pa.RecordBatch.from_arrays([
-                batch.column(0), batch.column(1), pa.array([host_of(u or "") for u in batch.column(1).to_pylist()]),
-                pa.array(_signed(p.identity() for p in found)), lists((p.texts for p in found), pa.string()),
-                lists(([p.key[o] for o in p.owner] for p in found), "hash"),
-                lists(([xxhash.xxh3_64_intdigest(t.encode("utf-8", "replace")) for t in p.texts] for p in found), "hash"),
-                lists((p.key for p in found), "hash"), lists((p.style for p in found), "hash"),
-                lists((p.lo for p in found), pa.int32()), lists((p.hi for p in found), pa.int32()), lists((p.named for p in found), pa.bool_())],
-                names=["page_id", "url", "host", "identity", "texts", "owner", "said", "node", "style", "lo", "hi", "named"])
+def _place(hosts, nodes):
+    """A node of one host's tree: the node's path and the host in one number."""
+    return nodes ^ hosts
 
-    kind = pages.schema[id_col].dataType.simpleString()
-    return pages.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url"), text_of(html_col).alias("html")).mapInArrow(
-        run, f"page_id {kind}, url string, host string, identity long, texts array<string>, owner array<long>, said array<long>, "
-             "node array<long>, style array<long>, lo array<int>, hi array<int>, named array<boolean>")
-
-
-def tree(pages: DataFrame) -> DataFrame:
-    """(host, node, content, presentation): the importance of each node; host null: all hosts together."""
-    def features(part: str, node: str, of: str) -> DataFrame:
-        rows = pages.select("host", "identity", F.explode(F.arrays_zip(node, of)).alias("e")).select(
-            "host", "identity", F.col(f"e.{node}").alias("node"), F.col(f"e.{of}").alias("feature"))
-        rows = rows.distinct()
-        hosts = rows.unionByName(rows.withColumn("host", F.lit(None).cast("string"))) if part == "content" else rows
-        pages_of = hosts.select("host", "node", "identity").distinct().groupBy("host", "node").agg(F.count("*").alias("m"))
-        counted = hosts.select("host", "node", "feature", "identity").distinct().groupBy("host", "node", "feature").agg(F.count("*").alias("k"))
-        return counted.join(pages_of.withColumnsRenamed({"host": "h", "node": "n"}),
-                            F.col("host").eqNullSafe(F.col("h")) & (F.col("node") == F.col("n"))).drop("h", "n")
-
-    said = features("content", "owner", "said").groupBy("host", "node").agg(
-        F.max("m").alias("m"), (F.sum(F.when(F.col("m") > 1, F.col("k") * (1 - F.log("k") / F.log("m"))).otherwise(F.col("k")))
-                                / F.sum("k")).alias("content"))
-    shown = features("presentation", "node", "style").groupBy("host", "node").agg(
-        F.max("m").alias("m"), F.sum("k").alias("all"), F.count("*").alias("l"), F.sum(F.col("k") * F.log("k")).alias("klogk"))
-    shown = shown.select("host", "node", F.when(F.col("m") > 1, (F.log("all") - F.col("klogk") / F.col("all")) / F.log("m")
-                                                * (1 - F.pow(F.lit(GAMMA), "l")) * F.col("m") / (F.col("m") + PRIOR)).otherwise(0.0).alias("presentation"))
-    wide = said.filter("host is null").select("node", ((F.col("m") * F.col("content") + PRIOR) / (F.col("m") + PRIOR)).alias("wide"))
-    said = said.filter("host is not null").join(wide, "node").select(
-        "host", "node", ((F.col("m") * F.col("content") + PRIOR * F.col("wide")) / (F.col("m") + PRIOR)).alias("content"))
-    return shown.join(said, ["host", "node"], "left")
-
-
-def _main(texts, owner, node, lo, hi, named, known: dict, threshold: float) -> str:
+
+def features(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """What the tree is made of, without texts: one row per page, its distinct (node, block) and (node, style) pairs."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [Page(h.as_py()) for h in batch.column(1)]
+            said = [list({(p.key[o], xxhash.xxh3_64_intdigest(_bytes(t))) for o, t in zip(p.owner, p.texts)}) for p in found]
+            shown = [list({(k, s) for k, s, c in zip(p.key, p.style, p.parent) if c}) for p in found]
+            yield pa.RecordBatch.from_arrays([
+                pa.array(_signed(xxhash.xxh3_64_intdigest(_bytes(host_of(u or ""))) for u in batch.column(0).to_pylist())),
+                pa.array(_signed(p.identity() for p in found)), pa.array(_signed(p.print() for p in found)),
+                _lists(([n for n, _ in x] for x in said), True), _lists(([f for _, f in x] for x in said), True),
+                _lists(([n for n, _ in x] for x in shown), True), _lists(([f for _, f in x] for x in shown), True)],
+                names=["host", "identity", "print", "owner", "said", "node", "style"])
+
+    return pages.select(F.col(url_col).cast("string").alias("url"), text_of(html_col).alias("html")).mapInArrow(
+        run, "host long, identity long, print long, owner array<long>, said array<long>, node array<long>, style array<long>")
+
+
+def tree(rows: DataFrame) -> DataFrame:
+    """(place, content, presentation): the importance of each node of each host's tree, from stored features with a row number."""
+    lead = rows.groupBy("host", "identity").agg(F.min(F.struct("print", "row")).alias("lead"))
+    first = lead.groupBy("identity").agg(F.min("lead").alias("first"))
+    lead = lead.join(first, "identity").select(F.col("lead.row").alias("row"), (F.col("lead") == F.col("first")).alias("first"))
+    led = rows.join(lead, "row")
+
+    def counted(found: DataFrame, node: str, feature: str) -> DataFrame:
+        """(place, node, m, total, spread) of each node: pages, features and the sum of k log k."""
+        pairs = found.select("host", F.explode(F.arrays_zip(node, feature)).alias("e")).select(
+            _place_of(F.col(f"e.{node}")).alias("place"), F.col(f"e.{feature}").alias("feature"))
+        k = pairs.groupBy("place", "feature").agg(F.count("*").alias("k")).groupBy("place").agg(
+            F.sum("k").alias("total"), F.sum(F.col("k") * F.log("k")).alias("spread"), F.count("*").alias("l"))
+        m = found.select("host", F.explode(F.array_distinct(node)).alias("node")).groupBy(
+            _place_of(F.col("node")).alias("place")).agg(F.count("*").alias("m"), F.min("node").alias("node"))
+        return k.join(m, "place")
+
+    def _place_of(node):
+        return node.bitwiseXOR(F.col("host"))
+
+    unequal = F.when(F.col("m") > 1, 1 - F.col("spread") / (F.col("total") * F.log("m"))).otherwise(1.0)
+    wide = counted(led.filter("first").withColumn("host", F.lit(0).cast("long")), "owner", "said").select(
+        "node", ((F.col("m") * unequal + PRIOR) / (F.col("m") + PRIOR)).alias("wide"))
+    said = counted(led, "owner", "said").join(wide, "node", "left").select(
+        "place", ((F.col("m") * unequal + PRIOR * F.coalesce("wide", F.lit(1.0))) / (F.col("m") + PRIOR)).alias("content"))
+    shown = counted(led, "node", "style").select("place", F.when(F.col("m") > 1, (F.log("total") - F.col("spread") / F.col("total")) / F.log("m")
+                                                 * (1 - F.pow(F.lit(GAMMA), "l")) * F.col("m") / (F.col("m") + PRIOR)).otherwise(0.0).alias("presentation"))
+    return said.join(shown, "place", "full").select("place", F.coalesce("content", F.lit(1.0)).alias("content"),
+                                                    F.coalesce("presentation", F.lit(0.0)).alias("presentation"))
+
+
+def _main(page: Page, content: np.ndarray, shown: np.ndarray, threshold: float) -> str:
     """The blocks of one page that lie in no branch of low importance."""
-    n = len(texts)
-    size = np.array([len(t) for t in texts], float)
-    content = np.array([known.get(k, (None, 0.0))[0] for k in owner], float)
+    size = np.array([len(t) for t in page.texts], float)
     mass = np.concatenate(([0.0], np.cumsum(size * content)))
     upto = np.concatenate(([0.0], np.cumsum(size)))
-    lo, hi = np.asarray(lo), np.asarray(hi)
+    lo, hi = np.array(page.lo), np.array(page.hi)
     held = np.maximum(upto[hi] - upto[lo], 1.0)
-    shown = np.array([known.get(k, (None, 0.0))[1] for k in node], float)
-    low = (np.maximum((mass[hi] - mass[lo]) / held, shown) < threshold) | np.asarray(named, bool)
+    low = (np.maximum((mass[hi] - mass[lo]) / held, shown) < threshold) | np.array(page.named, bool)
     low[0] = False  # the page itself
-    gone = np.zeros(n + 1, np.int64)
+    gone = np.zeros(len(page.texts) + 1, np.int64)
     np.add.at(gone, lo[low], 1)
     np.add.at(gone, hi[low], -1)
-    return "\n".join(t for t, g in zip(texts, np.cumsum(gone)) if not g)
+    return "\n".join(t for t, g in zip(page.texts, np.cumsum(gone)) if not g)
+
+
+def _pruned(page: Page, host: str, places: np.ndarray, content: np.ndarray, shown: np.ndarray, threshold: float) -> str:
+    """``places``: sorted, with the importance of each; a place that is not among them counts as important."""
+    mine = _place(np.int64(_signed([xxhash.xxh3_64_intdigest(_bytes(host))])[0]), _signed(page.key))
+    at = np.searchsorted(places, mine)
+    at[at == len(places)] = 0
+    known = places[at] == mine if len(places) else np.zeros(len(mine), bool)
+    value = np.where(known, content[at], 1.0) if len(places) else np.ones(len(mine))
+    style = np.where(known, shown[at], 0.0) if len(places) else np.zeros(len(mine))
+    return _main(page, value[page.owner] if page.owner else np.zeros(0), style, threshold)
 
 
 def main_text(spark: SparkSession, pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
-              threshold: float = THRESHOLD) -> DataFrame:
+              threshold: float = THRESHOLD, tree_bound: int = TREE_NODES) -> DataFrame:
     """One row per page: page_id, url, text.
 
     Character references are decoded, white space inside a block is one space,
@@ -319,21 +347,46 @@ def main_text(spark: SparkSession, pages: DataFrame, id_col: str = "page_id", ur
     is read whole, in time and memory in proportion to it; unclosed elements end
     where HTML ends them, a page that ends inside a tag, comment or script ends
     there. An empty table gives an empty result; other columns are not read.
+
+    The tree is broadcast if it has ``tree_bound`` nodes at most (24 bytes
+    each); a larger one is joined to the pages, with the same result.
     """
-    rows = stored(spark, parsed(pages, id_col, url_col, html_col).withColumn("row", F.monotonically_increasing_id()), "site-pages")
+    rows = stored(spark, features(pages, url_col, html_col).withColumn("row", F.monotonically_increasing_id()), "site-features")
     nodes = stored(spark, tree(rows), "site-tree")
-    used = rows.select("row", "host", F.explode(F.array_distinct("node")).alias("node"))
-    known = used.join(nodes, ["host", "node"]).groupBy("row").agg(F.collect_list(F.struct("node", "content", "presentation")).alias("known"))
+    kind = pages.schema[id_col].dataType.simpleString()
+    schema, names = f"page_id {kind}, url string, text string", ["page_id", "url", "text"]
+    texts = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url"), text_of(html_col).alias("html"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    if nodes.count() <= tree_bound:
+        table = nodes.toPandas().sort_values("place")
+        whole = [table[c].to_numpy() for c in ("place", "content", "presentation")]
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                out = [_pruned(Page(h.as_py()), host_of(u.as_py() or ""), *whole, threshold) for u, h in zip(batch.column(1), batch.column(2))]
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.string())], names=names)
+
+        return texts.mapInArrow(run, schema)
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for r in batch.select(["texts", "owner", "node", "lo", "hi", "named", "known"]).to_pylist():
-                known = {k["node"]: (1.0 if k["content"] is None else k["content"], k["presentation"]) for k in r["known"]}
-                out.append(_main(r["texts"], r["owner"], r["node"], r["lo"], r["hi"], r["named"], known, threshold))
-            yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(out, pa.string())],
-                                             names=["page_id", "url", "text"])
+            found = []
+            for u, h in zip(batch.column(1), batch.column(2)):
+                host = _signed([xxhash.xxh3_64_intdigest(_bytes(host_of(u.as_py() or "")))])[0]
+                found.append(np.unique(_place(host, _signed(Page(h.as_py()).key))).view("<u8").tolist())
+            yield pa.RecordBatch.from_arrays([*batch.columns, _lists(found, True)], names=[*names[:2], "html", "row", "places"])
 
-    kind = pages.schema[id_col].dataType.simpleString()
-    return rows.join(known, "row").select("page_id", "url", "texts", "owner", "node", "lo", "hi", "named", "known").mapInArrow(
-        run, f"page_id {kind}, url string, text string")
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for u, h, known in zip(*(batch.column(c) for c in ("url", "html", "known"))):
+                known = sorted((k["place"], k["content"], k["presentation"]) for k in known.as_py() or ())
+                mine = [np.array(c) for c in zip(*known)] or [np.zeros(0, np.int64), np.zeros(0), np.zeros(0)]
+                out.append(_pruned(Page(h.as_py()), host_of(u.as_py() or ""), *mine, threshold))
+            yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(out, pa.string())], names=names)
+
+    placed = stored(spark, texts.withColumn("row", F.monotonically_increasing_id()).mapInArrow(
+        places, f"page_id {kind}, url string, html string, row long, places array<long>"), "site-pages")
+    known = placed.select("row", F.explode("places").alias("place")).join(nodes, "place").groupBy("row").agg(
+        F.collect_list(F.struct("place", "content", "presentation")).alias("known"))
+    return placed.join(known, "row", "left").select("page_id", "url", "html", "known").mapInArrow(joined, schema)
