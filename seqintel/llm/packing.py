@@ -36,6 +36,8 @@ END = (2,)
 #: Remainders held while a partition is packed, and word pieces kept per worker.
 POOL = 1024
 CACHE = 600_000
+#: Characters of the texts whose words are learned together.
+CHUNK = 1 << 21
 
 SCHEMA = ("doc_id long, start long, length long, loss_tokens long, doc_tokens long, "
           "sequence_id long, offset long, ids binary")
@@ -71,10 +73,29 @@ class WordTokenizer:
         vocab = self.model.get_vocab()
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for word, i in vocab.items() if word.endswith("</w>")]] = True
-        self.words: dict[str | bytes, bytes] = {}
+        self.words: dict[str | bytes, bytes] = {}  # in use since the last change of generations
+        self.older: dict[str | bytes, bytes] = {}  # the generation before
 
     def ids(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
+        return self.ids_of([text])[0]
+
+    def ids_of(self, texts: list[str]) -> list[bytes]:
+        """Ids of several texts; words that are new to all of them are learned at once."""
+        split = [self._words(t) for t in texts]
+        here = set().union(*(w for w in split if not isinstance(w, bytes)))
+        new = here - self.words.keys()
+        if len(self.words) + len(new) > CACHE // 2:  # words met again move on from the older generation
+            self.older, self.words, new = self.words, {}, here
+        again = new & self.older.keys()
+        self.words.update((w, self.older[w]) for w in again)
+        fresh = list(new - again)
+        for i in range(0, len(fresh), 8192):
+            self._learn(fresh[i:i + 8192])
+        return [w if isinstance(w, bytes) else b"".join(map(self.words.__getitem__, w)) for w in split]
+
+    def _words(self, text: str) -> list | bytes:
+        """The lower-cased words of a plain text; the ids at once of any other."""
         try:
             latin = text.encode("latin-1")
             plain = not latin.translate(None, self.bytes_plain)
@@ -82,17 +103,7 @@ class WordTokenizer:
             latin, plain = None, self.plain.fullmatch(text)
         if not plain or any(s in text for s in self.special):
             return np.array(self.model.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        words = text.lower().split() if latin is None else latin.translate(self.bytes_lower).split()
-        found = list(map(self.words.get, words))
-        if None in found:
-            new = list({w for w, f in zip(words, found) if f is None})
-            if len(self.words) + len(new) > CACHE:
-                self.words.clear()
-                new = list(set(words))
-            for i in range(0, len(new), 8192):
-                self._learn(new[i:i + 8192])
-            found = [self.words[w] if f is None else f for w, f in zip(words, found)]
-        return b"".join(found)
+        return text.lower().split() if latin is None else latin.translate(self.bytes_lower).split()
 
     def _split(self, word: str) -> list[str]:
         """The pieces of a word; letters with at most one mark behind them need no search."""
@@ -103,18 +114,16 @@ class WordTokenizer:
         return self.piece.findall(word)
 
     def _learn(self, words: list[str | bytes]) -> None:
-        """Ids of many words by one call: the pieces of each say how many word ends are its own."""
+        """Ids of many words by one call: each piece (once, however many words hold it) ends with its word end."""
         pieces = [self._split(w if isinstance(w, str) else w.decode("latin-1")) for w in words]
-        joined = " ".join(itertools.chain.from_iterable(pieces))
-        ids = np.array(self.bare.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
+        distinct = list(dict.fromkeys(itertools.chain.from_iterable(pieces)))
+        ids = np.array(self.bare.encode_batch_fast([" ".join(distinct)], add_special_tokens=False)[0].ids, "<u4")
         ends = np.nonzero(self.ends[ids])[0] + 1
-        last = np.cumsum([len(p) for p in pieces]) - 1
-        if len(ends) != last[-1] + 1:
+        if len(ends) != len(distinct):
             raise ValueError("the tokenizer splits words in another way")
-        raw, start = ids.tobytes(), 0
-        for w, stop in zip(words, (4 * ends[last]).tolist()):
-            self.words[w] = raw[start:stop]
-            start = stop
+        raw, stops = ids.tobytes(), (4 * ends).tolist()
+        known = {p: raw[start:stop] for p, start, stop in zip(distinct, [0, *stops], stops)}
+        self.words.update((w, known[p[0]] if len(p) == 1 else b"".join(map(known.__getitem__, p))) for w, p in zip(words, pieces))
 
 
 _tokenizers: dict[str, WordTokenizer] = {}
@@ -130,8 +139,22 @@ def tokenizer(path: str) -> WordTokenizer:
     return _tokenizers[path]
 
 
+def _bears(loss: np.ndarray | None, start: int, stop: int) -> int:
+    """Loss-bearing tokens from ``start`` to ``stop``; None: all of them are."""
+    return stop - start if loss is None else int(loss[stop] - loss[start])
+
+
+def _reach(loss: np.ndarray | None, start: int, most: int) -> int:
+    """The last place up to which at most ``most`` tokens from ``start`` bear loss."""
+    return start + int(most) if loss is None else int(np.searchsorted(loss, loss[start] + most, "right")) - 1
+
+
+def _cut(loss: np.ndarray | None, start: int, stop: int) -> np.ndarray | None:
+    return None if loss is None else loss[start:stop + 1]
+
+
 class _Packer:
-    """Packs pieces (doc, start, ids, loss prefix sums) into sequences."""
+    """Packs pieces (doc, start, ids, loss prefix sums or None, total) into sequences."""
 
     def __init__(self, limits: tuple[int, int, int], pool: int, first: int):
         self.limits, self.pool, self.next = np.array(limits, float), pool, first
@@ -144,21 +167,21 @@ class _Packer:
         offset = 0
         for doc, start, ids, loss, total in pieces:
             n = len(ids) // 4
-            self.out.append((doc, start, n, int(loss[-1] - loss[0]), total, self.next, offset, ids))
+            self.out.append((doc, start, n, _bears(loss, 0, n), total, self.next, offset, ids))
             offset += n
         self.next += 1
 
-    def add(self, doc, ids: bytes, loss: np.ndarray) -> None:
-        """loss: prefix sums, one longer than the ids."""
+    def add(self, doc, ids: bytes, loss: np.ndarray | None) -> None:
+        """loss: prefix sums, one longer than the ids, or None where all bear loss."""
         total, start = len(ids) // 4, 0
         tokens, _, most = self.limits
-        while total - start >= tokens and loss[start + int(tokens)] - loss[start] <= most:
+        while total - start >= tokens and _bears(loss, start, start + int(tokens)) <= most:
             stop = start + int(tokens)
-            self.emit([(doc, start, ids[4 * start:4 * stop], loss[start:stop + 1], total)])
+            self.emit([(doc, start, ids[4 * start:4 * stop], _cut(loss, start, stop), total)])
             start = stop
         while start < total:  # pieces within the limits
-            stop = min(total, start + int(tokens), int(np.searchsorted(loss, loss[start] + most, "right")) - 1)
-            self.hold((doc, start, ids[4 * start:4 * stop], loss[start:stop + 1], total))
+            stop = min(total, start + int(tokens), _reach(loss, start, most))
+            self.hold((doc, start, ids[4 * start:4 * stop], _cut(loss, start, stop), total))
             start = stop
 
     def hold(self, piece) -> None:
@@ -166,7 +189,8 @@ class _Packer:
             while len(self.free) < self.pool // 2:
                 self.fill()
         k = heapq.heappop(self.free)
-        self.items[k], self.need[k] = piece, (len(piece[2]) // 4, 1, piece[3][-1] - piece[3][0])
+        n = len(piece[2]) // 4
+        self.items[k], self.need[k] = piece, (n, 1, _bears(piece[3], 0, n))
 
     def take(self, k: int):
         piece, self.items[k], self.need[k] = self.items[k], None, 0
@@ -190,19 +214,20 @@ class _Packer:
                 long = held & (self.need[:, 0] >= room[0])
                 k = int(np.where(long, score, -1.0).argmax()) if long.any() else int(score.argmax())
                 doc, start, ids, loss, total = self.items[k]
-                n = min(len(ids) // 4, int(room[0]), int(np.searchsorted(loss, loss[0] + room[2], "right")) - 1)
+                n = min(len(ids) // 4, int(room[0]), _reach(loss, 0, room[2]))
                 if n <= 0:
                     break
-                piece = (doc, start, ids[:4 * n], loss[:n + 1], total)
+                piece = (doc, start, ids[:4 * n], _cut(loss, 0, n), total)
                 self.take(k)
                 if n < len(ids) // 4:
                     self.free.remove(k)
                     heapq.heapify(self.free)
-                    self.items[k] = (doc, start + n, ids[4 * n:], loss[n:], total)
-                    self.need[k] = (len(ids) // 4 - n, 1, loss[-1] - loss[n])
+                    self.items[k] = (doc, start + n, ids[4 * n:], _cut(loss, n, len(ids) // 4), total)
+                    self.need[k] = (len(ids) // 4 - n, 1, _bears(loss, n, len(ids) // 4))
                     scaled[k] = self.need[k] / self.limits
             held[k] = self.need[k, 0] > 0
-            room -= (len(piece[2]) // 4, 1, piece[3][-1] - piece[3][0])
+            n = len(piece[2]) // 4
+            room -= (n, 1, _bears(piece[3], 0, n))
             pieces.append(piece)
         self.emit(pieces)
 
@@ -218,23 +243,44 @@ class _Packer:
                 size, pieces, loss_room = 1 << (left.bit_length() - 1), [], self.limits[2]
                 while size and rest and len(pieces) < self.limits[1]:
                     doc, start, ids, loss, total = rest.pop()
-                    n = min(size, len(ids) // 4, int(np.searchsorted(loss, loss[0] + loss_room, "right")) - 1)
+                    n = min(size, len(ids) // 4, _reach(loss, 0, loss_room))
                     if n < len(ids) // 4:
-                        rest.append((doc, start + n, ids[4 * n:], loss[n:], total))
+                        rest.append((doc, start + n, ids[4 * n:], _cut(loss, n, len(ids) // 4), total))
                     if n <= 0:
                         break
-                    pieces.append((doc, start, ids[:4 * n], loss[:n + 1], total))
-                    size, loss_room = size - n, loss_room - (loss[n] - loss[0])
+                    pieces.append((doc, start, ids[:4 * n], _cut(loss, 0, n), total))
+                    size, loss_room = size - n, loss_room - _bears(loss, 0, n)
                 self.emit(pieces)
 
 
+def _joined(parts: list[tuple[bytes, bool]]) -> tuple[bytes, np.ndarray]:
+    bears = np.repeat([x for _, x in parts], [len(p) // 4 for p, _ in parts])
+    return b"".join(p for p, _ in parts), np.concatenate(([0], np.cumsum(bears, dtype=np.int64)))
+
+
+def _chunks(batch: pa.RecordBatch, plain: bool) -> Iterator[tuple[list, list]]:
+    """Rows of a batch in runs of about ``CHUNK`` characters (one row at least)."""
+    docs, rows, size = [], [], 0
+    for doc, row in zip(batch.column(0), batch.column(1)):
+        row = row.as_py()
+        docs.append(doc.as_py())
+        rows.append(row or "" if plain else row)
+        size += len(row or "") if plain else sum(len(x["text"] or "") for x in row or [] if x)
+        if size > CHUNK:
+            yield docs, rows
+            docs, rows, size = [], [], 0
+    if docs:
+        yield docs, rows
+
+
 def pack(examples: DataFrame, tokenizer_path: str, id_col: str = "doc_id", segments_col: str = "segments",
          tokens: int = TOKENS, segments: int = SEGMENTS, loss_tokens: int | None = None,
          end: tuple[int, ...] = END, pool: int = POOL) -> DataFrame:
     """One row per piece: doc_id, start, length, loss_tokens, doc_tokens, sequence_id, offset, ids.
 
-    ``segments_col`` is an array of (text, loss); a null array or text counts
-    as empty, so such an example still has its end token. A sequence holds at
+    ``segments_col`` is an array of (text, loss), or a text that bears loss as a
+    whole; a null array or text counts as empty, so such an example still has
+    its end token. A sequence holds at
     most ``tokens`` tokens, ``segments`` pieces and ``loss_tokens`` tokens that
     bear loss (default: no limit beside the tokens). Every id of an example
     lies in exactly one piece. Rows that repeat an id are examples of their
@@ -260,17 +306,21 @@ def pack(examples: DataFrame, tokenizer_path: str, id_col: str = "doc_id", segme
 
         size = 0
         for batch in batches:
-            for doc, segs in zip(batch.column(0), batch.column(1)):
-                parts = [(tok.ids(s["text"] or ""), bool(s["loss"])) for s in segs.as_py() or [] if s]
-                parts.append((tail, True))
-                ids = b"".join(p for p, _ in parts)
-                bears = np.repeat([x for _, x in parts], [len(p) // 4 for p, _ in parts])
-                if len(ids):
-                    packer.add(doc.as_py(), ids, np.concatenate(([0], np.cumsum(bears, dtype=np.int64))))
-                size += len(ids)
-                if size > 1 << 24:
-                    yield flush()
-                    size = 0
+            plain = pa.types.is_string(batch.schema.field(1).type)
+            for docs, rows in _chunks(batch, plain):
+                if plain:
+                    found = [(ids + tail, None) for ids in tok.ids_of(rows)]
+                else:
+                    parts = [[(x["text"] or "", bool(x["loss"])) for x in r or [] if x] for r in rows]
+                    ids = iter(tok.ids_of([t for p in parts for t, _ in p]))
+                    found = [_joined([*((next(ids), bears) for _, bears in p), (tail, True)]) for p in parts]
+                for doc, (ids, loss) in zip(docs, found):
+                    if len(ids):
+                        packer.add(doc, ids, loss)
+                    size += len(ids)
+                    if size > 1 << 24:
+                        yield flush()
+                        size = 0
         packer.end()
         yield flush()
 
@@ -279,8 +329,7 @@ def pack(examples: DataFrame, tokenizer_path: str, id_col: str = "doc_id", segme
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """Plain documents: one segment, all of it bears loss."""
-    return pack(docs.select(F.col(id_col).alias("doc_id"), F.array(F.struct(
-        text_of(text_col).alias("text"), F.lit(True).alias("loss"))).alias("segments")), tokenizer_path, **options)
+    return pack(docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("segments")), tokenizer_path, **options)
 
 
 def pack_conversations(turns: DataFrame, tokenizer_path: str, **options) -> DataFrame:
