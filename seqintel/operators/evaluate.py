@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from .. import dictionaries as D
 from . import hmm as H
+from . import longseq as LS
 from .sequences import hold_out_last
 
 N_BUCKET_HEX = 4  # 65,536 hash buckets for the exact split threshold
@@ -27,17 +28,19 @@ def split_authors(seqs: DataFrame, ratio: float = D.TEST_RATIO, seed: int = D.SE
     ordered to find the threshold hash. Authors are never split.
     """
     h = seqs.withColumn("_h", split_key(author_col, seed))
-    n = h.count()
+    # in the chunked form each author counts once, on chunk 0
+    one = h.where(F.col("chunk") == 0) if "n_chunks" in seqs.columns else h
+    n = one.count()
     n_test = min(max(1, int(n * ratio)), n - 1)
     if n_test <= 0:
         return h.drop("_h"), h.where(F.lit(False)).drop("_h")
     b = F.substring("_h", 1, N_BUCKET_HEX)
-    counts = sorted((r[0], r[1]) for r in h.groupBy(b.alias("b")).count().collect())
+    counts = sorted((r[0], r[1]) for r in one.groupBy(b.alias("b")).count().collect())
     seen = 0
     for bucket, c in counts:
         if seen + c >= n_test:
             need = n_test - seen
-            inside = (h.where(b == bucket).select("_h").orderBy("_h").limit(need)
+            inside = (one.where(b == bucket).select("_h").orderBy("_h").limit(need)
                       .agg(F.max("_h")).first()[0])
             break
         seen += c
@@ -144,13 +147,15 @@ def global_metrics(per_class: DataFrame) -> DataFrame:
 
 
 def evaluate(seqs: DataFrame, ratio: float = D.TEST_RATIO, seed: int = D.SEED,
-             fit_on: str = "train", model: H.HMM | None = None, **fit_kw) -> dict[str, DataFrame]:
+             fit_on: str = "train", model: H.HMM | None = None, chunk_length: int = LS.CHUNK, **fit_kw) -> dict[str, DataFrame]:
     """Split -> fit (on train by default; ``fit_on='all'`` reproduces the
-    original's behaviour) -> predictions -> statistics."""
+    original's behaviour) -> predictions -> statistics. ``seqs`` has a row per
+    author or, for authors of any length, a row per chunk of ``chunk_length``."""
     train, test = split_authors(seqs, ratio, seed)
     if model is None:
         model = H.fit_hmm(train if fit_on == "train" else seqs, seed=seed, **fit_kw)
-    pred = predictions(test, model)
+    chunked = "n_chunks" in seqs.columns
+    pred = LS.predictions_chunks(test, model, L=chunk_length) if chunked else predictions(test, model)
     per = class_metrics(pred)
     return {"predictions": pred, "metrics_by_phase": per, "metrics_global": global_metrics(per),
             "confusion": confusion(pred), "confidence": confidence_summary(pred),

@@ -5,12 +5,12 @@
   the model embedded as literals: they run inside whole-stage codegen, no
   Python in the hot path.
 * Training (K6) is distributed Baum-Welch: each iteration broadcasts the
-  current parameters, runs scaled forward-backward per *distinct* sequence
-  (weighted by its count) in an Arrow ``mapInPandas`` that emits one row of
-  partial expected counts per partition, sums those in one aggregate and
-  normalises on the driver (S + S^2 + S*M numbers). The distinct-sequence
-  table is checkpointed to the cluster's checkpoint folder so a lost
-  executor recomputes from there, not from the raw posts.
+  current parameters, runs forward-backward over the stored training rows
+  (numpy on many rows at once, boundaries of longer sequences by a tree scan),
+  returns one row of partial expected counts per partition and normalises on
+  the driver (S + S^2 + S*M numbers). ``em_step`` is one iteration in
+  built-in expressions. The training rows are checkpointed to the cluster's
+  checkpoint folder so a lost executor recomputes from there.
 """
 
 from __future__ import annotations
@@ -19,15 +19,13 @@ import math
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .. import dictionaries as D
 from ..functions.text import let
-from ..session import ensure_checkpoint_dir
+from ..session import dealt
 
 N_PHASES = len(D.PHASES)
 
@@ -295,149 +293,151 @@ def _init_model(n_states: int, n_symbols: int, seed: int) -> HMM:
     return HMM(start.tolist(), trans.tolist(), emit.tolist())
 
 
-def _estep_rows(seqs, weights, pi, A, B, max_cells: int = 1 << 21):
-    """Scaled forward-backward over a batch of sequences, vectorised across
-    sequences: sequences are sorted by length and processed in blocks of
-    similar length (at most ``max_cells`` sequence-steps per block), padded
-    and masked. Returns summed weighted expected counts and log-likelihood."""
-    S, M = B.shape
-    g0 = np.zeros(S)
-    xi = np.zeros((S, S))
-    em = np.zeros((S, M))
-    ll = 0.0
-    seqs = [np.asarray(x, dtype=np.int64) for x in seqs]
-    w_all = np.asarray(weights, dtype=float)
-    lens = np.array([len(x) for x in seqs], dtype=np.int64)
-    order = np.argsort(lens, kind="stable")
-    start = 0
-    while start < len(order):
-        if lens[order[start]] == 0:
-            start += 1
-            continue
-        stop = start + 1
-        while stop < len(order) and (stop - start + 1) * lens[order[stop]] <= max_cells:
-            stop += 1
-        idx = order[start:stop]
-        start = stop
-        L = lens[idx]
-        n, T = len(idx), int(L.max())
-        O = np.zeros((n, T), dtype=np.int64)
-        for r, k in enumerate(idx):
-            O[r, :L[r]] = seqs[k]
-        w = w_all[idx]
-        valid = np.arange(T)[None, :] < L[:, None]            # n x T
-        Bo = B.T[O]                                          # n x T x S: B[s, o_t]
-        alpha = np.zeros((n, T, S))
-        c = np.ones((n, T))
-        a = pi[None, :] * Bo[:, 0]
-        c[:, 0] = a.sum(1)
-        alpha[:, 0] = a / c[:, 0, None]
-        for t in range(1, T):
-            a = (alpha[:, t - 1] @ A) * Bo[:, t]
-            v = valid[:, t]
-            c[v, t] = a[v].sum(1)
-            alpha[v, t] = a[v] / c[v, t, None]
-        beta = np.zeros((n, T, S))
-        beta[np.arange(n), L - 1] = 1.0
-        for t in range(T - 2, -1, -1):
-            v = (t + 1) < L
-            if not v.any():
-                continue
-            beta[v, t] = ((Bo[v, t + 1] * beta[v, t + 1]) @ A.T) / c[v, t + 1, None]
-        gamma = alpha * beta * valid[:, :, None]
-        g0 += (w[:, None] * gamma[:, 0]).sum(0)
-        if T > 1:
-            nxt = (Bo[:, 1:] * beta[:, 1:]) / c[:, 1:, None]       # n x T-1 x S
-            am = alpha[:, :-1] * (valid[:, 1:] * w[:, None])[:, :, None]
-            xi += A * np.einsum("nti,ntj->ij", am, nxt)
-        onehot = np.zeros((n, T, M))
-        np.put_along_axis(onehot, O[:, :, None], 1.0, axis=2)
-        em += np.einsum("nts,ntk->sk", gamma * w[:, None, None], onehot)
-        ll += float((w * (np.log(c) * valid).sum(1)).sum())
-    return g0, xi, em, ll
+def training_rows(seqs: DataFrame, n_states: int, seq_col: str = "seq", min_len: int = 2, key: str = "author") -> tuple[DataFrame, int]:
+    """K5 checks, then the rows an E-step runs over, and the levels of their tree.
+
+    Whole sequences are told apart by their phases and weighted by their number;
+    longer ones are their chunks. The rows (author, chunk, seq, n_chunks, w) are
+    written once, dealt by (author, chunk): boundaries are later joined to them
+    where they lie, so no iteration moves a phase.
+    """
+    from . import longseq as LS
+    from . import scan as SC
+    if "n_chunks" not in seqs.columns:
+        seqs = seqs.withColumns({"chunk": F.lit(0).cast("long"), "n_chunks": F.lit(1).cast("long")})
+    seqs = seqs.select(F.col(key).cast("string").alias("author"), "chunk", F.col(seq_col).alias("seq"), "n_chunks")
+    total = seqs.agg(F.coalesce(F.sum(F.size("seq")), F.lit(0)).alias("n"),
+                     F.count_if((F.col("n_chunks") > 1) | (F.size("seq") >= 2)).alias("k")).first()
+    if total["n"] < n_states * 3:
+        raise TrainingDataError(f"too few posts ({total['n']}) for {n_states} states")
+    if total["k"] < 1:
+        raise TrainingDataError("no sequence has at least 2 posts")
+    whole = seqs.where((F.col("n_chunks") == 1) & (F.size("seq") >= min_len)).groupBy("seq").agg(F.count(F.lit(1)).cast("double").alias("w")).select(
+        F.lit(None).cast("string").alias("author"), F.xxhash64("seq").alias("chunk"), "seq", F.lit(1).cast("long").alias("n_chunks"), "w")
+    rows = whole.unionByName(seqs.where(F.col("n_chunks") > 1).withColumn("w", F.lit(1.0)))
+    rows = dealt(rows, "author", "chunk")
+    return rows, SC.depth(LS.most_chunks(rows))
+
+
+def expected_counts(rows: DataFrame, levels: int, m: HMM):
+    """K6 E-step over training rows: expected starts, transitions and emissions, and the log-likelihood."""
+    from . import longseq as LS
+    from . import scan as SC
+    params = rows.sparkSession.sparkContext.broadcast((np.array(m.start), np.array(m.trans), np.array(m.emit)))
+    try:
+        return SC.expected_counts(LS.with_boundaries(rows, "author", params, m.n_states, levels), params)
+    finally:
+        params.unpersist()
+
+
+def maximised(start: np.ndarray, trans: np.ndarray, emit: np.ndarray) -> HMM:
+    """K6 M-step: counts to shares; a state without counts keeps zeros."""
+    def shares(x):
+        total = x.sum(axis=-1, keepdims=True)
+        return (x / np.where(total == 0, 1, total)).tolist()
+
+    return HMM(shares(start), shares(trans), shares(emit))
 
 
 def fit_hmm(seqs: DataFrame, n_states: int = D.N_STATES, max_iter: int = D.MAX_ITER,
             tol: float = D.TOL, seed: int = D.SEED, seq_col: str = "seq",
-            n_symbols: int = N_PHASES, min_len: int = 2, key: str = "author") -> HMM:
-    """K6: distributed Baum-Welch.
+            n_symbols: int = N_PHASES, min_len: int = 2, key: str = "author", start_model: HMM | None = None) -> HMM:
+    """K6: distributed Baum-Welch, from ``start_model`` or a seeded random one.
 
     ``seqs`` is either one row per author (``seq`` array) or the chunked form
     of :func:`seqintel.operators.longseq.chunk_sequences` (``chunk``,
-    ``n_chunks`` columns). Single-chunk sequences are deduplicated with a
-    weight and run through the vectorised E-step; authors spread over several
-    chunks go through the exact chunked E-step (boundary vectors from a
-    per-author fold of chunk transfer matrices), so no author is ever
-    gathered whole.
+    ``n_chunks`` columns); no author is ever gathered whole.
     """
-    from . import longseq as LS
-    spark = seqs.sparkSession
-    ensure_checkpoint_dir(spark)
-    chunked = "n_chunks" in seqs.columns
-    if chunked:
-        single = seqs.where(F.col("n_chunks") == 1).select(key, seq_col)
-        multi = seqs.where(F.col("n_chunks") > 1).select(key, "chunk", F.col(seq_col).alias("seq"))
-        tot = seqs.agg(F.coalesce(F.sum(F.size(seq_col)), F.lit(0)).alias("n"),
-                       F.count_if((F.col("n_chunks") > 1) | (F.size(seq_col) >= 2)).alias("k")).first()
-        if tot["n"] < n_states * 3 or tot["k"] < 1:
-            raise TrainingDataError(f"too few posts ({tot['n']}) or sequences ({tot['k']})")
-        has_multi = multi.limit(1).count() > 0
-        if has_multi:
-            multi = multi.repartition(max(spark.sparkContext.defaultParallelism, 1)).checkpoint(eager=True)
-    else:
-        check_training_data(seqs, n_states, seq_col)
-        single, has_multi, multi = seqs, False, None
-    distinct = (single.where(F.size(seq_col) >= min_len)
-                .groupBy(F.col(seq_col).alias("seq")).agg(F.count(F.lit(1)).alias("w")))
-    # spread the E-step over every core (AQE would coalesce a small shuffle
-    # into one task); the checkpoint cuts lineage for the iterations
-    distinct = distinct.repartition(max(spark.sparkContext.defaultParallelism, 1))
-    distinct = distinct.checkpoint(eager=True)
-    m = _init_model(n_states, n_symbols, seed)
-    S, M = n_states, n_symbols
-    out_schema = T.StructType([
-        T.StructField("g0", T.ArrayType(T.DoubleType())),
-        T.StructField("xi", T.ArrayType(T.DoubleType())),
-        T.StructField("em", T.ArrayType(T.DoubleType())),
-        T.StructField("ll", T.DoubleType()),
-    ])
+    rows, levels = training_rows(seqs, n_states, seq_col, min_len, key)
+    m = start_model or _init_model(n_states, n_symbols, seed)
     history: list[float] = []
-    sc = spark.sparkContext
     for _ in range(max_iter):
-        params = sc.broadcast((np.array(m.start), np.array(m.trans), np.array(m.emit)))
-
-        def estep(batches, params=params):
-            pi, A, B = params.value
-            g0 = np.zeros(S)
-            xi = np.zeros((S, S))
-            em = np.zeros((S, M))
-            ll = 0.0
-            for pdf in batches:
-                a, b, c, d = _estep_rows(pdf["seq"], pdf["w"].to_numpy(dtype=float), pi, A, B)
-                g0 += a
-                xi += b
-                em += c
-                ll += d
-            yield pd.DataFrame({"g0": [g0.tolist()], "xi": [xi.ravel().tolist()],
-                                "em": [em.ravel().tolist()], "ll": [ll]})
-
-        # one row of partial sums per partition; summing those few rows on the
-        # driver is cheaper than a 44-column aggregate job per iteration
-        parts = distinct.mapInPandas(estep, out_schema).collect()
-        g0 = np.sum([r["g0"] for r in parts], axis=0)
-        xi = np.sum([r["xi"] for r in parts], axis=0).reshape(S, S)
-        em = np.sum([r["em"] for r in parts], axis=0).reshape(S, M)
-        ll = float(np.sum([r["ll"] for r in parts]))
-        if has_multi:
-            a, b, c, d = LS.estep_chunked(multi, key, params, S, M)
-            g0, xi, em, ll = g0 + a, xi + b, em + c, ll + d
-        params.unpersist()
-        start = g0 / g0.sum()
-        trans = xi / np.where(xi.sum(1, keepdims=True) == 0, 1, xi.sum(1, keepdims=True))
-        emit = em / np.where(em.sum(1, keepdims=True) == 0, 1, em.sum(1, keepdims=True))
-        m = HMM(start.tolist(), trans.tolist(), emit.tolist())
+        start, trans, emit, ll = expected_counts(rows, levels, m)
+        m = maximised(start, trans, emit)
         history.append(ll)
         if len(history) > 1 and history[-1] - history[-2] < tol:
             break
     m.history = history
     return m
+
+
+# -- K6, one step in built-ins ---------------------------------------------------
+def forward_backward(seq, m: HMM) -> Column:
+    """Expected counts of one sequence as ``struct(start, trans, emit, ll)``, trans and
+    emit flat by rows; NULL for an empty sequence.
+
+    A scan forwards keeps the scaled forward vectors; a scan backwards carries
+    the backward vector and adds each place's counts. For sequences of bounded
+    length (the forward vectors of one are held in its row).
+    """
+    S, M = m.n_states, m.n_symbols
+    st, A, B = _lit_vec(m.start), _lit_mat(m.trans), _lit_mat(m.emit)
+    seq = F.col(seq) if isinstance(seq, str) else seq
+    idx, total = F.sequence(F.lit(0), F.lit(S - 1)), lambda v: F.aggregate(v, F.lit(0.0), lambda a, y: a + y)
+
+    def unit(v):
+        return let(v, lambda x: let(total(x), lambda c: F.transform(x, lambda y: y / c)))
+
+    def advance(v, before):  # before: struct(a, ll)
+        return let(v, lambda x: let(total(x), lambda c: F.array_append(before, F.struct(
+            F.transform(x, lambda y: y / c).alias("a"), F.log(c).alias("c")))))
+
+    none = F.array().cast("array<struct<a:array<double>,c:double>>")
+    first = F.element_at(seq, 1)
+    ahead = F.aggregate(
+        F.slice(seq, 2, F.greatest(F.size(seq) - 1, F.lit(0))), advance(F.transform(idx, lambda j: st[j] * B[j][first]), none),
+        lambda acc, o: advance(F.transform(idx, lambda j: F.aggregate(
+            idx, F.lit(0.0), lambda s, i: s + F.element_at(acc, -1)["a"][i] * A[i][j]) * B[j][o]), acc))
+
+    def counted(fw):
+        n = F.size(seq)
+
+        def posterior(a, b):
+            return unit(F.transform(idx, lambda i: a[i] * b[i]))
+
+        def emitted(acc, g, o):  # flat S x M counts
+            return F.transform(acc, lambda x, k: x + F.when(k % M == o, g[F.floor(k / M).cast("int")]).otherwise(0.0))
+
+        ones = F.transform(idx, lambda i: F.lit(1.0 / S))
+        zero = F.array_repeat(F.lit(0.0), S * M), F.array_repeat(F.lit(0.0), S * S)
+        last = let(posterior(F.element_at(fw, -1)["a"], ones), lambda g: F.struct(
+            ones.alias("b"), g.alias("g"), zero[1].alias("x"), emitted(zero[0], g, F.element_at(seq, -1)).alias("e")))
+
+        def step(acc, t):  # t: place from 1, its successor has been counted
+            a = F.element_at(fw, t)["a"]
+            nxt = F.transform(idx, lambda j: B[j][F.element_at(seq, t + 1)] * acc["b"][j])
+            return let(nxt, lambda nx: let(unit(F.transform(F.sequence(F.lit(0), F.lit(S * S - 1)), lambda k: a[F.floor(k / S).cast("int")]
+                                                             * A[F.floor(k / S).cast("int")][k % S] * nx[k % S])), lambda joint: let(
+                unit(F.transform(idx, lambda i: F.aggregate(idx, F.lit(0.0), lambda s, j: s + A[i][j] * nx[j]))), lambda b: let(
+                    posterior(a, b), lambda g: F.struct(
+                        b.alias("b"), g.alias("g"), F.zip_with(acc["x"], joint, lambda p, q: p + q).alias("x"),
+                        emitted(acc["e"], g, F.element_at(seq, t)).alias("e"))))))
+
+        back = F.aggregate(F.when(n > 1, F.sequence(n - 1, F.lit(1), F.lit(-1))).otherwise(F.array().cast("array<int>")), last, step)
+        return let(back, lambda r: F.struct(r["g"].alias("start"), r["x"].alias("trans"), r["e"].alias("emit"),
+                                            F.aggregate(fw, F.lit(0.0), lambda s, x: s + x["c"]).alias("ll")))
+
+    return F.when(F.size(seq) > 0, let(ahead, counted))
+
+
+def em_step(seqs: DataFrame, m: HMM, seq_col: str = "seq", min_len: int = 2) -> DataFrame:
+    """One EM step in built-ins: (kind, i, j, expected, p), p being the new model.
+
+    Kinds ``start`` (i), ``trans`` (i, j), ``emit`` (i, phase j) and ``loglik``
+    (of the model given, in ``expected``). Equal sequences are counted once.
+    """
+    S, M = m.n_states, m.n_symbols
+    distinct = seqs.where(F.size(seq_col) >= min_len).groupBy(F.col(seq_col).alias("seq")).agg(F.count(F.lit(1)).alias("w"))
+    r = distinct.withColumn("r", forward_backward("seq", m))
+
+    def cells(kind, column, width):
+        return F.transform(column, lambda x, k: F.struct(
+            F.lit(kind).alias("kind"), F.floor(k / width).cast("int").alias("i"),
+            F.when(F.lit(kind) != "start", (k % width).cast("int")).alias("j"), x.alias("v")))
+
+    ll = F.array(F.struct(F.lit("loglik").alias("kind"), F.lit(0).alias("i"), F.lit(None).cast("int").alias("j"), F.col("r.ll").alias("v")))
+    rows = r.select("w", F.explode(F.concat(cells("start", F.col("r.start"), 1), cells("trans", F.col("r.trans"), S),
+                                            cells("emit", F.col("r.emit"), M), ll)).alias("c"))
+    counts = rows.groupBy("c.kind", "c.i", "c.j").agg(F.sum(F.col("w") * F.col("c.v")).alias("expected"))
+    whole = Window.partitionBy("kind", F.when(F.col("kind") != "start", F.col("i")))
+    return counts.withColumn("p", F.when(F.col("kind") != "loglik", F.col("expected") / F.nullif(F.sum("expected").over(whole), F.lit(0.0))))

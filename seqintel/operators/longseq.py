@@ -10,12 +10,9 @@ author's posts in one task or one row:
   checkpointed so the ids are stable across the two uses.
 * ``chunk_sequences``: positions -> arrays of at most ``L`` phases per
   (author, chunk). Every downstream array is bounded by ``L``.
-* Chunked forward-backward (K6 E-step) and Viterbi (K8): per chunk, in
-  parallel, a transfer matrix (sum-product, or max-plus for Viterbi); per
-  author, a two-level fold over its chunk matrices (products of runs first)
-  gives the boundary vectors / boundary states; per chunk again, the
-  exact local pass given those boundaries. Single-chunk authors skip the
-  fold. Results equal the whole-sequence computation (tested).
+* Training (K6), decoding (K8) and likelihoods (K7) over chunks go through the
+  tree scan of :mod:`seqintel.operators.scan`; results equal the
+  whole-sequence computation (tested).
 """
 
 from __future__ import annotations
@@ -23,13 +20,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..session import ensure_checkpoint_dir
+from . import scan as SC
 
 CHUNK = 1024
 
@@ -72,280 +68,6 @@ def chunk_sequences(df: DataFrame, key: str, pos_col: str, value_col: str, L: in
     return g.join(n, key).select(key, "chunk", F.transform("_s", lambda e: e["v"]).alias("seq"), "n_chunks")
 
 
-# -- numpy kernels -------------------------------------------------------------
-def sum_transfer(obs, A, B, pi=None):
-    """Row-vector transfer of a chunk: alpha_end = alpha_in @ T. With ``pi``
-    (first chunk) the chunk starts with diag(pi * B[:, o1]) instead of A diag(B).
-    Returns (T normalised, log scale)."""
-    S = A.shape[0]
-    Tm = np.diag(pi * B[:, obs[0]]) if pi is not None else A * B[:, obs[0]][None, :]
-    Tm, ls = Tm / Tm.sum(), np.log(Tm.sum())
-    for o in obs[1:]:
-        Tm = (Tm @ A) * B[:, o][None, :]
-        s = Tm.sum()
-        Tm, ls = Tm / s, ls + np.log(s)
-    return Tm, ls
-
-
-def maxplus_transfer(obs, lA, lB, lpi=None):
-    """Max-plus transfer: M[i, j] = best log score entering from state i (the
-    previous chunk's last state) and ending in j; with ``lpi`` row 0 holds the
-    first-chunk scores (entry state irrelevant)."""
-    if lpi is not None:
-        d = np.full((lA.shape[0], lA.shape[0]), -np.inf)
-        d[0] = lpi + lB[:, obs[0]]
-    else:
-        d = lA + lB[:, obs[0]][None, :]
-    for o in obs[1:]:
-        d = np.max(d[:, :, None] + lA[None, :, :], axis=1) + lB[:, o][None, :]
-    return d
-
-
-def local_forward_backward(obs, A, B, pi, a_in, b_out):
-    """Expected counts of one chunk given the normalised forward vector at
-    the previous position (``a_in``; None for a first chunk) and the
-    normalised backward vector at its last position (``b_out``)."""
-    S, M = B.shape
-    n = len(obs)
-    alpha = np.empty((n, S))
-    a = pi * B[:, obs[0]] if a_in is None else (a_in @ A) * B[:, obs[0]]
-    alpha[0] = a / a.sum()
-    for t in range(1, n):
-        a = (alpha[t - 1] @ A) * B[:, obs[t]]
-        alpha[t] = a / a.sum()
-    beta = np.empty((n, S))
-    beta[-1] = b_out
-    for t in range(n - 2, -1, -1):
-        b = A @ (B[:, obs[t + 1]] * beta[t + 1])
-        beta[t] = b / b.sum()
-    gamma = alpha * beta
-    gamma /= gamma.sum(1, keepdims=True)
-    xi = np.zeros((S, S))
-    for t in range(n - 1):
-        x = alpha[t][:, None] * A * (B[:, obs[t + 1]] * beta[t + 1])[None, :]
-        xi += x / x.sum()
-    if a_in is not None:
-        x = a_in[:, None] * A * (B[:, obs[0]] * beta[0])[None, :]
-        xi += x / x.sum()
-    em = np.zeros((S, M))
-    np.add.at(em.T, np.asarray(obs), gamma)
-    g0 = gamma[0] if a_in is None else np.zeros(S)
-    return g0, xi, em
-
-
-def constrained_viterbi(obs, lA, lB, lpi, s_in, s_out):
-    """Best path of a chunk entering from state ``s_in`` (None: first chunk,
-    start probabilities) and ending in ``s_out``; lower state wins ties."""
-    n, S = len(obs), lA.shape[0]
-    d = (lpi + lB[:, obs[0]]) if s_in is None else (lA[s_in] + lB[:, obs[0]])
-    bp = np.zeros((n, S), dtype=np.int64)
-    for t in range(1, n):
-        cand = d[:, None] + lA
-        bp[t] = np.argmax(cand, axis=0)
-        d = cand[bp[t], np.arange(S)] + lB[:, obs[t]]
-    path = np.empty(n, dtype=np.int64)
-    path[-1] = s_out
-    for t in range(n - 1, 0, -1):
-        path[t - 1] = bp[t][path[t]]
-    return path
-
-
-# -- per-author folds (small: one matrix per chunk) -----------------------------
-def sum_fold(mats, scales, a_first=None, b_last=None):
-    """Boundary vectors per matrix and the log-likelihood.
-
-    ``a_first`` is the forward vector before the first matrix (None: the
-    matrices begin a sequence, whose first one holds the start), ``b_last`` the
-    backward vector after the last (None: they end one).
-    alpha_end(c) = alpha_end(c-1) @ T_c; beta at the last position under
-    matrix c = T_{c+1} @ beta(c+1).
-    """
-    k, S = len(mats), mats[0].shape[0]
-    a_in, v, ll = [], a_first, 0.0
-    for m, scale in zip(mats, scales):
-        a_in.append(v)
-        v = m.sum(0) if v is None else v @ m
-        ll += scale + np.log(v.sum())
-        v = v / v.sum()
-    b_out = [None] * k
-    u = np.full(S, 1.0 / S) if b_last is None else b_last
-    for c in range(k - 1, -1, -1):
-        b_out[c] = u
-        u = mats[c] @ u
-        u = u / u.sum()
-    return a_in, b_out, float(ll)
-
-
-def sum_product(mats, scales):
-    """The product of a run of matrices, normalised, and its log scale."""
-    m, ls = mats[0], scales[0]
-    for other, scale in zip(mats[1:], scales[1:]):
-        m = m @ other
-        ls += scale + np.log(m.sum())
-        m = m / m.sum()
-    return m, float(ls)
-
-
-def maxplus_fold(mats, s_first=None, s_last=None):
-    """Best log score, and (entry, exit) state per matrix on the best path, from
-    ``s_first`` (None: the start) to ``s_last`` (None: the best end)."""
-    back = []
-    d = mats[0][0 if s_first is None else s_first]
-    for m in mats[1:]:
-        cand = d[:, None] + m
-        arg = np.argmax(cand, axis=0)
-        d = cand[arg, np.arange(cand.shape[1])]
-        back.append(arg)
-    states = [int(np.argmax(d)) if s_last is None else s_last]
-    logp = float(d[states[0]])
-    for arg in reversed(back):
-        states.append(int(arg[states[-1]]))
-    states.reverse()
-    return [s_first, *states[:-1]], states, logp
-
-
-def maxplus_product(mats):
-    m = mats[0]
-    for other in mats[1:]:
-        m = np.max(m[:, :, None] + other[None, :, :], axis=1)
-    return m
-
-
-# -- Spark jobs ------------------------------------------------------------------
-_MAT = T.ArrayType(T.DoubleType())
-
-
-def _chunk_transfers(chunks: DataFrame, key: str, kind: str, params) -> DataFrame:
-    schema = T.StructType([chunks.schema[key], T.StructField("chunk", T.LongType()),
-                           T.StructField("m", _MAT), T.StructField("ls", T.DoubleType())])
-
-    def run(batches):
-        pi, A, B = params.value
-        with np.errstate(divide="ignore"):
-            lpi, lA, lB = np.log(pi), np.log(A), np.log(B)
-        for pdf in batches:
-            ms, ls = [], []
-            for obs, ch in zip(pdf["seq"], pdf["chunk"]):
-                o = np.asarray(obs, dtype=np.int64)
-                if kind == "sum":
-                    m, s = sum_transfer(o, A, B, pi if ch == 0 else None)
-                else:
-                    m, s = maxplus_transfer(o, lA, lB, lpi if ch == 0 else None), 0.0
-                ms.append(m.ravel().tolist())
-                ls.append(float(s))
-            yield pd.DataFrame({key: pdf[key], "chunk": pdf["chunk"].astype("int64"), "m": ms, "ls": ls})
-
-    return chunks.select(key, "chunk", "seq").mapInPandas(run, schema)
-
-
-#: Chunk matrices folded in one task; their products are folded per author.
-FAN = 256
-
-
-def _author_boundaries(transfers: DataFrame, key: str, kind: str, S: int, params) -> DataFrame:
-    """Boundary data per chunk, by a two-level fold over the chunk matrices.
-
-    Runs of ``FAN`` chunks are multiplied in parallel, the products (one matrix
-    per FAN * L posts) are folded per author, and each run is folded again
-    between the boundaries that its product got."""
-    ends = [T.StructField("a_in", _MAT), T.StructField("b_out", _MAT), T.StructField("s_in", T.IntegerType()),
-            T.StructField("s_out", T.IntegerType()), T.StructField("score", T.DoubleType())]
-    author, chunk, run_ = transfers.schema[key], T.StructField("chunk", T.LongType()), T.StructField("run", T.LongType())
-    product = T.StructType([author, run_, T.StructField("m", _MAT), T.StructField("ls", T.DoubleType())])
-    fan = FAN
-
-    def mats_of(pdf):
-        return [np.asarray(m).reshape(S, S) for m in pdf["m"]]
-
-    def multiply(pdf):
-        pdf = pdf.sort_values("chunk")
-        m, ls = sum_product(mats_of(pdf), list(pdf["ls"])) if kind == "sum" else (maxplus_product(mats_of(pdf)), 0.0)
-        return pd.DataFrame({key: pdf[key].values[:1], "run": pdf["run"].values[:1], "m": [m.ravel().tolist()], "ls": [ls]})
-
-    def folded(pdf, place, first, last):
-        k = len(pdf)
-        out = {key: pdf[key].values, place: pdf[place].values, "a_in": [None] * k, "b_out": [None] * k, "s_in": [None] * k, "s_out": [None] * k}
-        if kind == "sum":
-            a_in, b_out, score = sum_fold(mats_of(pdf), list(pdf["ls"]), first, last)
-            out |= {"a_in": [None if a is None else a.tolist() for a in a_in], "b_out": [b.tolist() for b in b_out]}
-        else:
-            out["s_in"], out["s_out"], score = maxplus_fold(mats_of(pdf), first, last)
-        return pd.DataFrame(out | {"score": [score] + [0.0] * (k - 1)})
-
-    def top(pdf):
-        return folded(pdf.sort_values("run"), "run", None, None)
-
-    def inner(pdf):
-        pdf = pdf.sort_values("chunk").reset_index(drop=True)
-        head = pdf.iloc[0]
-        if kind == "sum":
-            first, last = (None if head["a_in"] is None else np.asarray(head["a_in"])), np.asarray(head["b_out"])
-        else:
-            first, last = (None if pd.isna(head["s_in"]) else int(head["s_in"])), int(head["s_out"])
-        out = folded(pdf, "chunk", first, last)
-        out["score"] = [head["score"] if head["run"] == 0 else 0.0] + [0.0] * (len(pdf) - 1)
-        return out
-
-    t = transfers.withColumn("run", F.floor(F.col("chunk") / fan).cast("long")).checkpoint(eager=True)
-    runs = t.groupBy(key, "run").applyInPandas(multiply, product)
-    bounds = runs.groupBy(key).applyInPandas(top, T.StructType([author, run_, *ends]))
-    return t.join(bounds, [key, "run"]).groupBy(key, "run").applyInPandas(inner, T.StructType([author, chunk, *ends]))
-
-
-def estep_chunked(chunks: DataFrame, key: str, params, S: int, M: int) -> tuple:
-    """One E-step over multi-chunk authors: expected counts and log-likelihood."""
-    bounds = _author_boundaries(_chunk_transfers(chunks, key, "sum", params), key, "sum", S, params)
-    j = chunks.select(key, "chunk", "seq").join(bounds, [key, "chunk"])
-    schema = T.StructType([T.StructField("g0", _MAT), T.StructField("xi", _MAT),
-                           T.StructField("em", _MAT), T.StructField("ll", T.DoubleType())])
-
-    def run(batches):
-        pi, A, B = params.value
-        g0, xi, em, ll = np.zeros(S), np.zeros((S, S)), np.zeros((S, M)), 0.0
-        for pdf in batches:
-            for obs, a_in, b_out, sc in zip(pdf["seq"], pdf["a_in"], pdf["b_out"], pdf["score"]):
-                a = None if a_in is None else np.asarray(a_in)
-                r = local_forward_backward(np.asarray(obs, dtype=np.int64), A, B, pi, a, np.asarray(b_out))
-                g0 += r[0]
-                xi += r[1]
-                em += r[2]
-                ll += sc
-        yield pd.DataFrame({"g0": [g0.tolist()], "xi": [xi.ravel().tolist()],
-                            "em": [em.ravel().tolist()], "ll": [ll]})
-
-    parts = j.mapInPandas(run, schema).collect()
-    return (np.sum([r["g0"] for r in parts], axis=0), np.sum([r["xi"] for r in parts], axis=0).reshape(S, S),
-            np.sum([r["em"] for r in parts], axis=0).reshape(S, M), float(sum(r["ll"] for r in parts)))
-
-
-def viterbi_chunked(chunks: DataFrame, key: str, m) -> DataFrame:
-    """K8 for chunked sequences: (key, chunk, path ARRAY<INT>, logp on chunk 0)."""
-    spark = chunks.sparkSession
-    S = m.n_states
-    params = spark.sparkContext.broadcast((np.array(m.start), np.array(m.trans), np.array(m.emit)))
-    bounds = _author_boundaries(_chunk_transfers(chunks, key, "max", params), key, "max", S, params)
-    j = chunks.select(key, "chunk", "seq").join(bounds.select(key, "chunk", "s_in", "s_out", "score"),
-                                                [key, "chunk"])
-    schema = T.StructType([chunks.schema[key], T.StructField("chunk", T.LongType()),
-                           T.StructField("path", T.ArrayType(T.IntegerType())),
-                           T.StructField("logp", T.DoubleType())])
-
-    def run(batches):
-        pi, A, B = params.value
-        with np.errstate(divide="ignore"):
-            lpi, lA, lB = np.log(pi), np.log(A), np.log(B)
-        for pdf in batches:
-            paths = []
-            for obs, s_in, s_out in zip(pdf["seq"], pdf["s_in"], pdf["s_out"]):
-                si = None if pd.isna(s_in) else int(s_in)
-                paths.append(constrained_viterbi(np.asarray(obs, dtype=np.int64), lA, lB, lpi, si,
-                                                 int(s_out)).tolist())
-            yield pd.DataFrame({key: pdf[key], "chunk": pdf["chunk"].astype("int64"), "path": paths,
-                                "logp": pdf["score"]})
-
-    return j.mapInPandas(run, schema)
-
-
 def phase_chunks(posts: DataFrame, author_col: str = "author", ts_col: str = "ts", id_col: str = "message_id",
                  tech_col: str = "techniques", include_without_techniques: bool = False,
                  L: int = CHUNK) -> DataFrame:
@@ -366,21 +88,30 @@ def phase_chunks(posts: DataFrame, author_col: str = "author", ts_col: str = "ts
     return chunk_sequences(pos, author_col, "pos", "phase", L).checkpoint(eager=True)
 
 
-def _has_multi(chunks: DataFrame) -> bool:
-    return chunks.where(F.col("n_chunks") > 1).limit(1).count() > 0
+def _params(chunks: DataFrame, m):
+    return chunks.sparkSession.sparkContext.broadcast((np.array(m.start), np.array(m.trans), np.array(m.emit)))
+
+
+def most_chunks(chunks: DataFrame) -> int:
+    return int(chunks.agg(F.coalesce(F.max("n_chunks"), F.lit(1))).first()[0])
+
+
+def with_boundaries(rows: DataFrame, key: str, params, size: int, levels: int, largest: bool = False) -> DataFrame:
+    """``rows`` (key, chunk, seq, n_chunks, ...) with the boundaries of each chunk; a
+    sequence in one chunk has none, so without longer ones there is nothing to join."""
+    if not levels:
+        return rows.withColumns({"before": F.lit(None).cast("array<double>"), "after": F.lit(None).cast("array<double>"),
+                                 "score": F.lit(None).cast("double")})
+    bounds = SC.boundaries(SC.leaves(rows.where(F.col("n_chunks") > 1), key, params, largest), key, size, levels, largest)
+    return rows.join(bounds, [key, "chunk"], "left")
 
 
 def chunk_paths(chunks: DataFrame, m, key: str = "author") -> DataFrame:
-    """K8 long form: (author, chunk, path, logp, seq) per chunk; built-in
-    decode for single-chunk authors, chunked max-plus passes otherwise."""
-    from .hmm import viterbi
-    single = chunks.where(F.col("n_chunks") == 1).withColumn("_v", viterbi("seq", m)).select(
-        key, "chunk", F.col("_v.path").alias("path"), F.col("_v.logp").alias("logp"), "seq")
-    if not _has_multi(chunks):
-        return single
-    multi = chunks.where(F.col("n_chunks") > 1)
-    mp = viterbi_chunked(multi, key, m).join(multi.select(key, "chunk", "seq"), [key, "chunk"])
-    return single.unionByName(mp.select(key, "chunk", "path", "logp", "seq"))
+    """K8 long form: (author, chunk, path, logp, seq) per chunk; logp is the
+    sequence's, on its chunk 0."""
+    params = _params(chunks, m)
+    rows = with_boundaries(chunks.select(key, "chunk", "seq", "n_chunks"), key, params, m.n_states, SC.depth(most_chunks(chunks)), True)
+    return SC.paths(rows, key, params)
 
 
 def author_sequence_chunks(posts: DataFrame, fields: Sequence[str], author_col: str = "author",
@@ -401,9 +132,7 @@ def author_sequence_chunks(posts: DataFrame, fields: Sequence[str], author_col:
 
 def decode_chunks(chunks: DataFrame, m, key: str = "author", L: int = CHUNK) -> DataFrame:
     """K8 + K9 + D9 over chunked sequences, per author:
-    (author, n_posts, last_state, dominant_state, logp). Single-chunk authors
-    decode with built-in expressions; multi-chunk authors with the chunked
-    max-plus passes. Dominant state: per-chunk counts and first positions,
+    (author, n_posts, last_state, dominant_state, logp). Dominant state: per-chunk counts and first positions,
     summed per author (tie -> first seen). ``L`` is the chunk length the
     chunks were built with (it orders first occurrences across chunks)."""
     S = m.n_states
@@ -429,18 +158,10 @@ def decode_chunks(chunks: DataFrame, m, key: str = "author", L: int = CHUNK) ->
 
 
 def loglik_chunks(chunks: DataFrame, m, key: str = "author") -> DataFrame:
-    """K7 over chunked sequences: (author, loglik). Single-chunk authors use
-    the built-in forward pass; multi-chunk authors fold their chunk transfer
+    """K7 over chunked sequences: (author, loglik), from the tree of their chunk
     matrices (no author gathered whole)."""
-    from .hmm import forward_loglik
-    spark = chunks.sparkSession
-    single = chunks.where(F.col("n_chunks") == 1).select(key, forward_loglik("seq", m).alias("loglik"))
-    if not _has_multi(chunks):
-        return single
-    multi = chunks.where(F.col("n_chunks") > 1)
-    params = spark.sparkContext.broadcast((np.array(m.start), np.array(m.trans), np.array(m.emit)))
-    b = _author_boundaries(_chunk_transfers(multi, key, "sum", params), key, "sum", m.n_states, params)
-    return single.unionByName(b.where(F.col("chunk") == 0).select(key, F.col("score").alias("loglik")))
+    found = SC.boundaries(SC.leaves(chunks, key, _params(chunks, m)), key, m.n_states, SC.depth(most_chunks(chunks)))
+    return found.where(F.col("chunk") == 0).select(key, F.col("score").alias("loglik"))
 
 
 def analyze_chunks(chunks: DataFrame, m, key: str = "author", L: int = CHUNK,

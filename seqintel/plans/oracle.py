@@ -145,6 +145,44 @@ def forward_sql(seq: str, m) -> str:
     return (f"CASE WHEN len({seq}) > 0 THEN list_reduce({seq}[2:], lambda acc, o: {step}, {init}).ll END")
 
 
+def em_step_sql(seqs: str, m) -> str:
+    """CTEs of one EM step over a table (author, seq): ``em`` holds (kind, i, j, expected, p).
+
+    Forward and backward vectors come from two recursions over the places."""
+    S, M = m.n_states, m.n_symbols
+    A, B = [[dbl(x) for x in r] for r in m.trans], [[dbl(x) for x in r] for r in m.emit]
+
+    def at(j, o):
+        return f"[{', '.join(B[j])}][{o} + 1]"
+
+    def scaled(exprs, name):
+        return ", ".join(f"{x} AS u{j}" for j, x in enumerate(exprs)), ", ".join(f"u{j} / ({' + '.join(f'u{i}' for i in range(S))}) AS {name}{j}"
+                                                                                for j in range(S))
+    total = " + ".join(f"u{j}" for j in range(S))
+    first, a_cols = scaled([f"{dbl(m.start[j])} * {at(j, 'seq[1]')}" for j in range(S)], "a")
+    ahead, _ = scaled([f"({' + '.join(f'a{i} * {A[i][j]}' for i in range(S))}) * {at(j, 'seq[t + 1]')}" for j in range(S)], "a")
+    back, b_cols = scaled([" + ".join(f"{A[i][j]} * {at(j, 'seq[t]')} * b{j}" for j in range(S)) for i in range(S)], "b")
+    gamma = " + ".join(f"a{i} * b{i}" for i in range(S))
+    joint = [[f"f.a{i} * {A[i][j]} * {at(j, 'f.seq[f.t + 1]')} * b.b{j}" for j in range(S)] for i in range(S)]
+    every = " + ".join(x for row in joint for x in row)
+    rows = ([f"SELECT 'start' AS kind, {i} AS i, NULL::INTEGER AS j, sum(a{i} * b{i} / ({gamma})) AS expected FROM g WHERE t = 1" for i in range(S)]
+            + [f"SELECT 'emit', {i}, {k}, sum(CASE WHEN seq[t] = {k} THEN a{i} * b{i} / ({gamma}) ELSE 0 END) FROM g" for i in range(S) for k in range(M)]
+            + [f"SELECT 'trans', {i}, {j}, sum(x[{i * S + j + 1}]) FROM x" for i in range(S) for j in range(S)]
+            + ["SELECT 'loglik', 0, NULL, sum(ln(c)) FROM f"])
+    cells = ", ".join(f"({x}) / z" for row in joint for x in row)
+    return f"""
+f AS (SELECT author, seq, 1 AS t, {total} AS c, {a_cols} FROM (SELECT author, seq, {first} FROM {seqs} WHERE len(seq) >= 2)
+      UNION ALL SELECT author, seq, t + 1, {total}, {a_cols} FROM (SELECT author, seq, t, {ahead} FROM f WHERE t < len(seq))),
+b AS (SELECT author, seq, len(seq) AS t, {', '.join(f'1.0 / {S} AS b{i}' for i in range(S))} FROM {seqs} WHERE len(seq) >= 2
+      UNION ALL SELECT author, seq, t - 1, {b_cols} FROM (SELECT author, seq, t, {back} FROM b WHERE t > 1)),
+g AS (SELECT f.*, {', '.join(f'b{i}' for i in range(S))} FROM f JOIN b ON f.author = b.author AND f.t = b.t),
+x AS (SELECT [{cells}] AS x FROM (SELECT f.*, {every} AS z FROM f JOIN b ON f.author = b.author AND f.t + 1 = b.t) f
+      JOIN b ON f.author = b.author AND f.t + 1 = b.t),
+em0 AS ({' UNION ALL '.join(rows)}),
+em AS (SELECT *, CASE WHEN kind <> 'loglik' THEN expected / nullif(sum(expected) OVER (PARTITION BY kind, CASE WHEN kind <> 'start' THEN i END), 0) END AS p
+       FROM em0)"""
+
+
 def viterbi_sql(seq: str, m) -> str:
     """struct {d: last deltas, p: paths}; best path = p[argmax d]."""
     import math

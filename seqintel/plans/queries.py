@@ -1259,6 +1259,29 @@ def q_k6(spark, sf_dir):
     return _model_rows(spark, m).unionByName(hist)
 
 
+_EM_SQL = f"""WITH RECURSIVE {O.FX_TECH}, {O.em_step_sql('fx_seq', FXM)}
+SELECT kind, i, j, round(expected, 5) AS expected, round(p, 7) AS p FROM em"""
+
+
+@register("K6_em_step", _EM_SQL)
+def q_k6_step(spark, sf_dir):
+    """One EM step from the fixed model, in built-in expressions over whole sequences."""
+    return H.em_step(_seq(spark, sf_dir), FXM).select("kind", "i", "j", F.round("expected", 5).alias("expected"), F.round("p", 7).alias("p"))
+
+
+@register("K6_em_step_chunked", _EM_SQL)
+def q_k6_step_chunked(spark, sf_dir):
+    """The same step as the fit takes it: chunks, boundaries by the tree scan, counts in numpy."""
+    rows, levels = H.training_rows(_chunks(spark, sf_dir, SHORT), FXM.n_states)
+    start, trans, emit, ll = H.expected_counts(rows, levels, FXM)
+    new = H.maximised(start, trans, emit)
+    cells = [("start", i, None, float(v), p) for i, (v, p) in enumerate(zip(start, new.start))]
+    for kind, table, shares in (("trans", trans, new.trans), ("emit", emit, new.emit)):
+        cells += [(kind, i, j, float(v), shares[i][j]) for i, row in enumerate(table) for j, v in enumerate(row)]
+    found = spark.createDataFrame([*cells, ("loglik", 0, None, ll, None)], "kind STRING, i INT, j INT, expected DOUBLE, p DOUBLE")
+    return found.select("kind", "i", "j", F.round("expected", 5).alias("expected"), F.round("p", 7).alias("p"))
+
+
 @register("A9_model_roundtrip")
 def q_a9(spark, sf_dir):
     path = SRC.scratch_dir(spark, "model")
@@ -1283,9 +1306,41 @@ def q_k15(spark, sf_dir):
     return RP.state_profiles(s, t, e)
 
 
+@register("K15_state_profiles_of_step", f"""WITH RECURSIVE {O.FX_TECH}, {O.em_step_sql('fx_seq', FXM)},
+best AS (SELECT i, j, p, row_number() OVER (PARTITION BY i ORDER BY p DESC, j) AS at FROM em WHERE kind = 'emit')
+SELECT s.i AS state, round(s.p, 7) AS start_p, round(t.p, 7) AS persistence,
+       CASE WHEN t.p > 0.7 THEN 'muy persistente' WHEN t.p > 0.4 THEN 'moderadamente persistente' ELSE 'transitorio' END AS persistence_class,
+       b.j AS dominant_phase, round(b.p, 7) AS dominant_p, {_NAMES}[b.j + 1] AS dominant_phase_name
+FROM em s JOIN em t ON t.kind = 'trans' AND t.i = s.i AND t.j = s.i JOIN best b ON b.i = s.i AND b.at = 1 WHERE s.kind = 'start'""")
+def q_k15_step(spark, sf_dir):
+    """State profiles of the model that one EM step from the fixed one gives."""
+    m = H.fit_hmm(_chunks(spark, sf_dir), max_iter=1, start_model=FXM)
+    return RP.state_profiles(*H.model_frames(spark, m)).withColumns({c: F.round(c, 7) for c in ("start_p", "persistence", "dominant_p")})
+
+
+_K13_SQL = f"""{O.FX_TECH}, {_HMM_CTE},
+rank AS (SELECT *, row_number() OVER (ORDER BY sha1('42:' || author)) AS place, count(*) OVER () AS n FROM fx_seq),
+test AS (SELECT author FROM rank WHERE n > 1 AND place <= least(greatest(1, CAST(floor(n * 0.2) AS BIGINT)), n - 1)),
+k13 AS (SELECT k12.* FROM k12 JOIN test ON k12.author = test.author)"""
+
+
+@register("K13_fixed_evaluation", f"""WITH {_K13_SQL},
+c AS (SELECT p.phase, count(*) FILTER (truth = p.phase AND pred = p.phase) AS tp, count(*) FILTER (truth = p.phase) AS support,
+             count(*) FILTER (pred = p.phase) AS named FROM (SELECT unnest(range(6)) AS phase) p LEFT JOIN k13 ON true GROUP BY p.phase),
+r AS (SELECT *, CASE WHEN named > 0 THEN tp / named ELSE 0.0 END AS p, CASE WHEN support > 0 THEN tp / support ELSE 0.0 END AS r FROM c),
+m AS (SELECT *, CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0.0 END AS f FROM r)
+SELECT CAST(sum(support) AS BIGINT) AS total, round(coalesce(sum(tp) / nullif(sum(support), 0), 0), 4) AS accuracy,
+       {", ".join(f"round(coalesce(avg(round({c}, 4)) FILTER (support > 0), 0), 4) AS {n}_macro, "
+                  f"round(coalesce(sum({c} * support) / nullif(sum(support), 0), 0), 4) AS {n}_weighted"
+                  for c, n in (("p", "precision"), ("r", "recall"), ("f", "f1")))} FROM m""")
+def q_k13_fixed(spark, sf_dir):
+    """The evaluation job with the fixed model: split, hold-out, prediction and global metrics, over chunks."""
+    return EV.evaluate(_chunks(spark, sf_dir, SHORT), model=FXM, chunk_length=SHORT)["metrics_global"]
+
+
 @register("K13_evaluation")
 def q_k13(spark, sf_dir):
-    res = EV.evaluate(_seq(spark, sf_dir))
+    res = EV.evaluate(_chunks(spark, sf_dir))
     return res["metrics_global"]
 
 

@@ -98,6 +98,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return scratch
 
 
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` checkpointed in partitions by ``keys``: a later join or grouping on them
+    finds its rows where they lie and moves the other side only. (A checkpoint
+    of an adaptive plan forgets its partitioning, so this one is planned ahead.)"""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1), *keys).checkpoint(eager=True)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read one driver table; its splits follow ``spark.sql.files.maxPartitionBytes``."""
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))

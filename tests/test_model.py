@@ -39,13 +39,19 @@ def test_forward_and_viterbi_match_enumeration(spark):
         assert abs(r["v"]["logp"] - lp) < 1e-9
 
 
-def test_estep_matches_enumeration():
+def test_estep_matches_enumeration(monkeypatch):
+    monkeypatch.setattr("seqintel.operators.scan.CELLS", 7)
     m = small_model()
     rng = np.random.RandomState(1)
     seqs = [rng.randint(0, 6, size=rng.randint(1, 6)).tolist() for _ in range(9)]
     w = rng.randint(1, 4, size=9).astype(float)
     pi, A, B = np.array(m.start), np.array(m.trans), np.array(m.emit)
-    g0, xi, em, ll = H._estep_rows(seqs, w, pi, A, B, max_cells=7)
+    from seqintel.operators import scan
+    g0, xi, em, ll = np.zeros(3), np.zeros((3, 3)), np.zeros((3, 6)), 0.0
+    none = np.full((9, 3), np.nan)
+    for rows, phases, n in scan.blocks(np.concatenate(seqs), np.array([len(x) for x in seqs])):
+        a, b, c, own = scan.expected(phases, n, w[rows], none[rows], none[rows], pi, A, B)
+        g0, xi, em, ll = g0 + a, xi + b, em + c, ll + (w[rows] * own).sum()
     G0, XI, EM, LL = np.zeros(3), np.zeros((3, 3)), np.zeros((3, 6)), 0.0
     for o, wt in zip(seqs, w):
         tot, a, b, c = 0.0, np.zeros(3), np.zeros((3, 3)), np.zeros((3, 6))
@@ -186,3 +192,57 @@ def test_chunked_on_event_data_small_chunks(spark):
     ref = {r["author"]: r["ll"] for r in Q._seq(spark, sf).select(
         "author", H.forward_loglik("seq", H.FX_HMM).alias("ll")).collect()}
     assert all(abs(ll[a] - ref[a]) < 1e-7 for a in ref)
+
+
+def _as_rows(m, start, trans, emit, ll):
+    want = {("loglik", 0, None): ll} | {("start", i, None): x for i, x in enumerate(start)}
+    for kind, table in (("trans", trans), ("emit", emit)):
+        want |= {(kind, i, j): x for i, row in enumerate(table) for j, x in enumerate(row)}
+    return want
+
+
+def test_em_step_built_in_equals_trees_of_any_depth(spark, monkeypatch):
+    """One EM step: built-in scans, whole rows in numpy, and chunks in trees of several levels."""
+    from seqintel.operators import longseq as LS
+    from seqintel.operators import scan
+    rng = np.random.RandomState(5)
+    seqs = [(f"a{i}", rng.randint(0, 6, size=n).tolist()) for i, n in enumerate([1, 2, 2, 3, 7, 8, 40, 41, 90])] + [("b", [1, 2]), ("c", [1, 2])]
+    whole = spark.createDataFrame(seqs, "author STRING, seq ARRAY<INT>")
+    long = spark.createDataFrame([(a, t, p) for a, s in seqs for t, p in enumerate(s)], "author STRING, t INT, phase INT")
+    chunks = LS.chunk_sequences(LS.positions(long, ["author"], ["t"], n_partitions=3), "author", "pos", "phase", L=3)
+    got = {(r["kind"], r["i"], r["j"]): (r["expected"], r["p"]) for r in H.em_step(whole, H.FX_HMM).collect()}
+    for fan in (2, 3, 64):
+        monkeypatch.setattr(scan, "FAN", fan)
+        for rows in (whole, chunks):
+            work, levels = H.training_rows(rows, 4)
+            counts = H.expected_counts(work, levels, H.FX_HMM)
+            assert levels == (0 if rows is whole else scan.depth(30))
+            want = _as_rows(H.FX_HMM, *counts)
+            assert got.keys() == want.keys() and all(abs(got[k][0] - v) < 1e-8 for k, v in want.items())
+        one = H.fit_hmm(chunks, max_iter=1, start_model=H.FX_HMM)
+        want = _as_rows(one, one.start, one.trans, one.emit, None)
+        assert all(abs(got[k][1] - v) < 1e-9 for k, v in want.items() if k[0] != "loglik")
+        paths = {}
+        for r in sorted(LS.chunk_paths(chunks, H.FX_HMM).collect(), key=lambda r: (r["author"], r["chunk"])):
+            paths.setdefault(r["author"], []).extend(r["path"])
+        ref = {r["author"]: r["v"]["path"] for r in whole.select("author", H.viterbi("seq", H.FX_HMM).alias("v")).collect()}
+        assert paths == ref
+
+
+def test_training_iteration_moves_no_phases(spark):
+    """The join of the boundaries finds the training rows where they lie."""
+    from seqintel.operators import longseq as LS
+    long = spark.createDataFrame([(f"a{i % 3}", i, i % 6) for i in range(200)], "author STRING, t INT, phase INT")
+    chunks = LS.chunk_sequences(LS.positions(long, ["author"], ["t"], n_partitions=3), "author", "pos", "phase", L=3)
+    rows, levels = H.training_rows(chunks, 4)
+    params = LS._params(rows, H.FX_HMM)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = LS.with_boundaries(rows, "author", params, 4, levels)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    lines = plan.splitlines()
+    scans = [k for k, line in enumerate(lines) if "Scan ExistingRDD" in line]
+    assert len(scans) == 2 and "Join" in plan  # the rows themselves, and the matrices made of them
+    assert "Sort" in lines[scans[0] - 1] and "MapInArrow" in "".join(lines[scans[1] - 4:scans[1]])
+    assert not any("Exchange" in line for line in lines[:scans[0]])

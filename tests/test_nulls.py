@@ -66,7 +66,7 @@ def test_unreadable_model_is_an_error(spark, tmp_path):
 
 
 def test_runs_of_chunks_fold_like_whole_sequences(spark, monkeypatch):
-    monkeypatch.setattr(LS, "FAN", 3)
+    monkeypatch.setattr("seqintel.operators.scan.FAN", 3)
     m = H.HMM([0.6, 0.4], [[0.7, 0.3], [0.2, 0.8]], [[0.5, 0.3, 0.2], [0.1, 0.3, 0.6]])
     seqs = [[(7 * i * i + a) % 3 for i in range(n)] for a, n in enumerate((41, 9, 30, 1))]
     whole = spark.createDataFrame([(f"a{i}", s) for i, s in enumerate(seqs)], "author STRING, seq ARRAY<INT>")
