@@ -10,6 +10,7 @@ length. Labels, languages, sources and ids are no inputs of a score.
 
 from __future__ import annotations
 
+import io
 import operator
 
 import numpy as np
@@ -24,6 +25,8 @@ from .common import carried, text_of
 #: lines in a row (from a place set by a hash of the text); scores read all lines.
 TRAIN_DOCS, TRAIN_LINES = 4000, 96
 THRESHOLD = 0.7
+#: Lines of the texts scored together, padding included; texts of more than ``LONG`` lines go by blocks.
+CELLS, LONG = 1 << 18, 1 << 14
 STEPS, RATE, RIDGE = 250, 0.08, 1e-3
 
 _SYMBOLS = b"#*$%&|<>"
@@ -35,8 +38,9 @@ FIGURES = ("log bytes", "log words", "word length", "varied words", "repeated wo
 
 def figures(text: str) -> tuple[np.ndarray, np.ndarray]:
     """(lines x figures, line lengths in bytes) of the lines that hold a word."""
-    rows, sizes, seen, equal = [], [], set(), operator.eq
-    for line in text.encode("utf-8", "surrogatepass").split(b"\n"):
+    parts, rows, sizes, keys, equal = [], [], [], [], operator.eq
+    for line in io.BytesIO(text.encode("utf-8", "surrogatepass")):
+        line = line.removesuffix(b"\n")
         words = line.split()
         if not words:
             continue
@@ -48,15 +52,22 @@ def figures(text: str) -> tuple[np.ndarray, np.ndarray]:
 
         upper, lower = share(_UPPER), share(_LOWER)
         digits, symbols = share(_DIGITS), share(_SYMBOLS)
-        key = hash(line)
         rows.append((
             np.log1p(size), np.log1p(n), min(glyphs / n, 40.0) / 10, len(set(words)) / n, sum(map(equal, words, words[1:])) / n,
             symbols, line.count(b"|") / n, line.count(b"!!") / n, upper / (upper + lower + 1e-9), digits,
-            1 - upper - lower - digits, float(line.endswith(_STOPS)), float(65 <= words[0][0] <= 90), float(key in seen),
+            1 - upper - lower - digits, float(line.endswith(_STOPS)), float(65 <= words[0][0] <= 90), 0.0,
             sum(len(w) <= 3 for w in words) / n))
         sizes.append(size)
-        seen.add(key)
-    return np.array(rows, np.float32).reshape(-1, len(FIGURES)), np.array(sizes, np.int64)
+        keys.append(hash(line))
+        if len(rows) == 1 << 14:
+            parts.append(np.array(rows, np.float32))
+            rows = []
+    out = np.concatenate((*parts, np.array(rows, np.float32).reshape(-1, len(FIGURES))))
+    keys = np.array(keys, np.int64)
+    seen = np.ones(len(keys), bool)
+    seen[np.unique(keys, return_index=True)[1]] = False  # first of its kind
+    out[:, FIGURES.index("seen before")] = seen
+    return out, np.array(sizes, np.int64)
 
 
 class LineCrf:
@@ -79,8 +90,15 @@ class LineCrf:
             if len(rows):
                 jobs.append((i, self.inputs(rows) @ self.weight + self.bias, sizes))
         jobs.sort(key=lambda j: len(j[2]))
-        for k in range(0, len(jobs), 512):  # texts of like length together
-            part = jobs[k:k + 512]
+        while jobs and len(jobs[-1][2]) > LONG:
+            i, em, sizes = jobs.pop()
+            out[i] = long_marginals(em, self.trans) @ sizes / sizes.sum()
+        k = 0
+        while k < len(jobs):  # texts of like length, at most CELLS lines with their padding
+            stop = k + 1
+            while stop < len(jobs) and (stop + 1 - k) * len(jobs[stop][2]) <= CELLS:
+                stop += 1
+            part, k = jobs[k:stop], stop
             lengths = np.array([len(s) for _, _, s in part])
             em = np.zeros((len(part), lengths.max()))
             for row, (_, e, _) in zip(em, part):
@@ -91,6 +109,45 @@ class LineCrf:
         return np.clip(out, 0.0, 1.0)
 
 
+def long_marginals(em: np.ndarray, trans: np.ndarray, block: int = 512) -> np.ndarray:
+    """P(good) at each place of one long chain: blocks side by side.
+
+    One 2 x 2 matrix per block gives the forward vector before it and the
+    backward vector after it; then all blocks run between these at once."""
+    n = -(-len(em) // block)
+    rows = np.zeros(n * block)
+    rows[:len(em)] = em
+    e = np.stack((np.zeros(n * block), rows), axis=1).reshape(n, block, 2)
+    e = np.exp(e - e.max(axis=2, keepdims=True))
+    move, last = np.exp(trans - trans.max()), len(em) - (n - 1) * block
+    size = np.full(n, block)
+    size[-1] = last
+    m = move * e[:, 0][:, None, :]
+    m[0] = np.diag(e[0, 0])
+    for t in range(1, block):
+        nxt = (m @ move) * e[:, t][:, None, :]
+        m = np.where((t < size)[:, None, None], nxt / nxt.sum(axis=(1, 2), keepdims=True), m)
+    before, after, v, u = np.ones((n, 2)), np.ones((n, 2)), np.ones(2), np.ones(2)
+    for i in range(n):
+        before[i] = v
+        v = v @ m[i]
+        v = v / v.sum()
+    for i in range(n - 1, -1, -1):
+        after[i] = u
+        u = m[i] @ u
+        u = u / u.sum()
+    alpha, beta = np.empty_like(e), np.empty_like(e)
+    for t in range(block):
+        a = (alpha[:, t - 1] @ move if t else np.where((np.arange(n) == 0)[:, None], 1.0, before @ move)) * e[:, t]
+        alpha[:, t] = a / a.sum(axis=1, keepdims=True)
+    beta[:, block - 1] = after
+    for t in range(block - 2, -1, -1):
+        b = (e[:, t + 1] * beta[:, t + 1]) @ move.T
+        beta[:, t] = np.where((t + 1 < size)[:, None], b / b.sum(axis=1, keepdims=True), after)
+    both = (alpha * beta).reshape(-1, 2)[:len(em)]
+    return both[:, 1] / both.sum(axis=1)
+
+
 def marginals(em: np.ndarray, lengths: np.ndarray, trans: np.ndarray):
     """(P(good) per place, log Z, expected transitions) of padded chains, by scaled forward-backward."""
     n, t_max = em.shape
@@ -202,7 +259,9 @@ def classify(docs: DataFrame, crf: LineCrf, id_col: str = "doc_id", text_col: st
 
     Null and empty texts, and texts of spaces, score the share of label 1 among
     the rows learned from. Equal texts get equal scores; a null id is not held
-    out; an empty table gives an empty result; other columns are not read.
+    out; an empty table gives an empty result; other columns are not read. Very
+    long texts are read whole; memory is some 200 bytes a line of the longest
+    one, not its lines times the number of other texts.
     """
     scored = docs.select(F.col(id_col).alias("doc_id"), held_out(id_col).alias("held_out"), score(text_of(text_col), crf).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
