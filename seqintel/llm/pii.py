@@ -121,6 +121,11 @@ def tags_of(length: int, spans) -> np.ndarray:
     return tags
 
 
+#: Places of the chains decoded together, padding included; chains of more than ``LONG``
+#: places are decoded in blocks of ``BLOCK``.
+CELLS, LONG, BLOCK = 1 << 18, 1 << 15, 512
+
+
 def _logsum(x: np.ndarray, axis: int) -> np.ndarray:
     m = x.max(axis=axis, keepdims=True)
     return (m + np.log(np.exp(x - m).sum(axis=axis, keepdims=True))).squeeze(axis)
@@ -268,9 +273,82 @@ def stretches(em: np.ndarray, starts: np.ndarray):
         yield first, total / weight
 
 
+def segments(model: Model, cls: np.ndarray, starts: np.ndarray):
+    """The emissions of one chain of windows, as ``stretches`` averages them, piece by piece."""
+    tail, weight = np.zeros((0, len(TAGS)), np.float32), np.zeros((0, 1), np.float32)
+    for k in range(0, len(starts), 256):
+        part = starts[k:k + 256]
+        size = int(part[-1] - part[0]) + WINDOW
+        total, near = np.zeros((size, len(TAGS)), np.float32), np.zeros((size, 1), np.float32)
+        total[:len(tail)], near[:len(tail)] = tail, weight
+        for a, em in zip((part - part[0]).tolist(), model.emissions(cut_windows(cls, part))):
+            total[a:a + WINDOW] += em * _NEAR[:, None]
+            near[a:a + WINDOW] += _NEAR[:, None]
+        done = int(starts[k + 256] - part[0]) if k + 256 < len(starts) else size
+        yield total[:done] / near[:done]
+        tail, weight = total[done:], near[done:]
+
+
+def _rows(em: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A piece of a chain as rows of ``BLOCK`` places (the last one may be shorter)."""
+    n = -(-len(em) // BLOCK)
+    lengths = np.minimum(BLOCK, len(em) - BLOCK * np.arange(n))
+    rows = np.zeros((n * BLOCK, em.shape[1]), np.float64)
+    rows[:len(em)] = em
+    return rows.reshape(n, BLOCK, -1), lengths
+
+
+def decode_long(model: Model, cls: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Best tags of one chain of windows of any length.
+
+    A first pass keeps one max-plus matrix per ``BLOCK`` places and finds from
+    these the tags at the blocks' ends; a second decodes each block between
+    them. Emissions are made piece by piece in both, so a chain of n places
+    holds about 2 n bytes."""
+    trans, moves = model.p["trans"].astype(np.float64), []
+    for em in segments(model, cls, starts):
+        rows, lengths = _rows(em)
+        move = trans + rows[:, 0][:, None, :]
+        if not moves:  # the chain begins here: nothing is entered from
+            move[0] = rows[0, 0]
+        for t in range(1, int(lengths.max())):
+            nxt = (move[:, :, :, None] + trans).max(axis=2) + rows[:, t][:, None, :]
+            move = np.where((t < lengths)[:, None, None], nxt, move)
+        moves.append(move)
+    moves = np.concatenate(moves)
+    score, back = moves[0][0], []
+    for move in moves[1:]:
+        step = score[:, None] + move
+        back.append(step.argmax(axis=0))
+        score = step.max(axis=0)
+    leave = [int(score.argmax())]
+    for b in reversed(back):
+        leave.append(int(b[leave[-1]]))
+    leave = np.array(leave[::-1])
+    out, at = [], 0
+    for em in segments(model, cls, starts):
+        rows, lengths = _rows(em)
+        n, every = len(rows), np.arange(len(rows))
+        score = rows[:, 0] + np.array([trans[leave[i - 1]] if i else np.zeros(len(TAGS)) for i in range(at, at + n)])
+        pointers = np.zeros((BLOCK, n, len(TAGS)), np.uint8)
+        for t in range(1, int(lengths.max())):
+            step = score[:, :, None] + trans
+            pointers[t] = step.argmax(axis=1)
+            score = np.where((t < lengths)[:, None], step.max(axis=1) + rows[:, t], score)
+        best, tags = leave[at:at + n], np.zeros((n, BLOCK), np.uint8)
+        for t in range(BLOCK - 1, -1, -1):
+            inside = t < lengths
+            tags[inside, t] = best[inside]
+            if t:
+                best = np.where(inside, pointers[t][every, best], best)
+        out.append(tags[np.arange(BLOCK)[None, :] < lengths[:, None]])
+        at += n
+    return np.concatenate(out)
+
+
 def tagged_spans(tags: np.ndarray, start: int) -> list[tuple[int, int, int]]:
     """(kind, start, end) of runs of one kind; a B tag begins a new run."""
-    kind = np.where(tags > 0, (tags.astype(int) - 1) // 2, -1)
+    kind = np.where(tags > 0, (tags.astype(np.int8) - 1) // 2, -1).astype(np.int8)
     begins = (kind >= 0) & ((tags % 2 == 1) | (np.concatenate(([-1], kind[:-1])) != kind))
     out = []
     for a in np.nonzero(begins)[0]:
@@ -293,30 +371,57 @@ def plausible(kind: int, value: str) -> bool:
     return 7 <= digits <= 15 and value[0] in "+(0123456789" and value[-1].isdigit() and any(c in " ()-." for c in value)
 
 
+def _groups(chains: list[np.ndarray], most: int):
+    """Chains in runs of about ``most`` windows."""
+    group, size = [], 0
+    for c in chains:
+        group.append(c)
+        size += len(c)
+        if size >= most:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
+
+
 def added_spans(model: Model, texts: list[str], bases: list[list]) -> list[list[tuple[int, int, int]]]:
     """Model spans of each text that touch no base span."""
     found: list[list] = [[] for _ in texts]
     jobs = [(i, c, s) for i, t in enumerate(texts) if t and len(s := starts_of(c := classes(t)))]
     held = []
 
+    def keep(i, tags, first):
+        for kind, a, b in tagged_spans(tags, first):
+            b = min(b, len(texts[i]))
+            if a < b and plausible(kind, texts[i][a:b]) and not any(x < b and a < y for _, x, y in bases[i]):
+                found[i].append((kind, a, b))
+
     def flush():
         held.sort(key=lambda h: len(h[2]))
-        for k in range(0, len(held), 256):
-            part = held[k:k + 256]
+        k = 0
+        while k < len(held):  # chains of like length, at most CELLS places with their padding
+            stop = k + 1
+            while stop < len(held) and (stop + 1 - k) * len(held[stop][2]) <= CELLS:
+                stop += 1
+            part, k = held[k:stop], stop
             lengths = np.array([len(e) for _, _, e in part])
             em = np.zeros((len(part), lengths.max(), len(TAGS)), np.float32)
             for row, (_, _, e) in zip(em, part):
                 row[:len(e)] = e
             for (i, first, _), tags in zip(part, model.decode(em, lengths)):
-                for kind, a, b in tagged_spans(tags, first):
-                    b = min(b, len(texts[i]))
-                    if a < b and plausible(kind, texts[i][a:b]) and not any(x < b and a < y for _, x, y in bases[i]):
-                        found[i].append((kind, a, b))
+                keep(i, tags, first)
         held.clear()
 
     for i, cls, starts in jobs:
-        parts = [model.emissions(cut_windows(cls, starts[k:k + 512])) for k in range(0, len(starts), 512)]
-        held.extend((i, int(a), e) for a, e in stretches(np.concatenate(parts), starts))
+        chains = np.split(starts, np.nonzero(np.diff(starts) >= WINDOW)[0] + 1)
+        for chain in [c for c in chains if c[-1] - c[0] + WINDOW > LONG]:
+            keep(i, decode_long(model, cls, chain), int(chain[0]))
+        chains = [c for c in chains if c[-1] - c[0] + WINDOW <= LONG]
+        for group in _groups(chains, 512):
+            some = np.concatenate(group)
+            held.extend((i, int(a), e) for a, e in stretches(model.emissions(cut_windows(cls, some)), some))
+            if sum(len(h[2]) for h in held) > 200_000:
+                flush()
         if sum(len(h[2]) for h in held) > 200_000:
             flush()
     flush()
@@ -359,7 +464,9 @@ def find(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col:
 
     Starts and ends are code points, ends exclusive. Null and empty texts have
     no spans; repeated rows get equal rows; a null id stays null; an empty
-    table gives an empty result; other columns are not read.
+    table gives an empty result; other columns are not read. Very long texts are
+    read whole; memory is some ten bytes a character of the longest one, not
+    its length times the number of others.
     """
     model = model or train(docs, id_col, text_col)
     span = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
