@@ -10,6 +10,7 @@ makes up a post is then chosen by built-in expressions.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -79,19 +80,27 @@ def page_link_sets(pages: DataFrame, marker: str = ".onion", resolve_relative: b
 
 # -- K2 -----------------------------------------------------------------------
 # The page is read once, in document order, by a flat event reader: each
-# element gets a position, the position of its last descendant and its text
-# pieces. Only elements that some selector names leave Python; which of them
-# is a post's author, time, body or quote is chosen by Spark expressions.
+# element gets a position, the position of its last descendant and the interval
+# of text pieces inside it. Pieces leave Python once, and of the elements those
+# that some selector names, as intervals: what leaves is in proportion to the
+# page, however deep its posts are nested. Which element is a post's author,
+# time, body or quote is chosen by Spark expressions, and its text put together
+# from the pieces in the post's own row.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 ROLES = {"container": D.POST_CONTAINER_SELECTORS, "title": D.TITLE_SELECTORS, "author": D.AUTHOR_SELECTORS,
          "clock": ["time"], "time": D.TIME_SELECTORS, "body": D.BODY_SELECTORS, "quote": D.QUOTE_SELECTORS,
          "page": ["body"]}
 KEPT_ATTRIBUTES = ("data-post-id", "data-id", "id", "data-parent-id", "data-reply-to", "datetime")
-ELEMENT = T.StructType([
-    T.StructField("role", T.StringType()), T.StructField("rank", T.IntegerType()),
-    T.StructField("pos", T.IntegerType()), T.StructField("last", T.IntegerType()),
-    T.StructField("text", T.StringType()), T.StructField("attrs", T.MapType(T.StringType(), T.StringType())),
-])
+INNER = ("author", "clock", "time", "body", "quote")
+def _struct(**fields: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(n, t) for n, t in fields.items()])
+
+
+_INT = T.IntegerType()
+_SPAN = dict(pos=_INT, last=_INT, first=_INT, end=_INT, attrs=T.MapType(T.StringType(), T.StringType()))
+PAGE = _struct(pieces=T.ArrayType(T.StringType()),
+               spots=T.ArrayType(_struct(idx=_INT, depth=_INT, **_SPAN, **{r: _struct(low=_INT, n=_INT) for r in INNER})),
+               **{r: T.ArrayType(_struct(rank=_INT, **_SPAN)) for r in (*INNER, "title")})
 _SELECTOR = re.compile(r"(?P<tag>[a-z][a-z0-9]*)|\.(?P<cls>[\w-]+)|\[(?P<attr>[\w-]+)(?:(?P<op>[\^*]?=)'(?P<val>[^']*)')?\]")
 
 
@@ -152,45 +161,61 @@ class _Reader(HTMLParser):
             self.shut()
 
 
-def page_elements(html: str | None) -> list[dict] | None:
-    """The elements of one page that a selector names (one entry per role and
-    rank); None for a page that cannot be read."""
+def page_elements(html: str | None) -> dict | None:
+    """Pieces of one page, its post containers (the body, if there are none) and the
+    elements that selectors name; None for a page that cannot be read.
+
+    All are in document order, so the elements inside a container are one run
+    (``low``, ``n``) of each role's list."""
     reader = _Reader()
     try:
         reader.feed(html or "")
         reader.finish()
     except Exception:  # noqa: BLE001 - a broken page is marked, the job goes on
         return None
-    out = []
+    roles = {role: [] for role in ROLES}
     for pos, (tag, attrs, last, first, end) in enumerate(reader.elements):
         named = [(role, rank) for role, rank, test in _TESTS if test(tag, attrs)]
         if named:
-            text = " ".join(reader.pieces[first:end])
             kept = {k: attrs[k] for k in KEPT_ATTRIBUTES if k in attrs}
-            out.extend({"role": role, "rank": rank, "pos": pos, "last": last, "text": text, "attrs": kept} for role, rank in named)
-    return out
+            for role, rank in named:
+                roles[role].append({"rank": rank, "pos": pos, "last": last, "first": first, "end": end, "attrs": kept})
+    spots, above = [], []
+    for e in roles["container"] or roles["page"][:1]:
+        if spots and spots[-1]["pos"] == e["pos"]:  # named by several selectors
+            continue
+        while above and above[-1] < e["pos"]:
+            above.pop()
+        spots.append({**e, "idx": len(spots), "depth": len(above)})
+        above.append(e["last"])
+    for role in INNER:
+        at = [e["pos"] for e in roles[role]]
+        for spot in spots:
+            low = bisect_right(at, spot["pos"])
+            spot[role] = {"low": low, "n": bisect_right(at, spot["last"]) - low}
+    return {"pieces": reader.pieces, "spots": spots, **{r: roles[r] for r in (*INNER, "title")}}
 
 
-@F.pandas_udf(T.ArrayType(ELEMENT))
-def _elements(html: pd.Series) -> pd.Series:
-    return html.map(page_elements)
+@F.pandas_udf(PAGE)
+def _elements(html: pd.Series) -> pd.DataFrame:
+    return pd.DataFrame([page_elements(h) or dict.fromkeys(PAGE.names) for h in html], columns=PAGE.names, dtype=object)
 
 
-def _of(role: str) -> F.Column:
-    return F.filter("elements", lambda e: e["role"] == role)
+def _text(span: F.Column) -> F.Column:
+    return F.when(span.isNotNull(), F.array_join(F.slice("pieces", span["first"] + 1, span["end"] - span["first"]), " "))
 
 
 def _first_text(candidates: F.Column) -> F.Column:
     """Text of the first element of the best selector whose first element has text; null if there is none."""
     def pick(sorted_):
         leaders = F.filter(sorted_, lambda e, i: (i == 0) | (F.get(sorted_, i - 1)["rank"] != e["rank"]))
-        return F.get(F.filter(leaders, lambda e: e["text"] != ""), 0)["text"]
+        return F.get(F.filter(leaders, lambda e: e["end"] > e["first"]), 0)
 
-    return TX.let(F.array_sort(F.transform(candidates, lambda e: F.struct(e["rank"], e["pos"], e["text"]))), pick)
+    return _text(TX.let(F.array_sort(F.transform(candidates, lambda e: F.struct(e["rank"], e["pos"], e["first"], e["end"]))), pick))
 
 
 def _inside(role: str) -> F.Column:
-    return F.filter(role, lambda e: (e["pos"] > F.col("c.pos")) & (e["pos"] <= F.col("c.last")))
+    return F.slice(role, F.col(f"c.{role}.low") + 1, F.col(f"c.{role}.n"))
 
 
 def _attr(of: str, *names: str) -> F.Column:
@@ -200,40 +225,26 @@ def _attr(of: str, *names: str) -> F.Column:
 def raw_posts(pages: DataFrame, min_body: int = D.MIN_RAW_BODY) -> DataFrame:
     """One row per post container with the fields as the page writes them."""
     read = pages.select(F.col("page_id").cast("long").alias("page_id"), "url",
-                        TX.infer_thread_id("url", "html").alias("thread_id"), _elements("html").alias("elements"))
-    roles = read.select("page_id", "url", "thread_id", *[_of(r).alias(r) for r in ROLES])
-    # an element that several container selectors name is one container
-    ordered = F.array_sort(F.transform(F.array_distinct(F.transform("container", lambda e: F.struct(
-        e["pos"], e["last"]))), lambda k: F.struct(k["pos"], k["last"])))
-    roles = roles.withColumn("spots", ordered)
-    found = F.transform("spots", lambda k, i: F.struct(
-        i.alias("idx"), k["pos"].alias("pos"), k["last"].alias("last"),
-        F.size(F.filter("spots", lambda o: (o["pos"] < k["pos"]) & (o["last"] >= k["pos"]))).alias("depth"),
-        F.get(F.filter("container", lambda e: e["pos"] == k["pos"]), 0)["text"].alias("text"),
-        F.get(F.filter("container", lambda e: e["pos"] == k["pos"]), 0)["attrs"].alias("attrs")))
-    whole = F.transform(F.slice("page", 1, 1), lambda e: F.struct(
-        F.lit(0).alias("idx"), e["pos"].alias("pos"), e["last"].alias("last"), F.lit(0).alias("depth"),
-        e["text"].alias("text"), e["attrs"].alias("attrs")))
-    posts = roles.withColumn("title", F.coalesce(_first_text(F.col("title")), F.lit(D.UNTITLED))).withColumn(
-        "c", F.explode(F.when(F.size("spots") > 0, found).otherwise(whole)))
-    clock = F.get(F.array_sort(F.transform(_inside("clock"), lambda e: F.struct(e["pos"], e["text"], F.element_at(
-        e["attrs"], "datetime").alias("datetime")))), 0)
-    posts = posts.withColumn("k", clock)
+                        TX.infer_thread_id("url", "html").alias("thread_id"), _elements("html").alias("_e"))
+    posts = read.select("page_id", "url", "thread_id", "_e.*").withColumn(
+        "title", F.coalesce(_first_text(F.col("title")), F.lit(D.UNTITLED))).withColumn("c", F.explode("spots")).drop("spots")
+    # times are in document order: the first one inside
+    posts = posts.withColumn("k", F.get(_inside("clock"), 0))
     return posts.select(
         "page_id", F.col("c.idx").alias("idx"), F.col("c.depth").alias("depth"),
         F.coalesce(_attr("c", "data-post-id", "data-id", "id"),
                    F.concat_ws("_", "thread_id", F.col("c.idx").cast("string"))).alias("raw_id"),
         _attr("c", "data-parent-id", "data-reply-to").alias("parent_raw"),
         F.coalesce(_first_text(_inside("author")), F.lit(D.UNKNOWN_USER)).alias("author"),
-        F.coalesce(F.nullif("k.datetime", F.lit("")), F.nullif("k.text", F.lit("")), _first_text(_inside("time")),
+        F.coalesce(_attr("k", "datetime"), F.nullif(_text(F.col("k")), F.lit("")), _first_text(_inside("time")),
                    F.lit("")).alias("ts_raw"),
-        "title", F.coalesce(_first_text(_inside("body")), "c.text").alias("body"),
+        "title", F.coalesce(_first_text(_inside("body")), _text(F.col("c"))).alias("body"),
         _first_text(_inside("quote")).alias("quoted"), "url", "thread_id").where(F.char_length("body") >= min_body)
 
 
 def unreadable_pages(pages: DataFrame) -> DataFrame:
     """(page_id, url) of the pages that could not be read; they have no posts."""
-    return pages.withColumn("_e", _elements("html")).where(F.col("_e").isNull()).select("page_id", "url")
+    return pages.withColumn("_e", _elements("html")).where(F.col("_e.pieces").isNull()).select("page_id", "url")
 
 
 def extract_posts(pages: DataFrame, ingest_ts=None, outermost_only: bool = False,

@@ -64,3 +64,23 @@ def test_extract_posts_frame(spark):
     assert str(out["post-9"]["ts"]) == "2025-01-01 00:00:00"
     outer = {r["raw_id"] for r in EX.extract_posts(pages, ingest_ts="2025-01-01", outermost_only=True).collect()}
     assert outer == {"p1", "post-9"}
+
+
+def test_nested_posts_leave_python_in_proportion_to_the_page(spark):
+    n = 2000
+    nested = "".join(f"<div class='post' id='p{i}'><b class='author'>a{i}</b>some text of the post number {i} that goes on and on for quite a while "
+                     for i in range(n)) + "</div>" * n
+    read = EX.page_elements(nested)
+    size = sum(map(len, read["pieces"])) + sum(len(read[r]) for r in (*EX.INNER, "spots")) * 100
+    assert len(nested) > 200_000 and size < 1_000_000
+    rows = {r["raw_id"]: r for r in EX.raw_posts(frame(spark, [(1, "http://x.onion/t", nested)])).collect()}
+    assert len(rows) == n and rows["p1999"]["depth"] == n - 1 and rows["p7"]["author"] == "a7"
+    assert rows["p1999"]["body"] == "a1999 some text of the post number 1999 that goes on and on for quite a while"
+    assert rows["p0"]["body"].endswith(rows["p1999"]["body"]) and rows["p0"]["body"].startswith("a0 some text")
+
+
+def test_siblings_after_nested_posts_have_their_own_depth_and_fields(spark):
+    html = ("<div class='post' id='a'>first outer post text here<div class='post' id='b'><i class='user'>ben</i>inner post text long enough</div></div>"
+            "<div class='post' id='c'><i class='user'>cy</i>a later post at the top level</div>")
+    rows = {r["raw_id"]: r for r in EX.raw_posts(frame(spark, [(1, "http://x.onion/t", html)])).collect()}
+    assert {k: (r["depth"], r["author"]) for k, r in rows.items()} == {"a": (0, "ben"), "b": (1, "ben"), "c": (0, "cy")}
