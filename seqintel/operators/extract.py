@@ -11,12 +11,14 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_right
+from collections.abc import Iterator
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .. import dictionaries as D
 from ..functions import text as TX
@@ -177,7 +179,7 @@ def page_elements(html: str | None) -> dict | None:
     for pos, (tag, attrs, last, first, end) in enumerate(reader.elements):
         named = [(role, rank) for role, rank, test in _TESTS if test(tag, attrs)]
         if named:
-            kept = {k: attrs[k] for k in KEPT_ATTRIBUTES if k in attrs}
+            kept = [(k, attrs[k]) for k in KEPT_ATTRIBUTES if k in attrs]
             for role, rank in named:
                 roles[role].append({"rank": rank, "pos": pos, "last": last, "first": first, "end": end, "attrs": kept})
     spots, above = [], []
@@ -196,22 +198,34 @@ def page_elements(html: str | None) -> dict | None:
     return {"pieces": reader.pieces, "spots": spots, **{r: roles[r] for r in (*INNER, "title")}}
 
 
-@F.pandas_udf(PAGE)
-def _elements(html: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([page_elements(h) or dict.fromkeys(PAGE.names) for h in html], columns=PAGE.names, dtype=object)
+def _read(pages: DataFrame) -> DataFrame:
+    """``pages`` (with html last) with the fields of ``page_elements`` instead of the html."""
+    kept = pages.columns[:-1]
+    schema = T.StructType([*pages.schema.fields[:-1], *PAGE.fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = to_arrow_type(PAGE)
+        for batch in batches:
+            found = pa.array([page_elements(h) for h in batch.column(len(kept)).to_pylist()], kind)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *found.flatten()], names=schema.names)
+
+    return pages.mapInArrow(run, schema)
 
 
 def _text(span: F.Column) -> F.Column:
     return F.when(span.isNotNull(), F.array_join(F.slice("pieces", span["first"] + 1, span["end"] - span["first"]), " "))
 
 
-def _first_text(candidates: F.Column) -> F.Column:
+def _first_text(role: str, candidates: F.Column) -> F.Column:
     """Text of the first element of the best selector whose first element has text; null if there is none."""
-    def pick(sorted_):
-        leaders = F.filter(sorted_, lambda e, i: (i == 0) | (F.get(sorted_, i - 1)["rank"] != e["rank"]))
-        return F.get(F.filter(leaders, lambda e: e["end"] > e["first"]), 0)
+    def of_rank(r):
+        return lambda e: e["rank"] == r
+
+    def pick(found):
+        firsts = F.array(*[F.get(F.filter(found, of_rank(r)), 0) for r in range(len(ROLES[role]))])
+        return F.get(F.filter(firsts, lambda e: e["end"] > e["first"]), 0)
 
-    return _text(TX.let(F.array_sort(F.transform(candidates, lambda e: F.struct(e["rank"], e["pos"], e["first"], e["end"]))), pick))
+    return _text(TX.let(candidates, pick))
 
 
 def _inside(role: str) -> F.Column:
@@ -224,10 +238,10 @@ def _attr(of: str, *names: str) -> F.Column:
 
 def raw_posts(pages: DataFrame, min_body: int = D.MIN_RAW_BODY) -> DataFrame:
     """One row per post container with the fields as the page writes them."""
-    read = pages.select(F.col("page_id").cast("long").alias("page_id"), "url",
-                        TX.infer_thread_id("url", "html").alias("thread_id"), _elements("html").alias("_e"))
-    posts = read.select("page_id", "url", "thread_id", "_e.*").withColumn(
-        "title", F.coalesce(_first_text(F.col("title")), F.lit(D.UNTITLED))).withColumn("c", F.explode("spots")).drop("spots")
+    read = _read(pages.select(F.col("page_id").cast("long").alias("page_id"), "url",
+                              TX.infer_thread_id("url", "html").alias("thread_id"), "html"))
+    posts = read.withColumn(
+        "title", F.coalesce(_first_text("title", F.col("title")), F.lit(D.UNTITLED))).withColumn("c", F.explode("spots")).drop("spots")
     # times are in document order: the first one inside
     posts = posts.withColumn("k", F.get(_inside("clock"), 0))
     return posts.select(
@@ -235,16 +249,16 @@ def raw_posts(pages: DataFrame, min_body: int = D.MIN_RAW_BODY) -> DataFrame:
         F.coalesce(_attr("c", "data-post-id", "data-id", "id"),
                    F.concat_ws("_", "thread_id", F.col("c.idx").cast("string"))).alias("raw_id"),
         _attr("c", "data-parent-id", "data-reply-to").alias("parent_raw"),
-        F.coalesce(_first_text(_inside("author")), F.lit(D.UNKNOWN_USER)).alias("author"),
-        F.coalesce(_attr("k", "datetime"), F.nullif(_text(F.col("k")), F.lit("")), _first_text(_inside("time")),
+        F.coalesce(_first_text("author", _inside("author")), F.lit(D.UNKNOWN_USER)).alias("author"),
+        F.coalesce(_attr("k", "datetime"), F.nullif(_text(F.col("k")), F.lit("")), _first_text("time", _inside("time")),
                    F.lit("")).alias("ts_raw"),
-        "title", F.coalesce(_first_text(_inside("body")), _text(F.col("c"))).alias("body"),
-        _first_text(_inside("quote")).alias("quoted"), "url", "thread_id").where(F.char_length("body") >= min_body)
+        "title", F.coalesce(_first_text("body", _inside("body")), _text(F.col("c"))).alias("body"),
+        _first_text("quote", _inside("quote")).alias("quoted"), "url", "thread_id").where(F.char_length("body") >= min_body)
 
 
 def unreadable_pages(pages: DataFrame) -> DataFrame:
     """(page_id, url) of the pages that could not be read; they have no posts."""
-    return pages.withColumn("_e", _elements("html")).where(F.col("_e.pieces").isNull()).select("page_id", "url")
+    return _read(pages.select("page_id", "url", "html")).where(F.col("pieces").isNull()).select("page_id", "url")
 
 
 def extract_posts(pages: DataFrame, ingest_ts=None, outermost_only: bool = False,
