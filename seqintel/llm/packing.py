@@ -35,7 +35,7 @@ SEGMENTS = 256
 END = (2,)
 #: Remainders held while a partition is packed, and word pieces kept per worker.
 POOL = 1024
-CACHE = 1_500_000
+CACHE = 1_000_000
 #: Characters of the texts whose words are learned together.
 CHUNK = 1 << 21
 
