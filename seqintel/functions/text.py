@@ -131,12 +131,6 @@ def parse_timestamp_or_null(raw, extra_iso: bool = False) -> Column:
     return F.coalesce(*[F.try_to_timestamp(r, F.lit(f)) for f in fmts])
 
 
-def parse_timestamp(raw, ingest_ts, extra_iso: bool = False) -> Column:
-    """Parsed time, or the ingest time when empty / unparseable (the
-    original used the wall clock; here it is an explicit column)."""
-    return F.coalesce(parse_timestamp_or_null(raw, extra_iso), _c(ingest_ts))
-
-
 # B6 / B7 ------------------------------------------------------------------
 def fingerprint_text(c) -> Column:
     """lower, collapse whitespace runs to one space, trim; NULL -> ''."""

@@ -102,18 +102,6 @@ def ingest_summary(raw: DataFrame, key: str = "fingerprint") -> DataFrame:
         "final_count")
 
 
-def keyword_hits(pages: DataFrame, keywords: DataFrame, url_col: str = "url",
-                 html_col: str = "html", keyword_col: str = "keyword") -> DataFrame:
-    """One row per (keyword, page) where the keyword occurs (ignoring case).
-
-    The keyword list is a small dimension (tens of rows, size checked by the
-    caller via ``keywords_array``); it is folded into an array literal so the
-    test runs per page inside codegen without a nested-loop join.
-    """
-    kws = [r[0] for r in keywords.select(keyword_col).distinct().collect()]
-    return keyword_hits_list(pages, kws, url_col, html_col)
-
-
 def keyword_hits_list(pages: DataFrame, kws: Sequence[str], url_col: str = "url",
                       html_col: str = "html") -> DataFrame:
     """``kws`` is a short list; each page is lowered once and tested against the lowered words."""
