@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from .. import dictionaries as D
 from ..functions import text as TX
+from . import terms as TM
 
 ENTITY_STRUCT = T.StructType([
     T.StructField("type", T.StringType()),
@@ -138,85 +139,32 @@ def term_table(spark: SparkSession, terms: dict[str, list[str]] | None = None) -
     return spark.createDataFrame(rows, "idx INT, term STRING, technique STRING")
 
 
-def _normalized_keys(terms: dict[str, list[str]]) -> dict[str, list[str]]:
-    """Keys normalised as ``TX.normalize_term`` does; equal normalised keys:
-    the last one in file order wins (dict overwrite), as in the original."""
-    import re
-    ws = r"[\t\n\x0b\f\r \x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
-    norm: dict[str, list[str]] = {}
-    for k, v in terms.items():
-        n = re.sub(f"^{ws}+|{ws}+$", "", k.lower())
-        n = re.sub(f"(?:{ws}|[-_./])+", " ", n)
-        n = re.sub(f"{ws}+", " ", n)
-        norm[n] = v
-    return norm
-
-
-def _squashed_keys(terms: dict[str, list[str]]) -> list[tuple[str, list[str]]]:
-    """Normalise keys (last wins on equal normalised keys), then squash. The
-    squash is evaluated with the same built-in expressions on a tiny local
-    frame-free path: Python re here mirrors ``TX.normalize_term`` exactly."""
-    import re
-    ws = r"[\t\n\x0b\f\r \x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
-    norm: dict[str, list[str]] = {}
-    for k, v in terms.items():
-        n = re.sub(f"^{ws}+|{ws}+$", "", k.lower())
-        n = re.sub(f"(?:{ws}|[-_./])+", " ", n)
-        n = re.sub(f"{ws}+", " ", n)
-        norm[n] = v
-    out: dict[str, set[str]] = {}
-    for n, v in norm.items():
-        sq = n.replace(" ", "")
-        if sq:
-            out.setdefault(sq, set()).update(v)
-    return [(k, sorted(v)) for k, v in out.items()]
-
-
-def match_techniques(df: DataFrame, text_col: str, terms: dict[str, list[str]] | None = None,
+def _term_keys(df: DataFrame, terms, whole_word: bool = False) -> DataFrame:
+    """Prepared keys of a term table (idx, term, technique), of a dictionary, or of the packaged one."""
+    rows = terms if isinstance(terms, DataFrame) else term_table(df.sparkSession, terms)
+    return TM.prepared_keys(rows, whole_word)
+
+
+def match_techniques(df: DataFrame, text_col: str, terms: DataFrame | dict[str, list[str]] | None = None,
                      out_col: str = "techniques", emit_keys: bool = False,
                      whole_word: bool = False) -> DataFrame:
     """Techniques of every dictionary key found in the text.
 
-    One predicate covers the original's three tests for non-empty keys:
-    ``contains(squash(text), squash(key))``. Result: sorted distinct array.
+    ``terms`` is a term table (idx, term, technique), which may be large; a
+    small dictionary is accepted too. One predicate covers the original's three
+    tests for non-empty keys: ``contains(squash(text), squash(key))``. Result:
+    sorted distinct array; null and empty texts have none.
     ``whole_word=True`` (not in the original; its substring test lets ``rat``
     hit inside ``separate``) instead requires the normalised key to appear
-    as whole words of the normalised text.
+    as whole words of the normalised text. ``emit_keys=True`` gives the keys
+    that occur instead of their techniques.
     """
-    terms = terms if terms is not None else D.load_terms_json()
-    if whole_word:
-        return _match_whole_words(df, text_col, terms, out_col, emit_keys)
-    keys = _squashed_keys(terms)
-    if emit_keys:   # report which (squashed) keys occur instead of their techniques
-        keys = [(k, [k]) for k, _ in keys]
-    sq = TX.squash_term(F.coalesce(F.col(text_col), F.lit("")))
-    return _match_aho(df, sq, keys, out_col)
-
-
-def _match_whole_words(df: DataFrame, text_col: str, terms, out_col: str, emit_keys: bool) -> DataFrame:
-    """Whole-word variant: ' ' + normalize(key) + ' ' inside ' ' + normalize(text) + ' '."""
-    keys = [(f" {k} ", ([k] if emit_keys else v)) for k, v in _normalized_keys(terms).items() if k.strip()]
-    padded = F.concat(F.lit(" "), TX.normalize_term(F.coalesce(F.col(text_col), F.lit(""))), F.lit(" "))
-    return _match_aho(df, padded, keys, out_col)
-
-
-def _match_aho(df: DataFrame, sq: Column, keys, out_col: str) -> DataFrame:
-    """Adds the values of the keys that occur in ``sq``. Only ``sq`` goes to
-    Python and only the values come back; the automaton is built once per task."""
-    key_map = dict(keys)
+    def prepare(text):
+        return F.concat(F.lit(" "), TX.normalize_term(text), F.lit(" ")) if whole_word else TX.squash_term(text)
 
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def match(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        import ahocorasick
-        A = ahocorasick.Automaton()
-        for k in key_map:
-            A.add_word(k, k)
-        if key_map:
-            A.make_automaton()
-        for texts in batches:
-            yield texts.map(lambda s: sorted({v for _, k in A.iter(s) for v in key_map[k]}) if key_map else [])
-
-    return df.withColumn(out_col, match(sq))
+    out = TM.with_found(df, F.col(text_col), prepare, _term_keys(df, terms, whole_word), "__hits")
+    found = F.sort_array(F.transform("__hits", lambda x: x["key"])) if emit_keys else TM.values_of("__hits")
+    return out.withColumn(out_col, found).drop("__hits")
 
 
 def with_safe_entities(df: DataFrame, stored_col: str) -> DataFrame:
@@ -305,42 +253,37 @@ def local_entities(text, threshold: float = D.ENTITY_MIN_CONFIDENCE) -> Column:
     document."""
     toks = F.regexp_extract_all(F.coalesce(TX._c(text), F.lit("")), F.lit(TOKEN_PATTERN), 0)
     ents = F.filter(F.transform(toks, _token_entity), lambda e: e["confidence"] >= threshold)
-    keyed = F.array_sort(F.transform(ents, lambda e: F.struct(
+    keyed = F.sort_array(F.transform(ents, lambda e: F.struct(
         e["type"].alias("k1"), F.lower(e["text"]).alias("k2"), e["pos"].alias("pos"), e.alias("e"))))
 
     def firsts(srt):
         keep = F.filter(srt, lambda x, i: (i == 0) | (srt[i - 1]["k1"] != x["k1"]) | (srt[i - 1]["k2"] != x["k2"]))
-        return F.transform(F.array_sort(F.transform(keep, lambda x: F.struct(x["pos"].alias("pos"), x["e"].alias("e")))),
+        return F.transform(F.sort_array(F.transform(keep, lambda x: F.struct(x["pos"].alias("pos"), x["e"].alias("e")))),
                            lambda x: x["e"])
     return TX.let(keyed, firsts)
 
 
-def local_techniques(df: DataFrame, texts_col: str, terms: dict[str, list[str]] | None = None,
-                     out_col: str = "techniques") -> DataFrame:
-    """C1 over each row's own entity texts: sorted distinct union of the
-    techniques of every key contained in any of them. Squashing is done with
-    the built-in expression, containment by an automaton. Row-local."""
-    terms = terms if terms is not None else D.load_terms_json()
-    keys = _squashed_keys(terms)
-    # keys never contain the separator, so "some text contains the key" is
-    # "the joined texts contain the key": one scan per document
-    joined = F.array_join(F.transform(F.col(texts_col), lambda t: TX.squash_term(t)), SEP)
-    return _match_aho(df, joined, keys, out_col)
-
-
 SEP = "\u0001"
 
 
 def enrich_local(posts: DataFrame, terms: dict[str, list[str]] | None = None,
                  id_col: str = "message_id", threshold: float = D.ENTITY_MIN_CONFIDENCE) -> DataFrame:
-    """K14 with the fixture extractor, entirely row-local (no shuffle):
-    B18 body fallback -> entities -> E9 -> E10 -> C1 -> B20 -> E12."""
+    """K14 with the fixture extractor: B18 body fallback -> entities -> E9 -> E10 -> C1 -> B20 -> E12.
+
+    Entities are made and filtered inside the row. An entity is a run of its
+    post's text, so the keys it can hold are among those of the whole text:
+    these come from the term index, and the few candidates are then looked for
+    in the entity texts. (Keys never hold the separator, so the joined texts
+    contain a key where one of them does.)
+    """
     base = posts.withColumn("_content", TX.body_fallback(
         F.col("body_clean") if "body_clean" in posts.columns else F.lit(None),
         F.col("body") if "body" in posts.columns else F.lit(None)))
+    base = TM.with_found(base, F.col("_content"), TX.squash_term, _term_keys(posts, terms), "_cand")
     e = base.withColumn("entities", local_entities("_content", threshold)).drop("_content")
-    e = e.withColumn("_texts", F.transform("entities", lambda x: x["text"]))
-    e = local_techniques(e, "_texts", terms).drop("_texts")
+    joined = F.array_join(F.transform("entities", lambda x: TX.squash_term(x["text"])), SEP)
+    held = TX.let(joined, lambda j: F.filter("_cand", lambda c: F.contains(j, c["key"])))
+    e = e.withColumn("techniques", TM.values_of(F.when(F.size("_cand") == 0, F.col("_cand")).otherwise(held))).drop("_cand")
     e = e.withColumns({
         "n_entities": F.size("entities").cast("long"),
         "n_techniques": F.size("techniques").cast("long"),

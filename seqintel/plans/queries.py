@@ -268,7 +268,7 @@ SELECT d.doc_id, coalesce(string_agg(DISTINCT h.technique, ',' ORDER BY h.techni
 FROM documents d LEFT JOIN hits h ON d.doc_id = h.doc_id GROUP BY d.doc_id""")
 def q_c1(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    m = EN.match_techniques(docs, "text", _terms())
+    m = EN.match_techniques(docs, "text", EN.term_table(spark))
     return m.select("doc_id", F.array_join("techniques", ",").alias("techniques"),
                     F.size("techniques").cast("long").alias("n_techniques"))
 
@@ -348,8 +348,8 @@ scored AS (
 
 
 def _k14(spark, sf_dir):
-    # row-local chain: tokens, filters, dedup and matching stay inside each document
-    return EN.enrich_local(_doc_posts(spark, sf_dir), _terms(), id_col="doc_id")
+    # tokens, filters and dedup stay inside each document; terms come from the index of the term table
+    return EN.enrich_local(_doc_posts(spark, sf_dir), EN.term_table(spark), id_col="doc_id")
 
 
 @register("K14_enrich_posts", _K14_SQL + """
@@ -1106,10 +1106,10 @@ def q_a5(spark, sf_dir):
     path = SRC.scratch_dir(spark, "terms")  # the dictionary as a file in the shared store
     spark.createDataFrame([(json.dumps(D.load_terms_json()),)], "value STRING").write.text(path)
     terms = SRC.load_term_dictionary(spark, path)
-    keys = terms.select(TX.squash_term("term").alias("term_key")).where(F.col("term_key") != "").distinct()
+    keys = EN.TM.prepared_keys(terms).select(F.col("key").alias("term_key"))
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    # per document the dictionary keys it contains (row-local), then one count per key
-    hits = EN.match_techniques(docs, "text", D.load_terms_json(), "keys", emit_keys=True) \
+    # the loaded table is what is matched: per document the keys it contains, then one count per key
+    hits = EN.match_techniques(docs, "text", terms, "keys", emit_keys=True) \
         .select(F.explode("keys").alias("term_key"))
     counts = hits.groupBy("term_key").agg(F.count(F.lit(1)).alias("n"))
     return (keys.join(counts, "term_key", "left")
