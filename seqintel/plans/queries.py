@@ -1138,6 +1138,26 @@ def q_a1(spark, sf_dir):
     return _raw_view(SRC.read_posts_csv(spark, path))
 
 
+@register("A1_quarantined_posts_csv", with_fx("""
+SELECT broken, CASE WHEN NOT broken THEN message_id END AS message_id, CASE WHEN NOT broken THEN sha1(body) END AS body_sha1,
+       CASE WHEN broken THEN message_id || ',' || fingerprint || CASE WHEN how = 0 THEN '' ELSE ',a,b,c,d,e,f,g,h,i,j' END END AS record
+FROM (SELECT *, doc_id % 5 IN (1, 3) AS broken, CASE WHEN doc_id % 5 = 1 THEN 0 ELSE 1 END AS how FROM fx_posts)"""))
+def q_a1_quarantine(spark, sf_dir):
+    """Of the posts a fifth is written with two fields, a fifth with twelve; the rest must come back whole."""
+    path = SRC.scratch_dir(spark, "posts-csv-broken")
+    p = _raw_posts(spark, sf_dir)
+    place = F.substring_index("message_id", "_", -1).cast("long") % 5
+    good = F.to_csv(F.struct(*[F.coalesce(F.col(c), F.lit("")).alias(c) if c in p.columns else F.lit("").alias(c) for c in SRC.RAW_FIELDS]),
+                    {"escape": '"', "quoteAll": "true", **SRC.KEEP_SPACES})
+    short = F.concat_ws(",", "message_id", "fingerprint")
+    line = F.when(place == 1, short).when(place == 3, F.concat(short, F.lit(",a,b,c,d,e,f,g,h,i,j"))).otherwise(good)
+    p.select(line.alias("value")).write.text(path)
+    posts, bad = SRC.split_posts_csv(spark, path, header=False)
+    none = F.lit(None).cast("string")
+    return posts.select(F.lit(False).alias("broken"), "message_id", F.sha1("body").alias("body_sha1"), none.alias("record")).unionByName(
+        bad.select(F.lit(True).alias("broken"), none.alias("message_id"), none.alias("body_sha1"), F.col(SRC.CORRUPT).alias("record")))
+
+
 @register("A2_append_posts_jsonl", with_fx("""
 SELECT message_id, fingerprint, thread_id, author, strftime(ts, '%Y-%m-%dT%H:%M:%S+00:00') AS ts, title,
        sha1(body) AS body_sha1, url FROM fx_posts, range(2)"""))
@@ -1196,12 +1216,30 @@ SELECT phase_name, CAST(phase_id AS INTEGER) AS phase_id, round(p, 4) AS precisi
        round(f, 4) AS f1, CAST(support AS BIGINT) AS support FROM d14"""))
 def q_a11(spark, sf_dir):
     path = SRC.scratch_dir(spark, "evaluation")
-    pred = _k12(spark, sf_dir)
-    per = EV.class_metrics(pred)
-    SRC.write_csv(per.select("phase_name", "phase_id", "precision", "recall", "f1", "support"), f"{path}/metrics_by_phase")
-    SRC.write_csv(pred.select("author", "truth", "pred", "confidence", "correct"), f"{path}/predictions")
-    schema = "phase_name STRING, phase_id INT, precision DOUBLE, recall DOUBLE, f1 DOUBLE, support BIGINT"
-    return spark.read.schema(schema).option("header", True).csv(f"{path}/metrics_by_phase")
+    SRC.write_evaluation(_k12(spark, sf_dir), path)
+    return SRC.read_evaluation(spark, path, "metrics_by_phase")
+
+
+@register("A11_evaluation_read_back", wh(f"""
+WITH {_D14_SQL},
+g AS (SELECT sum(tp) / sum(support) AS accuracy, coalesce(avg(round(f, 4)) FILTER (WHERE support > 0), 0.0) AS f1_macro,
+             sum(p * support) / sum(support) AS precision_weighted FROM d14)
+SELECT 'global' AS part, 'accuracy' AS item, round(accuracy, 4) AS value FROM g
+UNION ALL SELECT 'global', 'f1_macro', round(f1_macro, 4) FROM g
+UNION ALL SELECT 'global', 'precision_weighted', round(precision_weighted, 4) FROM g
+UNION ALL SELECT 'phase', phase_name, round(f, 4) FROM d14
+UNION ALL SELECT 'author', author || ':' || CAST(truth AS VARCHAR) || ':' || CAST(pred AS VARCHAR), round(confidence, 6) FROM k12"""))
+def q_a11_back(spark, sf_dir):
+    """All three parts of the report, as they are read from the files."""
+    path = SRC.scratch_dir(spark, "evaluation")
+    SRC.write_evaluation(_k12(spark, sf_dir), path)
+    back = {part: SRC.read_evaluation(spark, path, part) for part in SRC.EVALUATION_PARTS}
+    figures = back["metrics_global"].select(F.lit("global").alias("part"), F.explode(F.create_map(
+        *[x for c in ("accuracy", "f1_macro", "precision_weighted") for x in (F.lit(c), F.col(c))])).alias("item", "value"))
+    phases = back["metrics_by_phase"].select(F.lit("phase").alias("part"), F.col("phase_name").alias("item"), F.col("f1").alias("value"))
+    authors = back["predictions"].select(F.lit("author").alias("part"), F.concat_ws(":", "author", "truth", "pred").alias("item"),
+                                         F.round("confidence", 6).alias("value"))
+    return figures.unionByName(phases).unionByName(authors)
 
 
 @register("A12_keyword_report_lines", f"""
@@ -1441,6 +1479,25 @@ def q_s3(spark, sf_dir):
     return ST.read_page_counts(spark, sink)
 
 
+#: Words that the posts hold, and one they don't.
+STREAM_KEYWORDS = ["The", "en ", "no such word"]
+
+
+@register("S3_keyword_report", with_fx(f"""
+SELECT k.keyword, u.url, CAST(count(*) AS BIGINT) AS n
+FROM (SELECT url, fingerprint, min(lower(coalesce(body, ''))) AS low FROM fx_posts GROUP BY url, fingerprint) u
+JOIN (SELECT unnest([{', '.join(O.q(k) for k in STREAM_KEYWORDS)}, {O.q(D.PAGE_RECORDS_KEY)}]) AS keyword) k
+  ON k.keyword = {O.q(D.PAGE_RECORDS_KEY)} OR contains(u.low, lower(k.keyword)) GROUP BY k.keyword, u.url"""))
+def q_s3_keywords(spark, sf_dir):
+    from ..streaming import ingest as ST
+    landing, schema = _landing(spark, sf_dir)
+    sink, ckpt = SRC.scratch_dir(spark, "keywords-sink"), SRC.scratch_dir(spark, "keywords-ckpt")
+    for _ in range(2):  # the second run resumes and finds nothing new
+        ST.keyword_counts_stream(ST.landing_stream(spark, landing, schema, 1), sink, ckpt, STREAM_KEYWORDS,
+                                 D.PAGE_RECORDS_KEY).awaitTermination()
+    return ST.read_keyword_counts(spark, sink)
+
+
 @register("K8_decode_chunked", wh("""
 SELECT r.author, CAST(len(r.seq) AS BIGINT) AS n_posts, CAST(r.last_state AS INTEGER) AS last_state,
        r.dominant_state, round(d.logp, 6) AS logp FROM rep r JOIN dec d ON r.author = d.author"""))

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import dictionaries as D
+from ..operators.evaluate import class_metrics, global_metrics
 from ..operators.sequences import count_metadata
 from ..session import ensure_checkpoint_dir
 
@@ -39,6 +40,30 @@ def read_posts_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_SC
             .option("escape", '"').option("mode", "PERMISSIVE").options(**KEEP_SPACES).csv(path))
 
 
+CORRUPT = "corrupt_record"
+
+
+def split_posts_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_SCHEMA, header: bool = True,
+                    quarantine: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(posts, quarantined): records that fit the schema, and the text of those that don't.
+
+    A record with too few or too many fields, or whose value cannot be cast,
+    is not a post with nulls: it goes whole, as it stands in the file, to
+    ``quarantined`` (corrupt_record). Each record is in exactly one of the two.
+    A quote that is never closed takes the rest of its file into one record.
+    The file is parsed once: both parts come from one stored table, kept in
+    ``quarantine`` if that is given. An empty file gives two empty frames.
+    """
+    flagged = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    rows = (spark.read.schema(flagged).option("header", header).option("multiLine", True).option("escape", '"')
+            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", False)
+            .options(**KEEP_SPACES).csv(path))
+    kept = quarantine or scratch_dir(spark, "posts-checked")
+    rows.withColumn("broken", F.col(CORRUPT).isNotNull()).write.mode("overwrite").partitionBy("broken").parquet(kept)
+    rows = spark.read.schema(T.StructType([*flagged.fields, T.StructField("broken", T.BooleanType())])).parquet(kept)
+    return rows.where("NOT broken").select(*schema.names), rows.where("broken").select(CORRUPT)
+
+
 # A2 / A3 --------------------------------------------------------------------
 def append_posts_json(df: DataFrame, path: str) -> None:
     """One JSON object per line, UTF-8, appended as new part files."""
@@ -138,6 +163,34 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).option("escape", '"').options(**KEEP_SPACES).csv(path)
 
 
+EVALUATION_PARTS = {
+    "metrics_by_phase": "phase_name STRING, phase_id INT, precision DOUBLE, recall DOUBLE, f1 DOUBLE, support BIGINT",
+    "metrics_global": "total BIGINT, accuracy DOUBLE, precision_macro DOUBLE, recall_macro DOUBLE, f1_macro DOUBLE, "
+                      "precision_weighted DOUBLE, recall_weighted DOUBLE, f1_weighted DOUBLE",
+    "predictions": "author STRING, truth INT, pred INT, confidence DOUBLE, correct BOOLEAN",
+}
+
+
+def write_evaluation(pred: DataFrame, path: str) -> None:
+    """The evaluation report as three CSV folders: global metrics, metrics per phase and one
+    row per author. Predictions are written first and the metrics come from what was written, so
+    nothing is predicted twice. Without predictions there is nothing to report: a ValueError."""
+    spark = pred.sparkSession
+    write_csv(pred.select("author", "truth", "pred", "confidence", "correct"), f"{path}/predictions")
+    done = read_evaluation(spark, path, "predictions")
+    if done.isEmpty():
+        raise ValueError("no predictions to evaluate")
+    per = class_metrics(done)
+    write_csv(per.select("phase_name", "phase_id", "precision", "recall", "f1", "support"), f"{path}/metrics_by_phase")
+    write_csv(global_metrics(per).select(*[c.split()[0] for c in EVALUATION_PARTS["metrics_global"].split(", ")]), f"{path}/metrics_global")
+
+
+def read_evaluation(spark: SparkSession, path: str, part: str) -> DataFrame:
+    """One part of the report (a key of EVALUATION_PARTS) with its types."""
+    return (spark.read.schema(EVALUATION_PARTS[part]).option("header", True).option("escape", '"')
+            .options(**KEEP_SPACES).csv(f"{path}/{part}"))
+
+
 def keyword_report_lines(hits: DataFrame, counts: DataFrame | None = None) -> DataFrame:
     """``keyword | url`` lines and ``keyword | n | url`` lines."""
     a = hits.select(F.concat_ws(" | ", "keyword", "url").alias("value"))

@@ -14,7 +14,8 @@
   (state is bounded; copies that arrive further apart than the delay are admitted).
 * S3 incremental page report: stateful streaming ``groupBy(url).count()`` in
   update mode; every update is appended with its batch id and the read side
-  keeps the latest count per page.
+  keeps the latest count per page. The keyword half counts distinct records per
+  (keyword, page) the same way.
 """
 
 from __future__ import annotations
@@ -94,3 +95,29 @@ def page_counts_stream(stream: DataFrame, sink: str, checkpoint: str, key: str =
 def read_page_counts(spark: SparkSession, sink: str, key: str = "url") -> DataFrame:
     s = spark.read.parquet(sink)
     return s.groupBy(key).agg(F.max_by("n", "batch_id").cast("long").alias("n"))
+
+
+def keyword_counts_stream(stream: DataFrame, sink: str, checkpoint: str, keywords: Sequence[str], record_key: str,
+                          url: str = "url", text: str = "body", key: str = "fingerprint") -> StreamingQuery:
+    """S3: running number of distinct records per (keyword, page), and of all its records under
+    ``record_key`` (D3). A record counts once per page, whatever number of copies arrive and in
+    which batches. Keywords are parameters, matched without regard to case; null texts hold none,
+    null pages are a page of their own. Updates are appended with their batch id."""
+    listed = F.array(*[F.lit(k) for k in keywords]) if keywords else F.array().cast("array<string>")
+    lowered = F.lower(F.coalesce(F.col(text), F.lit("")))
+    named = F.concat(F.array(F.lit(record_key)), F.filter(listed, lambda k: F.contains(F.col("__low"), F.lower(k))))
+    counts = (stream.dropDuplicates([url, key]).select(url, lowered.alias("__low")).select(url, F.explode(named).alias("keyword"))
+              .groupBy("keyword", url).agg(F.count(F.lit(1)).alias("n")))
+
+    def append(batch: DataFrame, batch_id: int) -> None:
+        # a batch that is run again after a failure replaces its own folder
+        batch.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
+
+    return (counts.writeStream.outputMode("update").foreachBatch(append)
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+
+
+def read_keyword_counts(spark: SparkSession, sink: str, url: str = "url") -> DataFrame:
+    """Latest number per (keyword, page)."""
+    s = spark.read.parquet(sink)
+    return s.groupBy("keyword", url).agg(F.max_by("n", "batch_id").cast("long").alias("n"))
