@@ -106,8 +106,17 @@ def levels(spark: SparkSession, calls: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, [*done, stuck])
 
 
+def needed(arguments: Column) -> Column:
+    """array<string>: what the string values ``$<id>`` of a canonical JSON text name, at any depth and in
+    arrays too, unescaped. Keys are no values; a lone ``$`` names nothing; null has no needs."""
+    found = F.regexp_extract_all(arguments, F.lit(r'[:\[,]"\$((?:[^"\\]++|\\.)++)"(?!:)'), F.lit(1))
+    plain = F.transform(found, lambda g: F.when(~F.contains(g, F.lit("\\")), g).otherwise(
+        F.get(F.from_json(F.concat(F.lit('["'), g, F.lit('"]')), "array<string>"), F.lit(0))))
+    return F.coalesce(plain, F.array().cast("array<string>"))
+
+
 def link(spark: SparkSession, messages: DataFrame, schemas: Mapping[str, Schema]) -> DataFrame:
-    """One row per call and one per result that answers no call.
+    """One row per call and one per result that answers no call or comes after the answer.
 
     messages: conv_id, turn, content, calls (array of id, name, arguments as
     JSON text), result_of (identifier, or null). Returns conv_id, call_id,
@@ -116,8 +125,11 @@ def link(spark: SparkSession, messages: DataFrame, schemas: Mapping[str, Schema]
     in topological order are its rows by (level, turn, place).
 
     status is ``linked``, ``no result``, ``repeated id`` (the earliest call with
-    an identifier keeps it, later ones are not linked) or ``orphan result``. Of
-    several results of one call the earliest is linked. A need that names no
+    an identifier keeps it, later ones are not linked), ``orphan result`` or
+    ``repeated result``. Of several results of one call the earliest is linked
+    (a null turn comes last, the smaller text hash first on a tie), each further
+    one is a row of its own, so every result is in the output once. Needs are
+    the string values ``$<id>`` at any depth. A need that names no
     call is the error ``unresolved:<id>``; a call on or behind a cycle has the
     error ``cycle`` and no level. Null identifiers and null arguments count as
     empty texts; a null conv_id is a conversation of its own. An empty table
@@ -127,7 +139,7 @@ def link(spark: SparkSession, messages: DataFrame, schemas: Mapping[str, Schema]
         "conv_id", "turn", "place", F.coalesce("call.id", F.lit("")).alias("call_id"),
         F.coalesce("call.name", F.lit("")).alias("name"), F.coalesce("call.arguments", F.lit("")).alias("raw"))
     calls = calls.withColumn("arguments", canonical(F.col("raw"))).withColumn("errors", errors(F.col("name"), F.col("raw"), schemas))
-    calls = calls.withColumn("needs", F.coalesce(F.regexp_extract_all("arguments", F.lit(r':"\$([^"\\]+)"'), F.lit(1)), F.array().cast("array<string>")))
+    calls = calls.withColumn("needs", needed(F.col("arguments")))
     calls = stored(spark, calls.drop("raw"), "calls")
     # calls of one identifier meet in pre-aggregated form: the earliest keeps it
     first = calls.groupBy("conv_id", "call_id").agg(F.min_by("place", F.struct("turn", "place")).alias("first_place"), F.min("turn").alias("first_turn"))
@@ -138,17 +150,25 @@ def link(spark: SparkSession, messages: DataFrame, schemas: Mapping[str, Schema]
 
     results = messages.filter("result_of IS NOT NULL").select("conv_id", F.col("result_of").alias("call_id"), F.col("turn").alias("result_turn"),
                                                               text_of("content").alias("result"))
-    # the text of a result travels once; which one counts is settled on turns alone
-    early = results.groupBy("conv_id", "call_id").agg(F.min("result_turn").alias("result_turn"), F.min_by(F.xxhash64("result"), "result_turn").alias("__h"))
-    answers = join_same(results.withColumn("__h", F.xxhash64("result")), stored(spark, early, "calls-early"),
-                        "conv_id", "call_id", "result_turn", "__h", how="left_semi").drop("__h").dropDuplicates(["conv_id", "call_id"])
+    # the text of a result travels once; which one counts is settled on turns and hashes alone
+    marked = results.withColumn("__h", F.xxhash64("result"))
+    early = marked.groupBy("conv_id", "call_id").agg(F.min(F.struct(F.col("result_turn").isNull().alias("late"), "result_turn", "__h")).alias("e"))
+    early = stored(spark, early.select("conv_id", "call_id", F.col("e.result_turn").alias("result_turn"), F.col("e.__h").alias("__h"),
+                                       F.lit(True).alias("counts")), "calls-early")
+    marked = join_same(marked, early, "conv_id", "call_id", "result_turn", "__h", how="left")
+    answers = marked.filter("counts").groupBy("conv_id", "call_id", "result_turn").agg(
+        F.min("result").alias("result"), F.count(F.lit(1)).alias("copies"))
+    answers = stored(spark, answers, "calls-answers")
+    # results after the one that counts, and further copies of it
+    later = marked.filter("counts IS NULL").select("conv_id", "call_id", "result_turn", "result").unionByName(
+        answers.filter("copies > 1").select("conv_id", "call_id", "result_turn", "result", F.explode(F.sequence(F.lit(2), "copies")).alias("__i")).drop("__i"))
     level = stored(spark, levels(spark, calls.filter("own").select("conv_id", "call_id", "needs")), "calls-levels")
     named = first.select("conv_id", F.col("call_id").alias("need"), F.lit(True).alias("known"))
     lost = join_same(calls.select("conv_id", "call_id", F.explode("needs").alias("need")).distinct(), named, "conv_id", "need", how="left_anti")
     lost = lost.groupBy("conv_id", "call_id").agg(F.collect_set(F.concat(F.lit("unresolved:"), "need")).alias("lost"))
     out = join_same(calls, level, "conv_id", "call_id", how="left")
     out = join_same(out, lost, "conv_id", "call_id", how="left")
-    out = join_same(out, answers.withColumn("answered", F.lit(True)), "conv_id", "call_id", how="left")
+    out = join_same(out, answers.drop("copies").withColumn("answered", F.lit(True)), "conv_id", "call_id", how="left")
     none = F.array().cast("array<string>")
     linked = F.col("own") & F.coalesce("answered", F.lit(False))
     out = out.withColumn("errors", F.array_sort(F.concat(
@@ -156,11 +176,17 @@ def link(spark: SparkSession, messages: DataFrame, schemas: Mapping[str, Schema]
         "conv_id", "call_id", "turn", "place", "name", "arguments", "errors", "level",
         F.when(~F.col("own"), "repeated id").when(linked, "linked").otherwise("no result").alias("status"),
         F.when(linked, F.col("result_turn")).alias("result_turn"), F.when(linked, F.col("result")).alias("result"))
-    orphan = join_same(results, first.select("conv_id", "call_id"), "conv_id", "call_id", how="left_anti").select(
-        "conv_id", "call_id", F.lit(None).cast("long").alias("turn"), F.lit(None).cast("int").alias("place"), F.lit("").alias("name"),
-        F.lit(None).cast("string").alias("arguments"), none.alias("errors"), F.lit(None).cast("int").alias("level"),
-        F.lit("orphan result").alias("status"), "result_turn", "result")
-    return out.unionByName(orphan).withColumn("record", record())
+
+    def alone(found: DataFrame, status: str) -> DataFrame:
+        return found.select(
+            "conv_id", "call_id", F.lit(None).cast("long").alias("turn"), F.lit(None).cast("int").alias("place"), F.lit("").alias("name"),
+            F.lit(None).cast("string").alias("arguments"), none.alias("errors"), F.lit(None).cast("int").alias("level"),
+            F.lit(status).alias("status"), "result_turn", "result")
+
+    known = first.select("conv_id", "call_id")
+    orphan = alone(join_same(results, known, "conv_id", "call_id", how="left_anti"), "orphan result")
+    repeated = alone(join_same(later, known, "conv_id", "call_id", how="left_semi"), "repeated result")
+    return out.unionByName(orphan).unionByName(repeated).withColumn("record", record())
 
 
 def record() -> Column:

@@ -539,7 +539,7 @@ def test_tool_calls_linking(spark):
         (2, 1, None, None, "q"), (None, 0, "", [("p", "add", '{"x":1}')], None), (None, 1, "null conv", None, "p"),
     ]
     got = {(r.conv_id, r.call_id, r.turn): r for r in tool_calls.link(spark, messages(spark, rows), s).collect()}
-    assert len(got) == 15
+    assert len(got) == 16
     a = got[1, "p", 0]
     assert (a.arguments, a.errors, a.level, a.status, a.result) == ('{"x":1.5,"y":"a"}', [], 0, "linked", "done p")
     assert a.record == '{"arguments":{"x":1.5,"y":"a"},"errors":[],"id":"p","level":0,"name":"add","result":"done p"}'
@@ -549,6 +549,7 @@ def test_tool_calls_linking(spark):
     assert got[1, "u", 5].errors == ["missing:x", "unresolved:none"] and got[1, "v", 5].errors == ["unknown tool"]
     assert got[1, "w", 5].errors == ["no object"] and got[1, "x", 5].errors == ["no JSON"] and got[1, "", 5].errors == ["no JSON"]
     assert got[1, "zzz", None].status == "orphan result"
+    assert (got[1, "p", None].status, got[1, "p", None].result) == ("repeated result", "again p")
     assert all(got[2, c, 0].errors == ["cycle"] and got[2, c, 0].level is None for c in "pqr")
     assert got[None, "p", 0].result == "null conv"
     assert tool_calls.link(spark, messages(spark, rows).limit(0), s).count() == 0
@@ -559,3 +560,18 @@ def test_tokenizer_is_exact_when_its_cache_overflows(monkeypatch):
     tok = packing.WordTokenizer(TOKENIZER)
     for text in ("one two three", "three four five, six", "one seven eight nine ten eleven twelve one", "é two Ā two six"):
         assert np.frombuffer(tok.ids(text), "<u4").tolist() == brute_ids(text)
+
+
+def test_every_result_is_in_the_output_once(spark):
+    rows = [(1, 0, None, [("p", "add", "{}")], None), (1, 3, "b", None, "p"), (1, 3, "b", None, "p"), (1, 3, "c", None, "p"),
+            (1, None, "n", None, "p"), (1, 9, "d", None, "p"), (2, 0, None, [("p", "add", "{}")], None), (2, None, "only", None, "p"), (2, 1, "o", None, "x")]
+    got = tool_calls.link(spark, messages(spark, rows), {}).filter("result IS NOT NULL").collect()
+    assert sorted(r.result for r in got) == ["b", "b", "c", "d", "n", "o", "only"]
+    assert sorted((r.conv_id, r.status) for r in got if r.status != "repeated result") == [(1, "linked"), (2, "linked"), (2, "orphan result")]
+
+
+def test_needs_are_string_values_at_any_depth(spark):
+    texts = ['{"a":"$p"}', '{"a":["$p","x","$q"],"b":{"c":["$r"]}}', '{"$k":"$"}', '{"a":1,"$k":"v"}', r'{"a":"$x\"y\\\\"}',
+             r'{"a":"say :\"$no\" now"}', '{"a":"b","c":"d$e"}', None, '{"a":"$' + "z" * 200_000 + '"}']
+    got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "a STRING").select(tool_calls.needed(F.col("a"))).collect()]
+    assert got == [["p"], ["p", "q", "r"], [], [], ['x"y\\'], [], [], [], ["z" * 200_000]]
