@@ -1180,6 +1180,21 @@ def q_a3(spark, sf_dir):
     return _raw_view(SRC.read_posts_csv(spark, path))
 
 
+@register("A2_A3_append_batch_once", with_fx("""
+SELECT form, message_id, fingerprint, thread_id, author, strftime(ts, '%Y-%m-%dT%H:%M:%S+00:00') AS ts, title,
+       sha1(body) AS body_sha1, url FROM fx_posts, (VALUES ('json'), ('csv')) f(form)"""))
+def q_append_once(spark, sf_dir):
+    """Two batches of half the posts each; the first is run again and replaces what it had written."""
+    raw = _raw_posts(spark, sf_dir)
+    half = F.pmod(F.xxhash64("message_id"), F.lit(2))
+    js, cs = SRC.scratch_dir(spark, "once-jsonl"), SRC.scratch_dir(spark, "once-csv")
+    for n in (0, 1, 0):
+        SRC.append_posts_json(raw.where(half == n), js, batch=str(n))
+        SRC.append_posts_csv(raw.where(half == n), cs, batch=str(n))
+    return _raw_view(spark.read.schema(SRC.RAW_SCHEMA).json(js)).withColumn("form", F.lit("json")).unionByName(
+        _raw_view(SRC.read_posts_csv(spark, cs)).withColumn("form", F.lit("csv")))
+
+
 def _author_posts(spark, sf_dir):
     t = _tech(spark, sf_dir).withColumn("threat_score", F.col("value"))
     return SEQ.author_sequences(t, ["threat_score", "techniques"])
@@ -1210,6 +1225,28 @@ def q_a8(spark, sf_dir):
     return _seq_export_view(SRC.read_sequences_json(js))
 
 
+@register("A7_A8_sequence_files", wt("""
+SELECT author, CAST(count(*) AS BIGINT) AS n_posts,
+       array_to_string(list(array_to_string(techniques, '+') ORDER BY ts, message_id), ',') AS techniques,
+       round(sum(value), 6) AS score_sum, CAST(sum(len(techniques)) AS BIGINT) AS n_entities,
+       strftime(max(ts), '%Y-%m-%dT%H:%M:%S') AS last_ts,
+       CAST(any_value(total) AS BIGINT) AS total_authors, CAST(any_value(valid) AS BIGINT) AS valid_authors
+FROM fx_tech, (SELECT count(*) AS total, count(*) FILTER (n >= 3) AS valid FROM (
+  SELECT author, count(*) AS n FROM fx_tech GROUP BY author))
+GROUP BY author HAVING count(*) >= 3"""))
+def q_a7_files(spark, sf_dir):
+    """The sequences written as whole JSON objects, read back with their entities and metadata."""
+    t = _tech(spark, sf_dir).withColumn("threat_score", F.col("value")).withColumn("entities", F.transform(
+        "techniques", lambda x: F.struct(F.lit("TECHNIQUE").alias("type"), x.alias("text"), F.lit(1.0).alias("confidence"))))
+    path = SRC.scratch_dir(spark, "sequence-files")
+    SRC.write_sequence_files(SEQ.author_sequences(t, ["threat_score", "techniques", "entities"]), path)
+    back = SRC.read_sequence_files(spark, path)
+    return _seq_export_view(back.select("author", "posts")).join(back.select(
+        "author", F.aggregate("posts", F.lit(0).cast("long"), lambda n, p: n + F.size(p["entities"])).alias("n_entities"),
+        F.date_format(F.array_max(F.transform("posts", lambda p: p["ts"])), "yyyy-MM-dd'T'HH:mm:ss").alias("last_ts"),
+        "metadata.total_authors", "metadata.valid_authors"), "author")
+
+
 @register("A11_write_evaluation_report", wh(f"""
 WITH {_D14_SQL}
 SELECT phase_name, CAST(phase_id AS INTEGER) AS phase_id, round(p, 4) AS precision, round(r, 4) AS recall,

@@ -11,7 +11,7 @@ from __future__ import annotations
 import json
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -65,17 +65,24 @@ def split_posts_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_S
 
 
 # A2 / A3 --------------------------------------------------------------------
-def append_posts_json(df: DataFrame, path: str) -> None:
-    """One JSON object per line, UTF-8, appended as new part files."""
-    df.select(*[c for c in RAW_FIELDS if c in df.columns]).write.mode("append").json(path)
+def _append(rows: DataFrame, path: str, batch: str | None):
+    """A writer that appends to ``path``, or, for a named batch, replaces what that batch has
+    written there before (folder ``batch=<name>``): a job run twice appends once. Readers that
+    give a schema see the same columns either way."""
+    return rows.write.mode("append") if batch is None else (
+        rows.withColumn("batch", F.lit(batch)).write.mode("overwrite").partitionBy("batch").option("partitionOverwriteMode", "dynamic"))
 
 
-def append_posts_csv(df: DataFrame, path: str) -> None:
-    """Fixed field order, header in each part file, appended."""
+def append_posts_json(df: DataFrame, path: str, batch: str | None = None) -> None:
+    """One JSON object per line, UTF-8, appended as new part files; a named ``batch`` once."""
+    _append(df.select(*[c for c in RAW_FIELDS if c in df.columns]), path, batch).json(path)
+
+
+def append_posts_csv(df: DataFrame, path: str, batch: str | None = None) -> None:
+    """Fixed field order, header in each part file, appended; a named ``batch`` once."""
     cols = [F.col(c).cast("string") if c in df.columns else F.lit(None).cast("string").alias(c)
             for c in RAW_FIELDS]
-    (df.select(*cols).write.mode("append").option("header", True)
-     .option("escape", '"').options(**KEEP_SPACES).csv(path))
+    _append(df.select(*cols), path, batch).option("header", True).option("escape", '"').options(**KEEP_SPACES).csv(path)
 
 
 # A5 -------------------------------------------------------------------------
@@ -158,6 +165,69 @@ def read_sequences_json(df: DataFrame, col: str = "posts_json") -> DataFrame:
     return df.select("author", posts.alias("posts"))
 
 
+# The sequence file: one JSON object. Fixed names of its format.
+SEQUENCE_META = {"total_authors": "total_autores", "valid_authors": "secuencias_validas", "min_len": "longitud_minima_secuencia"}
+SEQUENCE_FILE = """
+    metadata STRUCT<total_autores: BIGINT, secuencias_validas: BIGINT, longitud_minima_secuencia: BIGINT, generado_en: STRING>,
+    sequences MAP<STRING, ARRAY<STRUCT<id_mensaje: STRING, fecha_hora: STRING, puntuacion_amenaza: DOUBLE,
+        entidades: ARRAY<STRUCT<type: STRING, text: STRING, confidence: DOUBLE>>,
+        tecnicas_mitre: ARRAY<STRING>, mitre_techniques: ARRAY<STRING>>>>"""
+NO_ENTITIES = "array<struct<type:string,text:string,confidence:double>>"
+
+
+def write_sequence_files(seqs: DataFrame, path: str, min_len: int = D.MIN_SEQUENCE, files: int = 16) -> None:
+    """A7 in the file form ``{"metadata": {...}, "sequences": {author: [post, ...]}}``.
+
+    Authors with at least ``min_len`` posts are dealt over ``files`` files by hash, each a whole
+    object with the metadata of all; files=1 gives the single file. An object is written as
+    lines (head, one line per author, foot), so none is built in memory; only one author's posts are.
+    ``seqs`` is (author, posts) as D5 gives it, ``entities`` in the posts if there are any.
+    """
+    fields = [f.name for f in seqs.schema["posts"].dataType.elementType]
+    none = F.array().cast(NO_ENTITIES)
+
+    def post(p):
+        entities = F.transform(p["entities"], lambda e: F.struct(e["type"].alias("type"), e["text"].alias("text"), e["confidence"].cast(
+            "double").alias("confidence"))) if "entities" in fields else none
+        return F.struct(p["message_id"].cast("string").alias("id_mensaje"), F.date_format(p["ts"], "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("fecha_hora"),
+                        p["threat_score"].alias("puntuacion_amenaza"), F.coalesce(entities, none).alias("entidades"),
+                        F.coalesce(p["techniques"], F.array().cast("array<string>")).alias("tecnicas_mitre"))
+
+    author = F.coalesce(F.col("author").cast("string"), F.lit(D.UNKNOWN_AUTHOR))
+    item = F.to_json(F.create_map(author, F.transform("posts", post)), {"ignoreNullFields": "false"})
+    lines = seqs.where(F.size("posts") >= min_len).select(
+        F.pmod(F.xxhash64(author), F.lit(files)).cast("int").alias("part"), F.lit(1).alias("place"), author.alias("author"),
+        F.substr(item, F.lit(2), F.char_length(item) - 2).alias("line"))
+    meta = count_metadata(seqs.select("author", F.size("posts").alias("n_posts")), min_len)
+    head = F.concat(F.lit('{"metadata": '), F.to_json(F.struct(
+        *[F.col(ours).alias(name) for ours, name in SEQUENCE_META.items()],
+        F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ssXXX").alias("generado_en"))), F.lit(', "sequences": {'))
+    ends = F.inline(F.array(F.struct(F.lit(0).alias("place"), F.lit("").alias("author"), head.alias("line")),
+                            F.struct(F.lit(2).alias("place"), F.lit("").alias("author"), F.lit("}}").alias("line"))))
+    frame = meta.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(files - 1)))).select("part", ends)
+    nth = F.row_number().over(Window.partitionBy("part").orderBy("place", "author"))
+    comma = F.when((F.col("place") == 1) & (nth > 2), ", ").otherwise("")
+    (lines.unionByName(frame).select("part", "place", "author", F.concat(comma, "line").alias("line"))
+     .sortWithinPartitions("part", "place", "author").select("part", "line")
+     .write.mode("overwrite").partitionBy("part").text(path))
+
+
+def read_sequence_files(spark: SparkSession, path: str) -> DataFrame:
+    """(author, posts, metadata) from one such file or a folder of them, wherever they were
+    written. A post's techniques are ``tecnicas_mitre`` or, when that is missing or empty,
+    ``mitre_techniques``; missing entities are none; a time that cannot be read is null. A file
+    that holds no such object raises. Each file is read by one task."""
+    data = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True).select(
+        F.from_json("value", SEQUENCE_FILE, {"mode": "FAILFAST"}).alias("o"))
+    none = F.array().cast("array<string>")
+    authors = data.select(F.struct(*[F.col(f"o.metadata.{name}").alias(ours) for ours, name in SEQUENCE_META.items()]).alias("metadata"),
+                          F.explode("o.sequences").alias("author", "found"))
+    return authors.select("author", F.transform("found", lambda p: F.struct(
+        F.try_to_timestamp(p["fecha_hora"]).alias("ts"), p["id_mensaje"].alias("message_id"), p["puntuacion_amenaza"].alias("threat_score"),
+        F.coalesce(p["entidades"], F.array().cast(NO_ENTITIES)).alias("entities"),
+        F.coalesce(F.when(F.size(p["tecnicas_mitre"]) > 0, p["tecnicas_mitre"]), p["mitre_techniques"], none).alias("techniques"))).alias("posts"), "metadata")
+
+
 # A10 / A11 / A12 ------------------------------------------------------------
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).option("escape", '"').options(**KEEP_SPACES).csv(path)

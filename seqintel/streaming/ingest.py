@@ -5,15 +5,18 @@
   ``trigger(availableNow=True)`` so a run drains what has landed and stops;
   re-running resumes where the checkpoint left off (the original's
   pending/visited file).
-* S2 incremental dedup, exact variant (default): ``foreachBatch`` keeps the
-  batch's first copy per fingerprint and appends it unless the sink already
-  holds an earlier copy (anti-join on the sink). The sink is append-only and
-  the read side takes the first copy per key, so replayed batches after a
-  failure and any file order give the same table.
+* S2 incremental dedup, exact variant (default): the state store keeps the first
+  copy of each fingerprint (``min_by`` in update mode; copies of a batch are
+  combined before the shuffle, so a hot fingerprint is one row per task). A
+  batch writes the fingerprints it touched to a folder of its own and never
+  reads the sink. A replayed batch replaces its folder; the read side takes a
+  key's row from its last batch, so restarts and any file order give the same
+  table. The state holds one post per fingerprint for ever (set the RocksDB state
+  store for large inputs).
   Bounded variant: ``dropDuplicatesWithinWatermark`` on the arrival time
   (state is bounded; copies that arrive further apart than the delay are admitted).
 * S3 incremental page report: stateful streaming ``groupBy(url).count()`` in
-  update mode; every update is appended with its batch id and the read side
+  update mode; every update is kept under its batch id and the read side
   keeps the latest count per page. The keyword half counts distinct records per
   (keyword, page) the same way.
 """
@@ -26,14 +29,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.ingest import first_per_key
 
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(jpath)
+def _write_batch(batch: DataFrame, batch_id: int, sink: str) -> None:
+    """A batch that is run again after a failure replaces its own folder."""
+    batch.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
 
 
 def landing_stream(spark: SparkSession, landing: str, schema, files_per_trigger: int | None = None) -> DataFrame:
@@ -46,26 +45,19 @@ def landing_stream(spark: SparkSession, landing: str, schema, files_per_trigger:
 
 def exact_dedup_sink(stream: DataFrame, sink: str, checkpoint: str, key: str = "fingerprint",
                      order: Sequence[str] = ("ts", "message_id")) -> StreamingQuery:
-    """S1 + S2 (exact): append first copies not dominated by the sink."""
-    order = list(order)
-
-    def upsert(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        firsts = first_per_key(batch, [key], order)
-        if _exists(spark, sink):
-            seen = spark.read.parquet(sink).select(
-                F.col(key).alias("_k"), F.struct(*[F.col(o) for o in order]).alias("_o"))
-            newer = F.struct(*[firsts[o] for o in order])
-            firsts = firsts.join(seen, (firsts[key] == seen["_k"]) & (seen["_o"] <= newer), "left_anti")
-        firsts.write.mode("append").parquet(sink)
-
-    return (stream.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True).start())
+    """S1 + S2 (exact): the first copy of each key by ``order``, kept up in the state store.
+    Null keys are one key; nulls in ``order`` come first. Columns keep their names and order."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in stream.columns])
+    firsts = stream.groupBy(F.col(key).alias("__key")).agg(F.min_by(whole, F.struct(*order)).alias("row")).select("row.*")
+    return (firsts.writeStream.outputMode("update").foreachBatch(lambda batch, n: _write_batch(batch, n, sink))
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
-def read_dedup_sink(spark: SparkSession, sink: str, key: str = "fingerprint",
-                    order: Sequence[str] = ("ts", "message_id")) -> DataFrame:
-    return first_per_key(spark.read.parquet(sink), [key], list(order))
+def read_dedup_sink(spark: SparkSession, sink: str, key: str = "fingerprint") -> DataFrame:
+    """The first copy of each key: its row in the last batch that touched it."""
+    rows = spark.read.parquet(sink)
+    last = rows.groupBy(F.col(key).alias("__key")).agg(F.max("batch_id").alias("__batch"))
+    return rows.join(last, rows[key].eqNullSafe(last["__key"]) & (rows["batch_id"] == last["__batch"]), "left_semi").drop("batch_id")
 
 
 def watermark_dedup(stream: DataFrame, sink: str, checkpoint: str, key: str = "fingerprint",
@@ -82,13 +74,10 @@ def watermark_dedup(stream: DataFrame, sink: str, checkpoint: str, key: str = "f
 
 
 def page_counts_stream(stream: DataFrame, sink: str, checkpoint: str, key: str = "url") -> StreamingQuery:
-    """S3: running count per page (state store), updates appended per batch."""
+    """S3: running count per page (state store), updates kept per batch."""
     counts = stream.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
 
-    def append(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("append").parquet(sink)
-
-    return (counts.writeStream.outputMode("update").foreachBatch(append)
+    return (counts.writeStream.outputMode("update").foreachBatch(lambda batch, n: _write_batch(batch, n, sink))
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
@@ -109,11 +98,7 @@ def keyword_counts_stream(stream: DataFrame, sink: str, checkpoint: str, keyword
     counts = (stream.dropDuplicates([url, key]).select(url, lowered.alias("__low")).select(url, F.explode(named).alias("keyword"))
               .groupBy("keyword", url).agg(F.count(F.lit(1)).alias("n")))
 
-    def append(batch: DataFrame, batch_id: int) -> None:
-        # a batch that is run again after a failure replaces its own folder
-        batch.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
-
-    return (counts.writeStream.outputMode("update").foreachBatch(append)
+    return (counts.writeStream.outputMode("update").foreachBatch(lambda batch, n: _write_batch(batch, n, sink))
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 

@@ -60,6 +60,27 @@ def test_reachable(spark):
     assert got == {"a": 0, "b": 1, "c": 1, "d": 2}
 
 
+def test_reachable_leaves_the_edges_where_they_lie(spark):
+    hub = [("a", f"p{i}") for i in range(200)] + [(f"p{i}", f"q{i % 7}") for i in range(200)] + [("q3", "end"), ("end", "a"), (None, "n")]
+    e = spark.createDataFrame(hub * 2, "src STRING, dst STRING")
+    got = dict(map(tuple, GR.reachable(e, ["a"], 6).collect()))
+    assert got == {"a": 0, "end": 3} | {f"p{i}": 1 for i in range(200)} | {f"q{i}": 2 for i in range(7)}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        table = GR.adjacency(e)
+        seeds = spark.createDataFrame([("a", 0)], "url STRING, depth INT")
+        step = GR.frontier_step(seeds, table, seeds, ["slot"])
+        plan = step._jdf.queryExecution().sparkPlan().toString()
+        planned = step._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    scan = [i for i, line in enumerate(planned.splitlines()) if "Scan ExistingRDD" in line and "slot" in line]
+    assert scan and "dst" in plan
+    above = planned.splitlines()[max(0, scan[0] - 3):scan[0]]
+    assert not any("Exchange" in line for line in above), planned
+    assert step.count() == 200
+
+
 def test_histogram_all_equal(spark):
     df = spark.createDataFrame([(0.3,), (0.3,)], "confidence DOUBLE")
     h = dict(map(tuple, EV.confidence_histogram(df).collect()))
