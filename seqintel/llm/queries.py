@@ -101,7 +101,7 @@ def _matches_sql(kind: str, number: int, pattern: str, least: int, group: int) -
       FROM d WHERE regexp_matches(t, {_sql(pattern)}))) WHERE length(part) >= {least}"""
 
 
-_ALLOWED = _sql("|".join(f"(?:{p})" for p in secrets.ALLOW))
+_HARMLESS = _sql("|".join(secrets.HARMLESS))
 _W, _T = secrets.WINDOW, secrets.THRESHOLDS
 _OP6 = f"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
@@ -109,14 +109,23 @@ base AS ({" UNION ALL ".join(_matches_sql(kind, i, pattern, least, group) for i,
 cand AS (
   SELECT *, CASE WHEN regexp_full_match(hit, '[0-9a-f]+') OR regexp_full_match(hit, '[0-9A-F]+') THEN {_T["hex"]}
                  WHEN regexp_full_match(hit, '[0-9A-Z]+') THEN {_T["upper"]} ELSE {_T["mixed"]} END AS least
-  FROM ({_matches_sql("entropy", len(secrets.BASE), secrets.CANDIDATE, 0, 2)}) WHERE NOT regexp_full_match(hit, {_ALLOWED})),
+  FROM ({_matches_sql("entropy", len(secrets.BASE), secrets.CANDIDATE, 0, 2)}) WHERE NOT regexp_full_match(hit, '{secrets.EXAMPLE}')),
+piece AS (
+  SELECT rid, start, i, p, sum(length(p)) OVER (PARTITION BY rid, start ORDER BY i) AS stop FROM (
+    SELECT rid, start, unnest(regexp_extract_all(hit, '{secrets.PIECE}')) AS p,
+           generate_subscripts(regexp_extract_all(hit, '{secrets.PIECE}'), 1) AS i FROM cand)),
+odd AS (SELECT rid, start, stop - length(p) AS a, stop AS b FROM piece
+        WHERE NOT (regexp_full_match(p, {_HARMLESS}) OR (regexp_full_match(p, '{secrets.WORDY}') AND NOT regexp_matches(p, '{secrets.SHORT_HUMP}')))),
 win AS (SELECT rid, kind, k, start, least, i, substr(hit, i + 1, {_W}) AS w
         FROM (SELECT *, unnest(range(0, length(hit) - {_W} + 1)) AS i FROM cand)),
 hot AS (SELECT * FROM win WHERE -list_sum(list_transform(list_distinct(string_split(w, '')), lambda c:
           (({_W} - length(replace(w, c, ''))) / {_W}.0) * log2(({_W} - length(replace(w, c, ''))) / {_W}.0))) >= least),
 isle AS (SELECT *, sum(fresh) OVER (PARTITION BY rid, start ORDER BY i) AS isle FROM (
   SELECT *, CASE WHEN i - lag(i) OVER (PARTITION BY rid, start ORDER BY i) <= {_W} THEN 0 ELSE 1 END AS fresh FROM hot)),
-span AS (SELECT rid, kind, k, start + min(i) AS start, start + max(i) + {_W} AS stop FROM isle GROUP BY rid, kind, k, start, isle),
+stretch AS (SELECT rid, kind, k, start, min(i) AS a, max(i) + {_W} AS b FROM isle GROUP BY rid, kind, k, start, isle),
+span AS (SELECT s.rid, s.kind, s.k, s.start + s.a AS start, s.start + s.b AS stop
+         FROM stretch s JOIN odd o ON o.rid = s.rid AND o.start = s.start AND o.a < s.b AND s.a < o.b
+         GROUP BY s.rid, s.kind, s.k, s.start, s.a, s.b HAVING sum(least(o.b, s.b) - greatest(o.a, s.a)) >= {secrets.LEAST_ODD}),
 added AS (SELECT s.* FROM span s WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.rid = s.rid AND b.start < s.stop AND s.start < b.stop)),
 b AS (SELECT rid, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
              count(*) FILTER (kind = 'hex') AS n_hex,

@@ -7,6 +7,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
@@ -325,6 +326,14 @@ def test_cascade_order_never_changes_the_verdict(spark):
 
 
 # secrets -----------------------------------------------------------------------------
+def harmless(piece):
+    letters = re.sub("[0-9]{1,4}$", "", piece)
+    humps = re.findall("[A-Z][a-z]*", letters)
+    words = letters.isalpha() and (letters.isupper() or all(len(h) > 1 for h in humps))
+    uuid = re.fullmatch("[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}", piece)
+    return bool(words or piece.isdigit() or uuid or not re.search("[A-Za-z0-9]", piece) or re.search("EXAMPLE|example|XXXXXX|xxxxxx", piece))
+
+
 def brute_secrets(text):
     base = [(m.start(), 0, m.end(), "assign") for m in re.finditer(
         r"(?ai:(password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", text) if len(m[2]) >= 8]
@@ -333,7 +342,7 @@ def brute_secrets(text):
     more, w = [], secrets.WINDOW
     for m in re.finditer(secrets.CANDIDATE, text):
         v = m[0]
-        if any(re.fullmatch(p, v) for p in secrets.ALLOW):
+        if v.endswith("EXAMPLEKEY"):
             continue
         kind = "hex" if re.fullmatch("[0-9a-f]+|[0-9A-F]+", v) else "upper" if re.fullmatch("[0-9A-Z]+", v) else "mixed"
         spans = []
@@ -343,7 +352,9 @@ def brute_secrets(text):
                     spans[-1][1] = i + w
                 else:
                     spans.append([i, i + w])
-        more += [(m.start() + a, 3, m.start() + b, "entropy") for a, b in spans]
+        odd = [p.span() for p in re.finditer(secrets.PIECE, v) if not harmless(p[0])]
+        more += [(m.start() + a, 3, m.start() + b, "entropy") for a, b in spans
+                 if sum(max(0, min(b, q) - max(a, p)) for p, q in odd) >= 10]
     more = [x for x in more if not any(b[0] < x[2] and x[0] < b[2] for b in base)]
     return sorted(base), sorted(base + more)
 
@@ -353,17 +364,38 @@ SECRET_TEXTS = [
     "deadbeef" * 4 + " " + "0123456789abcdef" * 3, "🙂 é zQ8fK2mX9pL4vR7tB1nW6yH3jD5sG0cA and aaaaaaaaaaaaaaaaaaaaaaaa1", "ABCDEFGH1234JKLMNPQR5678STUV",
     "internationalization-of-everything 123456789012345678901234 123e4567-e89b-12d3-a456-426614174000 EXAMPLEzQ8fK2mX9pL4vR7tB1nW6y",
     "zQ8fK2mX9pL4vR7tB1nW6y" + "a" * 60 + "zQ8fK2mX9pL4vR7tB1nW6y", "passwd='" + "x1Y2" * 400 + "'", "x" * 5000,
+    "GET /example-service/v2/key=zQ8fK2mX9pL4vR7tB1nW6yH3 and path/to/someVeryLongModuleName-of-words/readme2024",
+    "qWzRtKpLxVbNmHjGfDsYcTrEwQaZ", "getUserNameFromServerOrCacheAndReturn", "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY",
+    "SomeCamelCaseWords" * 3000, "x/123e4567-e89b-12d3-a456-426614174000/report-of-things-2024-12-03",
+    "Qz8/fK2+mX9/pL4+vR7/tB1+nW6/yH3+jD5", "words-and-words/" * 300 + "kQ3vZ8wX1rT6yN0pL5sD2f" + "/more-words" * 300,
 ]
 
 
+def test_secrets_sql_on_rows_with_entropy_spans(spark, tmp_path):
+    docs = table(spark, [(i, t, "r") for i, t in enumerate(SECRET_TEXTS)] + [(90, None, None), (91, "", "r")])
+    docs.coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    got = queries.op6_secrets(spark, str(tmp_path))
+    sql = con.execute(f"SELECT {', '.join(got.columns)} FROM ({queries.SQL['op6_secrets']})").fetchall()
+    assert sorted(map(tuple, got.collect())) == sorted(sql)
+    assert any("entropy" in r[-1] for r in sql)
+
+
 def test_secrets(spark, empty):
     rows = EDGES + [(200 + i, t, "r") for i, t in enumerate(SECRET_TEXTS)]
     docs = table(spark, rows)
     got = sorted(((r.doc_id, [tuple(x)[:4] for x in r.base], [tuple(x)[:4] for x in r.found]) for r in secrets.scan(docs).collect()), key=repr)
     assert got == sorted(((i, *brute_secrets(t or "")) for i, t, _ in rows), key=repr)
     assert any(k == "entropy" for _, _, f in got for *_, k in f)
+    entropy = {i: [x for x in f if x[3] == "entropy"] for i, _, f in got}
+    at = {t: 200 + i for i, t in enumerate(SECRET_TEXTS)}
+    for part, hit in (("GET /example", True), ("qWzRt", True), ("getUser", False), ("wJalr", False), ("SomeCamel", False), ("x/123e", False),
+                      ("Qz8", True), ("words-and", True)):
+        assert bool(entropy[next(i for t, i in at.items() if t.startswith(part))]) == hit, part
     assert secrets.scan(empty).count() == 0
     clean = {r.doc_id: r.text for r in secrets.redacted(docs).collect()}
+    assert sum(len(e) for e in entropy.values()) > 5
     assert clean[200] == 'a [SECRET]" b' and clean[1] == ""
 
 
