@@ -43,13 +43,17 @@ def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
 
 def bucketed(spark: SparkSession, df: DataFrame, key: str) -> DataFrame:
     """Like ``stored``, as a table bucketed by ``key``, for a ``df`` that a join or
-    a grouping by ``key`` has just made: later joins on it do not shuffle its rows."""
+    a grouping by ``key`` has just made: later joins on it do not shuffle its rows.
+    The name is dropped once the frame is planned (the caller's database keeps no
+    table); the files stay in the shared folder, where the frame reads them."""
     configure(spark)
     name = f"bucketed_{uuid.uuid4().hex}"
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     (df.write.bucketBy(n, key).format("parquet")
      .option("path", f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}").saveAsTable(name))
-    return spark.table(name)
+    table = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return table
 
 
 def carried(docs: DataFrame, **columns: Column) -> DataFrame:

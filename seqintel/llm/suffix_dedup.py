@@ -25,7 +25,8 @@ of equal strings, so the parse does the work of the suffix array:
 
 Each step is a grouping with partial sums and a join that Spark can split, so
 a passage that is in a third of all documents burdens no single task. Phrase
-hashes of 64 bits only choose candidates; what is removed rests on 128 bits.
+hashes of 64 bits only choose candidates; what is removed, and which row it is
+removed from, rests on 128 bits.
 """
 
 from __future__ import annotations
@@ -113,11 +114,11 @@ def phrases(bodies: DataFrame, length: int = LENGTH, reach: int = REACH) -> Data
         at = parse(body, length, reach)[0].tolist()
         return [_phrase(body, t, size) for t in at], [dk] * len(at), at
 
-    schema = "phrase long, dk long, at int"
+    schema = "phrase long, dk binary, at int"
     return bodies.select("dk", "body").mapInArrow(_batches(run, schema), schema)
 
 
-_ENTRY = "core long, hi long, lo long, dk long, a int, size int, solo boolean"
+_ENTRY = "core long, hi long, lo long, dk binary, a int, size int, solo boolean"
 
 
 def runs(bodies: DataFrame, length: int = LENGTH, reach: int = REACH) -> DataFrame:
@@ -158,7 +159,7 @@ def windows(bodies: DataFrame, length: int = LENGTH) -> DataFrame:
         rows = [(*_two(body[i:i + length]), dk, i, p["solo"]) for p in probes for i in range(p["a"], p["a"] + p["size"])]
         return tuple(zip(*rows)) or ([],) * 5
 
-    schema = "hi long, lo long, dk long, at int, solo boolean"
+    schema = "hi long, lo long, dk binary, at int, solo boolean"
     return bodies.select("dk", "body", "probes").mapInArrow(_batches(run, schema), schema)
 
 
@@ -191,7 +192,7 @@ def cut(bodies: DataFrame, length: int = LENGTH) -> DataFrame:
         spans = int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum())
         return [dk], [int(gone.sum())], [spans], [np.frombuffer(body, np.uint8)[~gone].tobytes()]
 
-    schema = "dk long, n_removed long, n_spans long, kept binary"
+    schema = "dk binary, n_removed long, n_spans long, kept binary"
     return bodies.select("dk", "body", "cover").mapInArrow(_batches(run, schema), schema)
 
 
@@ -226,12 +227,14 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
 
     Texts are UTF-8 bytes, null is empty, matches stay within a row. Strings
     are judged on the input. Rows that repeat an id and a text are copies of
-    each other and get equal results; so do rows with a null id. Texts under
+    each other and get equal results; so do rows with a null id. A row's key is 128
+    bits of the SHA-256 of its id and text. Texts under
     ``length`` bytes lose nothing. An empty table gives an empty result; other
     columns are not read.
     """
-    rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text")).withColumn(
-        "dk", F.xxhash64("doc_id", "text"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
+    named = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), "text")
+    rows = rows.withColumn("dk", F.substring(F.unhex(F.sha2(named, 256)), 1, 16))
     bodies = rows.filter(F.octet_length("text") >= length).select("dk", F.col("text").cast("binary").alias("body"))
     cleaned = cut(repeats(spark, bodies, length, reach, block), length).withColumn(
         "cleaned_sha256", F.sha2("kept", 256)).dropDuplicates(["dk"])

@@ -14,7 +14,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from seqintel.llm.common import stored
+from seqintel.llm.common import bucketed, stored
 from seqintel.llm import (exact_dedup, line_crf, mixing, packing, pii, quality_rules, queries, secrets, simhash,
                           suffix_dedup, tool_calls)
 
@@ -425,6 +425,19 @@ def test_repeats_against_brute_force(spark, length, reach, block):
     assert Counter(map(tuple, got)) == Counter(want)
 
 
+def test_bucketed_frame_outlives_its_name(spark):
+    before = {t.name for t in spark.catalog.listTables()}
+    made = bucketed(spark, spark.range(100).withColumn("v", F.col("id") * 2).groupBy("id").agg(F.max("v").alias("v")), "id")
+    assert {t.name for t in spark.catalog.listTables()} == before
+    assert made.agg(F.sum("v")).first()[0] == 9900
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = made.join(spark.range(50), "id")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange") <= 1 and "Bucketed: true" in plan
+
+
 def test_repeats_edges(spark, edges, empty):
     got = suffix_dedup.remove_repeats(spark, edges).collect()
     want = list(brute_repeats([(i, (t or "").encode()) for i, t, _ in EDGES if t is not LONG], 400))
