@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .. import dictionaries as D
@@ -102,6 +102,23 @@ def ingest_summary(raw: DataFrame, key: str = "fingerprint") -> DataFrame:
         "final_count")
 
 
+def write_first_per_key(raw: DataFrame, path: str, key: str = "fingerprint", order: Sequence[str] = ("ts", "message_id")) -> DataFrame:
+    """D1 and D2 in one job: writes the first row per key and returns the summary.
+
+    The number of copies of a key comes along with its least order value and the
+    figures are observed where rows are written, so no second job reads the
+    input and a task that is run again counts once. ``order`` is unique within a key.
+    """
+    order = list(order)
+    least = raw.groupBy(F.col(key).alias("_k")).agg(F.min(F.struct(*order)).alias("_first"), F.count(F.lit(1)).alias("_copies"))
+    on = raw[key].eqNullSafe(least["_k"]) & F.struct(*[raw[o] for o in order]).eqNullSafe(least["_first"])
+    seen = Observation()
+    (raw.join(least, on).observe(seen, F.sum("_copies").alias("raw_count"), F.count(F.lit(1)).alias("final_count"))
+     .select(*[raw[c] for c in raw.columns]).write.mode("overwrite").parquet(path))
+    n, kept = seen.get["raw_count"] or 0, seen.get["final_count"]
+    return raw.sparkSession.createDataFrame([(n, n - kept, kept)], "raw_count BIGINT, duplicate_count BIGINT, final_count BIGINT")
+
+
 def keyword_hits_list(pages: DataFrame, kws: Sequence[str], url_col: str = "url",
                       html_col: str = "html") -> DataFrame:
     """``kws`` is a short list; each page is lowered once and tested against the lowered words."""

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -34,16 +34,36 @@ def profile(df: DataFrame) -> DataFrame:
     return counts.select(F.inline(stack))
 
 
+def write_profiled(df: DataFrame, path: str) -> DataFrame:
+    """D16 of a table while it is written: the counts are observed in the job that writes."""
+    seen, fields = Observation(), df.schema.fields
+    df.observe(seen, *[F.count(F.col(f"`{f.name}`")).alias(f"c{i}") for i, f in enumerate(fields)]).write.mode("overwrite").parquet(path)
+    rows = [(f.name, seen.get[f"c{i}"], f.dataType.simpleString()) for i, f in enumerate(fields)]
+    return df.sparkSession.createDataFrame(rows, "column STRING, non_null BIGINT, type STRING")
+
+
+def _headline_columns(critical: Sequence[str]) -> list[Column]:
+    return [F.count(F.lit(1)).cast("long").alias("n_authors"),
+            F.avg("confidence").alias("mean_confidence"),
+            F.count_if(F.col("status") == "OK").cast("long").alias("n_ok"),
+            F.count_if(F.col("status") != "OK").cast("long").alias("n_short"),
+            F.count_if(F.col("next_phase_name").isin(list(critical))).cast("long").alias("n_critical")]
+
+
 def headline(report: DataFrame, n_states: int,
              critical: Sequence[str] = D.CRITICAL_PHASE_NAMES) -> DataFrame:
     """States, authors, mean confidence, OK / too-short authors, critical authors."""
-    return report.agg(
-        F.lit(n_states).cast("long").alias("n_states"),
-        F.count(F.lit(1)).cast("long").alias("n_authors"),
-        F.avg("confidence").alias("mean_confidence"),
-        F.count_if(F.col("status") == "OK").cast("long").alias("n_ok"),
-        F.count_if(F.col("status") != "OK").cast("long").alias("n_short"),
-        F.count_if(F.col("next_phase_name").isin(list(critical))).cast("long").alias("n_critical"))
+    return report.agg(F.lit(n_states).cast("long").alias("n_states"), *_headline_columns(critical))
+
+
+def write_with_headline(report: DataFrame, path: str, n_states: int,
+                        critical: Sequence[str] = D.CRITICAL_PHASE_NAMES) -> DataFrame:
+    """D17 of a report while it is written: the figures are observed in the job that writes."""
+    seen = Observation()
+    report.observe(seen, *_headline_columns(critical)).write.mode("overwrite").parquet(path)
+    names = ["n_authors", "mean_confidence", "n_ok", "n_short", "n_critical"]
+    return report.sparkSession.createDataFrame([(n_states, *[seen.get[n] for n in names])], (
+        "n_states BIGINT, n_authors BIGINT, mean_confidence DOUBLE, n_ok BIGINT, n_short BIGINT, n_critical BIGINT"))
 
 
 def top_n(df: DataFrame, by: str, n: int = 10, tiebreak: str | None = None) -> DataFrame:

@@ -240,6 +240,12 @@ def q_d2(spark, sf_dir):
     return ING.ingest_summary(_posts(spark, sf_dir))
 
 
+@register("D2_summary_observed", SQL["D2_ingest_summary"])
+def q_d2_observed(spark, sf_dir):
+    """The same figures, taken while the first copies are written."""
+    return ING.write_first_per_key(_posts(spark, sf_dir), SRC.scratch_dir(spark, "first-copies"))
+
+
 # ---------------------------------------------------------------------------
 # 2C / 2E enrichment: C1, E9-E13, B20, K14, U2
 # ---------------------------------------------------------------------------
@@ -817,6 +823,13 @@ def q_d17(spark, sf_dir):
     return h.withColumn("mean_confidence", F.round("mean_confidence", 6))
 
 
+@register("D17_headline_observed", SQL["D17_headline_figures"])
+def q_d17_observed(spark, sf_dir):
+    """The same figures, taken while the report is written."""
+    h = RP.write_with_headline(_report(spark, sf_dir), SRC.scratch_dir(spark, "report"), FXM.n_states)
+    return h.withColumn("mean_confidence", F.round("mean_confidence", 6))
+
+
 @register("E4_top_authors", wh("""
 SELECT author, next_phase_name, round(confidence, 6) AS confidence, n_posts FROM rep
 ORDER BY confidence DESC, author LIMIT 10"""))
@@ -1053,6 +1066,12 @@ def q_d16(spark, sf_dir):
     return RP.profile(table(spark, sf_dir, "documents"))
 
 
+@register("D16_profile_observed", SQL["D16_dataset_profile"])
+def q_d16_observed(spark, sf_dir):
+    """The same counts, taken while the table is written."""
+    return RP.write_profiled(table(spark, sf_dir, "documents"), SRC.scratch_dir(spark, "profiled"))
+
+
 SEEDS = ["n1", "n2"]
 MAX_DEPTH = 2
 

@@ -122,3 +122,18 @@ def test_term_match_substring_and_whole_word(spark):
     assert sub == {1: ["T1"], 2: ["T2"], 3: ["T3"], 4: [], 5: []}
     whole = {r["id"]: r["techniques"] for r in EN.match_techniques(df, "text", terms, whole_word=True).collect()}
     assert whole == {1: ["T1"], 2: [], 3: ["T3"], 4: [], 5: []}
+
+
+def test_figures_are_observed_by_the_job_that_writes(spark):
+    from seqintel.operators import ingest as ING
+    from seqintel.sources.files import scratch_dir
+    rows = [(1, "a", "x"), (2, "b", "x"), (0, "c", "x"), (5, "d", None), (4, "e", None), (None, "f", "y")]
+    posts = spark.createDataFrame(rows, "ts INT, message_id STRING, fingerprint STRING")
+    path, none = scratch_dir(spark, "firsts"), posts.limit(0)
+    assert tuple(ING.write_first_per_key(posts, path).first()) == (6, 3, 3)
+    assert {r[1] for r in spark.read.parquet(path).collect()} == {"c", "e", "f"}
+    assert spark.read.parquet(path).columns == posts.columns
+    assert tuple(ING.write_first_per_key(none, scratch_dir(spark, "firsts")).first()) == (0, 0, 0)
+    prof = RP.write_profiled(posts.withColumn("a.b", F.lit(1)), path)
+    assert {r["column"]: r["non_null"] for r in prof.collect()} == {"ts": 5, "message_id": 6, "fingerprint": 4, "a.b": 6}
+    assert {r["column"]: r["non_null"] for r in RP.write_profiled(none, path).collect()} == {"ts": 0, "message_id": 0, "fingerprint": 0}
