@@ -29,41 +29,63 @@ ENTITY_STRUCT = T.StructType([
 ])
 ENTITY_ARRAY = T.ArrayType(ENTITY_STRUCT)
 TOKEN_PATTERN = r"[\p{L}\p{N}_]+"
+WORD = r"\p{L}\p{N}_"
+#: Rows of a dictionary that every task may hold.
+FEW_TERMS = 1 << 17
 
 # -- entity sources ---------------------------------------------------------
 def token_entities(df: DataFrame, id_col: str, text_col: str, with_span: bool = False) -> DataFrame:
     """Fixture extractor: every word token of the whole text is an entity with a
     deterministic type and confidence. Long form: (id, pos, type, text,
     confidence, start, end)."""
-    toks = _tokens(df, id_col, text_col)
+    toks = (_tokens if with_span else _words)(df, id_col, text_col)
     n = F.length("text")
+    span = (_start(), (_start() + n).cast("int").alias("end")) if with_span else (
+        F.lit(None).cast("int").alias("start"), F.lit(None).cast("int").alias("end"))
     return toks.select(
         id_col, F.col("pos").cast("long").alias("pos"),
         F.concat(F.lit("T"), (n % 3).cast("string")).alias("type"),
         "text",
-        F.round(((F.ascii("text") * 7 + n * 13) % 101) / 100.0, 4).cast("double").alias("confidence"),
-        *((F.col("start"), (F.col("start") + n).cast("int").alias("end")) if with_span
-          else (F.lit(None).cast("int").alias("start"), F.lit(None).cast("int").alias("end"))))
+        (((F.ascii("text") * 7 + n * 13) % 101) / 100.0).cast("double").alias("confidence"), *span)
+
+
+def _words(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, pos, text): one row per word token of the whole text."""
+    return df.select(id_col, F.posexplode(F.regexp_extract_all(
+        F.coalesce(F.col(text_col), F.lit("")), F.lit(TOKEN_PATTERN), 0)).alias("pos", "text"))
 
 
 def _tokens(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, pos, text, start): one row per word token of the whole text."""
-    return df.select(id_col, F.posexplode(TX.token_spans(text_col, r"\p{L}\p{N}_")).alias("pos", "_t")).select(
-        id_col, "pos", F.col("_t.text").alias("text"), F.col("_t.start").alias("start"))
+    """``_words`` with what ``_start`` counts a token's place from: the few words around it and
+    their place. So places are counted for those tokens only that are still there."""
+    rows = df.select(id_col, F.lit(0).alias("_at"), F.lit(0).alias("_no"), F.col(text_col).alias("_part"))
+    for most in (TX.BLOCK, TX.PIECE):
+        rows = rows.select(id_col, "_at", "_no", F.posexplode(TX.runs_of("_part", WORD, most)).alias("_n", "_r")).select(
+            id_col, (F.col("_at") + F.col("_r.start")).alias("_at"), (F.col("_no") + F.col("_n") * most).alias("_no"),
+            F.col("_r.part").alias("_part"))
+    return rows.select(id_col, "_at", "_no", "_part", F.posexplode(F.regexp_extract_all("_part", F.lit(TOKEN_PATTERN), 0)).alias("_i", "text")).select(
+        id_col, (F.col("_no") + F.col("_i")).alias("pos"), "text", "_at", "_i", "_part")
+
+
+def _start() -> Column:
+    return (F.col("_at") + TX.start_in("_part", WORD, "_i")).cast("int").alias("start")
 
 
 def dictionary_entities(df: DataFrame, id_col: str, text_col: str, terms: DataFrame,
                         term_col: str = "term", conf_col: str = "confidence",
                         type_col: str = "type") -> DataFrame:
-    """Whole-token dictionary hits as entity spans. ``terms`` is a small
-    dimension (term, type, confidence) joined by equality on the lowered token
-    (broadcast only below the auto-broadcast threshold; AQE decides)."""
+    """Whole-token dictionary hits as entity spans. ``terms`` (term, type,
+    confidence) is joined by equality on the lowered token. Up to FEW_TERMS rows
+    go to the tokens as they are made, more are joined by a shuffle. Places are
+    counted for the hits."""
     toks = _tokens(df, id_col, text_col).withColumn("_k", F.lower("text"))
     t = terms.select(F.lower(F.col(term_col)).alias("_k"), F.col(type_col).alias("type"),
                      F.col(conf_col).cast("double").alias("confidence"))
+    if t.limit(FEW_TERMS + 1).count() <= FEW_TERMS:
+        t = F.broadcast(t)
     return toks.join(t, "_k").select(
-        id_col, F.col("pos").cast("long").alias("pos"), "type", "text", "confidence",
-        "start", (F.col("start") + F.length("text")).cast("int").alias("end"))
+        id_col, F.col("pos").cast("long").alias("pos"), "type", "text", "confidence", _start()).withColumn(
+        "end", (F.col("start") + F.length("text")).cast("int"))
 
 
 def model_entities(df: DataFrame, id_col: str, text_col: str,
