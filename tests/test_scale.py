@@ -52,3 +52,24 @@ def test_a_small_dictionary_moves_no_token(spark, capsys, monkeypatch):
 def test_tokens_without_places_count_none(spark, capsys):
     df = spark.createDataFrame([(1, "an art")], "id INT, body STRING")
     assert "aggregate(" not in plan(EN.token_entities(df, "id", "body"), capsys)
+
+
+def test_bodies_are_cleaned_once(spark, capsys):
+    long, short = "a long body " * 9, "-" * 80
+    df = spark.createDataFrame([(1, long), (2, short), (3, None), (4, " x" * 30)], "id INT, body STRING")
+    out = ING.clean_posts(df)
+    assert plan(out, capsys).count("[a-f0-9]{16}") == 1
+    assert {r["id"]: r["body_len"] for r in out.collect()} == {1: len(long) - 1, 4: 59}
+    assert ING.clean_posts(df, min_body=0).count() == 4
+
+
+def test_cleaning_keeps_the_rules_for_whitespace(spark):
+    ws = "\t\n\x0b\f\r \x1c\x1f\x85\xa0     　"
+    cases = {f"a{ws}b": "a b", f"a,{ws}.b": "a   b", "a--b_c": "a  b_c", f"{ws}a{ws}": "a", "a​b": "a b", "é́x": "é x", "🙂🙂a": "a",
+             "USER_0123456789abcdef IPV4_0123": "[anonimizado] ipv4_0123"}
+    df = spark.createDataFrame([(k,) for k in cases], "t STRING")
+    assert {r["t"]: r["c"] for r in df.select("t", TX.clean_text("t").alias("c")).collect()} == cases
+
+
+def test_posts_are_fingerprinted_once(spark, capsys):
+    assert "sha1(" not in plan(Q.clean_unique_posts(spark, SF_SMALL), capsys)
