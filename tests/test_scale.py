@@ -73,3 +73,14 @@ def test_cleaning_keeps_the_rules_for_whitespace(spark):
 
 def test_posts_are_fingerprinted_once(spark, capsys):
     assert "sha1(" not in plan(Q.clean_unique_posts(spark, SF_SMALL), capsys)
+
+
+def test_landed_files_follow_the_number_of_posts(spark, monkeypatch):
+    monkeypatch.setattr(Q, "LANDED_ROWS", 8)
+    path, schema, quarter = Q._landing(spark, SF_SMALL)
+    landed = spark.read.schema(schema).parquet(path)
+    files = len(landed.inputFiles())
+    assert 12 <= files <= 25 and quarter == -(-files // 4)
+    assert landed.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0] < 40
+    assert sorted(r[0] for r in landed.select("doc_id").collect()) == sorted(
+        r[0] for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id").collect())
