@@ -91,11 +91,13 @@ def keyword_counts_stream(stream: DataFrame, sink: str, checkpoint: str, keyword
     """S3: running number of distinct records per (keyword, page), and of all its records under
     ``record_key`` (D3). A record counts once per page, whatever number of copies arrive and in
     which batches. Keywords are parameters, matched without regard to case; null texts hold none,
-    null pages are a page of their own. Updates are appended with their batch id."""
+    null pages are a page of their own. Updates are appended with their batch id.
+    Texts are searched where they are read; only the words found take part in the dedup."""
     listed = F.array(*[F.lit(k) for k in keywords]) if keywords else F.array().cast("array<string>")
     lowered = F.lower(F.coalesce(F.col(text), F.lit("")))
     named = F.concat(F.array(F.lit(record_key)), F.filter(listed, lambda k: F.contains(F.col("__low"), F.lower(k))))
-    counts = (stream.dropDuplicates([url, key]).select(url, lowered.alias("__low")).select(url, F.explode(named).alias("keyword"))
+    found = stream.select(url, key, lowered.alias("__low")).select(url, key, named.alias("__named"))
+    counts = (found.dropDuplicates([url, key]).select(url, F.explode("__named").alias("keyword"))
               .groupBy("keyword", url).agg(F.count(F.lit(1)).alias("n")))
 
     return (counts.writeStream.outputMode("update").foreachBatch(lambda batch, n: _write_batch(batch, n, sink))

@@ -84,3 +84,16 @@ def test_landed_files_follow_the_number_of_posts(spark, monkeypatch):
     assert landed.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0] < 40
     assert sorted(r[0] for r in landed.select("doc_id").collect()) == sorted(
         r[0] for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id").collect())
+
+
+def test_keyword_stream_dedups_without_the_texts(spark, capsys):
+    landing, sink, ckpt = (SRC.scratch_dir(spark, n) for n in ("kw-land", "kw-sink", "kw-ckpt"))
+    schema = "url STRING, fingerprint STRING, body STRING"
+    spark.createDataFrame([("u", "f", "A leak"), ("u", "f", "a  LEAK"), ("u", "g", "x"), ("v", "f", None)], schema).write.parquet(landing)
+    q = ST.keyword_counts_stream(ST.landing_stream(spark, landing, schema), sink, ckpt, ["leak"], "all")
+    q.awaitTermination()
+    capsys.readouterr()
+    q.explain()
+    shown = capsys.readouterr().out
+    assert 0 <= shown.index("StreamingDeduplicate") < shown.index("Contains(")
+    assert sorted(map(tuple, ST.read_keyword_counts(spark, sink).collect())) == [("all", "u", 2), ("all", "v", 1), ("leak", "u", 1)]
