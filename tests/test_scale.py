@@ -97,3 +97,15 @@ def test_keyword_stream_dedups_without_the_texts(spark, capsys):
     shown = capsys.readouterr().out
     assert 0 <= shown.index("StreamingDeduplicate") < shown.index("Contains(")
     assert sorted(map(tuple, ST.read_keyword_counts(spark, sink).collect())) == [("all", "u", 2), ("all", "v", 1), ("leak", "u", 1)]
+
+
+def test_batches_are_appended_from_stored_posts(spark, capsys, monkeypatch):
+    shown, write = [], SRC.append_posts_json
+
+    def seen(df, path, batch=None):
+        shown.append(plan(df, capsys))
+        write(df, path, batch=batch)
+    monkeypatch.setattr(SRC, "append_posts_json", seen)
+    out = Q.QUERIES["A2_A3_append_batch_once"](spark, SF_SMALL)
+    assert len(shown) == 3 and not any("sha1(" in s for s in shown)
+    assert out.count() == 2 * spark.read.parquet(f"{SF_SMALL}/documents.parquet").count()
