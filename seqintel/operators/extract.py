@@ -15,6 +15,7 @@ from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -94,6 +95,10 @@ ROLES = {"container": D.POST_CONTAINER_SELECTORS, "title": D.TITLE_SELECTORS, "a
          "page": ["body"]}
 KEPT_ATTRIBUTES = ("data-post-id", "data-id", "id", "data-parent-id", "data-reply-to", "datetime")
 INNER = ("author", "clock", "time", "body", "quote")
+#: Bytes of html that are parsed at a time.
+PART_BYTES = 1 << 20
+
+
 def _struct(**fields: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(n, t) for n, t in fields.items()])
 
@@ -198,6 +203,20 @@ def page_elements(html: str | None) -> dict | None:
     return {"pieces": reader.pieces, "spots": spots, **{r: roles[r] for r in (*INNER, "title")}}
 
 
+def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Runs of rows with about PART_BYTES of html (the last column), a longer page on its own:
+    what a worker holds of parsed pages follows the page, not the batch."""
+    size = pc.fill_null(pc.binary_length(batch.columns[-1]), 0).to_numpy(zero_copy_only=False)
+    start = held = 0
+    for i, n in enumerate(size.tolist()):
+        if i > start and held + n > PART_BYTES:
+            yield batch.slice(start, i - start)
+            start, held = i, 0
+        held += n
+    if batch.num_rows > start:
+        yield batch.slice(start)
+
+
 def _read(pages: DataFrame) -> DataFrame:
     """``pages`` (with html last) with the fields of ``page_elements`` instead of the html."""
     kept = pages.columns[:-1]
@@ -206,8 +225,9 @@ def _read(pages: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = to_arrow_type(PAGE)
         for batch in batches:
-            found = pa.array([page_elements(h) for h in batch.column(len(kept)).to_pylist()], kind)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *found.flatten()], names=schema.names)
+            for part in _parts(batch):
+                found = pa.array([page_elements(h.as_py()) for h in part.column(len(kept))], kind)
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], *found.flatten()], names=schema.names)
 
     return pages.mapInArrow(run, schema)
 

@@ -109,3 +109,11 @@ def test_batches_are_appended_from_stored_posts(spark, capsys, monkeypatch):
     out = Q.QUERIES["A2_A3_append_batch_once"](spark, SF_SMALL)
     assert len(shown) == 3 and not any("sha1(" in s for s in shown)
     assert out.count() == 2 * spark.read.parquet(f"{SF_SMALL}/documents.parquet").count()
+
+
+def test_pages_are_parsed_in_bounded_parts():
+    html = [None, "x" * 600_000, "y" * 600_000, "", "é" * 3_000_000, "z"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(html))), pa.array(html)], names=["id", "html"])
+    parts = list(EX._parts(batch))
+    assert [p.column(0).to_pylist() for p in parts] == [[0, 1], [2, 3], [4], [5]]
+    assert list(EX._parts(batch.slice(0, 0))) == []
