@@ -1,10 +1,13 @@
 """One very long text among many short ones: bounded memory, and the results of each alone."""
+import re
 import resource
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from seqintel.llm import line_crf, pii
+from seqintel.llm import line_crf, pii, suffix_dedup
 
 
 def crf():
@@ -69,3 +72,45 @@ def test_memory_stays_small():
     texts = ["4711 0815 " * 100_000] + ["no 12"] * 255
     pii.added_spans(finder, texts, [[] for _ in texts])
     assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 1_500_000  # KB
+
+
+def test_parse_holds_a_part_of_a_long_body(monkeypatch):
+    body = np.random.default_rng(1).integers(97, 101, 3_000_000).astype(np.uint8).tobytes()
+    tracemalloc.start()
+    got = suffix_dedup.parse(body)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 12e6, peak
+    for part, text in ((1 << 30, body), (1, body[:900]), (7, body[:2000]), (301, body[:5000]), (100, b"a" * 3000), (64, b"abcdefghi" * 300)):
+        monkeypatch.setattr(suffix_dedup, "PART", 1 << 16)
+        whole = got if text is body else suffix_dedup.parse(text)
+        monkeypatch.setattr(suffix_dedup, "PART", part)
+        assert all(np.array_equal(x, y) for x, y in zip(suffix_dedup.parse(text), whole)), part
+
+
+def test_rows_of_a_long_body_are_handed_on_in_parts():
+    step = suffix_dedup._batches(lambda n: ((i, [i]) for i in range(n)), "i long, l array<int>")
+    batch = pa.RecordBatch.from_arrays([pa.array([3, 0, 50_000])], names=["n"])
+    got = list(step(iter([batch, batch.slice(1, 1), batch.slice(0, 1)])))
+    assert max(b.num_rows for b in got) <= suffix_dedup.ROWS
+    assert [i for b in got for i in b["i"].to_pylist()] == [*range(3), *range(50_000), *range(3)]
+
+
+def test_bodies_go_to_python_in_small_batches(spark, capsys):
+    before = {k: spark.conf.get(k) for k in suffix_dedup.TAKEN}
+
+    def sizes(batches):
+        return (pa.RecordBatch.from_pydict({"n": [b.nbytes]}) for b in batches)
+
+    with suffix_dedup._small_batches(spark):
+        texts = spark.range(0, 10_000, 1, 1).selectExpr("repeat(chr(97 + id % 7), 5000) AS body")
+        most = max(r.n for r in texts.mapInArrow(sizes, "n long").collect())
+    assert most < 1.5 * suffix_dedup.TAKEN["spark.sql.execution.arrow.maxBytesPerBatch"], most
+    docs = spark.createDataFrame([(1, "ab" * 400), (2, "x" + "ab" * 250 + "y"), (3, None)], "doc_id long, text string")
+    out = suffix_dedup.remove_repeats(spark, docs)
+    capsys.readouterr()
+    out.explain()
+    steps = re.findall(r"MapInArrow ([^\n]*)", capsys.readouterr().out)
+    assert steps and not any("body" in x for x in steps), steps
+    assert [(r.doc_id, r.n_removed, r.n_spans, r.kept) for r in out.orderBy("doc_id").collect()] == [(1, 800, 1, b""), (2, 500, 1, b"xy"), (3, 0, 0, None)]
+    assert {k: spark.conf.get(k) for k in suffix_dedup.TAKEN} == before
